@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lotwise.llm import bpe, langid, license_scan, mixing, quality, shards, toxicity
 from lotwise.llm.text import documents, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -19,13 +19,41 @@ def tokenizer_path() -> str:
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from lotwise.llm import bpe
-
     return bpe.digest(documents(spark, sf_dir), tokenizer_path())
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(documents(spark, sf_dir))
+
+
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.digest(documents(spark, sf_dir))
+
+
+def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.digest(documents(spark, sf_dir))
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.digest(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
+    "op3_toxicity": op3_toxicity,
+    "op4_quality_rules": op4_quality_rules,
+    "op5_language_id": op5_language_id,
+    "op7_license_scan": op7_license_scan,
+    "op8_shards": op8_shards,
+    "op10_mixing": op10_mixing,
 }
 
 ORACLES: dict[str, str] = {}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lotwise.llm import bpe, langid, license_scan, mixing, quality, shards, toxicity
+from lotwise.llm import bpe, jaccard, langid, license_scan, mixing, quality, shards, toxicity
 from lotwise.llm.text import documents, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -42,6 +42,10 @@ def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.digest(documents(spark, sf_dir))
 
 
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.resolve(documents(spark, sf_dir))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(documents(spark, sf_dir))
 
@@ -53,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_language_id": op5_language_id,
     "op7_license_scan": op7_license_scan,
     "op8_shards": op8_shards,
+    "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_mixing": op10_mixing,
 }
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lotwise.llm import bpe, jaccard, langid, license_scan, mixing, quality, shards, toxicity
+from lotwise.llm import bpe, jaccard, langid, license_scan, lm_score, mixing, quality, shards, topk, toxicity
 from lotwise.llm.text import documents, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -18,6 +18,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.digest(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(documents(spark, sf_dir), tokenizer_path())
 
@@ -34,6 +38,10 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(documents(spark, sf_dir))
 
 
+def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.digest(table(spark, sf_dir, "embeddings"))
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.digest(documents(spark, sf_dir))
 
@@ -51,14 +59,18 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_score": op1_lm_score,
     "op2_bpe": op2_bpe,
     "op3_toxicity": op3_toxicity,
     "op4_quality_rules": op4_quality_rules,
     "op5_language_id": op5_language_id,
+    "op6_exact_topk": op6_exact_topk,
     "op7_license_scan": op7_license_scan,
     "op8_shards": op8_shards,
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_mixing": op10_mixing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_exact_topk": topk.SQL,
+}

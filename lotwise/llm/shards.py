@@ -53,7 +53,7 @@ def assign(docs: DataFrame, shards: int = 40, seed: int = SEED, bucket_bytes: in
     before = sizes.withColumn("__before", F.sum("__n").over(W.partitionBy("shard").orderBy("__bucket")) - F.col("__n"))
     perm = before.select("__bucket", "__before", F.posexplode(F.expr(f"shuffle(sequence(0L, __n - 1), {seed})")).alias("__at", "__to"))
     order = W.partitionBy("__bucket").orderBy("__mix", doc_id, "text_crc32")
-    placed = base.withColumn("__at", F.row_number().over(order) - 1).join(perm, ["__bucket", "__at"])
+    placed = base.withColumn("__at", F.row_number().over(order) - 1).join(perm.hint("merge"), ["__bucket", "__at"])  # perm has a row for each record: never broadcast
     placed = placed.withColumns({"law": F.lit("key"), "slot": F.col("__before") + F.col("__to"), "grown_shard": grown(doc_id, F.col("shard"), shards, seed)})
     return placed.drop("__bucket", "__mix", "__at", "__n", "__before", "__to")
 

@@ -60,7 +60,7 @@ def plain_scores(rows, wanted):
     def model(keys):
         uni, hist, bi = Counter(), Counter(), Counter()
         for k in keys:
-            for h, w in zip([0, *named[k][:-1]], named[k], strict=True):
+            for h, w in zip([0, *named[k]], named[k], strict=False):
                 uni[w] += 1
                 hist[h] += 1
                 bi[h, w] += 1

@@ -12,9 +12,12 @@ unrelated sets share, are skipped first. Sets that share a key are verified on
 their whole token sets.
 
 Equal sets are one node, and groups of keys with the same members are one
-group. Within a group, each node is verified against a hub first, and only
-pairs that no component joins yet are verified one by one, so that thousands
-of copies cost a line each, not a pair each, and no link is lost.
+group. Within a group, each node is verified against a hub first. Pairs that
+no component joins after that are verified one by one, unless a lower bound
+shows that they differ too much: tokens that only one of the open nodes has
+differ in each of its pairs, and so does the gap between two nodes'
+differences from a common hub. So thousands of copies cost a line each, not a
+pair each, and no link is lost.
 
 Defined results: a text without words has an empty set and no link; a text
 with fewer than n words has its whole sequence as one token; rows with a null
@@ -34,8 +37,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lotwise.llm.components import components
 from lotwise.llm.text import small_batches
+from lotwise.operators.components import components
 from lotwise.session import cut
 
 N = 4
@@ -118,7 +121,7 @@ def layout(band: int, percent: int) -> tuple[int, int]:
         if wide > m:
             continue
         size = lo / m
-        cost = m + 2 * wide * size + 1000 * m * math.exp(-size)  # entries, and lists that unrelated sets share
+        cost = m + 2 * wide * size + 30 * m * math.exp(-size)  # entries, and lists that unrelated sets share
         if best is None or cost < best[0]:
             best = (cost, m, wide)
     return best[1], best[2]
@@ -223,12 +226,59 @@ def close_in_size(percent: int):
     return 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
 
 
+def profiles(open_: DataFrame, hubs: DataFrame, texts: DataFrame, n: int) -> DataFrame:
+    """node, hub, more, less, own of every open node: tokens that it has beyond its hub, that it lacks, and that no other node has.
+
+    hubs: node, hub. A node without a hub is its own. A token counts as own if only one node has it beyond its hub, and no hub has it.
+    """
+    nodes = open_.select("node").distinct()
+    pairs = nodes.join(hubs, "node", "left").select("node", F.coalesce("hub", "node").alias("hub"))
+    pairs = cut(pairs.unionByName(pairs.select(F.col("hub").alias("node"), "hub")).distinct())
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        shingle, last, kept = Shingler(n), None, None
+        for batch in batches:
+            out = []
+            for node, hub, t, th in zip(batch["node"], batch["hub"], batch["t"], batch["th"], strict=True):
+                if hub != last:
+                    last, kept = hub, shingle(th)
+                tokens = kept if node == hub else shingle(t)
+                beyond = tokens if node == hub else np.setdiff1d(tokens, kept, assume_unique=True)
+                more = 0 if node == hub else len(beyond)
+                out.append((node, hub, more, len(kept) - (len(tokens) - more), beyond.view(np.int64)))
+            yield pd.DataFrame(out, columns=["node", "hub", "more", "less", "beyond"])
+
+    both = pairs.join(texts.select("node", F.col("text").alias("t")), "node").join(texts.select(F.col("node").alias("hub"), F.col("text").alias("th")), "hub")
+    done = cut(both.select("node", "hub", "t", "th").mapInPandas(run, "node long, hub long, more long, less long, beyond array<long>"))
+    tokens = done.select("node", (F.col("node") != F.col("hub")).cast("int").alias("member"), F.explode("beyond").alias("token"))
+    once = tokens.groupBy("token").agg(F.count("*").alias("c"), F.min("node").alias("node"), F.min("member").alias("member")).filter("c = 1 AND member = 1")
+    own = once.groupBy("node").agg(F.count("*").alias("own"))
+    first = done.select("node", "hub", "more", "less").groupBy("node").agg(F.max_by(F.struct("hub", "more", "less"), (F.col("node") != F.col("hub")).cast("int")).alias("p"))
+    return first.join(own, "node", "left").select("node", "p.hub", "p.more", "p.less", F.coalesce("own", F.lit(0)).alias("own"))
+
+
+def open_pairs(marked: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a group in different components that the bounds leave over. known: what profiles() returns."""
+    most = lambda a, b: F.floor((100 - percent) * (a + b) / (100 + percent))
+    rows = marked.join(known, "node")
+    size = F.col("size")
+    rows = rows.filter(F.col("own") <= most(size, F.floor(size * 100 / percent)))
+    side = lambda k: rows.select("gid", F.col("node").alias(k), *[F.col(c).alias(f"{c}_{k}") for c in ("size", "label", "hub", "more", "less", "own")])
+    x, y = side("a"), side("b")
+    gap = lambda c: F.abs(F.col(f"{c}_a") - F.col(f"{c}_b"))
+    own = F.col("own_a") + F.col("own_b")
+    least = F.when(F.col("hub_a") == F.col("hub_b"), F.greatest(gap("more"), own) + gap("less")).otherwise(own)
+    on = (x["gid"] == y["gid"]) & (F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b"))
+    on = on & (100 * F.least("size_a", "size_b") >= percent * F.greatest("size_a", "size_b")) & (least <= most(F.col("size_a"), F.col("size_b")))
+    return x.join(y, on).select("a", "b").distinct()
+
+
 def linked(groups: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
     """Links (a, b) that make up the components. groups: gid, node, size."""
     spark = groups.sparkSession
     links = spark.createDataFrame([], "a long, b long")
     tested = spark.createDataFrame([], "a long, b long")
-    labels = None
+    labels, hubs = None, None
     for round_ in range(ROUNDS + 1):
         if labels is None:
             marked = groups.withColumn("label", F.col("node"))
@@ -243,15 +293,16 @@ def linked(groups: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFra
             draw = F.struct(F.xxhash64(F.lit(round_), "gid", "node"), "node", "size")
             first = F.struct(F.lit(0).cast("long"), "node", "size")
             reps = marked.groupBy("gid", "label").agg(F.min(first if round_ == 0 else draw).alias("r"), F.count("*").alias("many")).select("gid", "label", "many", F.col("r.node").alias("node"), F.col("r.size").alias("size"))
-            hubs = reps.groupBy("gid").agg(F.max_by(F.struct("node", "size", "label"), F.struct("many", -F.col("label"))).alias("h"))
-            star = reps.join(hubs, "gid").filter("label <> h.label").select("label", F.col("node").alias("b"), F.col("size").alias("nb"), F.col("h.node").alias("a"), F.col("h.size").alias("na")).filter(close_in_size(percent))
+            centre = reps.groupBy("gid").agg(F.max_by(F.struct("node", "size", "label"), F.struct("many", -F.col("label"))).alias("h"))
+            star = reps.join(centre, "gid").filter("label <> h.label").select("label", F.col("node").alias("b"), F.col("size").alias("nb"), F.col("h.node").alias("a"), F.col("h.size").alias("na")).filter(close_in_size(percent))
             votes = star.groupBy("label", "b", "a").count()
             best = votes.groupBy("label").agg(F.max_by(F.struct("a", "b"), F.struct("count", -F.col("a"), -F.col("b"))).alias("p"))
+            if round_ == 0:
+                best = cut(best)
+                hubs = best.select(F.col("label").alias("node"), F.col("p.a").alias("hub"))
             pairs = best.select(F.least("p.a", "p.b").alias("a"), F.greatest("p.a", "p.b").alias("b")).distinct()
         else:
-            x = marked.select("gid", F.col("node").alias("a"), F.col("size").alias("na"), F.col("label").alias("la"))
-            y = marked.select("gid", F.col("node").alias("b"), F.col("size").alias("nb"), F.col("label").alias("lb"))
-            pairs = x.join(y, "gid").filter((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb"))).filter(close_in_size(percent)).select("a", "b").distinct()
+            pairs = open_pairs(marked, cut(profiles(marked, hubs, texts, n)), percent)
         pairs = cut(pairs.join(tested, ["a", "b"], "left_anti"))
         if pairs.isEmpty():
             continue
@@ -273,9 +324,9 @@ def resolve(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     # equal sets are one node, named by its smallest id; one id with several sets joins their nodes
     usable = base.filter(F.col("doc_id").isNotNull() & F.col("digest").isNotNull())
     nodes = cut(usable.groupBy("digest").agg(F.min("doc_id").alias("node"), F.max("n_shingles").alias("size")))
-    entries = done.filter(F.size("keys") > 0).select("doc_id", "digest", "probes", F.posexplode("keys").alias("at", "key")).select("key", F.xxhash64("digest").alias("set"), "doc_id", (F.col("at") < F.col("probes")).cast("int").alias("ask"))
+    entries = done.filter(F.size("keys") > 0).select("doc_id", "probes", F.posexplode("keys").alias("at", "key")).select("key", "doc_id", (F.col("at") < F.col("probes")).cast("int").alias("ask"))
     w = W.partitionBy("key")
-    shared = entries.withColumns({"lo": F.min("set").over(w), "hi": F.max("set").over(w), "asked": F.max("ask").over(w), "many": F.count("*").over(w), "sum": F.sum((F.col("set") % 1_000_000_007)).over(w)})
+    shared = entries.withColumns({"lo": F.min("doc_id").over(w), "hi": F.max("doc_id").over(w), "asked": F.max("ask").over(w), "many": F.count("*").over(w), "sum": F.sum(F.xxhash64("doc_id") % 1_000_000_007).over(w)})
     shared = shared.filter("lo < hi AND asked = 1").select(F.xxhash64("lo", "hi", "many", "sum").alias("gid"), "doc_id").distinct()
     owner = base.join(nodes, "digest").select("doc_id", "node", "size")
     groups = shared.join(owner.groupBy("doc_id").agg(F.min(F.struct("node", "size")).alias("o")), "doc_id").select("gid", F.col("o.node").alias("node"), F.col("o.size").alias("size")).distinct()

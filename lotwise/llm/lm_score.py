@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from lotwise.llm.text import small_batches
 
 VOCABULARY = 1 << 16
-SLOTS = 1 << 21
+SLOTS = 1 << 20
 LONG_WORD = 64  # bytes; longer words are outside the vocabulary
 SMOOTH = 4.0  # weight of the unigram distribution, in counts
 FLUSH_WORDS = 400_000
@@ -152,7 +152,7 @@ def score(docs: DataFrame, wanted: DataFrame, size: int = VOCABULARY, slots: int
     docs = docs.select("doc_id", "text")
     words = vocabulary(docs, size)
     marks = wanted.filter(F.col("doc_id").isNotNull()).select("doc_id").distinct().withColumn("target", F.lit(True))
-    models = count(docs.join(marks, "doc_id", "left").withColumn("target", F.coalesce("target", F.lit(False))), words, slots)
+    models = count(docs.join(marks.hint("merge"), "doc_id", "left").withColumn("target", F.coalesce("target", F.lit(False))), words, slots)
     held = spark.sparkContext.broadcast((words, models))  # vocabulary and slots have a fixed size
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -16,6 +16,8 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     """
     edges = cut(links.select("a", "b").filter("a <> b").distinct())
     before = None
+    if edges.isEmpty():
+        return edges.select(F.col("a").alias("node"), F.col("b").alias("label"))
     for _ in range(rounds):
         both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"))

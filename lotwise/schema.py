@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+TYPES = {"string": T.StringType(), "long": T.LongType(), "bigint": T.LongType(), "int": T.IntegerType(), "double": T.DoubleType(), "boolean": T.BooleanType(), "array<string>": T.ArrayType(T.StringType())}
+
+
 def struct(spec: str) -> T.StructType:
-    """Schema from 'name type, ...' (DDL)."""
-    return T.StructType.fromDDL(spec)
+    """Schema from 'name type, ...'; needs no session."""
+    return T.StructType([T.StructField(name, TYPES[kind]) for name, kind in (part.split() for part in spec.split(","))])
 
 
 # Column names and order of the tables.

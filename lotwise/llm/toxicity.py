@@ -102,19 +102,21 @@ def fit(bags: list[tuple[np.ndarray, np.ndarray]], ys: np.ndarray, rate: np.ndar
     return Model(w.astype(np.float32), float(bias), True)
 
 
-def train(rows: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> Model:
-    """rows: doc_id, text, toxic (0 or 1) of the rows to learn from."""
-    small_batches(rows.sparkSession)
-    rows = rows.filter(F.col("toxic").isin(0, 1))
-    counts = {r.toxic: r["count"] for r in rows.groupBy("toxic").count().collect()}
+def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> Model:
+    """labels: doc_id, toxic (0 or 1), one row an id. The sample is drawn from the labels: at most per_class ids of each class."""
+    spark = docs.sparkSession
+    small_batches(spark)
+    labels = labels.filter(F.col("toxic").isin(0, 1))
+    counts = {r.toxic: r["count"] for r in labels.groupBy("toxic").count().collect()}
+    none = Model(np.zeros(SLOTS, np.float32), 0.0, False)
     if len(counts) < 2:
-        return Model(np.zeros(SLOTS, np.float32), 0.0, False)
+        return none
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / 1_000_003.0
-    kept = None
-    for label, n in sorted(counts.items()):
-        few = rows.filter((F.col("toxic") == label) & (draw <= min(1.0, 2.0 * per_class / n)))
-        few = few.select(draw.alias("draw"), "doc_id", "toxic", "text").orderBy("draw", "doc_id").limit(per_class)
-        kept = few if kept is None else kept.unionByName(few)
+    ids = None
+    for label in sorted(counts):
+        few = labels.filter(F.col("toxic") == label).select(draw.alias("draw"), "doc_id", "toxic").orderBy("draw", "doc_id").limit(per_class)
+        ids = few if ids is None else ids.unionByName(few)
+    kept = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")  # at most 2 * per_class ids: no text is shuffled
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = Cached(slots)
@@ -124,6 +126,8 @@ def train(rows: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> Model:
 
     few = kept.mapInPandas(features, "draw double, doc_id long, toxic int, slots binary, sizes binary").toPandas().sort_values(["draw", "doc_id", "toxic"], ignore_index=True)
     ys = few["toxic"].to_numpy()
+    if len(set(ys)) < 2:
+        return none
     share = {label: n / max(1, int((ys == label).sum())) for label, n in counts.items()}
     rate = np.array([share[y] for y in ys])
     bags = [(np.frombuffer(s, np.int32), np.frombuffer(n, np.int32)) for s, n in zip(few["slots"], few["sizes"], strict=True)]
@@ -135,7 +139,7 @@ def train_fold(docs: DataFrame, labels: DataFrame) -> Model:
     """Learns from the labels of documents outside the held-out fold."""
     usable = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id"), 5) != 0))
     one = usable.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    return train(docs.select("doc_id", "text").join(one, "doc_id"))
+    return train(docs, one)
 
 
 def score_column(model: Model, spark, text: Column) -> Column:

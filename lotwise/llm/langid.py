@@ -31,21 +31,15 @@ from pyspark.sql import functions as F
 from lotwise.llm.text import fold, small_batches
 
 SLOTS = 1 << 16
-GRAMS = (1, 2, 3)
+GRAMS = (2, 3)
 SCALE = 64.0  # term frequencies are shares of a text's n-grams; this brings features near 1
 SAMPLE_PER_LANG = 400  # labelled rows of each language that the fit may see
 MAX_LANGS = 256
-CACHE_WORDS = 200_000
+CACHE_WORDS = 400_000
 LONG_WORD = 48
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
-def slots(word: str) -> list[int]:
-    """Slots of all n-grams of a word with its edges marked."""
-    w = f" {word} "
-    return [zlib.crc32(w[i : i + n].encode()) % SLOTS for n in GRAMS for i in range(len(w) - n + 1) if n > 1 or w[i] != " "]
-
-
 class Cached(dict):
     """word -> value; forgets everything when full, never keeps long words."""
 
@@ -62,6 +56,15 @@ class Cached(dict):
         return got
 
 
+GRAM_SLOTS = Cached(lambda gram: zlib.crc32(gram.encode()) % SLOTS)
+
+
+def slots(word: str) -> list[int]:
+    """Slots of all n-grams of a word with its edges marked."""
+    w, known = f" {word} ", GRAM_SLOTS
+    return [known[w[i : i + n]] for n in GRAMS for i in range(len(w) - n + 1)]
+
+
 def has_letter(text: str | None) -> bool:
     return bool(text) and any(map(str.isalpha, text))
 
@@ -79,19 +82,53 @@ class Model:
     temperature: float
 
     def scorer(self):
-        """text -> (language, probability)."""
-        table = self.weights * (self.idf * SCALE)[:, None]
-        rows = Cached(lambda w: ((s := slots(w)) and (*table[s].sum(axis=0).tolist(), len(s))) or (*[0.0] * len(self.langs), 0))
-
-        def score(text: str | None) -> tuple[str, float]:
-            if not self.langs or not has_letter(text):
-                return "und", 0.0
-            found = counted(text)
-            many = np.fromiter(found.values(), float, len(found))
-            sums = many @ np.array([rows[w] for w in found]).reshape(len(found), -1)
+        """texts -> (language, probability) of each."""
+        k = len(self.langs)
+        table = np.concatenate([self.weights * (self.idf * SCALE)[:, None], np.ones((SLOTS, 1))], axis=1)
+        number: dict[str, int] = {}
+        rows = np.zeros((CACHE_WORDS, k + 1))  # a word's summed weights by language, and its n-grams
+
+        def learn(words: list[str]) -> None:
+            for lo in range(0, len(words), 4096):
+                part = words[lo : lo + 4096]
+                each = [slots(w) for w in part]
+                starts = np.cumsum([0, *map(len, each[:-1])])
+                sums = np.add.reduceat(table[[s for e in each for s in e]], starts, axis=0)
+                rows[len(number) : len(number) + len(part)] = sums
+                number.update(zip(part, range(len(number), len(number) + len(part)), strict=True))
+
+        def one(found: Counter) -> tuple[str, float]:
+            at = np.fromiter(map(number.__getitem__, found), np.int64, len(found))
+            sums = np.fromiter(found.values(), float, len(found)) @ rows[at]
             z = (sums[:-1] / max(sums[-1], 1) + self.bias) / self.temperature
-            k = int(z.argmax())
-            return self.langs[k], float(1 / np.exp(z - z[k]).sum())
+            best = int(z.argmax())
+            return self.langs[best], float(1 / np.exp(z - z[best]).sum())
+
+        def score(texts: list[str | None]) -> list[tuple[str, float]]:
+            out = []
+            for text in texts:
+                if not k or not has_letter(text):
+                    out.append(("und", 0.0))
+                    continue
+                found = counted(text)
+                new = [w for w in found if w not in number]
+                if len(number) + len(new) > CACHE_WORDS:
+                    number.clear()
+                    new = list(found)
+                if len(new) > CACHE_WORDS:  # a text with more distinct words than the cache: in parts
+                    z = np.zeros(k + 1)
+                    for lo in range(0, len(new), CACHE_WORDS // 2):
+                        number.clear()
+                        learn(new[lo : lo + CACHE_WORDS // 2])
+                        z += np.array([found[w] for w in number], float) @ rows[: len(number)]
+                    number.clear()
+                    z = (z[:-1] / max(z[-1], 1) + self.bias) / self.temperature
+                    out.append((self.langs[int(z.argmax())], float(1 / np.exp(z - z.max()).sum())))
+                    continue
+                if new:
+                    learn(new)
+                out.append(one(found))
+            return out
 
         return score
 
@@ -222,7 +259,7 @@ def predict(model: Model, spark, text: Column) -> Column:
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         score = held.value.scorer()
         for texts in batches:
-            yield pd.DataFrame([score(t) for t in texts], columns=["lang_pred", "score"])
+            yield pd.DataFrame(score(list(texts)), columns=["lang_pred", "score"])
 
     return run(text)
 

@@ -2,19 +2,58 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lotwise.llm import bpe
+from lotwise.llm import bpe, jaccard, langid, mixing, quality
 from lotwise.llm.registry import tokenizer_path
+from lotwise.llm.text import small_batches, table
 from lotwise.session import shared_dir
 
+#: A document is rejected when its text has no letter, or when the classifier is sure of another language than the one stated.
+SURE = 0.9
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps documents with a recognised language; one stated language may only be contradicted with a probability of SURE."""
+    small_batches(spark)
+    model = langid.train_fold(docs)
+    p = langid.predict(model, spark, F.col("text"))
+    wrong = F.col("lang").isNotNull() & (F.col("__p.lang_pred") != F.col("lang")) & (F.col("__p.score") >= SURE)
+    known = F.lit(bool(model.langs)) & (F.col("__p.lang_pred") == "und")
+    return docs.withColumn("__p", p).filter(~known & ~wrong).drop("__p")
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps documents that pass the base rules and the certified cutoffs of their language."""
+    return quality.keep(docs, table(spark, sf_dir, "labels"))
+
 
-def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with the ids of their whole texts."""
-    return bpe.encode(docs, tokenizer_path()).drop("decoded")
+def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group of copies, five words and 0.8."""
+    return jaccard.keep_one(docs, n=5, percent=80)
 
 
-STAGES = [("bpe_encoding", encode_tokens)]
+def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The words that the mix takes, a row for each pass over a document."""
+    return mixing.taken_texts(docs)
+
+
+def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with the ids (little-endian uint32) of their whole texts."""
+    done = bpe.encode(docs, tokenizer_path())
+    return done.withColumn("n_tokens", (F.length("ids") / 4).cast("long")).drop("decoded")
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("quality_rules", quality_rules),
+    ("ngram_jaccard", ngram_jaccard),
+    ("mixing_sources", mixing_sources),
+    ("bpe_encoding", bpe_encoding),
+]
 
 #: Several stages learn models, which SQL can't express.
 ORACLE_SQL = None
@@ -22,8 +61,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over `documents`; each is written and read again."""
-    import uuid
-
     where = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (name, stage) in enumerate(STAGES):

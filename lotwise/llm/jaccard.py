@@ -279,6 +279,8 @@ def linked(groups: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFra
     links = spark.createDataFrame([], "a long, b long")
     tested = spark.createDataFrame([], "a long, b long")
     labels, hubs = None, None
+    if groups.isEmpty():
+        return links
     for round_ in range(ROUNDS + 1):
         if labels is None:
             marked = groups.withColumn("label", F.col("node"))

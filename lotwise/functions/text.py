@@ -128,7 +128,7 @@ def token_list(c: Column) -> Column:
     """A JSON array or a scalar as trimmed, non-empty, distinct strings in order."""
     t = F.trim(F.coalesce(c, F.lit("")))
     parsed = F.when(t.startswith("["), F.from_json(t, "array<string>")).otherwise(F.array(t))
-    return F.array_distinct(F.filter(F.transform(F.coalesce(parsed, F.array(t)), F.trim), lambda x: x.isNotNull() & (x != "")))
+    return F.array_distinct(F.filter(F.transform(F.coalesce(parsed, F.array(t)), lambda x: F.trim(x)), lambda x: x.isNotNull() & (x != "")))
 
 
 def strip_fences(c: Column) -> Column:

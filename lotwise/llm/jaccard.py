@@ -347,8 +347,9 @@ def resolve(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
 
 def keep_one(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     """One document of each group: the one with the smallest id; rows with a null id stay."""
-    found = resolve(docs, n, percent)
+    found = cut(resolve(docs, n, percent).select("doc_id", "component_id").filter("doc_id IS NOT NULL"))
     extra = found.filter("doc_id <> component_id").select("doc_id").distinct()
-    own = docs.join(extra, "doc_id", "left_anti")
-    whole = own.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(own.filter("doc_id IS NULL"))
+    whole = docs.join(extra, "doc_id", "left_anti")
+    if not found.groupBy("doc_id").count().filter("count > 1").isEmpty():  # repeated rows: one of each id
+        whole = whole.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(whole.filter("doc_id IS NULL"))
     return whole.select(*[F.col(f"`{c}`") for c in docs.columns])

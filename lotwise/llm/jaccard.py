@@ -278,33 +278,39 @@ def linked(groups: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFra
     spark = groups.sparkSession
     links = spark.createDataFrame([], "a long, b long")
     tested = spark.createDataFrame([], "a long, b long")
-    labels, hubs = None, None
+    labels, hubs, known = None, None, None
     if groups.isEmpty():
         return links
     for round_ in range(ROUNDS + 1):
-        if labels is None:
+        if round_ == 0:
             marked = groups.withColumn("label", F.col("node"))
         else:
-            marked = groups.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+            marked = groups.withColumn("label", F.col("node")) if labels is None else groups.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
             split = marked.groupBy("gid").agg((F.min("label") < F.max("label")).alias("open")).filter("open").select("gid")
             marked = cut(marked.join(split, "gid", "left_semi").select("gid", "node", "size", "label"))
             if marked.isEmpty():
                 break
+        if round_ == 1:
+            known = cut(profiles(marked, hubs, texts, n))
         if round_ < ROUNDS:
-            # one node of each label for each group; the hub is another one in every round
-            draw = F.struct(F.xxhash64(F.lit(round_), "gid", "node"), "node", "size")
-            first = F.struct(F.lit(0).cast("long"), "node", "size")
-            reps = marked.groupBy("gid", "label").agg(F.min(first if round_ == 0 else draw).alias("r"), F.count("*").alias("many")).select("gid", "label", "many", F.col("r.node").alias("node"), F.col("r.size").alias("size"))
-            centre = reps.groupBy("gid").agg(F.max_by(F.struct("node", "size", "label"), F.struct("many", -F.col("label"))).alias("h"))
-            star = reps.join(centre, "gid").filter("label <> h.label").select("label", F.col("node").alias("b"), F.col("size").alias("nb"), F.col("h.node").alias("a"), F.col("h.size").alias("na")).filter(close_in_size(percent))
-            votes = star.groupBy("label", "b", "a").count()
-            best = votes.groupBy("label").agg(F.max_by(F.struct("a", "b"), F.struct("count", -F.col("a"), -F.col("b"))).alias("p"))
+            # One node of each label for each group stands for it: the smallest id, then the one with the fewest tokens of
+            # its own (the middle of its family), then any. The hub of a group stands for the label with most nodes.
+            if round_ == 1:
+                ranked = marked.join(known.select("node", F.when(F.col("hub") == F.col("node"), 1 << 40).otherwise(F.col("own")).alias("rank")), "node")
+            else:
+                ranked = marked.withColumn("rank", F.lit(0).cast("long") if round_ == 0 else F.xxhash64("gid", "node"))
+            reps = ranked.groupBy("gid", "label").agg(F.min(F.struct("rank", "node", "size")).alias("r"), F.count("*").alias("many")).select("gid", "label", "many", "r.rank", "r.node", "r.size")
+            centre = reps.groupBy("gid").agg(F.max_by(F.struct("rank", "node", "size", "label"), F.struct("many", -F.col("label"))).alias("h"))
+            star = reps.join(centre, "gid").filter("label <> h.label").select("label", F.col("node").alias("b"), F.col("size").alias("nb"), F.col("h.node").alias("a"), F.col("h.size").alias("na"), F.col("h.rank").alias("hub_rank")).filter(close_in_size(percent))
+            votes = star.groupBy("label", "b", "a").agg(F.count("*").alias("count"), F.min("hub_rank").alias("hub_rank"))
+            order = F.struct(-F.col("hub_rank"), F.col("count"), -F.col("a"), -F.col("b")) if round_ == 1 else F.struct("count", -F.col("a"), -F.col("b"))
+            best = votes.groupBy("label").agg(F.max_by(F.struct("a", "b"), order).alias("p"))
             if round_ == 0:
                 best = cut(best)
                 hubs = best.select(F.col("label").alias("node"), F.col("p.a").alias("hub"))
             pairs = best.select(F.least("p.a", "p.b").alias("a"), F.greatest("p.a", "p.b").alias("b")).distinct()
         else:
-            pairs = open_pairs(marked, cut(profiles(marked, hubs, texts, n)), percent)
+            pairs = open_pairs(marked, known, percent)
         pairs = cut(pairs.join(tested, ["a", "b"], "left_anti"))
         if pairs.isEmpty():
             continue

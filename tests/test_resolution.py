@@ -85,7 +85,7 @@ def test_scores(spark):
 
 
 def test_fuzzy_rule(spark):
-    data = [listing(0, address="dlha ulica 5, trnava", size=70.0), listing(1, address="dlha ulica trnava 5", size=71.0), listing(2, address="dlha ulica 99, ina obec", size=70.0), listing(3, address="dlha ulica 5, trnava", size=90.0)]
+    data = [listing(0, address="dlha ulica cislo 5, trnava", size=70.0), listing(1, address="dlha ulica cislo trnava 5", size=71.0), listing(2, address="dlha ulica cislo 99, ina obec", size=70.0), listing(3, address="dlha ulica cislo 5, trnava", size=90.0)]
     got = [(r.a, r.b) for r in edges.fuzzy_edges(spark.createDataFrame(data, ROW), "address").collect()]
     assert got == [("r0000", "r0001")]
 

@@ -1,13 +1,19 @@
 """Cross-entropy difference between two matched n-gram language models.
 
-One vocabulary, the most frequent words of all documents, is shared by a
-target model (documents marked as wanted) and a background model (all
-documents). Both are bigram models of the same form: bigram counts smoothed
-with the unigram distribution, unigrams with one added count. Counts cover
-every document; bigrams are counted in a fixed number of hashed slots, so the
-tables that executors receive have a fixed size. A document's score is the
-mean over its tokens of the target loss minus the background loss, in bits:
-negative scores are closer to the target.
+One vocabulary, every word that all documents together hold at least twice, is
+shared by a target model (documents marked as wanted) and a background model
+(all documents). Both are bigram models of the same form: bigram counts
+smoothed with the unigram distribution, unigrams with one added count. Counts
+cover every document, every word of the vocabulary and every bigram, so they
+grow with the input; they are kept in buckets by key and never collected or
+broadcast. A document's score is the mean over its tokens of the target loss
+minus the background loss, in bits: negative scores are closer to the target.
+
+Documents are packed into chunks of numbered words. A chunk asks for each key
+it holds once (its words and ids first, then its unigrams, histories and
+bigrams), with its own counts; a bucket adds up what all chunks say about its
+keys and answers each of them. A frequent key is one entry a chunk, so no
+bucket is larger for it. Words and bigrams are known by 64-bit hashes.
 
 Defined results: null and empty texts have no tokens and null losses and
 scores; words outside the vocabulary are one token of it; without target
@@ -17,23 +23,27 @@ equal scores; a null id never marks a target.
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Iterator
-from dataclasses import dataclass
+import hashlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lotwise.llm.text import small_batches
+from lotwise.session import cut
 
-VOCABULARY = 1 << 16
-SLOTS = 1 << 20
 LONG_WORD = 64  # bytes; longer words are outside the vocabulary
+LEAST = 2  # occurrences of a word of the vocabulary
 SMOOTH = 4.0  # weight of the unigram distribution, in counts
-FLUSH_WORDS = 400_000
-FLUSH_TOKENS = 1 << 21
+CHUNK_TOKENS = 1 << 22
+CHUNK_DOCS = 1 << 18
+START, UNKNOWN = 0, 1  # ids of a text's start and of all unknown words; hashes of words are larger
+UNIGRAM, HISTORY, TOTAL = 0x6A09E667F3BCC908, 0xBB67AE8584CAA73B, 0x3C6EF372FE94F82B  # in place of a bigram's second word
+PACKED = "chunk long, bucket long, body binary, extra binary, n long"
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -41,139 +51,249 @@ def tokens(text: str | None) -> list[bytes]:
     return text.encode().lower().split() if text else []
 
 
-def vocabulary(docs: DataFrame, size: int = VOCABULARY, least: int = 2) -> list[bytes]:
-    """The most frequent words of all documents, ties by word: at most `size` of them."""
+def word_hash(word: bytes) -> int:
+    if len(word) > LONG_WORD:
+        return UNKNOWN
+    x = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+    return x if x > UNKNOWN else x + 2
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found: Counter = Counter()
-        for batch in batches:
-            for text in batch["text"]:
-                found.update(tokens(text))
-            if len(found) > FLUSH_WORDS:
-                yield frame(found)
-                found.clear()
-        yield frame(found)
-
-    def frame(found: Counter) -> pd.DataFrame:
-        short = [(w.decode(), n) for w, n in found.items() if len(w) <= LONG_WORD]
-        return pd.DataFrame(short, columns=["word", "n"])
 
-    words = docs.select("text").mapInPandas(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = words.filter(F.col("n") >= least).orderBy(F.desc("n"), "word").limit(size)
-    return [r.word.encode() for r in top.collect()]
+def mixed(x: np.ndarray) -> np.ndarray:
+    """A permutation of the 64-bit numbers."""
+    with np.errstate(over="ignore"):
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
 
-def slot(before: np.ndarray, word: np.ndarray, slots: int) -> np.ndarray:
-    """Slot of a bigram of word numbers."""
+def pair_keys(first: np.ndarray, second: np.ndarray | int) -> np.ndarray:
     with np.errstate(over="ignore"):
-        x = (before.astype(np.uint64) << np.uint64(32)) | word.astype(np.uint64)
-        x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
-        x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return ((x ^ (x >> np.uint64(32))) % np.uint64(slots)).astype(np.int64)
+        return mixed(mixed(first + np.uint64(0x9E3779B97F4A7C15)) + np.asarray(second, np.uint64))
+
+
+def pack(*arrays: np.ndarray) -> bytes:
+    """Whole numbers as compressed planes of bytes, as many as the largest number needs."""
+    out = []
+    for a in arrays:
+        a = np.ascontiguousarray(a, np.uint64)
+        wide = (int(a.max()).bit_length() + 7) // 8 if len(a) else 0
+        planes = np.ascontiguousarray(a.view(np.uint8).reshape(-1, 8)[:, :wide].T).tobytes()
+        body = pa.compress(planes, codec="zstd", asbytes=True) if planes else b""
+        out.append(np.array([len(a), wide, len(body)], np.int64).tobytes() + body)
+    return b"".join(out)
+
+
+def unpack(body: bytes) -> list[np.ndarray]:
+    out, at = [], 0
+    while at < len(body):
+        n, wide, size = (int(x) for x in np.frombuffer(body, np.int64, 3, at))
+        at += 24
+        a = np.zeros((n, 8), np.uint8)
+        if size:
+            planes = pa.decompress(body[at : at + size], n * wide, codec="zstd", asbytes=True)
+            a[:, :wide] = np.frombuffer(planes, np.uint8).reshape(wide, n).T
+        out.append(a.view(np.uint64).reshape(n))
+        at += size
+    return out
+
+
+def pack_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys as the first one and steps."""
+    return pack(keys[:1], np.diff(keys))
 
 
-class Numbering:
-    """word -> number; 0 starts a text, 1 stands for all unknown words."""
+def unpack_keys(first: np.ndarray, steps: np.ndarray) -> np.ndarray:
+    return np.cumsum(np.concatenate([first, steps]), dtype=np.uint64)
 
-    def __init__(self, words: list[bytes]) -> None:
-        self.number = {w: i + 2 for i, w in enumerate(words)}
-        self.size = len(words) + 2
 
-    def __call__(self, text: str | None) -> np.ndarray:
-        get = self.number.get
-        w = tokens(text)
-        return np.fromiter((get(x, 1) for x in w), np.int64, len(w))
+def asked(chunk: int, keys: np.ndarray, buckets: int, offset: int, *values: np.ndarray) -> pd.DataFrame:
+    """A row for every bucket, also where the chunk has no key of it: sorted keys and their values."""
+    number = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    at = np.searchsorted(number, np.arange(buckets + 1, dtype=np.uint64))
+    rows = [(chunk, offset + k, pack_keys(keys[lo:hi]), pack(*[v[lo:hi] for v in values]), 0) for k, (lo, hi) in enumerate(zip(at[:-1], at[1:], strict=True))]
+    return pd.DataFrame(rows, columns=["chunk", "bucket", "body", "extra", "n"])
 
 
-@dataclass
-class Model:
-    """Counts of one model over the shared vocabulary and the shared slots."""
+def added(keys: list[np.ndarray], values: list[list[np.ndarray]]) -> tuple[list[np.ndarray], np.ndarray]:
+    """(sums of each value by distinct key, the distinct key of each entry)."""
+    found, at = np.unique(np.concatenate(keys), return_inverse=True)
+    return [np.bincount(at, np.concatenate(v), len(found)).astype(np.uint64) for v in zip(*values, strict=True)], at
 
-    unigrams: np.ndarray
-    histories: np.ndarray
-    bigrams: np.ndarray
 
-    def bits(self, before: np.ndarray, word: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Loss of every token."""
-        uni = (self.unigrams[word] + 1.0) / (self.unigrams.sum() + len(self.unigrams))
-        seen = np.minimum(self.bigrams[at], np.minimum(self.histories[before], self.unigrams[word]))
-        return -np.log2((seen + SMOOTH * uni) / (self.histories[before] + SMOOTH))
+def answers(rows: pd.DataFrame, cap: int | None) -> pd.DataFrame:
+    """The sums over all chunks of each chunk's keys, at most `cap` where that is all that matters; n: keys that reach it."""
+    keys, values = [unpack_keys(*unpack(b)) for b in rows["body"]], [unpack(b) for b in rows["extra"]]
+    sums, at = added(keys, values)
+    reach = int((sums[0] >= cap).sum()) if cap else 0
+    sums = [np.minimum(s, np.uint64(cap)) if cap else s for s in sums]
+    ends = np.cumsum([len(k) for k in keys])
+    out = [(c, b, pack(*[s[at[hi - len(k) : hi]] for s in sums]), b"", reach) for c, b, k, hi in zip(rows["chunk"], rows["bucket"], keys, ends, strict=True) if c >= 0]
+    return pd.DataFrame(out, columns=["chunk", "bucket", "body", "extra", "n"])
 
 
-def count(docs: DataFrame, words: list[bytes], slots: int = SLOTS) -> tuple[Model, Model]:
-    """(target, background) counts over all rows. docs: text, target (boolean)."""
-    held = docs.sparkSession.sparkContext.broadcast(words)
-    size = len(words) + 2
-    cells = 2 * size + slots  # unigrams, histories, bigram slots
+def chunks(docs: DataFrame, buckets: int) -> DataFrame:
+    """Packed documents (bucket -1) and what they ask: counts of words, and ids that may be marked (buckets from `buckets`)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        number = Numbering(held.value)
-        sums = np.zeros((2, cells), np.int64)
-        parts: tuple[list, list] = ([], [])
-        waiting = 0
-
-        def flush() -> None:
-            for k in (0, 1):
-                if parts[k]:
-                    both = np.concatenate(parts[k], axis=1)
-                    sums[k] += np.bincount(both[1], minlength=cells)
-                    sums[k] += np.bincount(both[0] + size, minlength=cells)
-                    sums[k] += np.bincount(slot(both[0], both[1], slots) + 2 * size, minlength=cells)
-                    parts[k].clear()
+        number: dict[bytes, int] = {}
+        ids: list = []
+        texts: list[np.ndarray] = []
+        made = waiting = 0
+        first = TaskContext.get().partitionId() << 32
+
+        def flush() -> Iterator[pd.DataFrame]:
+            nonlocal made, waiting
+            if not ids:
+                return
+            chunk = first + made
+            words = np.concatenate(texts)
+            hashes, place = np.unique(np.fromiter(map(word_hash, number), np.uint64, len(number)), return_inverse=True)
+            words = place[words] if len(words) else words
+            count = np.bincount(words, minlength=len(hashes))
+            order = np.argsort(-count, kind="stable")  # frequent words get small numbers
+            rank = np.empty(len(order), np.int64)
+            rank[order] = np.arange(len(order))
+            null = np.array([i is None for i in ids])
+            named = np.array([0 if i is None else i for i in ids], np.int64).view(np.uint64)
+            body = pack(hashes[:1], np.diff(hashes), order, rank[words] if len(words) else words, [len(t) for t in texts], named, null)
+            yield pd.DataFrame([(chunk, -1, body, b"", 0)], columns=["chunk", "bucket", "body", "extra", "n"])
+            yield asked(chunk, hashes[hashes > UNKNOWN], buckets, 0, count[hashes > UNKNOWN])
+            keys = np.unique(mixed(named[~null]))
+            yield asked(chunk, keys, buckets, buckets, np.zeros(len(keys)))
+            number.clear(), ids.clear(), texts.clear()
+            made, waiting = made + 1, 0
 
         for batch in batches:
-            for text, wanted in zip(batch["text"], batch["target"], strict=True):
-                w = number(text)
-                if len(w):
-                    parts[0 if wanted else 1].append(np.stack([np.concatenate([[0], w[:-1]]), w]))
-                    waiting += len(w)
-            if waiting > FLUSH_TOKENS:
-                flush()
-                waiting = 0
-        flush()
-        at = (sums[0] + sums[1]).nonzero()[0]
-        for lo in range(0, len(at), 1 << 18):
-            part = at[lo : lo + (1 << 18)]
-            yield pd.DataFrame({"cell": part, "t": sums[0, part], "b": sums[0, part] + sums[1, part]})
-
-    got = docs.select("text", "target").mapInPandas(run, "cell long, t long, b long").groupBy("cell").agg(F.sum("t").alias("t"), F.sum("b").alias("b")).toArrow()
-    out = []
-    for name in ("t", "b"):
-        sums = np.zeros(cells, np.int64)
-        sums[np.asarray(got["cell"])] = np.asarray(got[name])
-        out.append(Model(sums[:size], sums[size : 2 * size], sums[2 * size :].astype(np.int32)))
-    return out[0], out[1]
+            for i, text in zip(batch["doc_id"].astype("Int64"), batch["text"], strict=True):
+                w = tokens(text)
+                texts.append(np.fromiter((number.setdefault(x, len(number)) for x in w), np.int64, len(w)))
+                ids.append(None if i is pd.NA else int(i))
+                waiting += len(w)
+                if waiting >= CHUNK_TOKENS or len(ids) >= CHUNK_DOCS:
+                    yield from flush()
+        yield from flush()
 
+    return docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(run, PACKED)
 
-def score(docs: DataFrame, wanted: DataFrame, size: int = VOCABULARY, slots: int = SLOTS) -> DataFrame:
-    """doc_id, n_tokens, target_bits, background_bits, score of every document. wanted: doc_id of the target documents."""
-    spark = docs.sparkSession
-    small_batches(spark)
-    docs = docs.select("doc_id", "text")
-    words = vocabulary(docs, size)
-    marks = wanted.filter(F.col("doc_id").isNotNull()).select("doc_id").distinct().withColumn("target", F.lit(True))
-    models = count(docs.join(marks.hint("merge"), "doc_id", "left").withColumn("target", F.coalesce("target", F.lit(False))), words, slots)
-    held = spark.sparkContext.broadcast((words, models))  # vocabulary and slots have a fixed size
+
+def marks(wanted: DataFrame, buckets: int) -> DataFrame:
+    """The target ids, as entries of no chunk."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vocabulary_, (target, background) = held.value
-        number = Numbering(vocabulary_)
+        held: list[np.ndarray] = []
+
+        def flush() -> pd.DataFrame:
+            keys = np.unique(mixed(np.concatenate(held).astype(np.int64).view(np.uint64)))
+            held.clear()
+            return asked(-1, keys, buckets, buckets, np.full(len(keys), LEAST))
+
         for batch in batches:
-            out = []
-            for text in batch["text"]:
-                w = number(text)
-                if not len(w):
-                    out.append((0, None, None, None))
-                    continue
-                before = np.concatenate([[0], w[:-1]])
-                at = slot(before, w, slots)
-                t, b = target.bits(before, w, at), background.bits(before, w, at)
-                out.append((len(w), float(t.mean()), float(b.mean()), float((t - b).mean())))
-            frame = pd.DataFrame(out, columns=["n_tokens", "target_bits", "background_bits", "score"])
-            frame.insert(0, "doc_id", batch["doc_id"].astype("Int64"))
-            yield frame
-
-    return docs.mapInPandas(run, "doc_id long, n_tokens long, target_bits double, background_bits double, score double")
+            held.append(batch["doc_id"].to_numpy())
+            if sum(map(len, held)) >= 1 << 20:
+                yield flush()
+        if held:
+            yield flush()
+
+    return wanted.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id")).mapInPandas(run, PACKED)
+
+
+class Chunk:
+    """A chunk's documents in words of the vocabulary, and the keys of what its scores need."""
+
+    def __init__(self, body: bytes, known: np.ndarray, marked: np.ndarray) -> None:
+        first, steps, order, words, self.lengths, ids, null = unpack(body)
+        hashes = unpack_keys(first, steps)
+        self.ids, self.null = ids.view(np.int64), null.astype(bool)
+        self.lengths = self.lengths.astype(np.int64)
+        named = np.unique(mixed(ids[~self.null]))
+        self.target = np.zeros(len(ids), bool)
+        self.target[~self.null] = marked[np.searchsorted(named, mixed(ids[~self.null]))] if len(named) else False
+        mine = hashes.copy()
+        mine[hashes > UNKNOWN] = np.where(known, hashes[hashes > UNKNOWN], np.uint64(UNKNOWN))
+        self.words, place = np.unique(np.concatenate([np.array([START], np.uint64), mine]), return_inverse=True)
+        self.word = place[1:][order.astype(np.int64)[words.astype(np.int64)]] if len(words) else np.zeros(0, np.int64)
+        self.before = np.concatenate([[0], self.word[:-1]]) if len(words) else self.word
+        starts = np.cumsum(self.lengths) - self.lengths
+        self.before[starts[self.lengths > 0]] = 0  # START has the smallest id
+        self.bigrams, self.bigram = np.unique(self.before * len(self.words) + self.word, return_inverse=True)
+        h, w = np.divmod(self.bigrams, len(self.words))
+        self.history, self.unigram = h, w
+        keys = np.concatenate([pair_keys(self.words[h], self.words[w]), pair_keys(self.words, UNIGRAM), pair_keys(self.words, HISTORY), pair_keys(np.zeros(1, np.uint64), TOTAL)])
+        self.order = np.argsort(keys)
+        self.keys = keys[self.order]
+
+    def counts(self) -> list[np.ndarray]:
+        """Target and all counts, in the order of the keys."""
+        out = []
+        for at in (np.repeat(self.target, self.lengths), np.ones(len(self.word), bool)):
+            n = len(self.words)
+            parts = [np.bincount(self.bigram[at], minlength=len(self.bigrams)), np.bincount(self.word[at], minlength=n), np.bincount(self.before[at], minlength=n), [at.sum()]]
+            out.append(np.concatenate(parts)[self.order])
+        return out
+
+    def bits(self, sums: np.ndarray, size: int) -> np.ndarray:
+        """Loss of every token under one model."""
+        at = np.empty(len(sums))
+        at[self.order] = sums
+        seen, unigrams, histories, total = np.split(at, np.cumsum([len(self.bigrams), len(self.words), len(self.words)]))
+        uni = (unigrams[self.unigram] + 1.0) / (total[0] + size)
+        history = histories[self.history]
+        return -np.log2((seen + SMOOTH * uni) / (history + SMOOTH))[self.bigram]
+
+
+def joined(rows: pd.DataFrame) -> list[np.ndarray]:
+    """A chunk's answers in the order of its keys."""
+    return [np.concatenate(x) for x in zip(*map(unpack, rows.sort_values("bucket")["body"]), strict=True)]
+
+
+def in_groups(rows: DataFrame, key: str, run: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
+    return rows.groupBy(key).applyInPandas(run, schema)
+
+
+def score(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """doc_id, n_tokens, target_bits, background_bits, score of every document. wanted: doc_id of the target documents."""
+    spark = docs.sparkSession
+    small_batches(spark)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    packed = cut(chunks(docs, buckets))  # chunks have to stay the same between the rounds
+    texts = packed.filter("bucket = -1")
+
+    def count_words(rows: pd.DataFrame) -> pd.DataFrame:
+        return answers(rows, LEAST)
+
+    def ask_bigrams(rows: pd.DataFrame) -> pd.DataFrame:
+        """What the chunk asks, and its known words and marked ids for the last round."""
+        body, said = rows[rows["bucket"] == -1], rows[rows["bucket"] >= 0]
+        words, ids = said[said["bucket"] < buckets], said[said["bucket"] >= buckets]
+        known, marked = joined(words)[0] >= LEAST, joined(ids)[0] >= LEAST
+        chunk, name = Chunk(body["body"].iloc[0], known, marked), int(body["chunk"].iloc[0])
+        own = pd.DataFrame([(name, -1 - name, pack(known, marked), b"", int(words["n"].sum()))], columns=["chunk", "bucket", "body", "extra", "n"])
+        return pd.concat([own, asked(name, chunk.keys, buckets, 0, *chunk.counts())])
+
+    def count_bigrams(rows: pd.DataFrame) -> pd.DataFrame:
+        if rows["bucket"].iloc[0] >= 0:
+            return answers(rows, None)
+        return rows.assign(bucket=-2)
+
+    def losses(rows: pd.DataFrame) -> pd.DataFrame:
+        of = {int(b): x for b, x in rows[rows["bucket"] < 0].set_index("bucket").iterrows()}
+        known, marked = (x.astype(bool) for x in unpack(of[-2]["body"]))
+        chunk, size = Chunk(of[-1]["body"], known, marked), int(of[-2]["n"]) + 2
+        full = chunk.lengths > 0
+        doc = np.repeat(np.arange(len(full)), chunk.lengths)
+        t, b = (chunk.bits(x, size) for x in joined(rows[rows["bucket"] >= 0]))
+        out = pd.DataFrame({"doc_id": pd.array(chunk.ids, "Int64"), "n_tokens": chunk.lengths})
+        out.loc[chunk.null, "doc_id"] = pd.NA
+        for name, x in (("target_bits", t), ("background_bits", b), ("score", t - b)):
+            mean = np.bincount(doc, x, len(full)) / np.maximum(chunk.lengths, 1)
+            out[name] = pd.array(mean, "Float64")
+            out.loc[~full, name] = pd.NA
+        return out
+
+    known = in_groups(packed.filter("bucket >= 0").unionByName(marks(wanted, buckets)), "bucket", count_words, PACKED)
+    cells = in_groups(texts.unionByName(known), "chunk", ask_bigrams, PACKED)
+    sums = in_groups(cells, "bucket", count_bigrams, PACKED)
+    return in_groups(texts.unionByName(sums), "chunk", losses, "doc_id long, n_tokens long, target_bits double, background_bits double, score double")
 
 
 def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:

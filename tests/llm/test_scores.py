@@ -101,5 +101,17 @@ def test_target_documents_score_lower(spark):
     assert mean["de"] == min(mean.values()) and mean["de"] < 0
 
 
+def test_every_word_and_bigram_is_counted(spark):
+    """More words than 2^16 and about 2^18 bigrams: no word is cut off, no two bigrams share a count."""
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 70_000, 2_000)) for _ in range(130)]
+    rows = [(i, t) for i, t in enumerate([*texts, *texts[:3]])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    wanted = {1, 5, 131}
+    out = lm_score.score(docs, spark.createDataFrame([(i,) for i in wanted], "doc_id long"))
+    for a, b in zip(sorted((r.doc_id, r.n_tokens, r.score) for r in out.collect()), sorted(plain_scores(rows, wanted)), strict=True):
+        assert a[:2] == b[:2] and abs(a[2] - b[2]) < 1e-9
+
+
 def test_lm_empty(spark, nothing, labels):
     assert lm_score.digest(nothing, labels).collect() == []

@@ -51,14 +51,23 @@ def band_edges(df: DataFrame, key: list[str], size: str = "size", id_col: str =
 
 
 def fuzzy_edges(df: DataFrame, text: str, town: str = "town", size: str = "size", id_col: str = "row_id", prefix: int = 12, least: int = 90) -> DataFrame:
-    """Equal town and text beginning, close sizes (buckets apart by at most two), similar word sets."""
-    base = df.filter(F.col(town).isNotNull() & F.col(text).isNotNull() & F.col(size).isNotNull()).select(F.col(id_col).alias("id"), F.col(town).alias("town"), F.col(text).alias("text"), F.col(size).alias("size"), F.substring(F.col(text), 1, prefix).alias("p"), numbers.bucket(F.col(size)).alias("bucket"))
-    left = base.withColumn("bucket", F.explode(F.sequence(F.col("bucket") - BUCKETS, F.col("bucket") + BUCKETS)))
-    x, y = left.alias("x"), base.alias("y")
-    on = (F.col("x.town") == F.col("y.town")) & (F.col("x.p") == F.col("y.p")) & (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.id") < F.col("y.id"))
-    pairs = x.join(y, on).filter(numbers.close(F.col("x.size"), F.col("y.size")))
-    close = pairs.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.col("x.text").alias("s"), F.col("y.text").alias("t"))
-    return close.withColumn("score", token_set_ratio("s", "t")).filter(F.col("score") >= least).select("a", "b")
+    """Equal town and text beginning, close sizes (buckets apart by at most two), similar word sets.
+
+    Rows of one text are linked as neighbours in size; between texts, one row for each size is enough, and each pair of texts is compared once.
+    """
+    base = df.filter(F.col(town).isNotNull() & F.col(text).isNotNull() & F.col(size).isNotNull()).select(F.col(id_col).alias("id"), F.col(town).alias("town"), F.col(text).alias("text"), F.col(size).alias("size"))
+    same = band_edges(base.filter(token_set_ratio("text", "text") >= least), ["town", "text"], "size", "id")
+    texts = base.select("town", "text", F.substring("text", 1, prefix).alias("p")).distinct()
+    x, y = texts.alias("x"), texts.alias("y")
+    two = x.join(y, (F.col("x.town") == F.col("y.town")) & (F.col("x.p") == F.col("y.p")) & (F.col("x.text") < F.col("y.text")))
+    two = two.select(F.col("x.town").alias("town"), F.col("x.text").alias("s"), F.col("y.text").alias("t"))
+    alike = two.withColumn("score", token_set_ratio("s", "t")).filter(F.col("score") >= least).drop("score")
+    spots = base.groupBy("town", "text", "size").agg(F.min("id").alias("id")).withColumn("bucket", numbers.bucket(F.col("size")))
+    left = spots.withColumn("bucket", F.explode(F.sequence(F.col("bucket") - BUCKETS, F.col("bucket") + BUCKETS)))
+    one = alike.join(left.select("town", F.col("text").alias("s"), F.col("size").alias("size_s"), F.col("id").alias("i"), "bucket"), ["town", "s"])
+    both = one.join(spots.select("town", F.col("text").alias("t"), F.col("size").alias("size_t"), F.col("id").alias("j"), "bucket"), ["town", "t", "bucket"])
+    close = both.filter(numbers.close(F.col("size_s"), F.col("size_t"))).select(F.least("i", "j").alias("a"), F.greatest("i", "j").alias("b"))
+    return same.unionByName(close)
 
 
 def geo_edges(df: DataFrame, town: str = "town", size: str = "size", id_col: str = "row_id", near_m: float = NEAR_M) -> DataFrame:

@@ -11,13 +11,14 @@ from lotwise.session import cut
 
 
 def rules(df: DataFrame) -> dict[str, DataFrame]:
-    """Edges of each rule, in the order in which merges are counted."""
-    return {
-        "P1": edges.photo_edges(df),
-        "A1": edges.band_edges(df.filter(F.col("address").isNotNull()), ["address", "town"]),
-        "I1": edges.key_edges(df),
-        "G1": edges.geo_edges(df),
-    }
+    """Edges of each rule, in the order in which merges are counted; A2 needs address_ascii and B1 project among the columns."""
+    found = {"P1": edges.photo_edges(df), "A1": edges.band_edges(df.filter(F.col("address").isNotNull()), ["address", "town"])}
+    if "address_ascii" in df.columns:
+        found["A2"] = edges.fuzzy_edges(df, "address_ascii")
+    found |= {"I1": edges.key_edges(df), "G1": edges.geo_edges(df)}
+    if "project" in df.columns:
+        found["B1"] = edges.band_edges(df.filter(F.col("project").isNotNull() & F.col("town").isNotNull()), ["project", "town"])
+    return found
 
 
 def union(frames) -> DataFrame:

@@ -361,6 +361,11 @@ def rows(spark, sf) -> DataFrame:
     return d.withColumns({"photos": F.array("photo"), "address": text.join_address(text.fold(F.col("street")), text.fold(F.col("town")))})
 
 
+def all_rows(spark, sf) -> DataFrame:
+    """What all six rules take; the order tables have no projects."""
+    return rows(spark, sf).withColumns({"address_ascii": F.col("address"), "project": F.lit(None).cast("string")})
+
+
 CLOSE = "(a.size > 0 AND b.size > 0 AND abs(a.size - b.size) <= {} * greatest(a.size, b.size))"
 BAND = f"{CLOSE.format(0.03)} AND abs(round_even(a.size, 0) - round_even(b.size, 0)) <= 2"
 ROWS = ", r AS (SELECT *, CASE WHEN street IS NULL THEN lower(town) ELSE lower(street || ', ' || town) END AS address FROM listings)"
@@ -419,8 +424,8 @@ def scored_pairs(spark, sf):
 
 
 def merge_counts(spark, sf):
-    """Components that each rule takes away; tested against counting by hand."""
-    return resolve.merge_counts(rows(spark, sf))
+    """Components that each of the six rules takes away; tested against counting by hand."""
+    return resolve.merge_counts(all_rows(spark, sf))
 
 
 def fuzzy_matches(spark, sf):
@@ -436,6 +441,31 @@ BEST = "portal_rank, updated_at DESC, row_id"
 FIRST = lambda c, order: f"(list({c} ORDER BY {order}) FILTER (WHERE {c} IS NOT NULL))[1]"
 
 
+def labelled_by_all(spark, sf) -> DataFrame:
+    d = all_rows(spark, sf)
+    return resolve.label(d, resolve.union(resolve.rules(d).values()))
+
+
+def components_of_all_rules(spark, sf):
+    """Six rules; similar addresses have no SQL form."""
+    return labelled_by_all(spark, sf).select("row_id", "cluster_id")
+
+
+def golden_records_of_all_rules(spark, sf):
+    return printed(resolve.golden(labelled_by_all(spark, sf)))
+
+
+def conflict_report_of_all_rules(spark, sf):
+    return resolve.conflict_report(resolve.golden(labelled_by_all(spark, sf)))
+
+
+def golden_sources_of_all_rules(spark, sf):
+    return labelled_by_all(spark, sf).select("cluster_id", "portal", "listing_key", "url", "updated_at")
+
+
+QUERIES |= {f.__name__: f for f in (components_of_all_rules, golden_records_of_all_rules, conflict_report_of_all_rules, golden_sources_of_all_rules)}
+
+
 def golden_rows(spark, sf) -> DataFrame:
     return resolve.golden(labelled_by(spark, sf, ("P1", "A1", "I1")))
 
@@ -461,7 +491,11 @@ flagged AS (SELECT *, array_to_string(list_filter([CASE WHEN price_flag THEN 'pr
 SELECT cluster_id, cluster_size, primary_portal, primary_url, updated_at, street, town, round(size, 4) AS size, price, rooms, floor, floors_total, elevator, cert, year_built, round(lat, 6) AS lat, round(lng, 6) AS lng,
   status, photos, round(price / nullif(size, 0.0), 4) AS price_psm, flags FROM flagged""", recursive=True)
 def golden_records(spark, sf):
-    g = golden_rows(spark, sf).withColumns({"photos": F.array_join("photos", ","), "flags": F.array_join("flags", ",")})
+    return printed(golden_rows(spark, sf))
+
+
+def printed(gold: DataFrame) -> DataFrame:
+    g = gold.withColumns({"photos": F.array_join("photos", ","), "flags": F.array_join("flags", ",")})
     return g.withColumns({"size": snapped("size"), "lat": snapped("lat", 6), "lng": snapped("lng", 6), "price_psm": snapped("price_psm")})
 
 

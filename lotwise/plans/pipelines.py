@@ -77,7 +77,7 @@ def resolved(rows: DataFrame, priority: list[str], previous: DataFrame | None =
     rank = F.coalesce(F.nullif(F.array_position(F.array(*[F.lit(p) for p in priority]), F.col("portal")) - 1, F.lit(-1).cast("long")), F.lit(len(priority)).cast("long"))
     d = rows.select(
         "row_id", "portal", rank.cast("int").alias("portal_rank"), F.col("portal_listing_key").alias("listing_key"), F.col("source_url").alias("url"), F.col("address_town").alias("town"), F.col("address_street").alias("street"),
-        F.nullif("address_norm", F.lit("")).alias("address"), F.col("size_m2").alias("size"), "price", "rooms", "floor", "floors_total", "elevator", F.col("energ_cert").alias("cert"), F.col("year_of_construction").alias("year_built"),
+        F.nullif("address_norm", F.lit("")).alias("address"), F.nullif(F.lower("address_ascii"), F.lit("")).alias("address_ascii"), F.nullif(F.lower(F.trim("project_name_norm")), F.lit("")).alias("project"), F.col("size_m2").alias("size"), "price", "rooms", "floor", "floors_total", "elevator", F.col("energ_cert").alias("cert"), F.col("year_of_construction").alias("year_built"),
         "lat", "lng", "updated_at", "status", F.col("photo_fingerprints").alias("photos"), "transaction",
     )
     marked = resolve.label(d, resolve.union(resolve.rules(d).values()))

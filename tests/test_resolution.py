@@ -78,6 +78,44 @@ def test_merge_counts_add_up(spark):
     assert counts == {"P1": 2, "A1": 1, "I1": 1, "G1": 0}
 
 
+def test_all_six_rules_against_all_pairs(spark):
+    """Similar addresses and equal projects merge listings, in the rules, their counts and the pipeline."""
+    from lotwise.functions.similarity import token_set
+    from lotwise.plans import pipelines
+    from lotwise.schema import NORMALIZED, conform
+
+    rng = random.Random(5)
+    streets = ["dlha ulica cislo 5, trnava", "dlha ulica cislo trnava 5", "dlha ulica cislo 99, ina obec", "kratka cesta 1", None]
+    data = [
+        listing(i, town=rng.choice(["T", "U", None]), address=rng.choice(streets), size=rng.choice([None, round(rng.uniform(60, 75), 1), round(rng.uniform(60, 75), 1)])) + (rng.choice(["p", "q", None, None]),)
+        for i in range(60)
+    ]
+    df = spark.createDataFrame(data, ROW + ", project string").withColumn("address_ascii", F.col("address"))
+    rows = df.collect()
+    pairs = list(itertools.combinations(rows, 2))
+    band = lambda a, b: a.town is not None and a.town == b.town and near(a.size, b.size) and abs(round(a.size) - round(b.size)) <= 2
+    want = {
+        "A2": lambda a, b: bool(band(a, b) and a.address and b.address and a.address[:12] == b.address[:12] and token_set(a.address, b.address) >= 90),
+        "B1": lambda a, b: bool(band(a, b) and a.project is not None and a.project == b.project),
+    }
+    got = resolve.rules(df)
+    assert list(got) == ["P1", "A1", "A2", "I1", "G1", "B1"]
+    nodes = [r.row_id for r in rows]
+    for rule, test in want.items():
+        out = {r.row_id: r.cluster_id for r in resolve.label(df, got[rule]).collect()}
+        assert out == closure(nodes, [(a.row_id, b.row_id) for a, b in pairs if test(a, b)]), rule
+    exact = lambda a, b: a.address is not None and a.address == b.address and a.town == b.town and near(a.size, b.size) and abs(round(a.size) - round(b.size)) <= 2
+    links, left, merges = [], len(nodes), {}
+    for rule, test in (("A1", exact), *want.items()):
+        links += [(a.row_id, b.row_id) for a, b in pairs if test(a, b)]
+        now = len(set(closure(nodes, links).values()))
+        merges[rule], left = left - now, now
+    assert {r.rule: r.merges for r in resolve.merge_counts(df).collect()} == {"P1": 0, "I1": 0, "G1": 0} | merges and merges["A2"] and merges["B1"]
+    normal = df.select(F.expr("cast(substring(row_id, 2) as long) AS row_id"), "portal", F.col("listing_key").alias("portal_listing_key"), F.col("town").alias("address_town"), F.col("address").alias("address_norm"), "address_ascii", F.col("project").alias("project_name_norm"), F.col("size").alias("size_m2"), F.col("photos").alias("photo_fingerprints"))
+    gold, _ = pipelines.resolved(conform(normal, NORMALIZED), ["a"])
+    assert gold.count() == left
+
+
 def test_scores(spark):
     data = [listing(0, listing_key="k"), listing(1, listing_key="k"), listing(2, address="q", size=100.0), listing(3, address="q", size=98.5), listing(4, address="q", size=200.0, price=100.0), listing(5, address="q", size=300.0, price=100.0)]
     got = {(r.a, r.b): r.score for r in edges.scored_pairs(spark.createDataFrame(data, ROW)).collect()}

@@ -59,6 +59,7 @@ def normalized(raw: DataFrame, date: str, min_price: float = numbers.MIN_PRICE)
     before = base.groupBy("source_path").agg(F.count("*").alias("__n")).withColumn("__before", F.sum("__n").over(W.orderBy("source_path")) - F.col("__n")).drop("__n")  # one row a file
     d = base.join(before, "source_path")
     address = text.join_address(text.fold(street), text.fold(town))
+    degrees = lambda c: F.nullif(F.expr(f"try_cast(replace({c}, ',', '.') AS double)"), F.lit(float("nan"))) if c in raw.columns else F.lit(None).cast("double")
     return conform(
         d.select(
             (F.col("__before") + F.col("__at") - 1).alias("row_id"), F.col("source").alias("portal"), text.blank_to_null(F.col("property_id")).alias("portal_listing_key"), F.col("link").alias("source_url"),
@@ -66,7 +67,7 @@ def normalized(raw: DataFrame, date: str, min_price: float = numbers.MIN_PRICE)
             F.try_divide(price, size).alias("price_psm"), text.photo_tokens(F.col("photo_url_1"), F.col("photo_url_2"), F.col("photo_url_3")).alias("photo_fingerprints"),
             F.coalesce(numbers.digits(F.col("room_number")).cast("int"), numbers.rooms_of_title(F.col("property_name"))).alias("rooms"), floor["floor"].alias("floor"), floor["total"].alias("floors_total"), floor["elevator"].alias("elevator"),
             year("year_of_construction").alias("year_of_construction"), year("year_of_top").alias("year_of_top"), text.energy_class(F.col("energ_cert")).alias("energ_cert"), text.building_status(F.col("building_status")).alias("building_status"),
-            text.transaction(F.col("transaction")).alias("transaction"), F.lit(date).alias("run_date"),
+            text.transaction(F.col("transaction")).alias("transaction"), F.lit(date).alias("run_date"), degrees("lat").alias("lat"), degrees("lng").alias("lng"),
         ),
         NORMALIZED,
     )

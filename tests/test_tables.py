@@ -80,6 +80,15 @@ def test_normalized_to_golden(spark, raw):
     assert sorted(r.cluster_size for r in gold.collect()) == [1, 2] and marked.count() == 3
 
 
+def test_places_of_raw_listings(spark, raw):
+    """Texts with a comma or a point become degrees, so that rows at one place are merged."""
+    placed = raw.withColumns({"lat": F.when(F.col("position") >= 0, "48,3771"), "lng": F.lit("17.5883")})
+    rows = pipelines.normalized(placed, "2025-11-01")
+    assert {(r.lat, r.lng) for r in rows.collect()} == {(48.3771, 17.5883)}
+    odd = pipelines.normalized(raw.withColumns({"lat": F.lit("x"), "lng": F.lit("nan")}), "2025-11-01")
+    assert {(r.lat, r.lng) for r in odd.collect()} == {(None, None)}
+
+
 def test_runs_and_partitions(spark, tmp_path):
     base = str(tmp_path)
     df = spark.createDataFrame([(1, "2025-11-01"), (2, "2025-11-02")], "v int, run_date string")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,18 +25,34 @@ def local_session(cores: int | str = 8, partitions: int = 8) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; one of our own only where none is set."""
+    """The folder all executors share; one of our own only where none is set and one machine does all the work."""
     where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        where = tempfile.mkdtemp(prefix="lotwise-checkpoints-")
-        spark.conf.set("spark.checkpoint.dir", where)
-    jsc = spark.sparkContext._jsc.sc()
-    if jsc.getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(where)
-    return where
+    context = spark.sparkContext._jsc.sc()
+    if context.getCheckpointDir().isEmpty():
+        if not where and not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
+        spark.sparkContext.setCheckpointDir(where or tempfile.mkdtemp(prefix="lotwise-checkpoints-"))
+    return where or context.getCheckpointDir().get()
 
 
 def cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: results that an executor loss can't take away."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def place(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, where: str) -> DataFrame:
+    """df as a table at that path: compressed, read by column, and gone after discard()."""
+    df.write.parquet(where)
+    return df.sparkSession.read.schema(df.schema).parquet(where)
+
+
+def discard(spark: SparkSession, where: str) -> None:
+    """Deletes what stored() has written, once nothing reads it any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(where)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -11,18 +11,26 @@ of tokens in the segment, which is the cost: small and empty segments, that
 unrelated sets share, are skipped first. Sets that share a key are verified on
 their whole token sets.
 
-Equal sets are one node, and groups of keys with the same members are one
-group. Within a group, each node is verified against a hub first. Pairs that
-no component joins after that are verified one by one, unless a lower bound
-shows that they differ too much: tokens that only one of the open nodes has
-differ in each of its pairs, and so does the gap between two nodes'
-differences from a common hub. So thousands of copies cost a line each, not a
-pair each, and no link is lost.
+Equal sets are one node, and keys with the same members are one group. Each
+node is verified against the smallest node of its groups. Where a group is
+still in several components, nodes with too many tokens that no other one has
+drop out, and the rest is laid beside one hub, the middle of the group's
+largest component. Differences from the hub decide everything else: two sets
+differ where one difference holds an element and the other doesn't. Nodes near
+the hub are linked with it, and two others can only be similar if their
+differences share elements, so rare elements index them, and pairs that share
+enough are verified by their differences. So thousands of copies cost a line
+each, no pair list, and no link is lost.
+
+Tokens are 64-bit hashes of word n-grams, in the index and in the verification.
 
 Defined results: a text without words has an empty set and no link; a text
-with fewer than n words has its whole sequence as one token; rows with a null
-id take no part (component null); rows with one id are one document, linked
-through it; repeated rows get equal results.
+with fewer than n words has its whole sequence as one token; texts of any
+length count whole (8 bytes a word); rows with a null id take no part
+(component null); rows with one id are one document, linked through each of
+its texts; repeated rows and ties get equal results, the smallest id naming
+the component; an empty table gives no rows; further columns, whatever their
+names, are not read, and keep_one() returns them unchanged.
 """
 
 from __future__ import annotations
@@ -33,20 +41,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lotwise.llm.text import small_batches
 from lotwise.operators.components import components
-from lotwise.session import cut
+from lotwise.session import cut, discard, place, stored
 
 N = 4
 PERCENT = 85
 BAND = 1.25  # upper over lower size of a band
 CACHE_WORDS = 300_000
 LOCAL_COPIES = 1_000_000  # set digests a task remembers to drop the copies it has seen
-ROUNDS = 3
+CHUNK_KEYS = 1_000_000  # keys that a chunk holds at once
+PRUNINGS = 2
 
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], np.uint64)
 
@@ -177,176 +187,229 @@ def signature(tokens: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, i
 
 
 def sketch(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """doc_id, n_shingles, digest of the set, keys (none for copies the task has seen), probes."""
+    """A row for each document: doc_id, row (a number of its own), n_shingles, digest of the set, keys (the first `probes` are
+    asked), crowd, follows.
+
+    Copies that the task has seen get no keys. Within a chunk, the first set with a key stands for all that have it: the
+    others list the key and that set's row in `follows`, and `crowd` sums their hashes. So a key of many sets is one entry
+    a chunk, wherever it is looked up.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
 
-        shingle, seen = Shingler(n), set()
+        shingle, seen, rows, waiting = Shingler(n), set(), [], 0
+        number = TaskContext.get().partitionId() << 33
+
+        def flush() -> pd.DataFrame:
+            keys = np.concatenate([r[4] for r in rows])
+            many = [len(r[4]) for r in rows]
+            at = np.repeat(np.arange(len(rows)), many)
+            ask = np.concatenate([np.arange(m) < r[5] for m, r in zip(many, rows, strict=True)])
+            order = np.lexsort((at, keys))
+            keys, at, ask = keys[order], at[order], ask[order]
+            starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])[: len(keys)])
+            lead = np.zeros(len(keys), bool)
+            lead[starts] = True
+            run_of = np.cumsum(lead) - 1
+            own = mixed(np.array([r[1] for r in rows], np.uint64))[at]
+            with np.errstate(over="ignore"):
+                crowd = ((np.add.reduceat(own, starts) - own[starts]) >> np.uint64(32)).astype(np.int64) if len(starts) else own.view(np.int64)
+            crowd += np.diff(np.append(starts, len(keys))) > 1
+            asked = np.maximum.reduceat(ask, starts) if len(starts) else ask
+            leads = np.array([r[1] for r in rows], np.int64)[at[starts]]
+            first = [[] for _ in rows]
+            led = np.lexsort((~asked, at[starts]))  # by document, the asked keys first
+            ends = np.searchsorted(at[starts][led], np.arange(len(rows) + 1))
+            late = np.flatnonzero(~lead)
+            late = late[np.argsort(at[late], kind="stable")]
+            stops = np.searchsorted(at[late], np.arange(len(rows) + 1))
+            for k, (doc_id, name, size, digest, _, _) in enumerate(rows):
+                mine, other = led[ends[k] : ends[k + 1]], late[stops[k] : stops[k + 1]]
+                follows = np.stack([keys[other], leads[run_of[other]]], 1).ravel()
+                first[k] = (doc_id, name, size, digest, keys[starts][mine], int(asked[mine].sum()), crowd[mine] if crowd[mine].any() else None, follows)
+            frame = pd.DataFrame(first, columns=["doc_id", "row", "n_shingles", "digest", "keys", "probes", "crowd", "follows"])
+            frame["doc_id"] = frame["doc_id"].astype("Int64")
+            rows.clear()
+            return frame
+
         for batch in batches:
-            out = []
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
                 tokens = shingle(text)
                 digest = xxhash.xxh3_128_digest(tokens.tobytes()) if len(tokens) else None
-                if pd.isna(doc_id) or digest is None or digest in seen:
-                    keys, ask = np.zeros(0, np.int64), 0
-                else:
+                keys, ask = np.zeros(0, np.int64), 0
+                if not pd.isna(doc_id) and digest is not None and digest not in seen:
                     if len(seen) >= LOCAL_COPIES:
                         seen.clear()
                     seen.add(digest)
                     keys, ask = signature(tokens, percent)
-                out.append((doc_id, len(tokens), digest, keys, ask))
-            frame = pd.DataFrame(out, columns=["doc_id", "n_shingles", "digest", "keys", "probes"])
-            frame["doc_id"] = frame["doc_id"].astype("Int64")
-            yield frame
+                rows.append((doc_id, number, len(tokens), digest, keys, ask))
+                number, waiting = number + 1, waiting + len(keys)
+            if waiting >= CHUNK_KEYS or len(rows) >= CHUNK_KEYS // 8:
+                yield flush()
+                waiting = 0
+        if rows:
+            yield flush()
+
+    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, row long, n_shingles long, digest binary, keys array<long>, probes int, crowd array<long>, follows array<long>")
+
+
+def shared_keys(done: DataFrame) -> DataFrame:
+    """gid, row of the sets that share an asked key with others; keys with the same members have one gid."""
+    at = F.posexplode("keys").alias("at", "key")
+    entries = done.filter(F.size("keys") > 0).select("row", "probes", "crowd", at)
+    entries = entries.select("key", (2 * F.col("row") + (F.col("at") < F.col("probes")).cast("int")).alias("row2"), F.coalesce(F.get("crowd", F.col("at")), F.lit(0)).alias("crowd"))
+    w = W.partitionBy("key")  # a row a chunk at most
+    seen = entries.withColumns({
+        "lo": F.min("row2").over(w), "hi": F.max("row2").over(w), "asked": F.max(F.col("row2") % 2).over(w), "crowds": F.max("crowd").over(w),
+        "sum": F.sum(F.xxhash64(F.shiftright("row2", 1)) % 1_000_000_007 + F.col("crowd")).over(w), "many": F.count("*").over(w),
+    })
+    row = F.shiftright("row2", 1).alias("row")
+    seen = cut(seen.filter("asked = 1 AND (lo < hi OR crowds > 0)").select("key", row, F.xxhash64(F.shiftright("lo", 1), F.shiftright("hi", 1), "many", "sum").alias("gid"), (F.col("crowd") > 0).alias("led")))
+    follows = done.filter(F.size("follows") > 0).select("row", F.explode(F.expr("transform(sequence(0, size(follows) div 2 - 1), i -> struct(follows[2 * i] AS key, follows[2 * i + 1] AS lead))")).alias("f"))
+    crowd = follows.select("f.key", "f.lead", "row").join(seen.filter("led").select("key", F.col("row").alias("lead"), "gid"), ["key", "lead"]).select("gid", "row")
+    return seen.select("gid", "row").unionByName(crowd).distinct()
+
+
+def most(a: Column, b: Column, percent: int) -> Column:
+    """differ() of two sizes."""
+    return F.floor((100 - percent) * (a + b) / (100 + percent))
+
+
+def token_sets(docs: DataFrame, wanted: DataFrame, n: int, repeated: bool) -> DataFrame:
+    """node, tokens. wanted: node, doc_id and digest of the set."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import xxhash
+
+        shingle = Shingler(n)
+        for batch in batches:
+            out = []
+            for node, digest, text in zip(batch["node"], batch["digest"], batch["text"], strict=True):
+                tokens = shingle(text)
+                if len(tokens) and xxhash.xxh3_128_digest(tokens.tobytes()) == digest:  # else another text of that id
+                    out.append((node, tokens.view(np.int64)))
+            yield pd.DataFrame(out, columns=["node", "tokens"])
 
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, n_shingles long, digest binary, keys array<long>, probes int")
+    found = docs.join(wanted, "doc_id").select("node", "digest", "text").mapInPandas(run, "node long, tokens array<long>")
+    return cut(found.dropDuplicates(["node"]) if repeated else found)
 
 
-def verify(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
-    """a, b, ok of every pair, on the whole sets."""
+def beside(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
+    """pairs (node, hub) with the tokens of both, `t` and `h`."""
+    mine = pairs.join(tokens.withColumnRenamed("tokens", "t"), "node")
+    return mine.join(tokens.select(F.col("node").alias("hub"), F.col("tokens").alias("h")), "hub")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingle, last, kept = Shingler(n), None, None
-        for batch in batches:
-            ok = []
-            for a, ta, tb in zip(batch["a"], batch["ta"], batch["tb"], strict=True):
-                if a != last:
-                    last, kept = a, shingle(ta)
-                other = shingle(tb)
-                both = len(np.intersect1d(kept, other, assume_unique=True))
-                ok.append(100 * both >= percent * (len(kept) + len(other) - both))
-            yield pd.DataFrame({"a": batch["a"], "b": batch["b"], "ok": ok})
 
-    full = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b").join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
-    return full.select("a", "b", "ta", "tb").mapInPandas(run, "a long, b long, ok boolean")
+def split_groups(groups: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """The groups whose nodes belong to several components, with the nodes' labels."""
+    marked = groups.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")) if labels is not None else groups
+    split = marked.groupBy("gid").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("gid")
+    return cut(marked.join(split, "gid", "left_semi").select("gid", "node", "size", "label"))
 
 
-def close_in_size(percent: int):
-    return 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
+def without_loners(marked: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
+    """Drops nodes with more tokens of their own (that no other node here has) than similar sets may differ in; adds `own`."""
+    for _ in range(PRUNINGS):
+        nodes = marked.select("node", "size").distinct()
+        held = tokens.join(nodes, "node", "left_semi").select("node", F.explode("tokens").alias("token"))
+        once = held.groupBy("token").agg(F.count("*").alias("c"), F.min("node").alias("node")).filter("c = 1")
+        own = nodes.join(once.groupBy("node").agg(F.count("*").alias("own")), "node", "left").select("node", "size", F.coalesce("own", F.lit(0)).alias("own"))
+        kept = own.filter(F.col("own") <= most(F.col("size"), F.floor(100 * F.col("size") / percent), percent)).select("node", "own")
+        marked = split_groups(marked.join(kept, "node", "left_semi"), None)
+    return marked.join(cut(kept), "node")
 
 
-def profiles(open_: DataFrame, hubs: DataFrame, texts: DataFrame, n: int) -> DataFrame:
-    """node, hub, more, less, own of every open node: tokens that it has beyond its hub, that it lacks, and that no other node has.
+def to_hubs(marked: DataFrame) -> DataFrame:
+    """hub, node: every node beside the hub of each of its groups, which stands for the group's largest component.
 
-    hubs: node, hub. A node without a hub is its own. A token counts as own if only one node has it beyond its hub, and no hub has it.
+    A component's hub is its node with the fewest tokens of its own, the middle of a family of copies.
     """
-    nodes = open_.select("node").distinct()
-    pairs = nodes.join(hubs, "node", "left").select("node", F.coalesce("hub", "node").alias("hub"))
-    pairs = cut(pairs.unionByName(pairs.select(F.col("hub").alias("node"), "hub")).distinct())
+    labels = marked.groupBy("label").agg(F.min(F.struct("own", -F.col("size"), "node")).alias("r"), F.approx_count_distinct("node").alias("many"))
+    labels = labels.select("label", "many", F.col("r.node").alias("hub"))
+    inside = marked.select("gid", "label").distinct().join(labels, "label")
+    hubs = inside.groupBy("gid").agg(F.max_by("hub", F.struct("many", -F.col("label"))).alias("hub"))
+    return marked.join(hubs, "gid").filter("node <> hub").select("hub", "node").distinct()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingle, last, kept = Shingler(n), None, None
-        for batch in batches:
-            out = []
-            for node, hub, t, th in zip(batch["node"], batch["hub"], batch["t"], batch["th"], strict=True):
-                if hub != last:
-                    last, kept = hub, shingle(th)
-                tokens = kept if node == hub else shingle(t)
-                beyond = tokens if node == hub else np.setdiff1d(tokens, kept, assume_unique=True)
-                more = 0 if node == hub else len(beyond)
-                out.append((node, hub, more, len(kept) - (len(tokens) - more), beyond.view(np.int64)))
-            yield pd.DataFrame(out, columns=["node", "hub", "more", "less", "beyond"])
-
-    both = pairs.join(texts.select("node", F.col("text").alias("t")), "node").join(texts.select(F.col("node").alias("hub"), F.col("text").alias("th")), "hub")
-    done = cut(both.select("node", "hub", "t", "th").mapInPandas(run, "node long, hub long, more long, less long, beyond array<long>"))
-    tokens = done.select("node", (F.col("node") != F.col("hub")).cast("int").alias("member"), F.explode("beyond").alias("token"))
-    once = tokens.groupBy("token").agg(F.count("*").alias("c"), F.min("node").alias("node"), F.min("member").alias("member")).filter("c = 1 AND member = 1")
-    own = once.groupBy("node").agg(F.count("*").alias("own"))
-    first = done.select("node", "hub", "more", "less").groupBy("node").agg(F.max_by(F.struct("hub", "more", "less"), (F.col("node") != F.col("hub")).cast("int")).alias("p"))
-    return first.join(own, "node", "left").select("node", "p.hub", "p.more", "p.less", F.coalesce("own", F.lit(0)).alias("own"))
-
-
-def open_pairs(marked: DataFrame, known: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a group in different components that the bounds leave over. known: what profiles() returns."""
-    most = lambda a, b: F.floor((100 - percent) * (a + b) / (100 + percent))
-    rows = marked.join(known, "node")
-    size = F.col("size")
-    rows = rows.filter(F.col("own") <= most(size, F.floor(size * 100 / percent)))
-    side = lambda k: rows.select("gid", F.col("node").alias(k), *[F.col(c).alias(f"{c}_{k}") for c in ("size", "label", "hub", "more", "less", "own")])
-    x, y = side("a"), side("b")
-    gap = lambda c: F.abs(F.col(f"{c}_a") - F.col(f"{c}_b"))
-    own = F.col("own_a") + F.col("own_b")
-    least = F.when(F.col("hub_a") == F.col("hub_b"), F.greatest(gap("more"), own) + gap("less")).otherwise(own)
-    on = (x["gid"] == y["gid"]) & (F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b"))
-    on = on & (100 * F.least("size_a", "size_b") >= percent * F.greatest("size_a", "size_b")) & (least <= most(F.col("size_a"), F.col("size_b")))
-    return x.join(y, on).select("a", "b").distinct()
-
-
-def linked(groups: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+
+def candidates(family: DataFrame, percent: int) -> DataFrame:
+    """Pairs x, y of a hub's family that may be similar, by shared elements of their differences from the hub.
+
+    family: hub, size_h, node, size, label, far, more, less. Similar sets x and y, x too far from the hub to be similar to it,
+    share c >= 1 elements of their differences. With elements in one order (rare ones first), the first that they share
+    leaves at least c - 1 behind it in both, so the last c - 1 elements of y need no entry.
+    """
+    d = F.size("more") + F.size("less")
+    element = F.explode(F.concat(F.transform("more", lambda e: F.struct(F.lit(1).alias("side"), e.alias("e"))), F.transform("less", lambda e: F.struct(F.lit(0).alias("side"), e.alias("e"))))).alias("s")
+    rows = family.select("hub", "size_h", "node", "size", "label", "far", d.alias("d"), element).select("*", "s.side", "s.e").drop("s")
+    held = rows.groupBy("hub", "side", "e").agg(F.count("*").alias("c"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+    rows = rows.join(held, ["hub", "side", "e"])
+    rows = rows.withColumn("rank", F.row_number().over(W.partitionBy("hub", "node").orderBy(F.col("lo") < F.col("hi"), "c", "side", "e")) - 1)
+    ratio = (100 - percent) / (100 + percent)
+    common = F.greatest(F.lit(1), F.ceil((F.col("d") + F.floor(ratio * (F.col("size_h") - F.col("size")) - 1e-9) + 1) / 2))
+    rows = rows.filter("lo < hi").withColumn("early", F.col("rank") <= F.col("d") - common)
+    side = lambda k: rows.select("hub", "side", "e", *[F.col(c).alias(f"{c}_{k}") for c in ("node", "size", "label", "far", "d", "rank", "early")])
+    x, y = side("x").filter("far_x"), side("y").filter("early_y")
+    c = F.ceil((F.col("d_x") + F.col("d_y") - most(F.col("size_x"), F.col("size_y"), percent)) / 2)
+    left = F.least(F.col("d_x") - F.col("rank_x"), F.col("d_y") - F.col("rank_y"))
+    on = (x["hub"] == y["hub"]) & (x["side"] == y["side"]) & (x["e"] == y["e"]) & (F.col("label_x") != F.col("label_y")) & (left >= c)
+    on = on & (~F.col("far_y") | (F.col("early_x") & (F.struct("d_x", "node_x") < F.struct("d_y", "node_y"))))
+    on = on & (100 * F.least("size_x", "size_y") >= percent * F.greatest("size_x", "size_y"))
+    return x.join(y, on).select(x["hub"], F.col("node_x").alias("x"), F.col("node_y").alias("y")).groupBy("x", "y").agg(F.min("hub").alias("hub"))
+
+
+def linked(groups: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) that make up the components. groups: gid, node, size."""
-    spark = groups.sparkSession
-    links = spark.createDataFrame([], "a long, b long")
-    tested = spark.createDataFrame([], "a long, b long")
-    labels, hubs, known = None, None, None
-    if groups.isEmpty():
+    # Each node beside the smallest node of most of its groups.
+    centre = groups.groupBy("gid").agg(F.min(F.struct("node", "size")).alias("h"))
+    votes = groups.join(centre, "gid").filter("node <> h.node").filter(100 * F.least("size", "h.size") >= percent * F.greatest("size", "h.size")).groupBy("node", F.col("h.node").alias("hub")).count()
+    best = votes.groupBy("node").agg(F.max_by("hub", F.struct("count", -F.col("hub"))).alias("hub"))
+    both = F.size(F.array_intersect("t", "h"))
+    links = cut(beside(best, tokens).filter(100 * both >= percent * (F.size("t") + F.size("h") - both)).select(F.col("node").alias("a"), F.col("hub").alias("b")))
+    # What is still in several components, beside one hub for each group.
+    marked = split_groups(groups, components(links))
+    if marked.isEmpty():
         return links
-    for round_ in range(ROUNDS + 1):
-        if round_ == 0:
-            marked = groups.withColumn("label", F.col("node"))
-        else:
-            marked = groups.withColumn("label", F.col("node")) if labels is None else groups.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-            split = marked.groupBy("gid").agg((F.min("label") < F.max("label")).alias("open")).filter("open").select("gid")
-            marked = cut(marked.join(split, "gid", "left_semi").select("gid", "node", "size", "label"))
-            if marked.isEmpty():
-                break
-        if round_ == 1:
-            known = cut(profiles(marked, hubs, texts, n))
-        if round_ < ROUNDS:
-            # One node of each label for each group stands for it: the smallest id, then the one with the fewest tokens of
-            # its own (the middle of its family), then any. The hub of a group stands for the label with most nodes.
-            if round_ == 1:
-                ranked = marked.join(known.select("node", F.when(F.col("hub") == F.col("node"), 1 << 40).otherwise(F.col("own")).alias("rank")), "node")
-            else:
-                ranked = marked.withColumn("rank", F.lit(0).cast("long") if round_ == 0 else F.xxhash64("gid", "node"))
-            reps = ranked.groupBy("gid", "label").agg(F.min(F.struct("rank", "node", "size")).alias("r"), F.count("*").alias("many")).select("gid", "label", "many", "r.rank", "r.node", "r.size")
-            centre = reps.groupBy("gid").agg(F.max_by(F.struct("rank", "node", "size", "label"), F.struct("many", -F.col("label"))).alias("h"))
-            star = reps.join(centre, "gid").filter("label <> h.label").select("label", F.col("node").alias("b"), F.col("size").alias("nb"), F.col("h.node").alias("a"), F.col("h.size").alias("na"), F.col("h.rank").alias("hub_rank")).filter(close_in_size(percent))
-            votes = star.groupBy("label", "b", "a").agg(F.count("*").alias("count"), F.min("hub_rank").alias("hub_rank"))
-            order = F.struct(-F.col("hub_rank"), F.col("count"), -F.col("a"), -F.col("b")) if round_ == 1 else F.struct("count", -F.col("a"), -F.col("b"))
-            best = votes.groupBy("label").agg(F.max_by(F.struct("a", "b"), order).alias("p"))
-            if round_ == 0:
-                best = cut(best)
-                hubs = best.select(F.col("label").alias("node"), F.col("p.a").alias("hub"))
-            pairs = best.select(F.least("p.a", "p.b").alias("a"), F.greatest("p.a", "p.b").alias("b")).distinct()
-        else:
-            pairs = open_pairs(marked, known, percent)
-        pairs = cut(pairs.join(tested, ["a", "b"], "left_anti"))
-        if pairs.isEmpty():
-            continue
-        done = cut(verify(pairs, texts, n, percent))
-        tested = tested.unionByName(done.select("a", "b"))
-        new = done.filter("ok").select("a", "b")
-        links = links.unionByName(new)
-        if round_ < ROUNDS and not new.isEmpty():
-            labels = cut(components(links))
-    return links
+    marked = cut(without_loners(marked, tokens, percent))
+    family = beside(to_hubs(marked), tokens).select("hub", "node", F.size("h").alias("size_h"), F.size("t").alias("size"), F.array_except("t", "h").alias("more"), F.array_except("h", "t").alias("less"))
+    family = cut(family.withColumn("far", F.size("more") + F.size("less") > most(F.col("size"), F.col("size_h"), percent)))
+    links = cut(links.unionByName(family.filter("NOT far").select(F.col("node").alias("a"), F.col("hub").alias("b"))))
+    # What two nodes far from or near their hub have in common beyond it.
+    labels = cut(components(links))
+    family = family.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    pairs = cut(candidates(family, percent))
+    of = lambda k: family.select("hub", F.col("node").alias(k), F.col("size").alias(f"size_{k}"), F.col("more").alias(f"more_{k}"), F.col("less").alias(f"less_{k}"))
+    full = pairs.join(of("x"), ["hub", "x"]).join(of("y"), ["hub", "y"])
+    gap = sum(F.size(f"{p}_{k}") for p in ("more", "less") for k in "xy") - 2 * sum(F.size(F.array_intersect(f"{p}_x", f"{p}_y")) for p in ("more", "less"))
+    found = full.filter(gap <= most(F.col("size_x"), F.col("size_y"), percent))
+    return cut(links.unionByName(found.select(F.col("x").alias("a"), F.col("y").alias("b"))))
 
 
 def resolve(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
     small_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text")
-    done = cut(sketch(docs, n, percent))
-    base = done.select("doc_id", "n_shingles", "digest")
-    # equal sets are one node, named by its smallest id; one id with several sets joins their nodes
+    where = place(docs.sparkSession, "sketch")
+    done = stored(sketch(docs, n, percent), where)
+    base = cut(done.select("doc_id", "row", "n_shingles", "digest", (F.size("keys") + F.size("follows") > 0).alias("keyed")))
     usable = base.filter(F.col("doc_id").isNotNull() & F.col("digest").isNotNull())
-    nodes = cut(usable.groupBy("digest").agg(F.min("doc_id").alias("node"), F.max("n_shingles").alias("size")))
-    entries = done.filter(F.size("keys") > 0).select("doc_id", "probes", F.posexplode("keys").alias("at", "key")).select("key", "doc_id", (F.col("at") < F.col("probes")).cast("int").alias("ask"))
-    w = W.partitionBy("key")
-    shared = entries.withColumns({"lo": F.min("doc_id").over(w), "hi": F.max("doc_id").over(w), "asked": F.max("ask").over(w), "many": F.count("*").over(w), "sum": F.sum(F.xxhash64("doc_id") % 1_000_000_007).over(w)})
-    shared = shared.filter("lo < hi AND asked = 1").select(F.xxhash64("lo", "hi", "many", "sum").alias("gid"), "doc_id").distinct()
-    owner = base.join(nodes, "digest").select("doc_id", "node", "size")
-    groups = shared.join(owner.groupBy("doc_id").agg(F.min(F.struct("node", "size")).alias("o")), "doc_id").select("gid", F.col("o.node").alias("node"), F.col("o.size").alias("size")).distinct()
-    groups = cut(groups)
-    wanted = groups.select("node").distinct()
-    texts = docs.join(wanted.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")
-    texts = cut(texts.select(F.col("doc_id").alias("node"), "text").dropDuplicates(["node"]))
-    found = linked(groups, texts, n, percent)
-    twice = usable.groupBy("doc_id").agg(F.min("digest").alias("x"), F.max("digest").alias("y")).filter("x <> y").select("doc_id")
-    same_id = usable.join(twice, "doc_id", "left_semi").join(nodes, "digest").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
-    labels = components(found.unionByName(same_id))
-    named = nodes.join(labels, "node", "left").select("digest", F.coalesce("label", "node").alias("component"))
+    repeated = not usable.groupBy("doc_id").count().filter("count > 1").isEmpty()
+    # equal sets are one node: the first row that has it, and the smallest id
+    nodes = cut(usable.groupBy("digest").agg(F.min("row").alias("node"), F.min_by("doc_id", "row").alias("doc_id"), F.max("n_shingles").alias("size"), F.min("doc_id").alias("least")))
+    owner = base.filter("keyed").select("row", "digest").join(nodes, "digest").select("row", "node", "size")
+    groups = cut(shared_keys(done).join(owner, "row").select("gid", "node", "size").distinct())
+    discard(docs.sparkSession, where)
+    wanted = nodes.join(groups.select("node").distinct(), "node", "left_semi").select("node", "doc_id", "digest")
+    links = linked(groups, token_sets(docs, wanted, n, repeated), percent)
+    labels = cut(components(links))
+    named = nodes.join(labels, "node", "left").select("digest", "least", F.coalesce("label", "node").alias("label"))
+    if repeated:  # one id with several sets joins their components
+        ids = usable.join(named, "digest").groupBy("doc_id", "label").agg(F.lit(1)).select("doc_id", "label")
+        joins = ids.join(ids.groupBy("doc_id").agg(F.min("label").alias("b")), "doc_id").select(F.col("label").alias("a"), "b").filter("a <> b")
+        merged = components(joins).select(F.col("node").alias("label"), F.col("label").alias("whole"))
+        named = named.join(merged, "label", "left").select("digest", "least", F.coalesce("whole", "label").alias("label"))
+    least = named.groupBy("label").agg(F.min("least").alias("component"), F.count("*").alias("sets")).filter("sets > 1")
+    named = named.join(least, "label", "left").select("digest", F.coalesce("component", "least").alias("component"))
     out = base.join(named, "digest", "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
 

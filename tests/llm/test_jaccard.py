@@ -84,6 +84,42 @@ def test_whole_small_table(spark, sf):
     assert got(jaccard.resolve(docs)) == brute([(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()])
 
 
+def test_one_large_family_of_near_copies(spark):
+    """300 copies around the threshold: some near their hub, some far from it and near each other only."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(5))
+    base = [word() for _ in range(150)]
+    far = list(base)
+    for at in range(0, 150, 20):
+        far[at] = word()
+    rows = [(0, " ".join(base))]
+    for k in range(1, 300):
+        w = list(far if k % 3 == 0 else base)
+        for _ in range(rng.choice([0, 1, 2, 3, 4, 5, 6])):
+            w[rng.randrange(150)] = word()
+        rows.append((k, " ".join(w)))
+    rng.shuffle(rows)
+    assert got(jaccard.resolve(spark.createDataFrame(rows, "doc_id long, text string").repartition(5))) == brute(rows)
+
+
+def test_one_id_with_several_texts_is_linked_through_each(spark):
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(5))
+    rows = []
+    for k in range(12):
+        one, two = [word() for _ in range(60)], [word() for _ in range(60)]
+        rows += [(1000 + k, " ".join(one)), (1000 + k, " ".join(two)), (k, " ".join(one[:-1])), (100 + k, " ".join(two[1:])), (1000 + k, " ".join(two).upper())]
+    for parts in (1, 7):
+        out = jaccard.resolve(spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)).collect()
+        assert {(r.doc_id, r.component_id) for r in out} == {(d, d % 100 if d < 1000 else d - 1000) for d, _ in rows}
+
+
+def test_a_chunk_lists_the_followers_of_its_keys(spark, monkeypatch):
+    rows = near_copies(5)
+    monkeypatch.setattr(jaccard, "CHUNK_KEYS", 400)
+    assert got(jaccard.resolve(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1))) == brute(rows)
+
+
 def test_edges(edges, nothing):
     rows = [(r.doc_id, r.text) for r in edges.select("doc_id", "text").collect()]
     assert got(jaccard.resolve(edges)) == brute(rows)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -56,3 +57,12 @@ def discard(spark: SparkSession, where: str) -> None:
     """Deletes what stored() has written, once nothing reads it any more."""
     path = spark._jvm.org.apache.hadoop.fs.Path(where)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Has the driver collect its garbage, after which Spark deletes the shuffle files of results that nothing refers to.
+
+    Long jobs that cut their lineage call it between steps, so that disks hold one step's shuffles at a time.
+    """
+    gc.collect()
+    spark._jvm.System.gc()

@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 
 from lotwise.llm.text import small_batches
 from lotwise.operators.components import components
-from lotwise.session import cut, discard, place, stored
+from lotwise.session import cut, discard, place, release, stored
 
 N = 4
 PERCENT = 85
@@ -69,34 +69,46 @@ def mixed(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-class Shingler:
-    """Sorted distinct 64-bit hashes of a text's word n-grams."""
+def distinct(x: np.ndarray) -> np.ndarray:
+    """The distinct values, sorted."""
+    x = np.sort(x)
+    return x[np.concatenate([[True], x[1:] != x[:-1]])] if len(x) else x
 
-    def __init__(self, n: int = N) -> None:
+
+class Numbers(dict):
+    """word -> 64-bit hash; forgets everything when full, never keeps long words."""
+
+    def __init__(self) -> None:
         import xxhash
 
-        self.n, self.hash, self.known = n, xxhash.xxh3_64_intdigest, {}
+        super().__init__()
+        self.hash = xxhash.xxh3_64_intdigest
 
-    def number(self, word: bytes) -> int:
-        got = self.known.get(word)
-        if got is None:
-            got = self.hash(word)
-            if len(word) < 64:
-                if len(self.known) >= CACHE_WORDS:
-                    self.known.clear()
-                self.known[word] = got
+    def __missing__(self, word: bytes) -> int:
+        got = self.hash(word)
+        if len(word) < 64:
+            if len(self) >= CACHE_WORDS:
+                self.clear()
+            self[word] = got
         return got
 
+
+class Shingler:
+    """Sorted distinct 64-bit hashes of a text's word n-grams."""
+
+    def __init__(self, n: int = N) -> None:
+        self.n, self.known = n, Numbers()
+
     def __call__(self, text: str | None) -> np.ndarray:
         words = text.encode().lower().split() if text else []  # bytes: A-Z and ASCII blanks only
         if not words:
             return np.zeros(0, np.uint64)
         if len(words) < self.n:
-            return np.array([self.hash(b" ".join(words), seed=len(words))], np.uint64)
-        h = np.array([self.number(w) for w in words], np.uint64)
+            return np.array([self.known.hash(b" ".join(words), seed=len(words))], np.uint64)
+        h = np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
         with np.errstate(over="ignore"):
             s = sum(h[i : len(h) - self.n + 1 + i] * ODD[i % 6] for i in range(self.n))
-        return np.unique(mixed(s))
+        return distinct(mixed(s))
 
 
 @functools.lru_cache(maxsize=None)
@@ -181,8 +193,8 @@ def signature(tokens: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, i
                 index.append(equal[v == 0])
                 index.append(keyed(shorter, band, dropped, 1))
             band -= 1
-    ask = np.unique(np.concatenate(probes))
-    rest = np.setdiff1d(np.concatenate(index), ask)
+    ask = distinct(np.concatenate(probes))
+    rest = np.setdiff1d(distinct(np.concatenate(index)), ask, assume_unique=True)
     return np.concatenate([ask, rest]).view(np.int64), len(ask)
 
 
@@ -203,35 +215,35 @@ def sketch(docs: DataFrame, n: int, percent: int) -> DataFrame:
 
         def flush() -> pd.DataFrame:
             keys = np.concatenate([r[4] for r in rows])
-            many = [len(r[4]) for r in rows]
-            at = np.repeat(np.arange(len(rows)), many)
-            ask = np.concatenate([np.arange(m) < r[5] for m, r in zip(many, rows, strict=True)])
-            order = np.lexsort((at, keys))
+            at = np.repeat(np.arange(len(rows)), [len(r[4]) for r in rows])
+            ask = np.concatenate([np.arange(len(r[4])) < r[5] for r in rows])
+            names = np.array([r[1] for r in rows], np.int64)
+            order = np.argsort(keys, kind="stable")  # equal keys stay in the order of documents
             keys, at, ask = keys[order], at[order], ask[order]
-            starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])[: len(keys)])
-            lead = np.zeros(len(keys), bool)
-            lead[starts] = True
-            run_of = np.cumsum(lead) - 1
-            own = mixed(np.array([r[1] for r in rows], np.uint64))[at]
+            lead = np.ones(len(keys), bool)
+            lead[1:] = keys[1:] != keys[:-1]
+            starts, late = np.flatnonzero(lead), np.flatnonzero(~lead)
+            crowd, asked = np.zeros(len(starts), np.int64), ask[starts]
+            run = np.cumsum(lead)[late] - 1
             with np.errstate(over="ignore"):
-                crowd = ((np.add.reduceat(own, starts) - own[starts]) >> np.uint64(32)).astype(np.int64) if len(starts) else own.view(np.int64)
-            crowd += np.diff(np.append(starts, len(keys))) > 1
-            asked = np.maximum.reduceat(ask, starts) if len(starts) else ask
-            leads = np.array([r[1] for r in rows], np.int64)[at[starts]]
-            first = [[] for _ in rows]
-            led = np.lexsort((~asked, at[starts]))  # by document, the asked keys first
-            ends = np.searchsorted(at[starts][led], np.arange(len(rows) + 1))
-            late = np.flatnonzero(~lead)
-            late = late[np.argsort(at[late], kind="stable")]
-            stops = np.searchsorted(at[late], np.arange(len(rows) + 1))
-            for k, (doc_id, name, size, digest, _, _) in enumerate(rows):
-                mine, other = led[ends[k] : ends[k + 1]], late[stops[k] : stops[k + 1]]
-                follows = np.stack([keys[other], leads[run_of[other]]], 1).ravel()
-                first[k] = (doc_id, name, size, digest, keys[starts][mine], int(asked[mine].sum()), crowd[mine] if crowd[mine].any() else None, follows)
-            frame = pd.DataFrame(first, columns=["doc_id", "row", "n_shingles", "digest", "keys", "probes", "crowd", "follows"])
-            frame["doc_id"] = frame["doc_id"].astype("Int64")
+                np.add.at(crowd, run, (mixed(names[at[late]].view(np.uint64)) >> np.uint64(34)).astype(np.int64) + 1)
+            asked[run[ask[late]]] = True
+            by = np.lexsort((~asked, at[starts]))  # by document, the asked keys first
+            led, crowd = keys[starts][by], crowd[by]
+            ends = np.searchsorted(at[starts][by], np.arange(len(rows) + 1))
+            probes = np.bincount(at[starts], asked, len(rows)).astype(int)
+            crowded = np.bincount(at[starts][by], crowd > 0, len(rows)) > 0
+            late_by = np.argsort(at[late], kind="stable")
+            follows = np.stack([keys[late], names[at[starts]][run]], 1)[late_by]
+            stops = np.searchsorted(at[late][late_by], np.arange(len(rows) + 1))
+            out = {
+                "doc_id": pd.array([r[0] for r in rows], "Int64"), "row": names, "n_shingles": [r[2] for r in rows], "digest": [r[3] for r in rows], "probes": probes,
+                "keys": [led[lo:hi] for lo, hi in zip(ends[:-1], ends[1:], strict=True)],
+                "crowd": [crowd[lo:hi] if c else None for lo, hi, c in zip(ends[:-1], ends[1:], crowded, strict=True)],
+                "follows": [follows[lo:hi].ravel() for lo, hi in zip(stops[:-1], stops[1:], strict=True)],
+            }
             rows.clear()
-            return frame
+            return pd.DataFrame(out)
 
         for batch in batches:
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
@@ -251,7 +263,7 @@ def sketch(docs: DataFrame, n: int, percent: int) -> DataFrame:
         if rows:
             yield flush()
 
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, row long, n_shingles long, digest binary, keys array<long>, probes int, crowd array<long>, follows array<long>")
+    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, row long, n_shingles long, digest binary, probes int, keys array<long>, crowd array<long>, follows array<long>")
 
 
 def shared_keys(done: DataFrame) -> DataFrame:
@@ -366,6 +378,7 @@ def linked(groups: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
     best = votes.groupBy("node").agg(F.max_by("hub", F.struct("count", -F.col("hub"))).alias("hub"))
     both = F.size(F.array_intersect("t", "h"))
     links = cut(beside(best, tokens).filter(100 * both >= percent * (F.size("t") + F.size("h") - both)).select(F.col("node").alias("a"), F.col("hub").alias("b")))
+    release(groups.sparkSession)
     # What is still in several components, beside one hub for each group.
     marked = split_groups(groups, components(links))
     if marked.isEmpty():
@@ -374,6 +387,7 @@ def linked(groups: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
     family = beside(to_hubs(marked), tokens).select("hub", "node", F.size("h").alias("size_h"), F.size("t").alias("size"), F.array_except("t", "h").alias("more"), F.array_except("h", "t").alias("less"))
     family = cut(family.withColumn("far", F.size("more") + F.size("less") > most(F.col("size"), F.col("size_h"), percent)))
     links = cut(links.unionByName(family.filter("NOT far").select(F.col("node").alias("a"), F.col("hub").alias("b"))))
+    release(groups.sparkSession)
     # What two nodes far from or near their hub have in common beyond it.
     labels = cut(components(links))
     family = family.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -398,9 +412,13 @@ def resolve(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     nodes = cut(usable.groupBy("digest").agg(F.min("row").alias("node"), F.min_by("doc_id", "row").alias("doc_id"), F.max("n_shingles").alias("size"), F.min("doc_id").alias("least")))
     owner = base.filter("keyed").select("row", "digest").join(nodes, "digest").select("row", "node", "size")
     groups = cut(shared_keys(done).join(owner, "row").select("gid", "node", "size").distinct())
+    del done
     discard(docs.sparkSession, where)
+    release(docs.sparkSession)
     wanted = nodes.join(groups.select("node").distinct(), "node", "left_semi").select("node", "doc_id", "digest")
-    links = linked(groups, token_sets(docs, wanted, n, repeated), percent)
+    tokens = token_sets(docs, wanted, n, repeated)
+    release(docs.sparkSession)
+    links = linked(groups, tokens, percent)
     labels = cut(components(links))
     named = nodes.join(labels, "node", "left").select("digest", "least", F.coalesce("label", "node").alias("label"))
     if repeated:  # one id with several sets joins their components

@@ -3,11 +3,14 @@
 One vocabulary, every word that all documents together hold at least twice, is
 shared by a target model (documents marked as wanted) and a background model
 (all documents). Both are bigram models of the same form: bigram counts
-smoothed with the unigram distribution, unigrams with one added count. Counts
-cover every document, every word of the vocabulary and every bigram, so they
-grow with the input; they are kept in buckets by key and never collected or
-broadcast. A document's score is the mean over its tokens of the target loss
-minus the background loss, in bits: negative scores are closer to the target.
+smoothed with the unigram distribution, unigrams with one added count. The
+background's counts are scaled to the number of tokens of the target, so both
+speak from the same amount of evidence. A document is scored without itself:
+its own counts are taken out of each model that saw it. Counts cover every
+document, word and bigram, so they grow with the input; they are kept in
+buckets by key and never collected or broadcast. A document's score is the
+mean over its tokens of the target loss minus the background loss, in bits:
+negative scores are closer to the target.
 
 Documents are packed into chunks of numbered words. A chunk asks for each key
 it holds once (its words and ids first, then its unigrams, histories and
@@ -16,9 +19,12 @@ keys and answers each of them. A frequent key is one entry a chunk, so no
 bucket is larger for it. Words and bigrams are known by 64-bit hashes.
 
 Defined results: null and empty texts have no tokens and null losses and
-scores; words outside the vocabulary are one token of it; without target
-documents the target model is uniform over the vocabulary; repeated rows get
-equal scores; a null id never marks a target.
+scores; texts and words of any length count whole (a text lies in one chunk,
+at about 40 bytes a word); words outside the vocabulary are one token of it;
+without target documents both models are uniform over the vocabulary and
+scores are 0; repeated rows and ties get equal scores, and each row sees the
+other ones; an empty table gives no rows; a null id never marks a target;
+further columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -36,9 +42,8 @@ from pyspark.sql import functions as F
 from lotwise.llm.text import small_batches
 from lotwise.session import cut
 
-LONG_WORD = 64  # bytes; longer words are outside the vocabulary
 LEAST = 2  # occurrences of a word of the vocabulary
-SMOOTH = 4.0  # weight of the unigram distribution, in counts
+SMOOTH = 64.0  # weight of the unigram distribution, in counts: where the loss of unseen texts is lowest for a small target
 CHUNK_TOKENS = 1 << 22
 CHUNK_DOCS = 1 << 18
 START, UNKNOWN = 0, 1  # ids of a text's start and of all unknown words; hashes of words are larger
@@ -52,8 +57,6 @@ def tokens(text: str | None) -> list[bytes]:
 
 
 def word_hash(word: bytes) -> int:
-    if len(word) > LONG_WORD:
-        return UNKNOWN
     x = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
     return x if x > UNKNOWN else x + 2
 
@@ -231,14 +234,26 @@ class Chunk:
             out.append(np.concatenate(parts)[self.order])
         return out
 
-    def bits(self, sums: np.ndarray, size: int) -> np.ndarray:
-        """Loss of every token under one model."""
-        at = np.empty(len(sums))
-        at[self.order] = sums
-        seen, unigrams, histories, total = np.split(at, np.cumsum([len(self.bigrams), len(self.words), len(self.words)]))
-        uni = (unigrams[self.unigram] + 1.0) / (total[0] + size)
-        history = histories[self.history]
-        return -np.log2((seen + SMOOTH * uni) / (history + SMOOTH))[self.bigram]
+    def own(self, of: np.ndarray, kinds: int) -> np.ndarray:
+        """How often each token's bigram, word or history stands in its own text."""
+        _, at, many = np.unique(self.doc * kinds + of, return_inverse=True, return_counts=True)
+        return many[at]
+
+    def losses(self, target: np.ndarray, background: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Loss of every token under both models, its own text left out."""
+        n = len(self.words)
+        self.doc = np.repeat(np.arange(len(self.lengths)), self.lengths)
+        own = [self.own(self.bigram, max(1, len(self.bigrams))), self.own(self.word, n), self.own(self.before, n), self.lengths[self.doc]]
+        out, totals = [], []
+        for sums, saw in ((target, self.target[self.doc]), (background, True)):
+            at = np.empty(len(sums))
+            at[self.order] = sums
+            seen, unigrams, histories, total = np.split(at, np.cumsum([len(self.bigrams), n, n]))
+            totals.append(total[0])
+            scale = min(1.0, totals[0] / max(1.0, total[0]))
+            bigram, word, before, all_ = (scale * (c - o * saw) for c, o in zip((seen[self.bigram], unigrams[self.word], histories[self.before], total[0]), own, strict=True))
+            out.append(-np.log2((bigram + SMOOTH * (word + 1.0) / (all_ + size)) / (before + SMOOTH)))
+        return out[0], out[1]
 
 
 def joined(rows: pd.DataFrame) -> list[np.ndarray]:
@@ -280,12 +295,11 @@ def score(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         known, marked = (x.astype(bool) for x in unpack(of[-2]["body"]))
         chunk, size = Chunk(of[-1]["body"], known, marked), int(of[-2]["n"]) + 2
         full = chunk.lengths > 0
-        doc = np.repeat(np.arange(len(full)), chunk.lengths)
-        t, b = (chunk.bits(x, size) for x in joined(rows[rows["bucket"] >= 0]))
+        t, b = chunk.losses(*joined(rows[rows["bucket"] >= 0]), size)
         out = pd.DataFrame({"doc_id": pd.array(chunk.ids, "Int64"), "n_tokens": chunk.lengths})
         out.loc[chunk.null, "doc_id"] = pd.NA
         for name, x in (("target_bits", t), ("background_bits", b), ("score", t - b)):
-            mean = np.bincount(doc, x, len(full)) / np.maximum(chunk.lengths, 1)
+            mean = np.bincount(chunk.doc, x, len(full)) / np.maximum(chunk.lengths, 1)
             out[name] = pd.array(mean, "Float64")
             out.loc[~full, name] = pd.NA
         return out

@@ -1,19 +1,23 @@
 """Exact top-k inner products by no-random-access aggregation.
 
-Rows are dealt into blocks, queries into batches; each cell of blocks and
-batches keeps one list per dimension, sorted by value. A query reads every
-list from the end that its own component favours, all lists to the same depth.
-What has been read of a candidate gives a lower bound (unread dimensions count
-as the worst value of their list) and an upper bound (unread dimensions count
-as the last value read). Candidates whose upper bound lies below the k-th
-lower bound are out; reading goes on until few are left or the lists end, and
-the final scores of those left are resolved. A last step keeps the best k of a
-query over all blocks.
+Rows are dealt into blocks; each keeps one list per dimension, sorted by
+value. A query reads every list of a block from the end that its own component
+favours, all lists to the same depth, in growing steps (entries equal to the
+last one read are read with it). What has been read of a candidate gives a
+lower bound (unread dimensions count as the worst value of their list) and an
+upper bound (unread dimensions count as the last value read). Candidates whose
+upper bound lies below the k-th lower bound are out, and later steps update
+only those still in. A query stops when no outsider can qualify: k are left, or
+so few that resolving them costs less than the next step (fewer candidates than
+it would read from each list). Their final scores are then resolved. It first reads one block
+of its own; the k-th score found there is the bar that outsiders in all other
+blocks have to reach. A last step keeps the best k of a query over all blocks.
 
 Defined results: vectors that are null or hold nulls, NaN or infinities, and
 rows with a null id, take no part; vectors of different lengths are not
-compared; repeated rows (same id and vector) count once; rows with the
-query's id are its own.
+compared; repeated rows are candidates each, and one query; rows with the
+query's id are its own; ties go to the smaller id; an empty table gives no
+rows; further columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -24,14 +28,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lotwise.session import cut
+
 K = 20
 EVERY = 20
 FACTOR = 64
 BLOCK_ROWS = 8192
-BATCH_QUERIES = 2048
+BATCH_QUERIES = 8192
 CHUNK = 256  # queries whose bounds are held at once
-DEPTHS = (0.125, 0.5)  # shares of the lists after which bounds are compared
-FEW = 0.05  # share of candidates left that is resolved at once
+STEPS = (0.125, 0.25, 0.5, 0.625, 0.75, 0.875, 1.0)  # depths of reading, in shares of the lists
+TOGETHER = 0.25  # while more candidates are in, queries take their steps together
+FOUND = "query_id long, query_mix long, vec_id long, score long, depth double, resolved long"
 
 
 def matrix(column: pa.ChunkedArray) -> np.ndarray:
@@ -47,86 +54,103 @@ def exact_type(q: np.ndarray, x: np.ndarray) -> type:
 
 
 class Lists:
-    """A block's sorted lists, one per dimension, kept as ranks from either end."""
+    """A block's lists, one per dimension, in descending order, and what a depth of reading says about candidates."""
 
     def __init__(self, x: np.ndarray) -> None:
-        self.x, n = x, len(x)
-        order = np.argsort(-x, axis=0, kind="stable")
-        self.rank = np.empty_like(order)
-        np.put_along_axis(self.rank, order, np.arange(n)[:, None], axis=0)
-        self.sorted = np.take_along_axis(x, order, axis=0)
-
-    def read(self, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """What is known of each value at a depth: least and most, read from the top and from the bottom."""
-        n = len(self.x)
-        top, bottom = self.rank < depth, self.rank >= n - depth
-        worst_top, worst_bottom = self.sorted[-1], self.sorted[0]
-        last_top, last_bottom = self.sorted[depth - 1], self.sorted[n - depth]
-        return np.where(top, self.x, worst_top), np.where(bottom, self.x, worst_bottom), np.where(top, self.x, last_top), np.where(bottom, self.x, last_bottom)
-
-
-def search(q: np.ndarray, q_ids: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int) -> list[tuple[int, int, int]]:
-    """(query, candidate, score) of the k best of each query; ids ascend, ties go to the smaller."""
-    kind, n = exact_type(q, x), len(x)
-    lists = Lists(x.astype(kind))
-    views = {}
-    out = []
+        self.sorted = -np.sort(-x, axis=0)
+
+    def depth(self, share: float) -> int:
+        return min(len(self.sorted), max(1, int(len(self.sorted) * share)))
+
+    def step(self, i: int) -> int:
+        """Entries that a step reads from each list."""
+        return self.depth(STEPS[i]) - (self.depth(STEPS[i - 1]) if i else 0)
+
+    def bounds(self, q: np.ndarray, x: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+        """(lower, upper) of every query and candidate. Components above zero read from the top, others from the bottom."""
+        plus, minus = np.maximum(q, 0), np.minimum(q, 0)
+        top, bottom = self.sorted[depth - 1], self.sorted[-depth]
+        upper = plus @ np.maximum(x, top).T + minus @ np.minimum(x, bottom).T
+        lower = plus @ np.where(x >= top, x, self.sorted[-1]).T + minus @ np.where(x <= bottom, x, self.sorted[0]).T
+        return lower, upper
+
+
+def kth(values: np.ndarray, k: int, least) -> np.ndarray:
+    """The k-th largest of each row; `least` where there are fewer."""
+    n = values.shape[-1]
+    return np.partition(values, n - k, axis=-1)[..., n - k] if n >= k else np.full(values.shape[:-1], least)
+
+
+def search(q: np.ndarray, q_ids: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int, bars: list[int | None]) -> list[tuple[int, int, int, float, int]]:
+    """(query, candidate, score, depth read, candidates resolved) of the k best of each query that reach its bar; ids ascend."""
+    kind = exact_type(q, x)
+    least = np.iinfo(np.int64).min if kind is np.int64 else -np.inf
+    x = x.astype(kind)
+    lists, out = Lists(x), []
     for lo in range(0, len(q), CHUNK):
         part, names = q[lo : lo + CHUNK].astype(kind), q_ids[lo : lo + CHUNK]
-        plus, minus = np.maximum(part, 0), np.minimum(part, 0)
+        bar = np.array([least if b is None else b for b in bars[lo : lo + CHUNK]], kind if kind is np.int64 else np.float64)
         own = names[:, None] == ids[None, :]
-        alive = ~own
-        for share in DEPTHS:
-            depth = max(1, int(n * share))
-            if n <= 4 * k or depth >= n or alive.mean() <= FEW:
-                break
-            if depth not in views:
-                views[depth] = lists.read(depth)
-            low_top, low_bottom, high_top, high_bottom = views[depth]
-            low = plus @ low_top.T + minus @ low_bottom.T
-            low[own] = np.iinfo(np.int64).min if kind is np.int64 else -np.inf
-            bar = np.partition(low, n - k, axis=1)[:, n - k]
-            alive &= plus @ high_top.T + minus @ high_bottom.T >= bar[:, None]
-        if alive.mean() <= FEW:
-            scores = [(np.flatnonzero(a), None) for a in alive]
-            scores = [(at, lists.x[at] @ v) for (at, _), v in zip(scores, part, strict=True)]
-        else:  # the lists are read to their ends
-            full = part @ lists.x.T
-            scores = [(at := np.flatnonzero(a), s[at]) for a, s in zip(alive, full, strict=True)]
-        for row, (at, s) in enumerate(scores):
-            if len(s) > k:
-                keep = s >= np.partition(s, len(s) - k)[len(s) - k]
-                at, s = at[keep], s[keep]
-            best = np.argsort(-s, kind="stable")[:k]
-            out += [(lo + row, int(c), int(v)) for c, v in zip(at[best], s[best], strict=True)]
+        alive, step = ~own, 0
+        while step < len(STEPS) - 1 and alive.mean() > TOGETHER:
+            lower, upper = lists.bounds(part, x, lists.depth(STEPS[step]))
+            lower[own] = least
+            bar = np.maximum(bar, kth(lower, k, least))
+            alive &= upper >= bar[:, None]
+            step += 1
+        for row, v in enumerate(part):  # each query with its own candidates and depth from here
+            at = np.flatnonzero(alive[row])
+            own_step, xs, b = step, x[at], bar[row]
+            while own_step < len(STEPS) and len(at) > max(k, lists.step(own_step)):
+                lower, upper = lists.bounds(v[None], xs, lists.depth(STEPS[own_step]))
+                b = max(b, kth(lower[0], k, least))
+                left = upper[0] >= b
+                at, xs, own_step = at[left], xs[left], own_step + 1
+            scores = xs @ v
+            best = np.argsort(-scores, kind="stable")[:k]
+            read = STEPS[own_step - 1] if own_step else 0.0
+            out += [(lo + row, int(at[i]), int(scores[i]), read, len(at)) for i in best]
     return out
 
 
+def cell(a: pa.Table, b: pa.Table, k: int) -> pa.Table:
+    """The best of a block for some queries; a: query rows with their bars, b: the block."""
+    schema = pa.schema([("query_id", pa.int64()), ("query_mix", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64()), ("depth", pa.float64()), ("resolved", pa.int64())])
+    if not len(a) or not len(b):
+        return schema.empty_table()
+    b = b.sort_by("vec_id")
+    ids, q_ids, mixes = (np.asarray(c) for c in (b["vec_id"], a["vec_id"], a["mix"]))
+    got = search(matrix(a["v"]), q_ids, matrix(b["v"]), ids, k, a["bar"].to_pylist())
+    q, c, s, d, r = (np.array(v) for v in zip(*got, strict=True)) if got else (np.zeros(0, np.int64),) * 5
+    return pa.table([q_ids[q], mixes[q], ids[c], s, d.astype(float), r], schema=schema)
+
+
 def top_k(rows: DataFrame, k: int = K, every: int = EVERY, block_rows: int = BLOCK_ROWS, batch: int = BATCH_QUERIES) -> DataFrame:
-    """query_id, rank, vec_id, score. rows: vec_id, v (array<long>)."""
-    rows = rows.select("vec_id", "v", F.size("v").alias("dim")).dropDuplicates(["vec_id", "v"])
-    asks = rows.filter(F.pmod("vec_id", F.lit(every)) == 0)
+    """query_id, rank, vec_id, score, and how much was read for it: depth of the block's lists, candidates resolved there.
+
+    rows: vec_id, v (array<long>).
+    """
+    mix = F.xxhash64("vec_id", "v")
+    rows = cut(rows.select("vec_id", "v", F.size("v").alias("dim"), mix.alias("mix")))
+    asks = rows.filter(F.pmod("vec_id", F.lit(every)) == 0).dropDuplicates(["vec_id", "v"])
     counts = rows.agg(F.count("*").alias("n"), F.count_if(F.pmod("vec_id", F.lit(every)) == 0).alias("q")).first()
     blocks, batches = max(1, -(-counts.n // block_rows)), max(1, -(-counts.q // batch))
-    mix = F.xxhash64("vec_id", "v")
-    across = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = asks.withColumn("bt", F.pmod(mix, F.lit(batches)).cast("int")).withColumn("bl", across(blocks))
-    right = rows.withColumn("bl", F.pmod(mix, F.lit(blocks)).cast("int")).withColumn("bt", across(batches))
-
-    def cell(a: pa.Table, b: pa.Table) -> pa.Table:
-        schema = pa.schema([("query_id", pa.int64()), ("query_mix", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
-        if not len(a) or not len(b):
-            return schema.empty_table()
-        b = b.sort_by("vec_id")
-        ids, q_ids, mixes = (np.asarray(c) for c in (b["vec_id"], a["vec_id"], a["mix"]))
-        got = search(matrix(a["v"]), q_ids, matrix(b["v"]), ids, k)
-        q, c, s = (np.array(x, np.int64) for x in zip(*got, strict=True)) if got else (np.zeros(0, np.int64),) * 3
-        return pa.table([q_ids[q], mixes[q], ids[c], s], schema=schema)
-
+    asks = asks.select(*[F.col(c).alias(c) for c in asks.columns])  # columns of their own, apart from those of the rows
+    left = asks.withColumns({"bt": F.pmod(F.shiftrightunsigned("mix", 20), F.lit(batches)).cast("int"), "home": F.pmod("mix", F.lit(blocks)).cast("int")})
+    right = rows.withColumn("bl", F.pmod("mix", F.lit(blocks)).cast("int")).withColumn("bt", F.explode(F.sequence(F.lit(0), F.lit(batches - 1)))).drop("mix")
     key = ["dim", "bl", "bt"]
-    near = left.withColumn("mix", mix).groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(cell, "query_id long, query_mix long, vec_id long, score long")
+
+    def read(queries: DataFrame) -> DataFrame:
+        return queries.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(lambda a, b: cell(a, b, k), FOUND)
+
+    found = read(left.withColumns({"bl": F.col("home"), "bar": F.lit(None).cast("long")}))
+    if blocks > 1:
+        found = cut(found)
+        bars = found.groupBy(F.col("query_id").alias("vec_id"), F.col("query_mix").alias("mix")).agg(F.when(F.count("*") >= k, F.min("score")).alias("bar"))
+        others = left.join(bars, ["vec_id", "mix"], "left").withColumn("bl", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).filter("bl <> home")
+        found = found.unionByName(read(others))
     w = W.partitionBy("query_id", "query_mix").orderBy(F.desc("score"), "vec_id")
-    return near.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score", "depth", "resolved")
 
 
 def integers(embeddings: DataFrame, factor: int = FACTOR) -> DataFrame:
@@ -137,7 +161,7 @@ def integers(embeddings: DataFrame, factor: int = FACTOR) -> DataFrame:
 
 
 def digest(embeddings: DataFrame) -> DataFrame:
-    return top_k(integers(embeddings.select("vec_id", "embedding")))
+    return top_k(integers(embeddings.select("vec_id", "embedding"))).select("query_id", "rank", "vec_id", "score")
 
 
 #: The same rows in SQL, over all pairs of queries and rows.
@@ -148,11 +172,11 @@ WITH v AS (
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
-  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+  SELECT q.vec_id AS query_id, q.v AS of, c.vec_id AS vec_id,
          CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+  FROM (SELECT DISTINCT * FROM v) q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
 ), r AS (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+  SELECT *, row_number() OVER (PARTITION BY query_id, of ORDER BY score DESC, vec_id) AS rank FROM s
 )
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20
 """

@@ -1,36 +1,48 @@
 """Quality rules whose cutoffs carry a risk guarantee.
 
 Each rule rejects a document whose share of something (symbols, repeated
-words, repeated lines, capitals) lies above a cutoff. For every stratum
-(language) and rule, the cutoffs of a fixed grid are tested from the most
-lenient to the strictest on the labelled documents: a cutoff is certified when
-an exact binomial test rejects "more than `risk` of the good documents are
-lost" at its level, and testing stops at the first cutoff that fails, so a
-sequence needs one level only. Levels and risks are divided (Bonferroni) over
-strata and rules. Of the certified cutoffs the one with the best balance of
-bad documents rejected and good ones lost is taken; where nothing can be
-certified the rule is off and documents are kept.
-
-All of it is DataFrame and SQL functions. Defined results: null and empty
-texts have zero counts and fail the base rule (fewer than 50 words); null
-languages are a stratum of their own; several labels of one id count as good
-only if all do; without labels every document that passes the base is kept.
+words, repeated lines, capitals) lies above a cutoff. A setting has a cutoff
+for every rule. For each stratum (language), a sequence of settings, from
+lenient to strict, is laid down on the bad documents and on a fold of the good
+ones: each rule's strictest cutoff that loses at most a given share of that
+fold, first with some steps of slack, and only if it rejects a larger share of
+the bad ones. The other good documents, which had no part in this, test the
+settings in that order: a setting is certified when an exact binomial test
+rejects "more than `risk` of the good documents are lost by any rule", and
+testing stops at the first one that fails, so a sequence needs one level only.
+Levels are divided (Bonferroni) over the strata with enough good documents for
+any test to succeed. Of the certified settings the one with the best balance
+of bad documents rejected and good ones lost is taken; where nothing can be
+certified the rules are off and documents are kept, which the output says.
+
+All of it is DataFrame and SQL functions; settings are a table that documents
+are joined with. Defined results: null and empty texts have zero counts and
+fail the base rule (fewer than 50 words); texts of any length count whole;
+null languages are a stratum of their own; several labels of one id count as
+good only if all do; without labels every document that passes the base is
+kept; shares equal to a cutoff pass, and of equally good settings the most
+lenient is taken; repeated rows get equal results; an empty table gives no
+rows; keep() returns all columns as they were, whatever their names.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lotwise.llm.text import GAP
+from lotwise.llm.text import GAP, fold
 from lotwise.session import cut
 
 RISK = 0.02  # share of good documents that all rules together may lose in a stratum
 LEVEL = 0.05  # chance that any of the guarantees is wrong
 GRID = (60, 50, 40, 30, 25, 20, 15, 12, 10, 8, 6, 5, 4, 3, 2, 1)  # cutoffs in percent
 RULES = ("symbols", "repeats", "lines", "capitals")
-MAX_STRATA = 500  # beyond the largest ones, rules are off
+TUNING = 4  # one of so many good documents helps to lay down the settings, the others test them
+STEPS = ((0.0, 6), (0.0, 4), (0.0, 3), (0.0, 2), (0.0, 1), (0.0, 0), (0.005, 0), (0.01, 0), (0.02, 0), (0.03, 0))  # share of the fold lost, steps of slack
+SMALL_TABLE = 100_000  # strata; the settings of as many are broadcast, of more they are joined
 BLANKS = " \t\n\x0b\x0c\r"
 
 
@@ -93,52 +105,66 @@ def certified(cells: DataFrame, risk: float, level: Column) -> DataFrame:
     return cells.withColumn("holds", F.when((F.col("n") > 0) & (F.col("k") <= F.col("n") * risk), tail <= level).otherwise(False))
 
 
-def choose(rows: DataFrame, risk: float = RISK, level: float = LEVEL) -> dict[tuple[str, str], int]:
-    """(stratum, rule) -> cutoff. rows: stratum, good (boolean), and a share per rule."""
+def settings(rows: DataFrame) -> DataFrame:
+    """stratum, step and a cutoff for each rule (null: off), from the bad rows and the tuning fold. rows: what labelled() returns."""
     at = "CASE " + " ".join(f"WHEN share > {c} THEN {i}" for i, c in enumerate(GRID)) + f" ELSE {len(GRID)} END"
-    stack = rows.select("stratum", "good", F.expr(f"stack({len(RULES)}, {', '.join(f'{r!r}, {r}' for r in RULES)}) AS (rule, share)"))
+    used = rows.filter(~F.col("good") | F.col("tuning"))
+    stack = used.select("stratum", "good", F.expr(f"stack({len(RULES)}, {', '.join(f'{r!r}, {r}' for r in RULES)}) AS (rule, share)"))
     counts = stack.groupBy("stratum", "rule", F.expr(at).alias("at")).agg(F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad"))
-    # every cutoff of every stratum and rule, with what lies above it
-    groups = counts.groupBy("stratum", "rule").agg(F.sum("good").alias("n"), F.sum("bad").alias("n_bad"))
-    grid = groups.withColumn("at", F.explode(F.array(*[F.lit(i) for i in range(len(GRID))])))
-    above = W.partitionBy("stratum", "rule").orderBy("at")
-    cells = grid.join(counts, ["stratum", "rule", "at"], "left").withColumns({"k": F.sum(F.coalesce("good", F.lit(0))).over(above), "hit": F.sum(F.coalesce("bad", F.lit(0))).over(above)})
-    tests = len(RULES) * F.lit(max(1, groups.select("stratum").distinct().count()))
-    cells = certified(cells, risk / len(RULES), F.lit(level) / tests)
-    cells = cells.withColumn("open", F.min(F.col("holds").cast("int")).over(above) == 1)  # nothing more lenient has failed
+    # each rule's good and bad rows by the first cutoff that they lie above: at most a row for each cutoff
+    rules = counts.groupBy("stratum", "rule").agg(F.sum("good").alias("n"), F.sum("bad").alias("n_bad"), F.collect_list(F.struct("at", "good", "bad")).alias("cells"))
+    above = lambda c, of: f"aggregate(filter(cells, c -> c.at <= {c}), 0L, (s, c) -> s + c.{of})"
+    grid = f"sequence(0, {len(GRID) - 1})"
+    steps = ", ".join(f"array_max(filter({grid}, i -> {above('i', 'good')} <= {share}D * n)) - {slack}" for share, slack in STEPS)
+    chosen = rules.select("stratum", "rule", "n", "n_bad", "cells", F.posexplode(F.expr(f"array({steps})")).alias("step", "i"))
+    gains = f"i >= 0 AND {above('i', 'bad')} * greatest(n, 1L) > {above('i', 'good')} * n_bad"
+    chosen = chosen.withColumn("cut", F.expr(f"CASE WHEN {gains} THEN CAST(array({', '.join(map(str, GRID))})[greatest(i, 0)] AS double) END"))
+    return chosen.groupBy("stratum", "step").agg(*[F.max(F.when(F.col("rule") == r, F.col("cut"))).alias(f"cut_{r}") for r in RULES])
+
+
+def choose(rows: DataFrame, risk: float = RISK, level: float = LEVEL) -> DataFrame:
+    """stratum, a cutoff for each rule (null: off), good (documents that tested it) and lost, of the strata with a certified setting."""
+    tests = rows.filter(~F.col("good") | ~F.col("tuning")).join(settings(rows), "stratum")
+    out = F.lit(False)
+    for r in RULES:
+        out = out | F.coalesce(F.col(r) > F.col(f"cut_{r}"), F.lit(False))
+    cuts = [f"cut_{r}" for r in RULES]
+    cells = tests.groupBy("stratum", "step", *cuts).agg(F.count_if("good").alias("n"), F.count_if(F.col("good") & out).alias("k"), F.count_if(~F.col("good")).alias("n_bad"), F.count_if(~F.col("good") & out).alias("hit"))
+    cells = cut(cells)
+    able = cells.filter(F.col("n") >= math.log(level) / math.log(1 - risk)).select("stratum").distinct().count()
+    cells = certified(cells, risk, F.lit(level / max(1, able)))
+    cells = cells.withColumn("open", F.min(F.col("holds").cast("int")).over(W.partitionBy("stratum").orderBy("step")) == 1)  # nothing more lenient has failed
     gain = F.coalesce(F.try_divide(F.col("hit").cast("double"), F.col("n_bad")), F.lit(0.0)) - F.coalesce(F.try_divide(F.col("k").cast("double"), F.col("n")), F.lit(0.0))
-    best = cells.filter(F.col("open") & (F.col("hit") > 0)).groupBy("stratum", "rule").agg(F.min_by("at", F.struct(-gain, F.col("at"))).alias("at"), F.max("n").alias("n"))
-    few = best.orderBy(F.desc("n"), "stratum", "rule").limit(MAX_STRATA * len(RULES)).collect()
-    return {(r.stratum, r.rule): GRID[r["at"]] for r in few}
+    best = cells.filter(F.col("open") & (F.col("hit") > 0)).groupBy("stratum").agg(F.min_by(F.struct(*cuts, F.col("n").alias("good"), F.col("k").alias("lost")), F.struct(-gain, F.col("step"))).alias("b"))
+    return cut(best.select("stratum", "b.*"))
 
 
-def verdict(cutoffs: dict[tuple[str, str], int]) -> Column:
-    """False where a rule of the document's stratum rejects."""
-    keep = F.lit(True)
+def with_settings(measures: DataFrame, chosen: DataFrame) -> DataFrame:
+    """measures with the settings of their stratum and `kept`."""
+    few = F.broadcast(chosen) if chosen.count() <= SMALL_TABLE else chosen
+    rows = measures.withColumn("stratum", stratum()).join(few, "stratum", "left")
+    keep = ~base_failed()
     for rule, share in shares().items():
-        pairs = [F.lit(x) for (s, r), c in sorted(cutoffs.items()) if r == rule for x in (s, float(c))]
-        if pairs:
-            keep = keep & (share <= F.coalesce(F.create_map(*pairs)[stratum()], F.lit(1e9)))
-    return keep
+        keep = keep & F.coalesce(share <= F.col(f"cut_{rule}"), F.lit(True))
+    return rows.withColumn("kept", keep)
 
 
 def labelled(measures: DataFrame, labels: DataFrame) -> DataFrame:
-    """What choose() takes, from the labelled documents that pass the base."""
+    """stratum, good, tuning and a share for each rule, of the labelled documents that pass the base."""
     one = labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg((F.min("quality") == 1).alias("good"))
     rows = measures.filter(~base_failed()).select("doc_id", stratum().alias("stratum"), *[s.alias(r) for r, s in shares().items()])
-    return rows.join(one, "doc_id").select("stratum", "good", *RULES)
+    return rows.join(one, "doc_id").select("stratum", "good", (fold(F.col("doc_id"), TUNING) == 0).alias("tuning"), *RULES)
 
 
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, the base counts, base_failed and kept of every document."""
+    """doc_id, the base counts, base_failed, kept, and what the stratum's guarantee rests on: good documents tested and lost (null: rules off)."""
     m = cut(measured(docs.select("doc_id", "lang", "text")).select("doc_id", "lang", "q"))
-    cutoffs = choose(labelled(m, labels))
-    return m.select("doc_id", "q.n_words", "q.word_chars", "q.n_symbols", "q.n_dup_lines", "q.n_repeat_words", base_failed().alias("base_failed"), (~base_failed() & verdict(cutoffs)).alias("kept"))
+    out = with_settings(m, choose(labelled(m, labels)))
+    return out.select("doc_id", "q.n_words", "q.word_chars", "q.n_symbols", "q.n_dup_lines", "q.n_repeat_words", base_failed().alias("base_failed"), "kept", F.col("good").alias("tested"), "lost")
 
 
 def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are kept, with their own columns."""
-    m = measured(docs.select("doc_id", "lang", "text"))
-    cutoffs = choose(labelled(cut(m.select("doc_id", "lang", "q")), labels))
-    # exploding a single struct keeps the filter above the measures; pushed below, they would be computed anew in each lambda
-    return measured(docs).withColumn("q", F.explode(F.array("q"))).filter(~base_failed() & verdict(cutoffs)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    whole = docs.select("doc_id", "lang", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document"))
+    m = cut(measured(whole).select("doc_id", "lang", "q", "document"))  # each text is measured once
+    return with_settings(m, choose(labelled(m, labels))).filter("kept").select("document.*")

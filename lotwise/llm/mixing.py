@@ -2,26 +2,28 @@
 
 The words of a source, documents in seeded order, are one stream that is cut
 into blocks of equal length. Targets share all words over the sources by
-weight and stop at `most` times a source's own size. For every output shard
-the number of blocks from each source is drawn from a multinomial (one
-categorical draw a slot, by the alias method); then what a source drew beyond
-its target is settled with the sources that drew too little, so that the mix
-holds its targets. The k-th slot of a source takes block (a * (k mod B) + b)
-mod B of its B blocks, with a coprime to B and b from the pass k div B: a
-permutation of the blocks in every pass. Blocks and documents are joined by
-block index.
-
-DataFrame functions only; the driver sees one row a source. Defined results:
-null and empty texts have size 0 and are never taken; null sources are one
-source, last in order; repeated rows are records of their own.
+weight and stop at `most` times a source's own size. A source fills slots of
+the mix: as many blocks as its target holds, and one more slot for the words
+that are left over, which takes the beginning of its block. Every slot is
+dealt to an output shard by a seeded hash, so that the counts of a source over
+the shards are one multinomial draw with its slots as the number of trials.
+The k-th slot of a source takes block (a * (k mod B) + b) mod B of its B whole
+blocks, with a coprime to B and b from the pass k div B: a permutation of the
+blocks in every pass, after which comes the source's last, shorter block.
+Blocks and documents are joined by block index. So each source's words are its
+target, cut to a whole number.
+
+DataFrame functions only; sources are a table like any other, however many
+there are. Defined results: null and empty texts have size 0 and are never
+taken; texts of any length are taken whole or in blocks; null sources are one
+source, last in order; repeated rows are records of their own; ties in the
+seeded order go by id and then by record; an empty table gives no rows;
+taken_texts() returns the columns of its input, whatever their names.
 """
 
 from __future__ import annotations
 
-import hashlib
-import math
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -29,188 +31,159 @@ from lotwise.llm.text import WORD
 from lotwise.session import cut
 
 SEED = 20_240_610
-BLOCK_WORDS = 32
+BLOCK_WORDS = 1024
 SHARDS = 40
 MOST = 3
 CHUNK_ROWS = 4096  # documents of a source that are put in order together
-MAX_SOURCES = 5_000  # rows of the table of sources on the driver
+RUN_SLOTS = 1 << 16  # slots of a source that are made together
+SMALL_TABLE = 100_000  # sources; a table of as many is broadcast, a larger one is joined
+FEW = (2, 3, 5, 7, 11, 13, 17, 19, 23, 29, 31, 37, 41, 43, 47, 53)  # candidates of the multiplier are spread by these
+
+
+def weight(k: Column) -> Column:
+    """The weight of source number k: 1, 2, 3, repeating."""
+    return k % 3 + 1
+
 
+def numbered(sources: DataFrame) -> DataFrame:
+    """sources with k: their place by code point, null last. Numbered within ranges, so no task holds all of them."""
+    key = (F.col("source").isNull(), F.col("source"))
+    placed = cut(sources.withColumn("part", F.lit(0)) if sources.count() <= SMALL_TABLE else sources.repartitionByRange(*key).withColumn("part", F.spark_partition_id()))
+    before = placed.groupBy("part").agg(F.count("*").alias("n")).withColumn("before", F.sum("n").over(W.orderBy("part")) - F.col("n")).select("part", "before")  # a row a range
+    at = F.row_number().over(W.partitionBy("part").orderBy(*key)) - 1
+    return placed.withColumn("at", at).join(F.broadcast(before), "part").withColumn("k", F.col("before") + F.col("at")).drop("part", "at", "before")
 
-def targets(sizes: list[int], weights: list[float], most: float = MOST) -> list[float]:
-    """Shares of sum(sizes) by weight; a target above most * size stops there, and the rest is shared anew."""
-    out, capped = [0.0] * len(sizes), set()
+
+def targets(sources: DataFrame, most: float = MOST, weights=weight) -> DataFrame:
+    """sources (k, size) with target: shares of all sizes by weight; one above most * size stops there, and the rest is shared anew."""
+    out = cut(sources.withColumns({"weight": weights(F.col("k")).cast("double"), "full": F.lit(False)}))
     while True:
-        left = sum(sizes) - sum(out[i] for i in capped)
-        open_ = [i for i in range(len(sizes)) if i not in capped]
-        whole = sum(weights[i] for i in open_)
-        for i in open_:
-            out[i] = left * weights[i] / whole
-        over = [i for i in open_ if out[i] > most * sizes[i]]
-        if not over:
-            return out
-        for i in over:
-            out[i] = float(most * sizes[i])
-            capped.add(i)
-
-
-def alias_table(weights: list[float]) -> list[tuple[float, int]]:
-    """Walker's table: column i keeps i with the probability given, else goes to the alias."""
-    n, whole = len(weights), sum(weights)
-    p = [w * n / whole for w in weights]
-    low, high = [i for i in range(n) if p[i] < 1], [i for i in range(n) if p[i] >= 1]
-    out = [(1.0, i) for i in range(n)]
-    while low and high:
-        i, j = low.pop(), high.pop()
-        out[i] = (p[i], j)
-        p[j] -= 1 - p[i]
-        (low if p[j] < 1 else high).append(j)
-    return out
-
-
-def multiplier(blocks: int, seed: str) -> int:
-    """A number below `blocks` and coprime to it, from a hash."""
-    a = int(hashlib.sha256(seed.encode()).hexdigest()[:15], 16) % max(1, blocks)
-    while math.gcd(a, blocks) != 1:
-        a += 1
-    return a
-
-
-def ordered_sources(sized: DataFrame) -> list:
-    """One row a source with its words, by code point, null last."""
-    rows = sized.groupBy("source").agg(F.sum("size").alias("words")).limit(MAX_SOURCES + 1).collect()
-    if len(rows) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
-    return sorted(rows, key=lambda r: (r.source is None, [ord(c) for c in r.source or ""]))
-
-
-def values(spark, rows: list[tuple], names: list[str], types: list[str]) -> DataFrame:
-    """A small table out of literals."""
-    schema = ", ".join(f"{n} {t}" for n, t in zip(names, types, strict=True))
-    return spark.createDataFrame(rows, schema)
-
-
-def u01(*cols) -> F.Column:
-    """Uniform in [0, 1) from a hash of the columns."""
-    return F.shiftrightunsigned(F.xxhash64(*cols), 11).cast("double") * F.lit(2.0**-53)
-
-
-def plan(sized: DataFrame, weights, block: int, most: float, seed: int) -> DataFrame:
-    """Per source: number k, words, target, blocks, quota, probability columns and permutation."""
-    rows = ordered_sources(sized)
-    sizes = [int(r.words) for r in rows]
-    goal = targets(sizes, [float(weights(i)) for i in range(len(rows))], most) if sum(sizes) else [0.0] * len(rows)
-    blocks = [-(-s // block) for s in sizes]
-    quota = [min(round(t / block), int(most) * b) for t, b in zip(goal, blocks, strict=True)]
-    table = alias_table([float(q) for q in quota]) if sum(quota) else [(1.0, i) for i in range(len(rows))]
-    out = [(i, r.source, sizes[i], goal[i], blocks[i], quota[i], *table[i], multiplier(blocks[i], f"{seed}/{i}")) for i, r in enumerate(rows)]
-    return values(sized.sparkSession, out, ["k", "source", "source_size", "target", "blocks", "quota", "stay", "alias", "a"], ["int", "string", "long", "double", "long", "long", "double", "int", "long"])
-
-
-def draw_slots(sources: DataFrame, shards: int, seed: int) -> DataFrame:
-    """shard, k, block of every slot of the mix."""
-    spark = sources.sparkSession
-    rows = sources.select("k", "quota", "stay", "alias").orderBy("k").collect()  # one row a source
-    total, n = sum(r.quota for r in rows), len(rows)
-    if total == 0:
-        return spark.range(0).select(F.lit(0).alias("shard"), F.lit(0).alias("k"), F.col("id").alias("block"))
-    slots = spark.range(total).withColumn("shard", (F.col("id") % shards).cast("int"))
-    column = F.least(F.floor(u01(F.lit(seed), F.col("id")) * n).cast("int"), F.lit(n - 1))
-    table = F.array(*[F.struct(F.lit(r.stay).alias("stay"), F.lit(r.alias).alias("alias")) for r in rows])
-    slots = slots.withColumn("__c", column).withColumn("__e", F.get(table, F.col("__c")))
-    drawn = slots.select("id", "shard", F.when(u01(F.lit(seed + 1), F.col("id")) < F.col("__e.stay"), F.col("__c")).otherwise(F.col("__e.alias")).alias("k"))
-    # the counts of the draws, and where each shard's and bucket's part of a source starts
-    drawn = drawn.withColumn("part", F.floor(F.col("id") / F.lit(max(1 << 16, total // 4096))))
-    counts = cut(drawn.groupBy("k", "shard", "part").agg(F.count("*").alias("n")))
-    starts = counts.withColumn("start", F.sum("n").over(W.partitionBy("k").orderBy("shard", "part")) - F.col("n"))
-    within = W.partitionBy("k", "shard", "part").orderBy("id")
-    ranked = drawn.withColumn("i", F.row_number().over(within) - 1).join(starts.drop("n"), ["k", "shard", "part"]).select("id", "shard", "k", (F.col("start") + F.col("i")).alias("rank"))
-    # draws beyond a source's quota go to the sources below theirs, in order
-    got = {r.k: r.n for r in counts.groupBy("k").agg(F.sum("n").alias("n")).collect()}
-    over, under, at, to = [], [], 0, 0
-    for r in rows:
-        extra = got.get(r.k, 0) - r.quota
-        over.append((r.k, r.quota, at))
-        at += max(0, extra)
-        if extra < 0:
-            under.append((to, to - extra, r.k, got.get(r.k, 0)))
-            to -= extra
-    moved = F.array(*[F.struct(F.lit(lo).cast("long").alias("lo"), F.lit(hi).cast("long").alias("hi"), F.lit(k).alias("k"), F.lit(n).cast("long").alias("n")) for lo, hi, k, n in under]) if under else None
-    limits = F.create_map(*[x for k, q, a in over for x in (F.lit(k), F.struct(F.lit(q).cast("long").alias("q"), F.lit(a).cast("long").alias("a")))])
-    settled = ranked.withColumn("__l", limits[F.col("k")])
-    if moved is None:
-        settled = settled.select("shard", "k", "rank")
-    else:
-        z = F.col("__l.a") + F.col("rank") - F.col("__l.q")
-        spot = F.when(F.col("rank") >= F.col("__l.q"), F.get(F.filter(moved, lambda m: (m["lo"] <= z) & (z < m["hi"])), F.lit(0)))
-        settled = settled.withColumn("__m", spot).select("shard", F.coalesce("__m.k", "k").alias("k"), F.when(F.col("__m").isNotNull(), F.col("__m.n") + z - F.col("__m.lo")).otherwise(F.col("rank")).alias("rank"))
-    s = settled.join(F.broadcast(sources.select("k", "blocks", "a")), "k")  # one row a source
-    turn = F.pmod(F.xxhash64(F.lit(seed + 2), F.col("k"), F.floor(F.col("rank") / F.col("blocks"))), F.col("blocks"))
-    place = (F.col("a").cast("decimal(20,0)") * (F.col("rank") % F.col("blocks")) + turn) % F.col("blocks")
-    return s.select("shard", "k", place.cast("long").alias("block"))
+        # what is left for the open sources, and their weight
+        left = out.agg(F.sum("size").alias("all"), F.sum(F.when(F.col("full"), most * F.col("size"))).alias("used"), F.sum(F.when(~F.col("full"), F.col("weight"))).alias("open")).first()
+        if not left.open:
+            return out.withColumn("target", F.col("size") * F.lit(float(most)))
+        share = F.lit(float((left.all or 0) - (left.used or 0))) * F.col("weight") / F.lit(left.open)
+        out = out.withColumn("share", share)
+        over = ~F.col("full") & (F.col("share") > most * F.col("size"))
+        if out.filter(over).isEmpty():
+            return out.withColumn("target", F.when(F.col("full"), F.col("size") * F.lit(float(most))).otherwise(F.col("share"))).drop("share")
+        out = cut(out.withColumn("full", F.col("full") | over).drop("share"))
 
 
-def placed(docs: DataFrame, sources: DataFrame, seed: int) -> DataFrame:
-    """docs with k and `at`: the place of the document's first word in its source's stream."""
-    docs = docs.join(F.broadcast(sources.select("k", F.col("source").alias("__source"), "source_size", "target")), F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
-    rows = {r.k: r["count"] for r in docs.groupBy("k").count().collect()}  # one row a source
-    chunks = F.create_map(*[F.lit(x) for k, n in sorted(rows.items()) for x in (k, -(-n // CHUNK_ROWS))]) if rows else F.create_map(F.lit(0), F.lit(1))
-    docs = docs.withColumn("__mix", F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("size"), F.col("__digest")))
-    docs = docs.withColumn("__chunk", F.pmod(F.col("__mix"), F.coalesce(chunks[F.col("k")], F.lit(1)).cast("long")))
-    sums = docs.groupBy("k", "__chunk").agg(F.sum("size").alias("__n"))
-    before = sums.withColumn("__before", F.sum("__n").over(W.partitionBy("k").orderBy("__chunk")) - F.col("__n")).drop("__n")
-    order = W.partitionBy("k", "__chunk").orderBy("__mix", "doc_id", "__row").rowsBetween(W.unboundedPreceding, W.currentRow)
-    docs = docs.withColumn("__own", F.sum("size").over(order) - F.col("size")).join(before, ["k", "__chunk"])
-    return docs.withColumn("at", F.col("__before") + F.col("__own")).drop("__before", "__own", "__chunk", "__mix")
-
-
-def mix(docs: DataFrame, weights=lambda i: i % 3 + 1, block: int = BLOCK_WORDS, shards: int = SHARDS, most: float = MOST, seed: int = SEED) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(documents with size, source_size, target, k, at; uses of every block; slots shard, k, block).
-
-    weights: number of a source in code point order -> weight.
+def multiplier(blocks: Column, seed: Column) -> Column:
+    """A number below `blocks` and coprime to it: the first of some hashed candidates, else 1."""
+    tries = F.array(*[F.pmod(F.xxhash64(seed, F.lit(p)), blocks) for p in FEW])
+    gcd = lambda a: F.reduce(F.sequence(F.lit(1), F.lit(96)), F.struct(a.alias("x"), blocks.alias("y")), lambda s, _: F.when(s["y"] == 0, s).otherwise(F.struct(s["y"].alias("x"), F.pmod(s["x"], F.when(s["y"] == 0, 1).otherwise(s["y"])).alias("y"))), lambda s: s["x"])
+    return F.coalesce(F.get(F.filter(tries, lambda a: gcd(a) == 1), F.lit(0)), F.lit(1).cast("long"))
+
+
+def plan(sized: DataFrame, weights=weight, block: int = BLOCK_WORDS, most: float = MOST, seed: int = SEED) -> DataFrame:
+    """A row a source: number k, size, target, whole blocks, words of the last block, slots, words of the last slot, multiplier.
+
+    sized: source, size of the documents.
     """
-    sized = docs.withColumns({"size": F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long"), "__digest": F.xxhash64("text")})
-    sized = cut(sized.select("doc_id", "source", "size", "__digest").withColumn("__row", F.monotonically_increasing_id()))
+    sources = targets(numbered(sized.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("docs"))), most, weights)
+    goal = F.floor(F.col("target") + 1e-6).cast("long")
+    d = sources.withColumns({"whole": F.floor(F.col("size") / block), "tail": F.col("size") % block, "goal": goal})
+    d = d.withColumns({"passes": F.when(F.col("size") > 0, F.floor(F.col("goal") / F.col("size"))).otherwise(0), "blocks": F.col("whole") + (F.col("tail") > 0).cast("long")})
+    rest = F.col("goal") - F.col("passes") * F.col("size")  # words of the last, open pass
+    d = d.withColumns({"slots": F.col("passes") * F.col("blocks") + F.ceil(rest / block), "last": rest % block})
+    a = F.when(F.col("whole") > 1, multiplier(F.col("whole"), F.xxhash64(F.lit(seed), F.col("k")))).otherwise(F.lit(1).cast("long"))
+    return cut(d.select("k", "source", F.col("size").alias("source_size"), "target", "docs", "whole", "tail", "blocks", "slots", "last", a.alias("a")))
+
+
+def slots(sources: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
+    """k, rank, shard, block and words (null: all of the block) of every slot of the mix."""
+    runs = sources.select("k", "whole", "blocks", "slots", "last", "a", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / RUN_SLOTS))).alias("run")).filter("slots > 0")
+    runs = runs.repartition("k", "run")  # no task makes all slots of a large source
+    each = runs.withColumn("rank", F.explode(F.sequence(F.col("run") * RUN_SLOTS, F.least((F.col("run") + 1) * RUN_SLOTS, F.col("slots")) - 1)))
+    at, turn = F.col("rank") % F.col("blocks"), F.floor(F.col("rank") / F.col("blocks"))
+    shift = F.pmod(F.xxhash64(F.lit(seed + 2), F.col("k"), turn), F.greatest(F.col("whole"), F.lit(1)))
+    inner = F.pmod(F.col("a").cast("decimal(20,0)") * at + shift, F.greatest(F.col("whole"), F.lit(1))).cast("long")
+    shard = F.pmod(F.xxhash64(F.lit(seed + 3), F.col("k"), F.col("rank")), F.lit(shards)).cast("int")
+    words = F.when((F.col("rank") == F.col("slots") - 1) & (F.col("last") > 0), F.col("last"))
+    return each.select("k", "rank", shard.alias("shard"), F.when(at < F.col("whole"), inner).otherwise(F.col("whole")).alias("block"), words.alias("words"))
+
+
+def small(table: DataFrame) -> DataFrame:
+    return F.broadcast(table) if table.count() <= SMALL_TABLE else table
+
+
+def placed(docs: DataFrame, sources: DataFrame, seed: int) -> DataFrame:
+    """docs (doc_id, source, size, digest, row) with k and `at`: the place of the document's first word in its source's stream."""
+    few = small(sources.select("k", F.col("source").alias("of"), "source_size", "target", "docs"))
+    docs = docs.join(few, F.col("source").eqNullSafe(F.col("of"))).drop("of")
+    docs = docs.withColumn("mix", F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("size"), F.col("digest")))
+    docs = docs.withColumn("chunk", F.pmod(F.col("mix"), F.ceil(F.col("docs") / CHUNK_ROWS)))
+    sums = docs.groupBy("k", "chunk").agg(F.sum("size").alias("n"))
+    before = sums.withColumn("before", F.sum("n").over(W.partitionBy("k").orderBy("chunk")) - F.col("n")).drop("n")
+    order = W.partitionBy("k", "chunk").orderBy("mix", "doc_id", "row").rowsBetween(W.unboundedPreceding, W.currentRow)
+    docs = docs.withColumn("own", F.sum("size").over(order) - F.col("size")).join(before, ["k", "chunk"])
+    return docs.withColumn("at", F.col("before") + F.col("own")).drop("before", "own", "chunk", "mix", "docs")
+
+
+def sizes(docs: DataFrame) -> DataFrame:
+    """doc_id, source, size, digest of the text, and a number for each record."""
+    sized = docs.select("doc_id", "source", F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long").alias("size"), F.xxhash64("text").alias("digest"))
+    return cut(sized.withColumn("row", F.monotonically_increasing_id()))
+
+
+def mix(sized: DataFrame, weights=weight, block: int = BLOCK_WORDS, shards: int = SHARDS, most: float = MOST, seed: int = SEED) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(sizes() with source_size, target, k, at; k, block, uses and words of one further use; slots)."""
     sources = plan(sized, weights, block, most, seed)
-    slots = draw_slots(sources, shards, seed)
-    uses = slots.groupBy("k", "block").agg(F.count("*").alias("uses"))
-    return placed(sized, sources, seed), uses, slots
+    dealt = slots(sources, shards, seed)
+    uses = dealt.groupBy("k", "block").agg(F.count_if(F.col("words").isNull()).alias("uses"), F.coalesce(F.max("words"), F.lit(0)).alias("part"))
+    return placed(sized, sources, seed), uses, dealt
 
 
-def overlaps(docs: DataFrame, block: int) -> DataFrame:
-    """A row for each block that holds words of the document: block and the words there."""
+def overlaps(docs: DataFrame, uses: DataFrame, block: int) -> DataFrame:
+    """row, and for each block that holds words of the document: first and end of these in the document, uses, and the end of a further use."""
     first, last = F.floor(F.col("at") / block), F.floor((F.col("at") + F.col("size") - 1) / block)
-    each = docs.filter(F.col("size") > 0).select("__row", "k", "at", "size", F.explode(F.sequence(first, last)).alias("block"))
-    words = F.least(F.col("at") + F.col("size"), (F.col("block") + 1) * block) - F.greatest(F.col("at"), F.col("block") * block)
-    return each.withColumn("words", words)
+    each = docs.filter(F.col("size") > 0).select("row", "k", "at", "size", F.explode(F.sequence(first, last)).alias("block")).join(uses, ["k", "block"])
+    lo = F.greatest(F.col("block") * block - F.col("at"), F.lit(0))
+    hi = F.least((F.col("block") + 1) * block - F.col("at"), F.col("size"))
+    return each.select("row", lo.alias("lo"), hi.alias("hi"), "uses", F.greatest(lo, F.least(hi, F.col("block") * block + F.col("part") - F.col("at"))).alias("stop"))
 
 
 def digest(docs: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
     """doc_id, size, source_size, target, taken of every document."""
-    own, uses, _ = mix(docs.select("doc_id", "source", "text"), block=block)
-    taken = overlaps(own, block).join(uses, ["k", "block"]).groupBy("__row").agg(F.sum(F.col("words") * F.col("uses")).alias("taken"))
-    out = own.join(taken, "__row", "left")
+    own, uses, _ = mix(sizes(docs.select("doc_id", "source", "text")), block=block)
+    words = (F.col("hi") - F.col("lo")) * F.col("uses") + F.col("stop") - F.col("lo")
+    taken = overlaps(own, uses, block).groupBy("row").agg(F.sum(words).alias("taken"))
+    out = own.join(taken, "row", "left")
     return out.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
 def taken_texts(docs: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
     """The mix as documents: for every pass over the blocks, a row with the words that the pass takes.
 
-    Columns are those of docs (with doc_id, source, text); a text that a pass takes whole stays as it is,
-    of others the taken words are joined by blanks. n_chars, if there, follows the text.
+    Columns are those of docs (with doc_id, source, text); a text that a pass takes whole stays as it is, of others the
+    taken stretches are cut out with all that stands between their words, and joined by a line break where some words are
+    left out. n_chars, if there, follows the text.
     """
-    own, uses, _ = mix(docs.select("doc_id", "source", "text"), block=block)
-    runs = overlaps(own, block).join(uses, ["k", "block"]).groupBy("__row").agg(F.sort_array(F.collect_list(F.struct("block", "uses"))).alias("runs"))
-    own = own.join(runs, "__row").select(F.struct("doc_id", "source", "__digest").alias("__key"), "size", "at", "runs")
+    sized = sizes(docs.select("doc_id", "source", "text"))
+    own, uses, _ = mix(sized, block=block)
+    parts = overlaps(own, uses, block)
+    # the words that each pass takes: a use of a block each, and the beginning of one block
+    passes = parts.select("row", "lo", "hi", F.explode(F.sequence(F.lit(1).cast("long"), F.col("uses") + (F.col("stop") > F.col("lo")).cast("long"))).alias("turn"), "uses", "stop")
+    passes = passes.filter("uses > 0 OR stop > lo").select("row", "turn", "lo", F.when(F.col("turn") > F.col("uses"), F.col("stop")).otherwise(F.col("hi")).alias("hi")).filter("hi > lo")
+    runs = passes.groupBy("row", "turn").agg(F.array_sort(F.collect_list(F.struct("lo", "hi"))).alias("runs"))
+    runs = runs.groupBy("row").agg(F.collect_list("runs").alias("passes"))  # a few passes, a run for each block of the text
+    taken = own.join(runs, "row").select(F.struct("doc_id", "source", "digest").alias("key"), "size", "passes")
     # rows that are equal in all of the key share one text
-    text = docs.withColumn("__key", F.struct("doc_id", "source", F.xxhash64("text").alias("__digest"))).dropDuplicates(["__key"])
-    both = text.join(own, "__key")
-    both = both.withColumn("pass", F.explode(F.sequence(F.lit(1), F.array_max(F.transform("runs", lambda r: r["uses"])).cast("int"))))
-    both = both.withColumn("runs", F.filter("runs", lambda r: r["uses"] >= F.col("pass")))
-    all_ = F.floor((F.col("at") + F.col("size") - 1) / block) - F.floor(F.col("at") / block) + 1
-    both = both.withColumn("__words", F.regexp_extract_all(F.col("text"), F.lit(f"({WORD})"), F.lit(1)))
-    part = F.flatten(F.transform("runs", lambda r: F.slice(F.col("__words"), (F.greatest(r["block"] * block - F.col("at"), F.lit(0)) + 1).cast("int"), (F.least((r["block"] + 1) * block - F.col("at"), F.col("size")) - F.greatest(r["block"] * block - F.col("at"), F.lit(0))).cast("int"))))
-    new = F.when(F.size("runs") == all_, F.col("text")).otherwise(F.array_join(part, " "))
-    both = both.withColumn("text", new)
+    text = docs.select(F.struct("doc_id", "source", F.xxhash64("text").alias("digest")).alias("key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document")).dropDuplicates(["key"])
+    both = text.join(taken, "key").select("document", "size", F.explode("passes").alias("runs"))
+    # stretches as (start, length) in words: neighbouring runs are one
+    joined = F.aggregate("runs", F.array().cast("array<struct<lo:bigint,hi:bigint>>"), lambda acc, r: F.when((F.size(acc) > 0) & (F.element_at(acc, -1)["hi"] == r["lo"]), F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(F.element_at(acc, -1)["lo"].alias("lo"), r["hi"].alias("hi"))))).otherwise(F.concat(acc, F.array(r))))
+    both = both.withColumn("runs", joined)
+    body = F.col("document.text")
+    whole = (F.size("runs") == 1) & (F.get("runs", F.lit(0))["lo"] == 0) & (F.get("runs", F.lit(0))["hi"] == F.col("size"))
+    # words with what follows them up to the next word; the pieces before the first word have no word
+    pieces = F.when(whole, F.array().cast("array<string>")).otherwise(F.regexp_extract_all(body, F.lit(f"({WORD}[\\x20\\x09-\\x0D]*)"), F.lit(1)))
+    both = both.withColumn("pieces", pieces)
+    part = F.array_join(F.transform("runs", lambda r: F.rtrim(F.array_join(F.slice("pieces", (r["lo"] + 1).cast("int"), (r["hi"] - r["lo"]).cast("int")), ""))), "\n")
+    new = F.when(whole, body).otherwise(part)
+    fields = {"text": new}
     if "n_chars" in docs.columns:
-        both = both.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return both.select(*[F.col(f"`{c}`") for c in docs.columns])
+        fields["n_chars"] = F.char_length(new).cast(docs.schema["n_chars"].dataType)
+    return both.select(*[fields.get(c, F.col(f"document.`{c}`")).alias(c) for c in docs.columns])

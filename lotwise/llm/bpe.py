@@ -14,8 +14,11 @@ encoded from left to right by table lookups, and decoding emits the labels of
 the arcs. Texts are cut into words first, as the tokenizer file says.
 
 Defined results: null and empty texts encode to no ids and an empty string; a
-special token's string in a text becomes that token; words of any length are
-handled in time linear in their length.
+special token's string in a text becomes that token; texts and words of any
+length are encoded whole, in time linear in their length; of several paths
+there is only one, so there are no ties; repeated rows get equal results; an
+empty table gives no rows; further columns are kept, but for those that the
+results name.
 """
 
 from __future__ import annotations
@@ -136,17 +139,16 @@ class WordBpe:
         self.words = regex.compile(pattern.replace(r"\s", r"\p{White_Space}"))
         self.specials = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
         self.alphabet = byte_alphabet()
-        self.cache: dict[str, tuple[bytes, str]] = {}
+        self.cache: dict[str, bytes] = {}
+        self.labels = list(self.machine.label)
+        for token, i in self.special.items():
+            self.labels[i : i + 1] = [token] if i < len(self.labels) else [""] * (i - len(self.labels)) + [token]
 
-    def label(self, i: int) -> str:
-        return next((s for s, k in self.special.items() if k == i), None) or self.machine.label[i]
+    def arcs(self, word: str) -> bytes:
+        """The ids of a word as little-endian uint32."""
+        return np.array(self.machine.encode("".join([self.alphabet[b] for b in word.encode()])), "<u4").tobytes()
 
-    def arcs(self, word: str) -> tuple[bytes, str]:
-        """The ids of a word as little-endian uint32, and the labels of their arcs."""
-        ids = self.machine.encode("".join([self.alphabet[b] for b in word.encode()]))
-        return np.array(ids, "<u4").tobytes(), " ".join([self.machine.label[i] for i in ids])
-
-    def known(self, word: str) -> tuple[bytes, str]:
+    def known(self, word: str) -> bytes:
         got = self.cache.get(word)
         if got is None:
             got = self.arcs(word)
@@ -161,22 +163,26 @@ class WordBpe:
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
         return self.words.findall(text.lower())
 
-    def encode(self, text: str | None) -> tuple[bytes, str]:
-        """All ids of a text, and its decoding: the labels in order, joined by blanks."""
+    def ids(self, text: str | None) -> bytes:
+        """All ids of a text as little-endian uint32."""
         if not text:
-            return b"", ""
+            return b""
         parts = []
-        for piece in self.specials.split(text) if self.specials and "<|" in text else (text,):
+        for piece in self.specials.split(text) if any(s in text for s in self.special) else (text,):
             if piece in self.special:
-                i = self.special[piece]
-                parts.append((np.array([i], "<u4").tobytes(), piece))
+                parts.append(np.array([self.special[piece]], "<u4").tobytes())
             elif piece:
                 get, known = self.cache.get, self.known
                 parts += [get(w) or known(w) for w in self.split(piece)]
-        return b"".join([p[0] for p in parts]), " ".join([p[1] for p in parts])
+        return b"".join(parts)
 
     def decode(self, ids: bytes) -> str:
-        return " ".join(self.label(int(i)) for i in np.frombuffer(ids, "<u4"))
+        """The labels of the arcs in order, joined by blanks."""
+        return " ".join(map(self.labels.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+
+    def encode(self, text: str | None) -> tuple[bytes, str]:
+        ids = self.ids(text)
+        return ids, self.decode(ids)
 
 
 _loaded: dict[str, WordBpe] = {}
@@ -191,31 +197,47 @@ def load(path: str) -> WordBpe:
 
 
 def encode_column(text: Column, path: str) -> Column:
-    """struct<ids binary, decoded string>: ids are little-endian uint32."""
+    """binary: ids as little-endian uint32."""
 
-    @F.pandas_udf("ids binary, decoded string")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("binary")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         bpe = load(path)
         for texts in batches:
-            rows = [bpe.encode(t) for t in texts]
-            yield pd.DataFrame({"ids": [r[0] for r in rows], "decoded": [r[1] for r in rows]}, dtype=object)
+            yield pd.Series([bpe.ids(t) for t in texts], dtype=object)
 
     return run(text)
 
 
+def decode_column(ids: Column, path: str) -> Column:
+    """string: the text that the ids stand for."""
+
+    @F.pandas_udf("string")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        bpe = load(path)
+        for rows in batches:
+            yield pd.Series([bpe.decode(i) for i in rows], dtype=object)
+
+    return run(ids)
+
+
 def encode(df: DataFrame, path: str, text_col: str = "text") -> DataFrame:
-    """df with columns ids (binary) and decoded (string); columns of those names are replaced.
+    """df with a column ids (binary); a column of that name is replaced.
 
     `path` names a tokenizer JSON that every executor can open.
     """
     small_batches(df.sparkSession)
-    done = df.withColumn("__bpe", encode_column(F.col(text_col), path))
-    return done.withColumns({"ids": F.col("__bpe.ids"), "decoded": F.col("__bpe.decoded")}).drop("__bpe")
+    return df.withColumn("ids", encode_column(F.col(f"`{text_col}`"), path))
+
+
+def decode(df: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
+    """df with a column decoded (string); a column of that name is replaced."""
+    small_batches(df.sparkSession)
+    return df.withColumn("decoded", decode_column(F.col(f"`{ids_col}`"), path))
 
 
 def digest(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document."""
-    done = encode(docs.select("doc_id", "text"), path)
+    done = decode(encode(docs.select("doc_id", "text"), path), path).select("doc_id", "ids", "decoded")
     return done.select(
         "doc_id",
         (F.length("ids") / 4).cast("long").alias("n_tokens"),

@@ -4,13 +4,15 @@ Features are TF-IDF weights of character n-grams inside words, hashed to a
 fixed number of slots. Document frequencies are counted over all training
 rows. The weights are fitted with follow-the-regularised-leader (proximal,
 per-coordinate rates) under an elastic-net penalty on a bounded sample of
-labelled rows; a part of the sample that the fit doesn't see sets the softmax
-temperature.
+labelled rows of every language; a part of the sample that the fit doesn't see
+sets the softmax temperature.
 
 Defined results: a text that is null or has no letter is `und` with score 0,
-as is every text when there is nothing to learn from; ties between languages
-go to the smaller name; repeated rows get equal results; other columns are
-neither read nor changed.
+as is every text when there is nothing to learn from; texts of any length
+count whole, a task holding the distinct words of one at a time; ties between
+languages go to the smaller name; repeated rows get equal results; an empty
+table gives no rows; other columns, whatever their names, are neither read nor
+changed.
 """
 
 from __future__ import annotations
@@ -29,12 +31,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lotwise.llm.text import fold, small_batches
+from lotwise.session import cut
 
 SLOTS = 1 << 16
-GRAMS = (2, 3)
+GRAMS = (1, 2, 3)
 SCALE = 64.0  # term frequencies are shares of a text's n-grams; this brings features near 1
 SAMPLE_PER_LANG = 400  # labelled rows of each language that the fit may see
-MAX_LANGS = 256
+SMALL_TABLE = 100_000  # languages; the counts of as many are broadcast, of more they are joined
 CACHE_WORDS = 400_000
 LONG_WORD = 48
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -161,12 +164,10 @@ def document_frequencies(rows: DataFrame) -> tuple[np.ndarray, int]:
 
 def sample(rows: DataFrame, per_lang: int) -> pd.DataFrame:
     """lang, slots, counts: at most per_lang rows of each language, the same at every run."""
-    counts = {r.lang: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()}
-    if not counts:
-        return pd.DataFrame({"lang": [], "slots": [], "counts": []})
-    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, 2.0 * per_lang / n))])
+    counts = cut(rows.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(2.0 * per_lang) / F.count("*")).alias("share")))
+    few_langs = F.broadcast(counts) if counts.count() <= SMALL_TABLE else counts
     draw = (F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / 1_000_003.0).alias("draw")
-    near = rows.select("doc_id", "lang", "text", draw).filter(F.col("draw") <= F.coalesce(share[F.col("lang")], F.lit(-1.0)))
+    near = rows.select("doc_id", "lang", "text", draw).join(few_langs, "lang").filter(F.col("draw") <= F.col("share"))
     order = W.partitionBy("lang").orderBy("draw", "doc_id", "text")
     few = near.withColumn("at", F.row_number().over(order)).filter(F.col("at") <= per_lang)
 
@@ -253,7 +254,7 @@ def train(rows: DataFrame, per_lang: int = SAMPLE_PER_LANG) -> Model:
 
 def predict(model: Model, spark, text: Column) -> Column:
     """struct<lang_pred string, score double> of a text column."""
-    held = spark.sparkContext.broadcast(model)  # SLOTS x languages floats: its size is fixed
+    held = spark.sparkContext.broadcast(model)  # SLOTS x languages floats: its size does not grow with the rows
 
     @F.pandas_udf("lang_pred string, score double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

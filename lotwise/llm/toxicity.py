@@ -5,12 +5,16 @@ logistic model over its distinct words and their beginnings, so that inflected
 and compound forms share evidence (hashed to a fixed number of slots);
 the document's probability is their noisy-or, 1 - prod(1 - p). The model is
 fitted to document labels only, by adaptive gradients with soft thresholding,
-on a bounded sample of labelled rows weighted back to the labels' proportions.
-Afterwards the sentence probabilities point at the offending sentences.
+on a sample of labelled rows that is bounded in rows and in bytes, weighted
+back to the labels' proportions. Afterwards the sentence probabilities point
+at the offending sentences.
 
 Defined results: null and empty texts have no sentence and score 0; so does
-every text when no label can be learned from; repeated rows get equal scores;
-several labels of one id count as toxic if any is; null labels are left out.
+every text when no label can be learned from; texts of any length are scored
+whole, but one that alone exceeds the sample's bytes is not learned from;
+repeated rows and ties get equal scores; several labels of one id count as
+toxic if any is; null labels are left out; an empty table gives no rows;
+further columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -23,6 +27,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lotwise.llm.langid import Cached
@@ -31,6 +36,7 @@ from lotwise.llm.text import fold, small_batches
 SLOTS = 1 << 20
 BEGINNINGS = (3, 4, 5, 6)  # letters
 SAMPLE_PER_CLASS = 2000  # labelled rows of each class that the fit may see
+SAMPLE_BYTES = 48 << 20  # packed slots of each class that the fit may see
 TOXIC_WEIGHT = 3.0
 STOP = re.compile(r"[.!?\n]+")
 WORDS = re.compile(r"[^\W_]+")
@@ -124,7 +130,11 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS)
             got = [encode_bag(t, known) for t in b["text"]]
             yield pd.DataFrame({"draw": b["draw"], "doc_id": b["doc_id"], "toxic": b["toxic"], "slots": [g[0] for g in got], "sizes": [g[1] for g in got]})
 
-    few = kept.mapInPandas(features, "draw double, doc_id long, toxic int, slots binary, sizes binary").toPandas().sort_values(["draw", "doc_id", "toxic"], ignore_index=True)
+    packed = kept.mapInPandas(features, "draw double, doc_id long, toxic int, slots binary, sizes binary")
+    size = F.length("slots") + F.length("sizes")
+    drawn = W.partitionBy("toxic").orderBy("draw", "doc_id", "slots")  # 2 * per_class ids at most
+    few = packed.filter(size <= SAMPLE_BYTES).withColumn("bytes", F.sum(size).over(drawn)).filter(F.col("bytes") <= SAMPLE_BYTES).drop("bytes")
+    few = few.toPandas().sort_values(["draw", "doc_id", "toxic"], ignore_index=True)
     ys = few["toxic"].to_numpy()
     if len(set(ys)) < 2:
         return none

@@ -328,8 +328,10 @@ def without_loners(marked: DataFrame, tokens: DataFrame, percent: int) -> DataFr
         once = held.groupBy("token").agg(F.count("*").alias("c"), F.min("node").alias("node")).filter("c = 1")
         own = nodes.join(once.groupBy("node").agg(F.count("*").alias("own")), "node", "left").select("node", "size", F.coalesce("own", F.lit(0)).alias("own"))
         kept = own.filter(F.col("own") <= most(F.col("size"), F.floor(100 * F.col("size") / percent), percent)).select("node", "own")
+        kept = cut(kept)
         marked = split_groups(marked.join(kept, "node", "left_semi"), None)
-    return marked.join(cut(kept), "node")
+        release(marked.sparkSession)
+    return marked.join(kept, "node")
 
 
 def to_hubs(marked: DataFrame) -> DataFrame:
@@ -392,6 +394,7 @@ def linked(groups: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
     labels = cut(components(links))
     family = family.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     pairs = cut(candidates(family, percent))
+    release(groups.sparkSession)
     of = lambda k: family.select("hub", F.col("node").alias(k), F.col("size").alias(f"size_{k}"), F.col("more").alias(f"more_{k}"), F.col("less").alias(f"less_{k}"))
     full = pairs.join(of("x"), ["hub", "x"]).join(of("y"), ["hub", "y"])
     gap = sum(F.size(f"{p}_{k}") for p in ("more", "less") for k in "xy") - 2 * sum(F.size(F.array_intersect(f"{p}_x", f"{p}_y")) for p in ("more", "less"))

@@ -1,12 +1,14 @@
 """The numbered queries against plain Python, over whole small tables and edge rows."""
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from lotwise.llm import bpe, langid, license_scan, mixing, quality, registry, shards, toxicity
@@ -90,12 +92,96 @@ def test_quality_counts(docs, labels, spark, sf):
     assert not any(r["kept"] and r["base_failed"] for r in out)
 
 
+SHARES = "stratum string, good boolean, tuning boolean, symbols double, repeats double, lines double, capitals double"
+
+
 def test_quality_cutoffs_are_certified(spark):
-    """1500 good rows with shares up to 8 percent, 300 bad ones far above: the cutoff loses no more than risked."""
-    data = [("=en", True, float(i % 9), 0.0, 0.0, 0.0) for i in range(3000)] + [("=en", False, 45.0, 0.0, 0.0, 0.0)] * 300 + [("=xx", True, 0.0, 0.0, 0.0, 0.0)] * 5 + [("=xx", False, 99.0, 0.0, 0.0, 0.0)] * 5
-    got = quality.choose(spark.createDataFrame(data, "stratum string, good boolean, symbols double, repeats double, lines double, capitals double"))
-    assert list(got) == [("=en", "symbols")]  # five good documents certify nothing
-    assert 8 <= got["=en", "symbols"] < 45
+    """3000 good rows with shares up to 8 percent, 300 bad ones far above: the cutoff loses no more than risked."""
+    data = [("=en", True, i % 4 == 0, float(i % 9), 0.0, 0.0, 0.0) for i in range(3000)] + [("=en", False, False, 45.0, 0.0, 0.0, 0.0)] * 300 + [("=xx", True, i == 0, 0.0, 0.0, 0.0, 0.0) for i in range(5)] + [("=xx", False, False, 99.0, 0.0, 0.0, 0.0)] * 5
+    got = {r.stratum: r for r in quality.choose(spark.createDataFrame(data, SHARES)).collect()}
+    assert list(got) == ["=en"]  # five good documents certify nothing
+    assert 8 <= got["=en"].cut_symbols < 45 and got["=en"].cut_repeats is got["=en"].cut_lines is got["=en"].cut_capitals is None
+    assert (got["=en"].good, got["=en"].lost) == (2250, 0)
+
+
+def test_quality_guarantee_holds(spark):
+    """Strata whose good and bad rows do not differ: of 300 of them, few may get a setting that loses more than risked."""
+    rng = np.random.default_rng(8)
+    data = []
+    for k in range(300):
+        for i in range(330):
+            data.append((f"={k}", i >= 30, i % 4 == 0, *(float(x) for x in 100 * rng.beta(0.5, 8, 4))))
+    got = quality.choose(spark.createDataFrame(data, SHARES)).collect()
+    draws = 100 * rng.beta(0.5, 8, (100_000, 4))
+    worse = sum((draws > [np.inf if r[f"cut_{x}"] is None else r[f"cut_{x}"] for x in quality.RULES]).any(1).mean() > quality.RISK for r in got)
+    assert worse <= 2  # the chance of any at all is 0.05
+
+
+def plain_kept(rows, marks):
+    """kept, by the docstring, in plain Python."""
+    from fractions import Fraction
+    from math import comb
+
+    def shares(text):
+        n, chars, symbols, dup, repeat, failed = base_counts(text)
+        lines = sum(1 for x in (text or "").split("\n") if GAPS.search(x))
+        capitals = len(regex.findall(r"\p{Lu}", text or ""))
+        part = lambda a, b: 100 * a / b if b else 0.0
+        return failed, (part(symbols, chars), part(repeat, n), part(dup, lines), part(capitals, chars))
+
+    good = {}
+    for d, q in marks:
+        if d is not None and q is not None:
+            good[d] = good.get(d, True) and q == 1
+    measured = [(d, lang, *shares(t)) for d, t, lang in rows]
+    use = {}
+    for d, lang, failed, s in measured:
+        if not failed and d in good:
+            use.setdefault(lang, []).append((good[d], crc(d) % quality.TUNING == 0, s))
+    tested = {lang: sum(g and not t for g, t, _ in x) for lang, x in use.items()}
+    able = max(1, sum((1 - quality.RISK) ** n <= quality.LEVEL for n in tested.values()))
+    chosen = {}
+    for lang, x in use.items():
+        fold, bad, test = [s for g, t, s in x if g and t], [s for g, _, s in x if not g], [s for g, t, s in x if g and not t]
+        best = None
+        for step, (share, slack) in enumerate(quality.STEPS):
+            cuts = []
+            for r in range(4):
+                lost = [sum(s[r] > c for s in fold) for c in quality.GRID]
+                i = max((i for i, n in enumerate(lost) if n <= share * len(fold)), default=-99) - slack
+                use_it = i >= 0 and sum(s[r] > quality.GRID[i] for s in bad) * max(1, len(fold)) > lost[i] * len(bad)
+                cuts.append(quality.GRID[i] if use_it else math.inf)
+            out = lambda s, cuts=cuts: any(a > c for a, c in zip(s, cuts, strict=True))
+            n, k, hit = len(test), sum(map(out, test)), sum(map(out, bad))
+            risk = Fraction(str(quality.RISK))
+            if not n or k > n * risk or sum(comb(n, i) * float(risk**i * (1 - risk) ** (n - i)) for i in range(k + 1)) > quality.LEVEL / able:
+                break
+            gain = hit / len(bad) - k / n if bad else -k / n
+            if hit and (best is None or gain > best[0]):
+                best = gain, cuts
+        chosen[lang] = best[1] if best else [math.inf] * 4
+    return Counter((d, not failed and all(a <= c for a, c in zip(s, chosen.get(lang, [math.inf] * 4), strict=True))) for d, lang, failed, s in measured), chosen
+
+
+@pytest.mark.parametrize("table", ["sf0.01", "sf0.1"])
+def test_quality_verdicts_are_the_plain_ones(spark, table):
+    docs, marks = (spark.read.parquet(f"/root/testdata/{table}/{x}.parquet") for x in ("documents", "labels"))
+    rows_ = [(r.doc_id, r.text, r.lang) for r in docs.select("doc_id", "text", "lang").collect()]
+    want, chosen = plain_kept(rows_, [(r.doc_id, r.quality) for r in marks.collect()])
+    out = quality.judge(docs, marks).cache()
+    assert Counter((r.doc_id, r.kept) for r in out.collect()) == want
+    if table == "sf0.1":  # every language with 300 good labels has rules, and they reject bad documents
+        good = docs.join(marks.filter("quality = 1"), "doc_id").groupBy("lang").count().filter("count >= 300").collect()
+        bad = out.join(marks.filter("quality = 0"), "doc_id").join(docs.select("doc_id", "lang"), "doc_id")
+        hit = {r.lang: r["count"] for r in bad.filter("NOT kept AND NOT base_failed").groupBy("lang").count().collect()}
+        assert good and all(hit.get(r.lang, 0) > 0 for r in good), (hit, chosen)
+
+
+def test_quality_keeps_clashing_columns(spark, labels):
+    data = [(1, "en", "word " * 3 + " ".join(f"w{i}" for i in range(60)), "q!", "k!", 1.5, "s!", "d!", "t!")]
+    names = ["doc_id", "lang", "text", "q", "kept", "cut_symbols", "stratum", "document", "__w"]
+    df = spark.createDataFrame(data, names)
+    assert [tuple(r) for r in quality.keep(df, labels).collect()] == data and quality.keep(df, labels).columns == names
 
 
 def test_binomial_tail(spark):
@@ -136,6 +222,35 @@ def test_license_texts_are_found(spark):
     assert 3 not in got and 4 not in got
 
 
+def test_inserted_lines_keep_the_label(spark):
+    """Words in the middle of a passage, anywhere; a second copy; no label for half a passage or for shuffled words."""
+    body = dict(license_scan.TEMPLATES)
+    rng = np.random.default_rng(1)
+    data, want = [], {}
+    for label in ("mit-text", "apache-text", "gpl-text", "bsd-text", "isc-text", "bsd-liability"):
+        words = body[label].split(" ")
+        for added in (1, 3, 7, 10):
+            for at in (6, len(words) // 2, len(words) - 6):
+                data.append((len(data), " ".join(["intro", *words[:at], *[f"line{i}" for i in range(added)], *words[at:], "end"])))
+                want[len(data) - 1] = label
+        broken = list(words)
+        broken[2 * len(words) // 3 : 2 * len(words) // 3] = ["Copyright", "2024", "Somebody"]
+        broken[len(words) // 3 : len(words) // 3] = ["which", "we", "like"]
+        data.append((len(data), " ".join(broken)))
+        want[len(data) - 1] = label
+        data.append((len(data), " ".join([*words, *["between"] * 5, *words])))
+        want[len(data) - 1] = label
+        data.append((len(data), " ".join(words[: len(words) // 2])))
+        data.append((len(data), " ".join(rng.permutation(words))))
+    found = rows(license_scan.scan(spark.createDataFrame(data, "doc_id long, text string")))
+    got: dict = {}
+    for r in found:
+        got.setdefault(r["doc_id"], set()).add(r["template"])
+    assert {d for d, label in want.items() if label not in got.get(d, ())} == set()
+    assert set(got) == set(want)
+    assert max(Counter(r["doc_id"] for r in found if r["template"] == want[r["doc_id"]]).values()) == 2
+
+
 def test_shards(docs):
     out = rows(shards.digest(docs))
     want = Counter((r.doc_id, len((r.text or "").encode()) + 16, zlib.crc32((r.text or "").encode())) for r in docs.select("doc_id", "text").collect())
@@ -159,35 +274,93 @@ def test_shards_over_several_buckets(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 3000
 
 
-def test_mixing(docs):
-    out = rows(mixing.digest(docs))
-    texts = Counter((r.doc_id, len(GAPS.findall(r.text or ""))) for r in docs.select("doc_id", "text").collect())
-    assert Counter((r["doc_id"], r["size"]) for r in out) == texts
-    assert all(0 <= r["taken"] <= 3 * r["size"] for r in out)
+def plain_targets(sizes, weights, most=3):
+    """Shares of all sizes by weight; what is above `most` times its size stops there, the rest is shared anew."""
+    out, full = [0.0] * len(sizes), set()
+    while len(full) < len(sizes):
+        left, open_ = sum(sizes) - sum(most * sizes[i] for i in full), [i for i in range(len(sizes)) if i not in full]
+        share = {i: left * weights[i] / sum(weights[j] for j in open_) for i in open_}
+        over = [i for i in open_ if share[i] > most * sizes[i]]
+        if not over:
+            return [share.get(i, float(most * sizes[i])) for i in range(len(sizes))]
+        full |= set(over)
+    return [float(most * x) for x in sizes]
+
+
+def plain_goals(docs):
+    """source -> (words, target)."""
     sums = {}
-    for r in rows(docs.select("doc_id", "source", F.col("text"))):
+    for r in rows(docs.select("source", "text")):
         sums[r["source"]] = sums.get(r["source"], 0) + len(GAPS.findall(r["text"] or ""))
     order = sorted(sums, key=lambda s: (s is None, s or ""))
-    goal = dict(zip(order, mixing.targets([sums[s] for s in order], [i % 3 + 1 for i in range(len(order))]), strict=True))
-    assert sorted({(r["source_size"], round(r["target"], 6)) for r in out}) == sorted({(sums[s], round(goal[s], 6)) for s in order})
-    assert abs(sum(r["taken"] for r in out) - sum(goal.values())) <= 2 * mixing.BLOCK_WORDS * len(order)
-    assert sorted((r["doc_id"] or -1, r["size"], r["taken"]) for r in rows(mixing.digest(docs))) == sorted((r["doc_id"] or -1, r["size"], r["taken"]) for r in out)
+    return dict(zip(order, zip([sums[s] for s in order], plain_targets([sums[s] for s in order], [i % 3 + 1 for i in range(len(order))]), strict=True), strict=True))
 
 
-def test_mixing_targets_stop_at_three_times():
-    goal = mixing.targets([10, 1000, 1000], [1, 1, 1])
-    assert goal[0] == 30 and abs(sum(goal) - 2010) < 1e-6
+@pytest.mark.parametrize("block", [mixing.BLOCK_WORDS, 32])
+def test_mixing(docs, block):
+    out = rows(mixing.digest(docs, block))
+    texts = Counter((r.doc_id, len(GAPS.findall(r.text or ""))) for r in docs.select("doc_id", "text").collect())
+    assert Counter((r["doc_id"], r["size"]) for r in out) == texts
+    assert all(0 <= r["taken"] <= 3 * r["size"] for r in out)
+    goals = plain_goals(docs)
+    assert sorted({(r["source_size"], round(r["target"], 6)) for r in out}) == sorted({(n, round(t, 6)) for n, t in goals.values()})
+    own = {(n, round(t, 6)): t for n, t in goals.values()}
+    taken = Counter()
+    for r in out:
+        taken[r["source_size"], round(r["target"], 6)] += r["taken"]
+    if len(own) == len(goals):  # each source's words are its target, cut to a whole number
+        assert all(0 <= t - taken[k] < 1 + 1e-3 for k, t in own.items())
+    assert sorted((r["doc_id"] or -1, r["size"], r["taken"]) for r in rows(mixing.digest(docs.repartition(7), block))) == sorted((r["doc_id"] or -1, r["size"], r["taken"]) for r in out)
+
+
+def test_mixing_targets_stop_at_three_times(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    for few in (mixing.SMALL_TABLE, 0):
+        monkeypatch.setattr(mixing, "SMALL_TABLE", few)
+        for sizes in ([10, 1000, 1000], [5], [0, 0], [int(x) for x in np.exp(rng.normal(5, 3, 40))]):
+            df = spark.createDataFrame([(f"s{i:03d}", n) for i, n in enumerate(sizes)], "source string, size long")
+            got = [r.target for r in mixing.plan(df).orderBy("k").collect()]
+            assert np.allclose(got, plain_targets(sizes, [i % 3 + 1 for i in range(len(sizes))]), atol=1e-6)
+
+
+def test_slots_permute_blocks_and_fill_shards(spark):
+    df = spark.createDataFrame([("a", 300_000), ("b", 40_500), ("c", 900)], "source string, size long")
+    plan = mixing.plan(df, block=100)
+    sources = {r.k: r for r in plan.collect()}
+    dealt = rows(mixing.slots(plan, 10))
+    for k, r in sources.items():
+        mine = sorted((x for x in dealt if x["k"] == k), key=lambda x: x["rank"])
+        assert [x["rank"] for x in mine] == list(range(r.slots))
+        for lo in range(0, r.slots - r.blocks + 1, r.blocks):
+            assert sorted(x["block"] for x in mine[lo : lo + r.blocks]) == list(range(r.blocks))  # each pass takes every block
+        counts = Counter(x["shard"] for x in mine)
+        if r.slots > 1000:  # multinomial: near equal shares, not equal ones
+            assert all(abs(n - r.slots / 10) < 5 * (r.slots / 10) ** 0.5 for n in counts.values()) and len(set(counts.values())) > 1
+    big = [x["block"] for x in sorted((x for x in dealt if x["k"] == 0), key=lambda x: x["rank"])]
+    assert sum(a + 1 == b for a, b in zip(big, big[1:], strict=False)) < 0.2 * len(big)  # not in order
 
 
 def test_mixed_texts_hold_the_taken_words(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
-    taken = {r["doc_id"]: r["taken"] for r in rows(mixing.digest(docs))}
-    out = mixing.taken_texts(docs)
-    assert out.columns == docs.columns
-    got = Counter()
-    for r in rows(out):
-        got[r["doc_id"]] += len(GAPS.findall(r["text"]))
-    assert all(got[i] == n for i, n in taken.items())
+    texts = {r.doc_id: r.text or "" for r in docs.select("doc_id", "text").collect()}
+    for block in (mixing.BLOCK_WORDS, 40):
+        taken = {r["doc_id"]: r["taken"] for r in rows(mixing.digest(docs, block))}
+        out = mixing.taken_texts(docs, block)
+        assert out.columns == docs.columns
+        got = Counter()
+        for r in rows(out):
+            got[r["doc_id"]] += len(GAPS.findall(r["text"]))
+            assert r["n_chars"] == len(r["text"])
+            assert all(part.strip() in texts[r["doc_id"]] for part in (r["text"].split("\n") if r["text"] != texts[r["doc_id"]] else [r["text"]]))  # line breaks and blanks as they were
+        assert all(got[i] == n for i, n in taken.items())
+
+
+def test_mixing_keeps_clashing_columns(spark):
+    names = ["doc_id", "text", "source", "n_chars", "size", "runs", "at", "pass", "k", "row", "document", "key", "pieces", "block"]
+    data = [(i, f"w{i} " * 50, "s" if i % 2 else "t", 7, "a", "b", "c", "d", "e", "f", "g", "h", "i", "j") for i in range(6)]
+    out = mixing.taken_texts(spark.createDataFrame(data, names))
+    assert out.columns == names
+    assert {tuple(r)[4:] for r in out.collect()} == {data[0][4:]}
 
 
 def test_language(docs):
@@ -212,6 +385,27 @@ def test_toxicity(docs, labels, spark, sf):
     assert all(r["held_out"] == (crc(r["doc_id"]) % 5 == 0) and 0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) for r in out)
 
 
+def test_toxic_documents_are_found(spark):
+    """Held out at sf0.1: most toxic documents are found, and few clean ones are taken for toxic."""
+    docs, marks = (spark.read.parquet(f"/root/testdata/sf0.1/{x}.parquet") for x in ("documents", "labels"))
+    held = toxicity.score(docs, marks).join(marks.filter("toxic IS NOT NULL"), "doc_id").filter("held_out").collect()
+    toxic, clean = [r.predicted for r in held if r.toxic == 1], [r.predicted for r in held if r.toxic == 0]
+    assert len(toxic) > 50 and np.mean(toxic) >= 0.8 and np.mean(clean) <= 0.03
+
+
+def test_the_sample_is_bounded_in_bytes(spark, monkeypatch):
+    sf = "/root/testdata/sf0.01"
+    docs, marks = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    seen = []
+    fit = toxicity.fit
+    monkeypatch.setattr(toxicity, "fit", lambda bags, ys, rate: seen.append((bags, ys)) or fit(bags, ys, rate))
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 100_000)
+    toxicity.train_fold(docs, marks)
+    (bags, ys), = seen
+    for y in (0, 1):
+        assert 20_000 < sum(4 * (len(a) + len(n)) for (a, n), label in zip(bags, ys, strict=True) if label == y) <= 100_000
+
+
 def test_toxicity_learns_sentences(spark):
     sf = "/root/testdata/sf0.01"
     docs, marks = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")

@@ -4,6 +4,7 @@ import importlib
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -45,12 +46,21 @@ def test_clean_documents_stay(spark, sf):
     assert again >= 0.99 * good
 
 
-def test_stages_take_edge_rows(spark, edges, nothing):
-    for frame in (edges, nothing):
-        docs = frame.select("doc_id", "text", "lang", "source", "n_chars")
-        for name, stage in corpus_pipeline.STAGES:
-            if name != "ngram_jaccard":  # its edge rows are in test_jaccard
-                stage(spark, docs, "/root/testdata/sf0.001").collect()
+CLASHING = "q kept stratum document p size runs at pass k row digest ids n_tokens decoded component node label hub key __p __w".split()
+
+
+def test_stages_take_edge_rows(spark, edges, nothing, tmp_path):
+    """Nulls, long texts, repeats, empty tables and columns with the stages' own names, through all five stages."""
+    for n, frame in enumerate((edges, nothing)):
+        docs = frame.select("*", *[F.concat(F.lit(f"{c}:"), F.col("doc_id").cast("string")).alias(c) for c in CLASHING if c not in frame.columns])
+        columns = docs.columns
+        for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+            stage(spark, docs, "/root/testdata/sf0.001").write.parquet(str(tmp_path / f"{n}-{name}"))
+            docs = spark.read.parquet(str(tmp_path / f"{n}-{name}"))
+            own = [c for c in CLASHING if c in docs.columns and c not in ("ids", "n_tokens") and c not in frame.columns]
+            assert k == len(corpus_pipeline.STAGES) - 1 or docs.columns == columns
+            assert docs.filter(" OR ".join(f"NOT `{c}` <=> concat('{c}:', doc_id)" for c in own)).isEmpty()
+        assert n == 1 or docs.count() > 0
 
 
 def test_all_eleven_are_registered():

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotwise.llm import bpe, jaccard, langid, mixing, quality
 from lotwise.llm.registry import tokenizer_path
 from lotwise.llm.text import small_batches, table
-from lotwise.session import shared_dir
+from lotwise.session import discard, place, stored
 
 #: A document is rejected when its text has no letter, or when the classifier is sure of another language than the one stated.
 SURE = 0.9
@@ -21,9 +19,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     small_batches(spark)
     model = langid.train_fold(docs)
     p = langid.predict(model, spark, F.col("text"))
-    wrong = F.col("lang").isNotNull() & (F.col("__p.lang_pred") != F.col("lang")) & (F.col("__p.score") >= SURE)
-    known = F.lit(bool(model.langs)) & (F.col("__p.lang_pred") == "und")
-    return docs.withColumn("__p", p).filter(~known & ~wrong).drop("__p")
+    rows = docs.select("lang", p.alias("p"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document"))
+    wrong = F.col("lang").isNotNull() & (F.col("p.lang_pred") != F.col("lang")) & (F.col("p.score") >= SURE)
+    blank = F.lit(bool(model.langs)) & (F.col("p.lang_pred") == "und")
+    return rows.filter(~blank & ~wrong).select("document.*")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +43,7 @@ def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with the ids (little-endian uint32) of their whole texts."""
     done = bpe.encode(docs, tokenizer_path())
-    return done.withColumn("n_tokens", (F.length("ids") / 4).cast("long")).drop("decoded")
+    return done.withColumn("n_tokens", (F.length("ids") / 4).cast("long"))
 
 
 STAGES = [
@@ -60,11 +59,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`; each is written and read again."""
-    where = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    """All stages over `documents`; each is written and read again, and goes once the next one is there."""
+    where = place(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = None
     for k, (name, stage) in enumerate(STAGES):
         path = f"{where}/{k}-{name}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        docs = stored(stage(spark, docs, sf_dir), path)
+        if before:
+            discard(spark, before)
+        before = path
     return docs

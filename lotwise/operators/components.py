@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotwise.session import cut
+from lotwise.session import cut, release
 
 
 def components(links: DataFrame) -> DataFrame:
-    """node, label (smallest node of its component) of every node in links (a, b).
+    """node, label (smallest node of its component) of every node in links (a, b), one row each.
 
     Every step groups by node and keeps edges to the smallest neighbour only, so the edges stay
     linear in the links; the number of rounds is logarithmic in practice. Stops when all edges are stars:
@@ -27,6 +27,7 @@ def components(links: DataFrame) -> DataFrame:
         down = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(down, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").unionByName(down.select("a", F.col("m").alias("b"))).distinct()
         edges = cut(small)
+        release(edges.sparkSession)
         ends = edges.groupBy("a").agg(F.count("*").alias("n")).unionByName(edges.select(F.col("b").alias("a"), F.lit(0).cast("long").alias("n")).distinct())
         if ends.groupBy("a").agg((F.count("*") + F.sum("n")).alias("n")).filter("n > 2").isEmpty():
             break

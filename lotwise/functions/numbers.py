@@ -93,8 +93,8 @@ def bucket(c: Column) -> Column:
 
 
 def one_decimal(c: Column) -> Column:
-    """'%.1f' with halves to even."""
-    return F.format_string("%.1f", F.rint(c * 10) / 10)
+    """'%.1f' with halves to even; null stays null."""
+    return F.when(c.isNotNull(), F.format_string("%.1f", F.rint(c * 10) / 10))
 
 
 def js_round(c: Column) -> Column:

@@ -3,20 +3,22 @@
 from __future__ import annotations
 
 import difflib
-import re
 
 import pandas as pd
 from pyspark.sql import functions as F
 
 
 def matching(a: str, b: str) -> int:
-    """Length of the longest common subsequence."""
-    row = [0] * (len(b) + 1)
-    for x in a:
-        last = 0
-        for j, y in enumerate(b):
-            last, row[j + 1] = row[j + 1], last + 1 if x == y else max(row[j], row[j + 1])
-    return row[-1]
+    """Length of the longest common subsequence; a row of the table is one whole number, a bit for each character of a."""
+    at: dict[str, int] = {}
+    for i, x in enumerate(a):
+        at[x] = at.get(x, 0) | 1 << i
+    full = (1 << len(a)) - 1
+    row = full  # a zero bit: the subsequence grows here
+    for y in b:
+        hit = row & at.get(y, 0)
+        row = (row + hit | row - hit) & full
+    return len(a) - row.bit_count()
 
 
 def ratio(a: str, b: str) -> float:
@@ -27,7 +29,7 @@ def ratio(a: str, b: str) -> float:
 
 def token_set(a: str, b: str) -> int:
     """Best ratio among the shared words and each side's sorted words; 100 if one side's words are all shared."""
-    x, y = set(re.findall(r"\w+", a.lower())), set(re.findall(r"\w+", b.lower()))
+    x, y = set(a.lower().split()), set(b.lower().split())
     if not x or not y:
         return 0
     both = " ".join(sorted(x & y))

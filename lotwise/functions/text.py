@@ -96,13 +96,19 @@ def transaction_kind(c: Column) -> Column:
     return F.when(t.isin(*SALE), "predaj").when(t.isin(*RENT), "prenajom").otherwise(F.nullif(t, F.lit("")))
 
 
-# Building states that are known, folded, and their labels.
-BUILDING = {"novostavba": "new_build", "kompletna rekonstrukcia": "full_reconstruction", "ciastocna rekonstrukcia": "partial_reconstruction", "povodny stav": "original", "vo vystavbe": "under_construction"}
+# Spellings of building states, and their labels.
+BUILDING = {
+    "novostavba": "new",
+    "kompletná rekonštrukcia": "renovated-full",
+    "kompletna rekonstrukcia": "renovated-full",
+    "čiastočná rekonštrukcia": "renovated-partial",
+    "ciastocna rekonstrukcia": "renovated-partial",
+}
 
 
 def building_status(c: Column) -> Column:
     pairs = [F.lit(x) for kv in BUILDING.items() for x in kv]
-    return F.coalesce(F.create_map(*pairs)[fold(clean(c))], F.lit("unknown"))
+    return F.coalesce(F.create_map(*pairs)[clean(F.lower(c))], F.lit("unknown"))
 
 
 def energy_class(c: Column) -> Column:
@@ -113,11 +119,11 @@ def energy_class(c: Column) -> Column:
 
 
 def photo_token(url: Column) -> Column:
-    """Letters and digits of a photo's file name, without query and sizing suffix."""
+    """A-Z, a-z and 0-9 of the last part of a link's path, without the sizing mark `_fss`."""
     path = F.regexp_replace(F.coalesce(url, F.lit("")), r"[?#].*$", "")
-    name = F.regexp_replace(F.regexp_extract(path, r"([^/]*)$", 1), "_fss.*$", "")
-    name = F.regexp_extract(name, r"([^=]*)$", 1)
-    return F.nullif(F.regexp_replace(name, r"[^\p{L}\p{N}]", ""), F.lit(""))
+    path = F.regexp_replace(path, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^/]*", "")
+    name = F.regexp_replace(F.regexp_extract(path, r"([^/]*)$", 1), ";.*$", "")
+    return F.nullif(F.regexp_replace(F.replace(name, F.lit("_fss"), F.lit("")), "[^A-Za-z0-9]", ""), F.lit(""))
 
 
 def photo_tokens(*urls: Column) -> Column:

@@ -8,6 +8,8 @@ rules in two dimensions compare pairs inside a block.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -42,12 +44,50 @@ def size_match(a: Column, b: Column) -> Column:
 
 
 def band_edges(df: DataFrame, key: list[str], size: str = "size", id_col: str = "row_id", match=size_match) -> DataFrame:
-    """Neighbours in size within a key (null-safe) that match; rows without a size have none."""
-    w = W.partitionBy(*key).orderBy(size, id_col)
-    near = df.filter(F.col(size).isNotNull()).select(*key, F.col(size).alias("s"), F.col(id_col).alias("a")) if size != "s" else df
-    w = W.partitionBy(*key).orderBy("s", "a")
-    pairs = near.withColumns({"b": F.lag("a").over(w), "t": F.lag("s").over(w)})
-    return pairs.filter(F.col("b").isNotNull() & match(F.col("s"), F.col("t"))).select("a", "b")
+    """Neighbours in size within a key (null-safe) that match; rows without a size have none.
+
+    Rows of one key and size are a star, so that a frequent key is ordered by its distinct sizes only.
+    """
+    s = F.col("s")
+    rows = df.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(key)], F.col(size).alias("s"), F.col(id_col).alias("a")).filter(s.isNotNull())
+    keys = [f"k{i}" for i in range(len(key))]
+    spots = rows.groupBy(*keys, "s").agg(F.min("a").alias("b"))
+    on = F.lit(True)
+    for c in (*keys, "s"):
+        on = on & F.col(f"x.{c}").eqNullSafe(F.col(f"y.{c}"))
+    same = rows.alias("x").join(spots.filter(match(s, s)).alias("y"), on).select("x.a", "y.b").filter("a <> b")
+    w = W.partitionBy(*keys).orderBy("s")
+    pairs = spots.withColumns({"a": F.lag("b").over(w), "t": F.lag("s").over(w)})
+    return same.unionByName(pairs.filter(F.col("a").isNotNull() & match(s, F.col("t"))).select("a", "b"))
+
+
+def plane_edges(df: DataFrame, key: list[str], dims: dict[str, float], id_col: str = "row_id") -> DataFrame:
+    """Rows of a key whose columns all differ by at most their shares, without all pairs of the key.
+
+    On a logarithmic grid with cells as wide as the shares, all rows of a cell match and form a star; rows of neighbouring
+    cells are compared once for each distinct place.
+    """
+    names = list(dims)
+    rows = df.dropna(subset=key).select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(key)], *[F.col(c).alias(f"v{i}") for i, c in enumerate(names)], F.col(id_col).alias("a"))
+    keys, values = [f"k{i}" for i in range(len(key))], [f"v{i}" for i in range(len(names))]
+    for v in values:
+        rows = rows.filter(F.col(v) > 0)
+    wide = [-math.log(1 - share) for share in dims.values()]
+    cells = [F.floor(F.log(v) / w).alias(f"c{i}") for i, (v, w) in enumerate(zip(values, wide, strict=True))]
+    at = [f"c{i}" for i in range(len(names))]
+    placed = rows.select("*", *cells)
+    same = star(placed.select(*keys, *at, F.col("a").alias(id_col)), [*keys, *at], id_col)
+    spots = placed.groupBy(*keys, *at, *values).agg(F.min("a").alias("a"))
+    around = spots
+    for c in at:
+        around = around.withColumn(c, F.explode(F.sequence(F.col(c) - 1, F.col(c) + 1)))
+    x, y = around.alias("x"), spots.alias("y")
+    on = F.col("x.a") < F.col("y.a")
+    for c in (*keys, *at):
+        on = on & (F.col(f"x.{c}") == F.col(f"y.{c}"))
+    for v, share in zip(values, dims.values(), strict=True):
+        on = on & numbers.close(F.col(f"x.{v}"), F.col(f"y.{v}"), share)
+    return same.unionByName(x.join(y, on).select(F.col("y.a").alias("a"), F.col("x.a").alias("b")))
 
 
 def fuzzy_edges(df: DataFrame, text: str, town: str = "town", size: str = "size", id_col: str = "row_id", prefix: int = 12, least: int = 90) -> DataFrame:
@@ -118,3 +158,20 @@ def scored_pairs(df: DataFrame, least: int = MATCH) -> DataFrame:
     x, y = rows.alias("x"), rows.alias("y")
     pairs = x.join(y, (F.col("x.block") == F.col("y.block")) & (F.col("x.row_id") < F.col("y.row_id")))
     return pairs.select(F.col("x.row_id").alias("a"), F.col("y.row_id").alias("b"), score("x", "y").alias("score")).filter(F.col("score") >= least).distinct()
+
+
+def scored_edges(df: DataFrame) -> DataFrame:
+    """Edges with the components of all pairs that score MATCH, by what makes up that score.
+
+    That is an equal key; or equal address and photo; or one of these and sizes within 2 percent; or one of these, sizes
+    within 3 percent and prices within 5.
+    """
+    photo = df.select("row_id", "address", "size", "price", F.explode("photos").alias("photo"))
+    near = lambda a, b: numbers.close(a, b, 0.02)
+    found = [star(df, ["listing_key"]), star(photo, ["address", "photo"])]
+    for rows, key in ((df.filter("address IS NOT NULL"), "address"), (photo, "photo")):
+        found += [band_edges(rows, [key], match=near), plane_edges(rows, [key], {"size": 0.03, "price": 0.05})]
+    out = found[0]
+    for f in found[1:]:
+        out = out.unionByName(f)
+    return out

@@ -49,6 +49,42 @@ def pick_description(sources: DataFrame, descriptions: DataFrame, priority: list
     return both.groupBy(key).agg(F.min(F.struct("r", "portal")).alias("m")).select(key, F.col("m.r.description").alias("description"), F.col("m.portal").alias("portal"))
 
 
+def missing_reasons(gold: DataFrame, sources: DataFrame, descriptions: DataFrame, key: str = "cluster_id") -> DataFrame:
+    """key, reasons: why a golden record has no description, one reason a source; records that have one are left out.
+
+    sources: key, portal, listing_key; descriptions: portal, listing_key, description.
+    """
+    known = descriptions.groupBy("portal", "listing_key").agg(F.max(F.trim(F.coalesce("description", F.lit(""))) != "").alias("told"))
+    portals = descriptions.select("portal").distinct().withColumn("read", F.lit(True))
+    each = sources.join(known, ["portal", "listing_key"], "left").join(portals, "portal", "left")
+    # The texts of the reasons.
+    why = F.when(~F.col("told"), "empty description in CSV").when(F.col("read").isNull(), "missing portal CSV").when(F.col("told").isNull(), "missing property_id")
+    each = each.select(key, "told", F.concat_ws(" ", F.concat_ws(":", "portal", F.coalesce("listing_key", F.lit(""))), why).alias("reason"))
+    found = each.groupBy(key).agg(F.coalesce(F.max("told"), F.lit(False)).alias("told"), F.array_sort(F.collect_list("reason")).alias("reasons"))
+    out = gold.select(key).join(found, key, "left").filter(~F.coalesce("told", F.lit(False)))
+    return out.select(key, F.coalesce("reasons", F.array(F.lit("no sources linked to listing"))).alias("reasons"))
+
+
+def to_ask(df: DataFrame, cache: DataFrame, text_col: str) -> DataFrame:
+    """cache_key, text: the distinct texts that the cache lacks."""
+    want = df.select(text.cache_key(F.col(text_col)).alias("cache_key"), F.trim(text_col).alias("text")).filter(F.col("text") != "").dropDuplicates(["cache_key"])
+    return want.join(cache.select(F.col("key").alias("cache_key")), "cache_key", "left_anti")
+
+
+def backfilled(df: DataFrame, cache: DataFrame, text_col: str, fields: list[str], overwrite: bool = False, price: str = "price", size: str = "floor_area", psm: str = "price_area") -> DataFrame:
+    """df with fields that it lacks taken from the cached answer on its description, then the price per square from the other two.
+
+    cache: key, value (a JSON object of the fields). Fields stay texts.
+    """
+    schema = ", ".join(f"`{f}` string" for f in fields)
+    answers = cache.select(F.col("key").alias("cache_key"), F.from_json(text.strip_fences(F.col("value")), schema).alias("a")).select("cache_key", *[F.col(f"a.`{f}`").alias(f) for f in fields])
+    out = fill_missing(df.withColumn("cache_key", text.cache_key(F.col(text_col))), answers, "cache_key", fields, overwrite).drop("cache_key")
+    number = lambda c: F.replace(F.col(c).cast("string"), F.lit(","), F.lit(".")).try_cast("double")
+    derived = F.rint(F.try_divide(number(price), F.when(number(size) > 0, number(size)))).cast("long").cast("string")
+    lacks = F.trim(F.coalesce(F.col(psm).cast("string"), F.lit(""))).isin("", "nan", "none", "null")
+    return out.withColumn(psm, F.when(lacks, derived).otherwise(F.col(psm).cast("string")))
+
+
 def first_hit(df: DataFrame, photos: DataFrame, keys: list[tuple[str, str]], value: str) -> DataFrame:
     """df with `value` from the first of several keys that hits. keys: (column of df, column of photos); the smallest value wins on repeats."""
     found = []

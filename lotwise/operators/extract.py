@@ -80,8 +80,40 @@ def floor_in(text: Column) -> Column:
     return F.struct(F.coalesce(part(fraction, 1), part(word, 1), ground).alias("floor"), part(fraction, 2).alias("total"))
 
 
-# Words of a building's state, the first that occurs wins.
-STATES = (("novostavba", "Novostavba"), ("kompletn", "Kompletná rekonštrukcia"), ("čiasto", "Čiastočná rekonštrukcia"), ("pôvodn", "Pôvodný stav"), ("výstavb", "Vo výstavbe"))
+def floor_text(text: Column) -> Column:
+    """`n/m`, `n` or `0` (ground floor) as texts tell it: a fraction, a numbered floor, the ground floor."""
+    t = F.lower(F.coalesce(text, F.lit("")))
+    part = lambda p, g=1: F.nullif(F.regexp_extract(t, p, g), F.lit(""))
+    fraction = r"(\d+)\s*/\s*(\d+)"
+    of = F.concat(F.lit("/"), part(r"z\s*(\d+)\s*(?:posch|np)"))
+    with_total = lambda c: F.concat(c, F.coalesce(of, F.lit("")))
+    return F.coalesce(F.concat(part(fraction), F.lit("/"), part(fraction, 2)), with_total(part(r"na\s*(\d+)\.\s*(?:poschod[ie]|np)")), with_total(F.when(F.rlike(t, F.lit("pr[ií]zem")), "0")))
+
+
+def price_per_square(text: Column) -> Column:
+    """The number before `€/m2`."""
+    return F.nullif(F.regexp_extract(F.lower(F.coalesce(text, F.lit(""))), r"(\d{3,5})\s*(?:€|eur)\s*/\s*(?:m2|m²)", 1), F.lit("")).try_cast("long")
+
+
+def year_after(text: Column, words: tuple[str, ...]) -> Column:
+    """The year that follows the first of the words that has one."""
+    t = F.lower(F.coalesce(text, F.lit("")))
+    return F.coalesce(*[F.nullif(F.regexp_extract(t, rf"{w}[^\d]*((?:19|20)\d{{2}})", 1), F.lit("")).try_cast("long") for w in words])
+
+
+# Words of a building's state in order, the first that occurs wins.
+STATES = (
+    ("novostav", "Novostavba"),
+    ("komplet", "Kompletná rekonštrukcia"),
+    ("rekonstr", "Rekonštrukcia"),
+    ("rekonštr", "Rekonštrukcia"),
+    ("čiastoč", "Čiastočná rekonštrukcia"),
+    ("ciastoč", "Čiastočná rekonštrukcia"),
+    ("čiastoc", "Čiastočná rekonštrukcia"),
+    ("ciastoc", "Čiastočná rekonštrukcia"),
+    ("pôvodn", "Pôvodný stav"),
+    ("povodn", "Pôvodný stav"),
+)
 
 
 def state_in(text: Column) -> Column:

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lotwise.functions import numbers
 from lotwise.operators import edges
 from lotwise.operators.components import components
+from lotwise.schema import GOLDEN, conform
 from lotwise.session import cut
 
 
@@ -54,67 +57,138 @@ def merge_counts(df: DataFrame) -> DataFrame:
     return spark.createDataFrame(out, "rule string, merges long")
 
 
-def earliest(value: str, order: Column, where: Column | None = None) -> Column:
-    """The non-null value of the first row in the order."""
-    c = F.col(value)
-    ok = c.isNotNull() if where is None else where
-    return F.min_by(F.when(ok, c), F.when(ok, order))
+class Choice:
+    """How golden records pick a row: the newest one, or the one of the best portal."""
+
+    def __init__(self, df: DataFrame) -> None:
+        stamp = F.unix_micros(F.try_to_timestamp(F.col("updated_at").cast("string")))
+        self.age = F.coalesce(-stamp, F.lit(1 << 62))  # without a date: the oldest
+        self.newest = F.struct(self.age.alias("age"), F.col("portal_rank"), F.col("row_id"))
+        self.best = F.struct(F.col("portal_rank"), self.age.alias("age"), F.col("row_id"))
+        self.columns = set(df.columns)
+
+    def first(self, value: str | Column, order: Column, ok: Column | None = None) -> Column:
+        """struct<v, portal, url> of the first row with a value."""
+        c = (F.col(value) if value in self.columns else F.lit(None).cast("string")) if isinstance(value, str) else value
+        ok = c.isNotNull() if ok is None else ok
+        return F.min_by(F.when(ok, F.struct(c.alias("v"), "portal", "url")), F.when(ok, order))
 
 
 def golden(df: DataFrame) -> DataFrame:
     """One record for each cluster_id.
 
     df: cluster_id, row_id, portal, portal_rank, url, town, street, size, price, rooms, floor, floors_total, elevator, cert,
-    year_built, lat, lng, updated_at, status, photos. Newest: updated_at descending, portal, row; best: portal, newest, row.
+    year_built, lat, lng, updated_at, status, photos; address, address_ascii, project, unit_no, year_top, transaction,
+    district and region where there are any.
+    Newest: updated_at descending (undated rows last), portal, row; best: portal, newest, row.
     """
-    age = -F.unix_date(F.to_date("updated_at"))
-    newest = F.struct(age.alias("age"), F.col("portal_rank"), F.col("row_id"))
-    best = F.struct(F.col("portal_rank"), age.alias("age"), F.col("row_id"))
-    pick = lambda c, order=best: earliest(c, order)
+    own = Choice(df)
+    newest, best, pick = own.newest, own.best, own.first
     both = F.col("floor").isNotNull() & F.col("floors_total").isNotNull()
-    pair = F.min_by(F.when(both, F.struct("floor", "floors_total")), F.when(both, newest))
+    by_best = ("size", "floor", "floors_total", "cert", "year_built", "rooms", "project", "unit_no", "year_top", "transaction", "district", "region")
+    by_newest = ("street", "price", "status", "address", "address_ascii")
     one = df.groupBy("cluster_id").agg(
         F.count("*").alias("cluster_size"),
-        F.min_by("portal", newest).alias("primary_portal"),
-        F.min_by("url", newest).alias("primary_url"),
-        F.max("updated_at").alias("updated_at"),
-        pick("street", newest).alias("street"),
-        F.min("size").alias("__lo"), F.max("size").alias("__hi"), F.median("size").alias("__mid"), pick("size").alias("__size"),
-        pick("price", newest).alias("price"),
+        F.min_by(F.struct("portal", "url", "updated_at", *[F.col(c) if c in own.columns else F.lit(None).cast("string").alias(c) for c in ("address", "address_ascii", "town")]), newest).alias("p"),
+        *[pick(c, best).alias(f"__{c}") for c in by_best],
+        *[pick(c, newest).alias(f"__{c}") for c in by_newest],
+        pick(F.struct("floor", "floors_total"), newest, both).alias("__pair"),
+        F.min("size").alias("__lo"), F.max("size").alias("__hi"), F.median("size").alias("__mid"),
         F.min("price").alias("__plo"), F.max("price").alias("__phi"),
-        pair.alias("__pair"), pick("floor").alias("__floor"), pick("floors_total").alias("__total"),
-        F.max("elevator").alias("elevator"),
-        pick("cert").alias("cert"), pick("year_built").alias("year_built"),
+        pick("elevator", F.struct(~F.col("elevator"), F.col("row_id"))).alias("__elevator"),
         F.avg("lat").alias("lat"), F.avg("lng").alias("lng"),
-        pick("status", newest).alias("status"),
-        (F.min("status") != F.max("status")).alias("__status"),
+        (F.min("status") != F.max("status")).alias("__status_differ"), (F.min("rooms") != F.max("rooms")).alias("__rooms_differ"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("photos")))).alias("photos"),
-        pick("rooms").alias("__rooms"), (F.min("rooms") != F.max("rooms")).alias("__rooms_differ"), pick("town").alias("__town"),
-    )
-    rooms, towns = modes(df, "rooms", best), modes(df, "town", best)
-    out = one.join(rooms, "cluster_id", "left").join(towns, "cluster_id", "left")
-    far = lambda x: F.abs(x - F.col("price")) > 0.05 * F.col("price")
+    )
+    first_row = F.struct("portal_rank", "row_id")
+    out = one.join(modes(df, "rooms", newest, newest), "cluster_id", "left").join(modes(df, "town", newest, first_row), "cluster_id", "left")
+    value = lambda c: F.col(f"__{c}.v")
+    price, far = value("price"), lambda x: F.abs(x - value("price")) > 0.05 * F.greatest(F.abs(value("price")), F.lit(1.0))
     wide = F.coalesce(F.col("__hi") - F.col("__lo") > 0.05 * F.col("__hi"), F.lit(False))
+    no = F.lit(False)
     flags = {
-        "price_gt_5pct": F.coalesce(far(F.col("__plo")) | far(F.col("__phi")), F.lit(False)),
-        "rooms_disagree": F.coalesce("__rooms_differ", F.lit(False)),
+        "price_disagree": F.coalesce((price != 0) & (far(F.col("__plo")) | far(F.col("__phi"))), no),
+        "rooms_disagree": F.coalesce("__rooms_differ", no),
         "size_gt_5pct": wide,
-        "status_disagree": F.coalesce("__status", F.lit(False)),
+        "status_disagree": F.coalesce("__status_differ", no),
     }
     named = F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in flags.items()]))
-    size = F.when(wide, F.col("__size")).otherwise(F.col("__mid"))
+    size = F.when(wide, value("size")).otherwise(F.col("__mid"))
+    leads = F.col("rooms_mode.lead") == 1  # else several values are as frequent, and the best portal decides
+    rooms, pair = F.when(leads, F.col("rooms_mode.first.v")).otherwise(value("rooms")), F.col("__pair.v")
+    reasons = provenance(leads, wide, F.coalesce("__rooms_differ", no))
     return out.select(
-        "cluster_id", "cluster_size", "primary_portal", "primary_url", "updated_at", "street",
-        F.coalesce("town_mode", "__town").alias("town"), size.alias("size"), "price", F.coalesce("rooms_mode", "__rooms").alias("rooms"),
-        F.coalesce("__pair.floor", "__floor").alias("floor"), F.when(F.col("__pair").isNotNull(), F.col("__pair.floors_total")).otherwise(F.col("__total")).alias("floors_total"),
-        "elevator", "cert", "year_built", "lat", "lng", "status", "photos", F.try_divide("price", F.nullif(size, F.lit(0.0))).alias("price_psm"), named.alias("flags"),
+        "cluster_id", "cluster_size", F.col("p.portal").alias("primary_portal"), F.col("p.url").alias("primary_url"), F.col("p.updated_at").alias("updated_at"), value("street").alias("street"),
+        F.coalesce("town_mode.first.v", "p.town").alias("town"), size.alias("size"), price.alias("price"), rooms.alias("rooms"),
+        F.when(pair.isNotNull(), pair["floor"]).otherwise(value("floor")).alias("floor"), F.when(pair.isNotNull(), pair["floors_total"]).otherwise(value("floors_total")).alias("floors_total"),
+        value("elevator").alias("elevator"), value("cert").alias("cert"), value("year_built").alias("year_built"), "lat", "lng", value("status").alias("status"), "photos",
+        F.try_divide(price, F.nullif(size, F.lit(0.0))).alias("price_psm"), named.alias("flags"),
+        *[value(c).alias(c) for c in ("address", "address_ascii", "project", "unit_no", "year_top", "transaction", "district", "region")], reasons.alias("provenance"),
     )
 
 
-def modes(df: DataFrame, value: str, best: Column) -> DataFrame:
-    """cluster_id, <value>_mode: the most frequent value; ties go to the value of the best row."""
-    counts = df.filter(F.col(value).isNotNull()).groupBy("cluster_id", value).agg(F.count("*").alias("n"), F.min(best).alias("best"))
-    return counts.groupBy("cluster_id").agg(F.min_by(value, F.struct(-F.col("n"), F.col("best"))).alias(f"{value}_mode"))
+def provenance(leads: Column, wide: Column, differ: Column) -> Column:
+    """JSON of portal, link and reason of each field that one row gave, by field name. Reads golden()'s inner columns."""
+    best = lambda c, reason="priority": (F.col(f"__{c}"), F.lit(reason))
+    pair, primary = F.col("__pair"), F.col("p")
+    recent = lambda c: (F.col(f"__{c}"), F.when(primary[c].isNotNull(), "primary_recent").otherwise("fallback_non_null"))
+    where = {
+        "address_norm": recent("address"), "address_ascii": recent("address_ascii"),
+        "address_town": (F.col("town_mode.first"), F.lit("majority")), "project_name_norm": best("project"), "unit_no": best("unit_no"),
+        "size_m2": (F.when(wide, F.col("__size")), F.lit("priority")), "price": best("price", "latest"), "status": best("status", "latest"),
+        "rooms": (F.when(leads, F.struct(F.col("rooms_mode.first.portal").alias("portal"), F.col("rooms_mode.first.url").alias("url"))).otherwise(F.struct("__rooms.portal", "__rooms.url")), F.when(leads, F.when(differ, "majority").otherwise("only_value")).otherwise("priority")),
+        "floor": (F.when(pair.isNotNull(), F.struct("__pair.portal", "__pair.url")).otherwise(F.struct("__floor.portal", "__floor.url")), F.when(pair.isNotNull(), "floor_tuple").otherwise("priority")),
+        "floors_total": (F.when(pair.isNotNull(), F.struct("__pair.portal", "__pair.url")).otherwise(F.struct("__floors_total.portal", "__floors_total.url")), F.when(pair.isNotNull(), "floor_tuple").otherwise("priority")),
+        "elevator": (F.col("__elevator"), F.when(F.col("__elevator.v"), "any_true").otherwise("any_false")),
+        "year_of_construction": best("year_built"), "energ_cert": best("cert"), "updated_at": (primary, F.lit("primary_recent")),
+    }
+    given = [F.when(row["url"].isNotNull() | row["portal"].isNotNull(), F.struct(F.lit(name).alias("key"), F.struct(row["portal"].alias("portal"), row["url"].alias("source_url"), reason.alias("reason")).alias("value"))) for name, (row, reason) in sorted(where.items())]
+    return F.to_json(F.map_from_entries(F.array_compact(F.array(*given))), {"ignoreNullFields": "false"})
+
+
+def modes(df: DataFrame, value: str, order: Column, ties: Column) -> DataFrame:
+    """cluster_id, <value>_mode: struct of the most frequent value's first row in the order (v, portal, url) and of how many values lead.
+
+    Values as frequent as one another go by the first row in the order of `ties`.
+    """
+    row = F.struct(F.col(value).alias("v"), "portal", "url")
+    counts = df.filter(F.col(value).isNotNull()).groupBy("cluster_id", value).agg(F.count("*").alias("n"), F.min(ties).alias("t"), F.min_by(row, order).alias("r"))
+    levels = counts.groupBy("cluster_id", "n").agg(F.count("*").alias("lead"), F.min_by("r", "t").alias("first"))
+    return levels.groupBy("cluster_id").agg(F.max_by(F.struct("lead", "first"), "n").alias(f"{value}_mode"))
+
+
+def record_id() -> Column:
+    """listing_id of a golden record, from its address, size, floors, year, project and energy class."""
+    address = F.trim(F.coalesce(F.nullif("address", F.lit("")), "address_ascii"))
+    return listing_id(address, numbers.one_decimal(F.col("size")), *[F.trim(F.col(c).cast("string")) for c in ("floor", "floors_total", "year_built", "project", "cert")])
+
+
+def golden_table(gold: DataFrame, run_date: str) -> DataFrame:
+    """Golden records as the GOLDEN table, with their listing_id."""
+    return conform(
+        gold.select(
+            record_id().alias("listing_id"),
+            F.col("town").alias("address_town"), F.col("address").alias("address_norm"), "address_ascii", F.col("project").alias("project_name_norm"), "unit_no", F.col("size").alias("size_m2"), F.rint("price").alias("price"), "price_psm",
+            "rooms", "floor", "floors_total", "elevator", F.col("year_built").alias("year_of_construction"), F.col("year_top").alias("year_of_top"), F.col("cert").alias("energ_cert"), "lat", "lng", "updated_at", "status",
+            "primary_portal", F.col("primary_url").alias("primary_source_url"), F.col("photos").alias("photo_fingerprints"), F.col("provenance").alias("provenance_json"), flag_json(F.col("flags")).alias("field_conflict_flags"),
+            "cluster_size", F.lit(run_date).alias("run_date"),
+        ),
+        GOLDEN,
+    )
+
+
+def mean_flags(gold: DataFrame) -> DataFrame:
+    """mean_flags: how many conflict flags a record has on average."""
+    return gold.agg(F.avg(F.size("flags")).alias("mean_flags"))
+
+
+def renumbered(df: DataFrame) -> DataFrame:
+    """row_id from 0 in the order of portal_rank and row_id: numbered within ranges of that order, so no task holds all rows."""
+    placed = df.repartitionByRange("portal_rank", "row_id").withColumn("__part", F.spark_partition_id())
+    placed = cut(placed)  # the parts have to stay as they are
+    before = placed.groupBy("__part").count().withColumn("__before", F.sum("count").over(W.orderBy("__part")) - F.col("count")).drop("count")  # a row a partition
+    at = F.row_number().over(W.partitionBy("__part").orderBy("portal_rank", "row_id")) - 1
+    return placed.withColumn("__at", at).join(F.broadcast(before), "__part").withColumn("row_id", F.col("__before") + F.col("__at")).drop("__part", "__at", "__before")
 
 
 def flag_json(flags: Column) -> Column:
@@ -133,7 +207,10 @@ def conflict_report(gold: DataFrame) -> DataFrame:
     return gold.filter(F.size("flags") > 0).select("cluster_id", F.concat_ws(",", "flags").alias("conflict_fields"), F.col("cluster_size").alias("source_count"))
 
 
-def with_previous(sources: DataFrame, previous: DataFrame, run_date: Column) -> DataFrame:
-    """first_seen carried over from the previous run by (portal, listing_key): its earliest; last_seen is the run."""
-    old = previous.groupBy("portal", "listing_key").agg(F.min("first_seen").alias("__first"))
+def with_previous(sources: DataFrame, previous: DataFrame, run_date: Column, order: str | None = None) -> DataFrame:
+    """first_seen carried over from the previous run by (portal, listing_key); last_seen is the run.
+
+    Of several rows of a key, the last in `order` counts; without an order, the earliest first_seen.
+    """
+    old = previous.groupBy("portal", "listing_key").agg((F.max_by("first_seen", order) if order else F.min("first_seen")).alias("__first"))
     return sources.join(old, ["portal", "listing_key"], "left").withColumns({"first_seen": F.coalesce("__first", run_date), "last_seen": run_date}).drop("__first")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lotwise.functions.numbers import js_round
-from lotwise.functions.text import dash_slug
+from lotwise.functions.text import dash_slug, slug
 
 # Shares of the price, and grades by capitalisation rate.
 RENT_SHARE, COST_SHARE, ROI_FACTOR = 0.004, 0.0009, 1.6
@@ -84,10 +84,10 @@ def as_json(df: DataFrame) -> Column:
     return F.to_json(F.struct(*[F.col(c) for c in sorted(df.columns)]), {"ignoreNullFields": "false"})
 
 
-def documents_by(df: DataFrame, key: str, order: str) -> DataFrame:
-    """key, rows, hash: one JSON array for each key, as a digest and its length in rows; write_json writes the rows themselves."""
-    each = df.select(key, F.struct(F.col(order), as_json(df).alias("j")).alias("r"))
-    return each.groupBy(key).agg(F.count("*").alias("rows"), F.array_join(F.transform(F.array_sort(F.collect_list("r")), lambda r: r["j"]), ",").alias("body"))
+def documents_by(df: DataFrame, key: str) -> DataFrame:
+    """key, rows, digest: how many JSON documents each key has, and a sum over them that takes no order; write_json writes them."""
+    whole = F.conv(F.substring(F.md5(as_json(df).cast("binary")), 1, 12), 16, 10).cast("decimal(38,0)")
+    return df.select(key, whole.alias("h")).groupBy(key).agg(F.count("*").alias("rows"), F.sum("h").cast("string").alias("digest"))
 
 
 def write_json(df: DataFrame, path: str, by: str) -> None:
@@ -98,3 +98,38 @@ def write_json(df: DataFrame, path: str, by: str) -> None:
 def snapshot_meta(df: DataFrame, returned: DataFrame, path: str) -> DataFrame:
     """total_rows, returned_rows, path."""
     return df.agg(F.count("*").alias("total_rows")).crossJoin(returned.agg(F.count("*").alias("returned_rows"))).withColumn("path", F.lit(path))  # one row each
+
+
+def with_slug(df: DataFrame, city: str = "city") -> DataFrame:
+    """df with city_slug, without rows whose city has none."""
+    return df.withColumn("city_slug", slug(F.col(city))).filter(F.col("city_slug") != "")
+
+
+def daily_stats(overall: DataFrame, cities: DataFrame, date: str, site: str, currency: str = "EUR") -> DataFrame:
+    """json: the market statistics of a site's day, with one entry a city in order of names. Both frames as stats.market() makes them."""
+    figures = ("avg_price", "median_price", "avg_psm", "median_psm")
+    rows = cities.agg(F.array_sort(F.collect_list(F.struct(F.col("city"), F.col("listings").alias("count"), *figures, F.col("avg_size").alias("avg_floor_area_m2")))).alias("cities"))  # one row a city
+    whole = overall.crossJoin(rows)  # one row each
+    body = F.struct(F.lit(date).alias("date"), F.lit(site).alias("site"), F.lit(currency).alias("currency"), F.col("listings").alias("total_listings"), *figures, "cities")
+    return whole.select(F.to_json(body, {"ignoreNullFields": "false"}).alias("json"))
+
+
+def write_snapshot(df: DataFrame, returned: DataFrame, path: str, source: str) -> None:
+    """data (JSON lines) and meta (total_rows, returned_rows, path) of a snapshot, in two folders."""
+    returned.write.mode("overwrite").json(f"{path}/data")
+    snapshot_meta(df, returned, source).write.mode("overwrite").json(f"{path}/meta")
+
+
+def plain_summary(c: Column) -> Column:
+    """The quoted summary of an answer, else the answer without its prompt, field name and outer quotes; null and empty stay null."""
+    own = F.trim(F.regexp_extract(c, r'(?i)summary_short_sk:\s*"([^"]+)"', 1))
+    bare = F.regexp_replace(F.regexp_replace(c, r"(?is)INPUT DESCRIPTION:.*?OUTPUT:\s*", ""), r"(?i)summary_short_sk:\s*", "")
+    return F.when(F.rlike(c, F.lit(r'(?i)summary_short_sk:\s*"[^"]+"')), own).otherwise(F.trim(F.btrim(F.nullif(bare, F.lit("")), F.lit('"'))))
+
+
+def path_for(path: str, transaction: str | None) -> str:
+    """`a/name.csv` as `a/name_rent.csv` for the transaction `rent`; paths that have it, and no transaction, stay."""
+    word = (transaction or "").strip().lower()
+    folder, slash, name = path.rpartition("/")
+    stem, dot, kind = name.rpartition(".") if "." in name[1:] else (name, "", "")
+    return path if not word or stem.endswith(f"_{word}") else f"{folder}{slash}{stem}_{word}{dot}{kind}"

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotwise.functions import geo, numbers, similarity, text
-from lotwise.operators import edges, enrich, extract, history, resolve, serve, stats
+from lotwise.operators import edges, enrich, extract, history, records, resolve, serve, stats
 from lotwise.operators.components import components
+from lotwise.plans import pipelines
 from lotwise.plans.proxy import listings, oracle
 from lotwise.schema import conform, struct
 
@@ -205,19 +206,31 @@ def silver_clean(spark, sf):
 
 
 @query("""
-, t AS (SELECT row_id, 'okres ' || town || ', ' || lower(region) || ' kraj' AS area, 'Ulica  ' || street AS line, town FROM listings)
-SELECT row_id, nullif(regexp_extract(replace(area, '_', '-'), '(?i)okres\\s+([\\p{L}\\s-]+)', 1), '') IS NOT NULL AS has_district, regexp_extract(area, '(?i)([\\p{L}\\s-]+)\\s+kraj', 1) <> '' AS has_region,
-  upper(trim(regexp_extract(area, '(?i)([\\p{L}\\s-]+)\\s+kraj', 1))) AS region_upper, nullif(trim(regexp_replace(regexp_replace(line, '\\s+', ' ', 'g'), '(?i)^Ulica\\s+', '')), '') AS street,
-  CASE WHEN line IS NULL THEN lower(town) ELSE lower(street || ', ' || town) END AS address_norm FROM t
-  JOIN (SELECT row_id AS rid, street FROM listings) ON rid = row_id""".replace("SELECT row_id, nullif", "SELECT t.row_id, nullif").replace("nullif(trim(regexp_replace(regexp_replace(line", "nullif(trim(regexp_replace(regexp_replace(line"))
-def address_parts(spark, sf):
+SELECT row_id, sha256(lower(concat_ws('|', coalesce(transaction, ''), coalesce(url, ''), coalesce(street, ''), coalesce(town, ''), coalesce(region, ''), coalesce(CAST(rooms AS VARCHAR), ''), coalesce(printf('%.6f', size), ''), coalesce(status, ''),
+  coalesce(CAST(year_built AS VARCHAR), ''), coalesce(CAST(floor AS VARCHAR), ''), coalesce(cert, ''), coalesce(printf('%.6f', price), '')))) AS hash FROM listings""")
+def content_hashes(spark, sf):
+    """The hash over all twelve columns, many of them null."""
     d = listings(spark, sf)
-    area = F.concat(F.lit("okres "), F.col("town"), F.lit(", "), F.lower("region"), F.lit(" kraj"))
-    return d.select(
+    named = dict(zip(pipelines.HASHED, ("transaction", "url", "street", "town", "region", "rooms", "size", "status", "year_built", "floor", "cert", "price"), strict=True))
+    d = d.select("row_id", *[F.col(c).alias(f"h_{name}") for name, c in named.items()])
+    return d.select("row_id", history.content_hash(*[pipelines.printed(f"h_{c}", c in ("floor_area_m2", "price_eur")) for c in pipelines.HASHED]).alias("hash"))
+
+
+@query("""
+, t AS (SELECT *, CASE WHEN rooms IS NULL THEN 'okres ' || replace(replace(town, '_', ' '), '0', '') ELSE 'OKRES ' || replace(replace(town, '_', '-x'), '1', 'i') || ', ' || lower(region) || '  KRAJ' END AS area FROM listings),
+d AS (SELECT *, trim(regexp_replace(regexp_extract(regexp_replace(area, '\\s+', ' ', 'g'), '(?i)okres\\s+([\\p{L}\\s-]+)', 1), '\\s+', ' ', 'g')) AS di, trim(regexp_extract(regexp_replace(area, '\\s+', ' ', 'g'), '(?i)([\\p{L}\\s-]+)\\s+kraj', 1)) AS re FROM t)
+SELECT row_id, nullif(array_to_string(list_transform(regexp_extract_all(lower(di), '\\p{L}+|[^\\p{L}]+'), lambda w: upper(w[1]) || w[2:]), ''), '') AS district,
+  nullif(array_to_string(list_transform(regexp_extract_all(lower(re), '\\p{L}+|[^\\p{L}]+'), lambda w: upper(w[1]) || w[2:]), ''), '') AS region,
+  nullif(trim(regexp_replace(regexp_replace('Ulica  ' || street, '\\s+', ' ', 'g'), '(?i)^Ulica\\s+', '')), '') AS street, CASE WHEN street IS NULL THEN lower(town) ELSE lower(street || ', ' || town) END AS address_norm FROM d""")
+def address_parts(spark, sf):
+    town, region = F.col("town"), F.lower("region")
+    plain = F.concat(F.lit("okres "), F.replace(F.replace(town, F.lit("_"), F.lit(" ")), F.lit("0"), F.lit("")))
+    full = F.concat(F.lit("OKRES "), F.replace(F.replace(town, F.lit("_"), F.lit("-x")), F.lit("1"), F.lit("i")), F.lit(", "), region, F.lit("  KRAJ"))
+    area = F.when(F.col("rooms").isNull(), plain).otherwise(full)
+    return listings(spark, sf).select(
         "row_id",
-        text.district(F.replace(area, F.lit("_"), F.lit("-"))).isNotNull().alias("has_district"),
-        text.region(area).isNotNull().alias("has_region"),
-        F.upper(F.coalesce(text.region(area), F.lit(""))).alias("region_upper"),
+        text.district(area).alias("district"),
+        text.region(area).alias("region"),
         text.street(F.concat(F.lit("Ulica  "), F.col("street"))).alias("street"),
         text.join_address(text.fold(F.col("street")), text.fold(F.col("town"))).alias("address_norm"),
     )
@@ -247,11 +260,11 @@ def ascii_fold_slug(spark, sf):
 
 
 @query("""
-, u AS (SELECT row_id, ['https://h.example/foto/abc=/' || photo || '_fss?st=1', 'https://h.example/x/' || photo || '-2.jpg', NULL] AS urls FROM listings)
-SELECT row_id, list_aggregate(list_sort(list_distinct(list_filter(list_transform(urls, lambda x: nullif(regexp_replace(regexp_extract(regexp_replace(regexp_extract(regexp_replace(x, '[?#].*$', ''), '([^/]*)$', 1), '_fss.*$', ''), '([^=]*)$', 1), '[^\\p{L}\\p{N}]', '', 'g'), '')), lambda x: x IS NOT NULL))), 'string_agg', ',') AS tokens FROM u""")
+, u AS (SELECT row_id, ['https://h.example/foto/abc=/' || photo || '_fss?st=1', 'https://h.example/x/Ž' || photo || '-2.jpg', 'https://h.example/y/a=' || photo || '_fss2.jpg;v=1#t'] AS urls FROM listings)
+SELECT row_id, list_aggregate(list_sort(list_distinct(list_filter(list_transform(urls, lambda x: nullif(regexp_replace(replace(string_split(list_last(string_split(string_split(string_split(x, '#')[1], '?')[1], '/')), ';')[1], '_fss', ''), '[^A-Za-z0-9]', '', 'g'), '')), lambda x: x IS NOT NULL))), 'string_agg', ',') AS tokens FROM u""")
 def photo_tokens(spark, sf):
     p = F.col("photo")
-    urls = (F.concat(F.lit("https://h.example/foto/abc=/"), p, F.lit("_fss?st=1")), F.concat(F.lit("https://h.example/x/"), p, F.lit("-2.jpg")), F.lit(None).cast("string"))
+    urls = (F.concat(F.lit("https://h.example/foto/abc=/"), p, F.lit("_fss?st=1")), F.concat(F.lit("https://h.example/x/Ž"), p, F.lit("-2.jpg")), F.concat(F.lit("https://h.example/y/a="), p, F.lit("_fss2.jpg;v=1#t")))
     return listings(spark, sf).select("row_id", F.array_join(text.photo_tokens(*urls), ",").alias("tokens"))
 
 
@@ -263,10 +276,13 @@ def distinct_on_columns(spark, sf):
     return table(spark, sf, "events").dropDuplicates(["event_type", "user_id"]).select("event_type", "user_id")
 
 
-@query("SELECT DISTINCT c_custkey AS id, 'customer' AS side FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders) UNION ALL SELECT DISTINCT o_custkey, 'orders' FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)", proxy=False)
+@query("""
+SELECT id, 'returned' AS side FROM (SELECT l_partkey AS id FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 45 EXCEPT SELECT l_partkey FROM lineitem WHERE l_returnflag = 'A' AND l_quantity > 45)
+UNION ALL SELECT id, 'accepted' FROM (SELECT l_partkey AS id FROM lineitem WHERE l_returnflag = 'A' AND l_quantity > 45 EXCEPT SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 45)""", proxy=False)
 def set_difference(spark, sf):
-    c, o = table(spark, sf, "customer").select(F.col("c_custkey").alias("id")), table(spark, sf, "orders").select(F.col("o_custkey").alias("id"))
-    return c.subtract(o).withColumn("side", F.lit("customer")).unionByName(o.subtract(c).withColumn("side", F.lit("orders")))
+    sold = table(spark, sf, "lineitem").filter("l_quantity > 45")
+    r, a = (sold.filter(F.col("l_returnflag") == f).select(F.col("l_partkey").alias("id")) for f in "RA")
+    return r.subtract(a).withColumn("side", F.lit("returned")).unionByName(a.subtract(r).withColumn("side", F.lit("accepted")))
 
 
 @query("SELECT s_suppkey AS id, s_name AS name, CAST(NULL AS VARCHAR) AS segment FROM supplier UNION ALL SELECT c_custkey, c_name, c_mktsegment FROM customer", proxy=False)
@@ -410,19 +426,28 @@ def components_of_rules(spark, sf):
     return labelled_by(spark, sf, ("P1", "A1", "I1")).select("row_id", "cluster_id")
 
 
-@query(f"""{ROWS}, p AS (
+SCORED = f"""
   SELECT a.row_id AS a, b.row_id AS b, CASE WHEN a.listing_key = b.listing_key THEN 8 ELSE 0 END + CASE WHEN a.address = b.address THEN 4 ELSE 0 END
     + CASE WHEN {CLOSE.format(0.02)} THEN 3 WHEN {CLOSE.format(0.03)} THEN 2 ELSE 0 END + CASE WHEN a.photo = b.photo THEN 4 ELSE 0 END
     + CASE WHEN a.price > 0 AND b.price > 0 AND abs(a.price - b.price) <= 0.05 * greatest(a.price, b.price) THEN 1 ELSE 0 END AS score
   FROM (SELECT DISTINCT x.row_id AS i, y.row_id AS j FROM r x JOIN r y ON x.row_id < y.row_id AND x.listing_key = y.listing_key
     UNION SELECT x.row_id, y.row_id FROM r x JOIN r y ON x.row_id < y.row_id AND x.photo = y.photo
     UNION SELECT x.row_id, y.row_id FROM r x JOIN r y ON x.row_id < y.row_id AND x.address = y.address AND x.size IS NOT NULL AND y.size IS NOT NULL)
-  JOIN r a ON a.row_id = i JOIN r b ON b.row_id = j)
-SELECT a, b, score FROM p WHERE score >= 7""")
+  JOIN r a ON a.row_id = i JOIN r b ON b.row_id = j"""
+
+
+@query(f"{ROWS}, p AS ({SCORED}) SELECT a, b, score FROM p WHERE score >= 7")
 def scored_pairs(spark, sf):
     return edges.scored_pairs(rows(spark, sf))
 
 
+@query(closure(f"SELECT a, b FROM ({SCORED}) WHERE score >= 7") + " SELECT row_id, cluster_id FROM label", recursive=True)
+def scored_clusters(spark, sf):
+    """Components of the scored pairs, from edges without the pairs."""
+    d = rows(spark, sf)
+    return resolve.label(d, edges.scored_edges(d)).select("row_id", "cluster_id")
+
+
 def merge_counts(spark, sf):
     """Components that each of the six rules takes away; tested against counting by hand."""
     return resolve.merge_counts(all_rows(spark, sf))
@@ -471,10 +496,10 @@ def golden_rows(spark, sf) -> DataFrame:
 
 
 GOLD = f"""{closure(THREE)}, c AS (SELECT r.*, label.cluster_id FROM r JOIN label USING (row_id)),
-rm AS (SELECT cluster_id, rooms AS v FROM (SELECT cluster_id, rooms, row_number() OVER (PARTITION BY cluster_id ORDER BY count(*) DESC, min(portal_rank * 100000000 - CAST(strftime(CAST(updated_at AS DATE), '%Y%m%d') AS BIGINT)), min(row_id)) AS o FROM c WHERE rooms IS NOT NULL GROUP BY 1, 2) WHERE o = 1),
-tm AS (SELECT cluster_id, town AS v FROM (SELECT cluster_id, town, row_number() OVER (PARTITION BY cluster_id ORDER BY count(*) DESC, min(portal_rank * 100000000 - CAST(strftime(CAST(updated_at AS DATE), '%Y%m%d') AS BIGINT)), min(row_id)) AS o FROM c GROUP BY 1, 2) WHERE o = 1),
+rm AS (SELECT cluster_id, CASE WHEN count(*) FILTER (WHERE n = top) = 1 THEN max(rooms) FILTER (WHERE n = top) END AS v FROM (SELECT *, max(n) OVER (PARTITION BY cluster_id) AS top FROM (SELECT cluster_id, rooms, count(*) AS n FROM c WHERE rooms IS NOT NULL GROUP BY 1, 2)) GROUP BY 1),
+tm AS (SELECT cluster_id, town AS v FROM (SELECT cluster_id, town, row_number() OVER (PARTITION BY cluster_id ORDER BY count(*) DESC, min(lpad(CAST(portal_rank AS VARCHAR), 4, '0') || row_id)) AS o FROM c WHERE town IS NOT NULL GROUP BY 1, 2) WHERE o = 1),
 g0 AS (
-  SELECT cluster_id, count(*) AS cluster_size, {FIRST('portal', NEWEST)} AS primary_portal, {FIRST('url', NEWEST)} AS primary_url, max(updated_at) AS updated_at, {FIRST('street', NEWEST)} AS street,
+  SELECT cluster_id, count(*) AS cluster_size, {FIRST('portal', NEWEST)} AS primary_portal, {FIRST('url', NEWEST)} AS primary_url, {FIRST('updated_at', NEWEST)} AS updated_at, {FIRST('street', NEWEST)} AS street, {FIRST('address', NEWEST)} AS address, {FIRST('rooms', BEST)} AS r1, {FIRST('town', NEWEST)} AS t0,
     CASE WHEN coalesce(max(size) - min(size) > 0.05 * max(size), false) THEN {FIRST('size', BEST)} ELSE median(size) END AS size, coalesce(max(size) - min(size) > 0.05 * max(size), false) AS size_flag,
     {FIRST('price', NEWEST)} AS price, min(price) AS plo, max(price) AS phi,
     (list({{'f': floor, 't': floors_total}} ORDER BY {NEWEST}) FILTER (WHERE floor IS NOT NULL AND floors_total IS NOT NULL))[1] AS pair, {FIRST('floor', BEST)} AS f1, {FIRST('floors_total', BEST)} AS t1,
@@ -482,21 +507,24 @@ g0 AS (
     coalesce(min(rooms) <> max(rooms), false) AS rooms_flag, list_aggregate(list_sort(list(DISTINCT photo)), 'string_agg', ',') AS photos
   FROM c GROUP BY cluster_id),
 gold AS (
-  SELECT g0.*, tm.v AS town, rm.v AS rooms, CASE WHEN pair IS NULL THEN f1 ELSE pair.f END AS floor, CASE WHEN pair IS NULL THEN t1 ELSE pair.t END AS floors_total,
-    coalesce(abs(plo - price) > 0.05 * price OR abs(phi - price) > 0.05 * price, false) AS price_flag FROM g0 LEFT JOIN tm USING (cluster_id) LEFT JOIN rm USING (cluster_id)),
-flagged AS (SELECT *, array_to_string(list_filter([CASE WHEN price_flag THEN 'price_gt_5pct' END, CASE WHEN rooms_flag THEN 'rooms_disagree' END, CASE WHEN size_flag THEN 'size_gt_5pct' END, CASE WHEN status_flag THEN 'status_disagree' END], lambda x: x IS NOT NULL), ',') AS flags FROM gold)"""
+  SELECT g0.*, coalesce(tm.v, t0) AS town, coalesce(rm.v, r1) AS rooms, CASE WHEN pair IS NULL THEN f1 ELSE pair.f END AS floor, CASE WHEN pair IS NULL THEN t1 ELSE pair.t END AS floors_total,
+    coalesce(price <> 0 AND (abs(plo - price) > 0.05 * greatest(abs(price), 1.0) OR abs(phi - price) > 0.05 * greatest(abs(price), 1.0)), false) AS price_flag FROM g0 LEFT JOIN tm USING (cluster_id) LEFT JOIN rm USING (cluster_id)),
+flagged AS (SELECT *, array_to_string(list_filter([CASE WHEN price_flag THEN 'price_disagree' END, CASE WHEN rooms_flag THEN 'rooms_disagree' END, CASE WHEN size_flag THEN 'size_gt_5pct' END, CASE WHEN status_flag THEN 'status_disagree' END], lambda x: x IS NOT NULL), ',') AS flags FROM gold)"""
 
 
 @query(GOLD + """
 SELECT cluster_id, cluster_size, primary_portal, primary_url, updated_at, street, town, round(size, 4) AS size, price, rooms, floor, floors_total, elevator, cert, year_built, round(lat, 6) AS lat, round(lng, 6) AS lng,
-  status, photos, round(price / nullif(size, 0.0), 4) AS price_psm, flags FROM flagged""", recursive=True)
+  status, photos, round(price / nullif(size, 0.0), 4) AS price_psm, flags, address,
+  sha1(lower(trim(coalesce(address, '')) || '|' || coalesce(printf('%.1f', round_even(size * 10, 0) / 10), '') || '|' || coalesce(CAST(floor AS VARCHAR), '') || '|' || coalesce(CAST(floors_total AS VARCHAR), '') || '|' || coalesce(CAST(year_built AS VARCHAR), '') || '||' || coalesce(cert, ''))) AS listing_id
+FROM flagged""", recursive=True)
 def golden_records(spark, sf):
     return printed(golden_rows(spark, sf))
 
 
 def printed(gold: DataFrame) -> DataFrame:
-    g = gold.withColumns({"photos": F.array_join("photos", ","), "flags": F.array_join("flags", ",")})
-    return g.withColumns({"size": snapped("size"), "lat": snapped("lat", 6), "lng": snapped("lng", 6), "price_psm": snapped("price_psm")})
+    g = gold.withColumns({"photos": F.array_join("photos", ","), "flags": F.array_join("flags", ","), "listing_id": resolve.record_id()})
+    g = g.withColumns({"size": snapped("size"), "lat": snapped("lat", 6), "lng": snapped("lng", 6), "price_psm": snapped("price_psm")})
+    return g.drop("address_ascii", "project", "unit_no", "year_top", "transaction", "district", "region", "provenance")
 
 
 @query(GOLD + " SELECT cluster_id, flags AS conflict_fields, cluster_size AS source_count FROM flagged WHERE flags <> ''", recursive=True)
@@ -593,10 +621,32 @@ def serve_limit(spark, sf):
     return serve.listings(listings(spark, sf), city="nation_7", limit=500).select("row_id", "town", "price")
 
 
-@query("""SELECT town AS city, count(*) AS rows, md5(string_agg('{"listing_key":"' || listing_key || '","row_id":"' || row_id || '","town":"' || town || '"}', ',' ORDER BY row_id)) AS body_md5 FROM listings GROUP BY 1""")
+@query("""SELECT town, count(*) AS rows, CAST(sum(CAST('0x' || substring(md5('{"listing_key":"' || listing_key || '","row_id":"' || row_id || '","town":"' || town || '"}'), 1, 12) AS BIGINT)) AS VARCHAR) AS digest FROM listings GROUP BY 1""")
 def city_documents(spark, sf):
-    d = serve.documents_by(listings(spark, sf).select("row_id", "town", "listing_key"), "town", "row_id")
-    return d.select(F.col("town").alias("city"), "rows", F.md5(F.col("body").cast("binary")).alias("body_md5"))
+    return serve.documents_by(listings(spark, sf).select("row_id", "town", "listing_key"), "town")
+
+
+@query("""
+, c AS (SELECT town AS city, count(*) AS n, floor(avg(size) * 1e4 + 0.3141592653) / 1e4 AS s FROM listings WHERE transaction = 'prenajom' GROUP BY 1)
+SELECT '2025-11-02' AS date, 'portal' AS site, (SELECT count(*) FROM listings WHERE transaction = 'prenajom') AS total_listings, (SELECT string_agg(city || ':' || CAST(n AS VARCHAR) || ':' || printf('%.4f', s), ';' ORDER BY city) FROM c) AS cities""")
+def daily_statistics(spark, sf):
+    """The daily JSON document, read back."""
+    d = listings(spark, sf).filter("transaction = 'prenajom'").select(F.col("town").alias("city"), "price", "size", F.try_divide("price", "size").alias("psm"))
+    cities = stats.market(d, ["city"]).withColumn("avg_size", snapped("avg_size"))
+    body = serve.daily_stats(stats.market(d, []), cities, "2025-11-02", "portal")
+    back = body.select(F.from_json("json", "date string, site string, total_listings long, cities array<struct<city string, count long, avg_floor_area_m2 double>>").alias("j")).select("j.*")
+    each = F.transform("cities", lambda c: F.concat_ws(":", c["city"], c["count"].cast("string"), F.format_string("%.4f", c["avg_floor_area_m2"])))
+    return back.select("date", "site", "total_listings", F.array_join(each, ";").alias("cities"))
+
+
+@query("""
+SELECT url AS link, nullif(regexp_extract(regexp_replace(regexp_replace(url, '[?#].*$', ''), '/+$', ''), '/(\\d+)[^/]*$', 1), '') AS property_id,
+  trim(regexp_replace(replace(replace(replace(replace(replace(regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&nbsp;', ' '), '&amp;', '&'), '[\\s\\x{A0}]+', ' ', 'g')) AS property_name,
+  'predaj' AS transaction, 'Nove Zamky' AS address_town FROM pages""", proxy=False)
+def page_records(spark, sf):
+    """Pages as raw listings; the parts that a regular expression finds as well."""
+    r = records.records(table(spark, sf, "pages"), "nehnutelnosti_sk", "nove-zamky", "predaj")
+    return r.select("link", "property_id", F.coalesce("property_name", F.lit("")).alias("property_name"), "transaction", "address_town")
 
 
 @query("SELECT count(*) AS total_rows, count(*) FILTER (WHERE town = 'NATION_1') AS returned_rows, 'gold/latest' AS path FROM listings")
@@ -642,10 +692,12 @@ def page_attributes(spark, sf):
 
 
 def close_titles(spark, sf):
-    """City slugs compared by sequence matching: towns against the regions' nations."""
-    n = table(spark, sf, "nation")
-    pairs = n.select(F.col("n_regionkey").alias("k"), text.slug(F.col("n_name")).alias("a")).join(n.select(F.col("n_regionkey").alias("k"), text.slug(F.col("n_name")).alias("b")), "k")
-    return pairs.select("k", "a", "b", similarity.close_slugs("a", "b").alias("close"), similarity.token_set_ratio("a", "b").alias("score"))
+    """Slugs of page titles compared by sequence matching, for titles with the same two first words."""
+    slugs = table(spark, sf, "pages").select(text.slug(extract.page_title(F.col("html"))).alias("slug")).filter("slug <> ''").distinct()
+    blocks = slugs.withColumn("block", F.substring_index("slug", "_", 2))
+    x, y = blocks.alias("x"), blocks.alias("y")
+    pairs = x.join(y, (F.col("x.block") == F.col("y.block")) & (F.col("x.slug") < F.col("y.slug"))).select(F.col("x.slug").alias("a"), F.col("y.slug").alias("b"))
+    return pairs.select("a", "b", similarity.close_slugs("a", "b").alias("close"), similarity.token_set_ratio(F.replace("a", F.lit("_"), F.lit(" ")), F.replace("b", F.lit("_"), F.lit(" "))).alias("score"))
 
 
 QUERIES |= {"page_attributes": page_attributes, "close_titles": close_titles}

@@ -36,12 +36,16 @@ def silver(raw: DataFrame, site: str, date: str) -> DataFrame:
 HASHED = ("transaction", "title", "address_street", "city", "region", "rooms", "floor_area_m2", "status", "year_built", "floor_raw", "energy_cert", "price_eur")
 
 
+def printed(name: str, number: bool) -> F.Column:
+    """A field as the content hash takes it: numbers with six decimals, nulls empty."""
+    return F.when(F.col(name).isNotNull(), F.format_string("%.6f", F.col(name)) if number else text.clean(F.col(name).cast("string")))
+
+
 def site_etl(raw: DataFrame, latest: DataFrame, past: DataFrame, site: str, date: str) -> dict[str, DataFrame]:
     """silver, latest, history and market statistics of a site's batch."""
     s = silver(raw, site, date)
     number = {f.name for f in SILVER if f.dataType.simpleString() == "double"}
-    parts = [F.format_string("%.6f", F.col(c)) if c in number else F.col(c) for c in HASHED]
-    batch = s.drop("valid_from").withColumn("hash", history.content_hash(*parts))
+    batch = s.drop("valid_from").withColumn("hash", history.content_hash(*[printed(c, c in number) for c in HASHED]))
     new_latest, new_past = history.upsert(latest, past, batch, date, "listing_uid")
     market = stats.market(new_latest.filter("is_current"), ["city"], "price_eur", "price_psm_eur", "floor_area_m2")
     return {"silver": s, "latest": new_latest, "history": new_past, "market": market}
@@ -58,15 +62,15 @@ def normalized(raw: DataFrame, date: str, min_price: float = numbers.MIN_PRICE)
     base = raw.withColumn("__at", at)
     before = base.groupBy("source_path").agg(F.count("*").alias("__n")).withColumn("__before", F.sum("__n").over(W.orderBy("source_path")) - F.col("__n")).drop("__n")  # one row a file
     d = base.join(before, "source_path")
-    address = text.join_address(text.fold(street), text.fold(town))
+    address, building = text.join_address(text.fold(street), text.fold(town)), text.building_status(F.col("building_status"))
     degrees = lambda c: F.nullif(F.expr(f"try_cast(replace({c}, ',', '.') AS double)"), F.lit(float("nan"))) if c in raw.columns else F.lit(None).cast("double")
     return conform(
         d.select(
-            (F.col("__before") + F.col("__at") - 1).alias("row_id"), F.col("source").alias("portal"), text.blank_to_null(F.col("property_id")).alias("portal_listing_key"), F.col("link").alias("source_url"),
-            F.lit(date).alias("updated_at"), street.alias("address_street"), town.alias("address_town"), address.alias("address_norm"), address.alias("address_ascii"), size.alias("size_m2"), price.alias("price"),
+            (F.col("__before") + F.col("__at") - 1).alias("row_id"), F.lower(F.trim(F.coalesce("source", F.lit("")))).alias("portal"), text.blank_to_null(F.col("property_id")).alias("portal_listing_key"), F.col("link").alias("source_url"),
+            F.lit(date).alias("updated_at"), street.alias("address_street"), town.alias("address_town"), address.alias("address_norm"), text.fold(street).alias("address_ascii"), size.alias("size_m2"), price.alias("price"),
             F.try_divide(price, size).alias("price_psm"), text.photo_tokens(F.col("photo_url_1"), F.col("photo_url_2"), F.col("photo_url_3")).alias("photo_fingerprints"),
             F.coalesce(numbers.digits(F.col("room_number")).cast("int"), numbers.rooms_of_title(F.col("property_name"))).alias("rooms"), floor["floor"].alias("floor"), floor["total"].alias("floors_total"), floor["elevator"].alias("elevator"),
-            year("year_of_construction").alias("year_of_construction"), year("year_of_top").alias("year_of_top"), text.energy_class(F.col("energ_cert")).alias("energ_cert"), text.building_status(F.col("building_status")).alias("building_status"),
+            year("year_of_construction").alias("year_of_construction"), year("year_of_top").alias("year_of_top"), text.energy_class(F.col("energ_cert")).alias("energ_cert"), building.alias("building_status"), (text.blank_to_null(F.col("status")) if "status" in raw.columns else building).alias("status"),
             text.transaction(F.col("transaction")).alias("transaction"), F.lit(date).alias("run_date"), degrees("lat").alias("lat"), degrees("lng").alias("lng"),
         ),
         NORMALIZED,
@@ -79,7 +83,7 @@ def resolved(rows: DataFrame, priority: list[str], previous: DataFrame | None =
     d = rows.select(
         "row_id", "portal", rank.cast("int").alias("portal_rank"), F.col("portal_listing_key").alias("listing_key"), F.col("source_url").alias("url"), F.col("address_town").alias("town"), F.col("address_street").alias("street"),
         F.nullif("address_norm", F.lit("")).alias("address"), F.nullif(F.lower("address_ascii"), F.lit("")).alias("address_ascii"), F.nullif(F.lower(F.trim("project_name_norm")), F.lit("")).alias("project"), F.col("size_m2").alias("size"), "price", "rooms", "floor", "floors_total", "elevator", F.col("energ_cert").alias("cert"), F.col("year_of_construction").alias("year_built"),
-        "lat", "lng", "updated_at", "status", F.col("photo_fingerprints").alias("photos"), "transaction",
+        "lat", "lng", "updated_at", "status", F.col("photo_fingerprints").alias("photos"), "transaction", "unit_no", F.col("year_of_top").alias("year_top"),
     )
     marked = resolve.label(d, resolve.union(resolve.rules(d).values()))
     return resolve.golden(marked), marked

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,13 +31,26 @@ def raw_csv(spark: SparkSession, paths: list[str] | str, schema: T.StructType =
     return df.select(*names, "source_path", "position")
 
 
+def matches(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that a pattern (with *, ?, [..] or {..}) or a plain path stands for."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p)
+    return [s.getPath().toString() for s in found] if found else []
+
+
 def union_csv(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Files of several layouts, by column name; all columns text; paths distinct and sorted, absent ones left out."""
+    """Files of several layouts, by column name; all columns text; paths and patterns, distinct and sorted.
+
+    Absent files, and those that can't be read, are left out with a warning.
+    """
     out = None
-    for p in sorted(set(paths)):
-        if exists(spark, p):
+    for p in sorted({m for pattern in paths for m in matches(spark, pattern)}):
+        try:
             df = missing_to_null(spark.read.csv(p, header=True, multiLine=True, escape='"', inferSchema=False))
-            out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+        except Exception as why:  # noqa: BLE001  whatever a reader finds wrong with the file
+            warnings.warn(f"{p} is left out: {why}", stacklevel=2)
+            continue
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
     if out is None:
         raise FileNotFoundError(f"none of {paths}")
     return out
@@ -77,10 +92,9 @@ def runs(spark: SparkSession, base: str) -> DataFrame:
 
 def resolve_run(spark: SparkSession, base: str, date: str | None = None) -> str | None:
     """Folder of a run: the date's, else `latest`, else the last."""
-    if date:
-        return first_existing(spark, [f"{base}/run={date}"])
     last = runs(spark, base).agg(F.max("run_date")).first()[0]
-    return first_existing(spark, [f"{base}/latest", *([f"{base}/run={last}"] if last else [])])
+    wanted = [f"run={date}"] if date else []
+    return first_existing(spark, [f"{base}/{name}" for name in (*wanted, "latest", *([f"run={last}"] if last else []))])
 
 
 # --- sinks
@@ -96,15 +110,43 @@ def replace_partition(df: DataFrame, path: str, by: str = "run_date") -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
 
 
+def put_mark(spark: SparkSession, path: str) -> None:
+    """An empty file: made at once or not at all."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).create(p, True).close()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def recovered(spark: SparkSession, path: str) -> None:
+    """Finishes what an interrupted swap() left: the old table goes back where no new one came."""
+    p = spark._jvm.org.apache.hadoop.fs.Path
+    fs = p(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(p(f"{path}.old")):
+        if fs.exists(p(path)):
+            fs.delete(p(f"{path}.old"), True)
+        else:
+            fs.rename(p(f"{path}.old"), p(path))
+
+
 def swap(df: DataFrame, path: str) -> None:
-    """Replaces a table that df may be reading: writes beside it, then renames."""
+    """Replaces a table that df may be reading: writes beside it, then renames the old one away and the new one in.
+
+    One of the two is there at any moment; recovered() puts the old one back after a crash between the renames.
+    """
     spark = df.sparkSession
+    recovered(spark, path)
     df.write.mode("overwrite").parquet(f"{path}.new")
     p = spark._jvm.org.apache.hadoop.fs.Path
     fs = p(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.delete(p(path), True)
+    if fs.exists(p(path)) and not fs.rename(p(path), p(f"{path}.old")):
+        raise OSError(f"can't rename {path}")
     if not fs.rename(p(f"{path}.new"), p(path)):
         raise OSError(f"can't rename {path}.new")
+    fs.delete(p(f"{path}.old"), True)
 
 
 def publish(df: DataFrame, base: str, date: str, name: str) -> None:

@@ -21,15 +21,15 @@ CASES = [
     ("region", lambda c: text.region(c), [("okres Trnava, Trnavský kraj", "Trnavský"), ("okres Žilina", None)]),
     ("rooms", lambda c: numbers.rooms_of_title(c), [("2,5-izbový byt", 5), ("3 izb.", 3), ("byt", None)]),
     ("energy", lambda c: text.energy_class(c), [("B", "B"), ("nie je", "none"), ("", "none"), (None, "none"), ("x", "unknown")]),
-    ("building", lambda c: text.building_status(c), [("Novostavba", "new_build"), ("Čosi", "unknown")]),
-    ("token", lambda c: text.photo_token(c), [("https://h/foto/abc=/oWgMv1b7l_fss?st=1", "oWgMv1b7l"), (None, None), ("", None)]),
+    ("building", lambda c: text.building_status(c), [("Novostavba", "new"), (" Kompletná  REKONŠTRUKCIA", "renovated-full"), ("čiastočná rekonštrukcia", "renovated-partial"), ("Pôvodný stav", "unknown"), (None, "unknown")]),
+    ("token", lambda c: text.photo_token(c), [("https://h/foto/abc=/oWgMv1b7l_fss?st=1", "oWgMv1b7l"), (None, None), ("", None), ("https://h/a=b_fss2.jpg", "ab2jpg"), ("a=b_fss2.jpg", "ab2jpg"), ("https://h.sk", None), ("//h/Žlť-1.png#x", "l1png"), ("https://h/x|y z.jpg;v=2", "xyzjpg")]),
     ("tokens", lambda c: text.token_list(c), [('["a"," b ","a",""]', ["a", "b"]), ("x", ["x"]), ("", []), (None, [])]),
     ("street", lambda c: text.street(c), [("Ulica  Dlhá 5", "Dlhá 5"), ("", None)]),
     ("town", lambda c: text.town(c), [("slovensko", None), ("nové zámky", "Nové Zámky")]),
     ("transaction", lambda c: text.transaction(c), [("Predaj", "sale"), ("", "unknown"), ("prenajom", "prenajom")]),
     ("one_line", lambda c: text.one_line(c), [("a\r\nb  \t c", "a b c"), (None, "")]),
     ("fences", lambda c: text.strip_fences(c), [('```json\n[1]\n```', "[1]"), ("[1]", "[1]")]),
-    ("one_decimal", lambda c: numbers.one_decimal(c.cast("double")), [("68.25", "68.2")]),
+    ("one_decimal", lambda c: numbers.one_decimal(c.cast("double")), [("68.25", "68.2"), (None, None)]),
     ("room_type", lambda c: stats.room_type(c.cast("double")), [("2.5", "2-izbový"), ("0", "1-izbový"), (None, "Unknown")]),
     ("dash_slug", lambda c: text.dash_slug(c), [("Žilinský kraj", "zilinsky-kraj")]),
     ("year", lambda c: extract.year_in(c), [("rok 1987, 12345", 1987), ("1887", None)]),
@@ -65,6 +65,23 @@ def test_clamps_and_closeness(spark):
     assert abs(row.h - 111.19) < 0.1
 
 
+def test_common_subsequences():
+    import random
+
+    def plain(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            last = 0
+            for j, y in enumerate(b):
+                last, row[j + 1] = row[j + 1], last + 1 if x == y else max(row[j], row[j + 1])
+        return row[-1]
+
+    rng = random.Random(1)
+    for _ in range(300):
+        a, b = ("".join(rng.choice("abcž ") for _ in range(rng.randrange(90))) for _ in range(2))
+        assert similarity.matching(a, b) == plain(a, b)
+
+
 def test_similarity():
     assert similarity.token_set("Ulica Dlhá 5 Trnava", "trnava dlhá 5 ulica") == 100
     assert similarity.token_set("alpha beta", "alpha beta gamma") == 100
@@ -85,3 +102,27 @@ def test_investment_and_ids(spark):
     assert (a.rent, a.expenses, a.cashflow, a.cap_rate, a.grade) == (400, 90, 310, 3.7, "C") and b.grade is None and b.rent is None
     got = spark.range(1).select(resolve.listing_id(F.lit("Dlhá"), F.lit(68), F.lit(None)).alias("x"), F.sha1(F.lit("dlhá|68|").cast("binary")).alias("y")).first()
     assert got.x == got.y
+
+
+def test_serving_helpers(spark):
+    df = spark.createDataFrame([('x summary_short_sk: " pekný byt " y',), ('INPUT DESCRIPTION: a\nb OUTPUT: "krátko"',), ("",), (None,)], "t string")
+    assert [r[0] for r in df.select(serve.plain_summary(F.col("t"))).collect()] == ["pekný byt", "krátko", None, None]
+    assert [serve.path_for(p, t) for p, t in (("a/b.csv", "Rent "), ("a/b_rent.csv", "rent"), ("a.d/b", "x"), ("b.csv", ""))] == ["a/b_rent.csv", "a/b_rent.csv", "a.d/b_x", "b.csv"]
+    cities = spark.createDataFrame([("Žilina",), (" - ",), (None,)], "city string")
+    assert [r.city_slug for r in serve.with_slug(cities).collect()] == ["žilina"]
+
+
+def test_reasons_and_backfill(spark):
+    from lotwise.functions.text import cache_key
+    from lotwise.operators import enrich
+
+    gold = spark.createDataFrame([(i,) for i in range(4)], "cluster_id int")
+    sources = spark.createDataFrame([(0, "a", "1"), (1, "a", "2"), (1, "b", "7"), (2, "a", "9"), (2, "c", "1")], "cluster_id int, portal string, listing_key string")
+    texts = spark.createDataFrame([("a", "1", "t"), ("a", "2", " "), ("b", "8", "u")], "portal string, listing_key string, description string")
+    got = {r.cluster_id: r.reasons for r in enrich.missing_reasons(gold, sources, texts).collect()}
+    assert got == {1: ["a:2 empty description in CSV", "b:7 missing property_id"], 2: ["a:9 missing property_id", "c:1 missing portal CSV"], 3: ["no sources linked to listing"]}
+    rows = spark.createDataFrame([("one", None, "100", "", "own"), ("two", "60", "90", "", None)], "description string, floor_area string, price string, price_area string, floor string")
+    cache = rows.filter("description = 'one'").select(cache_key(F.col("description")).alias("key"), F.lit('```json\n{"floor_area": "50", "floor": "2"}\n```').alias("value"))
+    out = {r.description: (r.floor_area, r.price_area, r.floor) for r in enrich.backfilled(rows, cache, "description", ["floor_area", "floor"]).collect()}
+    assert out == {"one": ("50", "2", "own"), "two": ("60", "2", None)}
+    assert [r.text for r in enrich.to_ask(rows, cache, "description").collect()] == ["two"]

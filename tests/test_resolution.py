@@ -136,11 +136,78 @@ def test_golden_record(spark):
     ]
     g = resolve.golden(spark.createDataFrame(data, ROW).withColumn("cluster_id", F.lit("r0000"))).first()
     assert (g.cluster_size, g.primary_portal, g.size, g.price, g.rooms, g.floor, g.floors_total, g.elevator, g.photos, g.status) == (3, "b", 70.5, 100.0, 2, 2, 5, False, ["y", "z"], "new")
-    assert g.flags == ["price_gt_5pct", "rooms_disagree"]
+    assert g.flags == ["price_disagree", "rooms_disagree"]
     wide = [listing(0, portal_rank=1, portal="b", size=70.0), listing(1, size=80.0)]
     assert resolve.golden(spark.createDataFrame(wide, ROW).withColumn("cluster_id", F.lit("x"))).first().size == 80.0
 
 
+def record(spark, *rows, more="", **columns):
+    df = spark.createDataFrame(list(rows), ROW + more).withColumns({"cluster_id": F.lit("x"), **columns})
+    return resolve.golden(df).first()
+
+
+def test_undated_rows_are_the_oldest(spark):
+    g = record(spark, listing(0, updated_at=None, price=111.0, url="old"), listing(1, updated_at="2025-01-01", price=222.0, url="new"))
+    assert (g.price, g.primary_url, g.updated_at) == (222.0, "new", "2025-01-01")
+    g = record(spark, listing(0, updated_at="2025-01-01T08:00:00", price=1.0), listing(1, updated_at="2025-01-01T18:00:00", price=2.0))
+    assert g.price == 2.0 and g.updated_at.endswith("18:00:00")
+    g = record(spark, listing(0, updated_at=None, price=1.0), listing(1, updated_at=None, price=2.0, portal_rank=-1))
+    assert g.price == 2.0 and g.updated_at is None
+
+
+def test_as_frequent_rooms_go_by_the_best_portal(spark):
+    rows = [listing(0, rooms=2, portal_rank=1), listing(1, rooms=2, portal_rank=1), listing(2, rooms=3, portal_rank=1), listing(3, rooms=3, portal_rank=1), listing(4, rooms=1, portal_rank=0)]
+    assert record(spark, *rows).rooms == 1
+    assert record(spark, *rows, listing(5, rooms=3, portal_rank=1)).rooms == 3
+
+
+def test_provenance_and_table(spark):
+    import hashlib
+    import json
+
+    from lotwise.schema import GOLDEN
+
+    rows = [
+        listing(0, portal="b", portal_rank=1, url="ub", size=70.0, price=100.0, floor=3, floors_total=4, updated_at="2025-01-03", address=None, elevator=False, cert="B", town="T"),
+        listing(1, portal="a", portal_rank=0, url="ua", size=90.0, price=None, floor=2, updated_at="2025-01-01", address="dlha 5, t", elevator=True, year_built=1990, rooms=2, status="new"),
+    ]
+    g = record(spark, *rows, project=F.lit("park"), unit_no=F.lit(None).cast("string"))
+    p = json.loads(g.provenance)
+    assert list(p) == sorted(p)
+    said = {k: (v["portal"], v["source_url"], v["reason"]) for k, v in p.items()}
+    assert said == {
+        "address_norm": ("a", "ua", "fallback_non_null"), "address_town": ("b", "ub", "majority"), "elevator": ("a", "ua", "any_true"), "energ_cert": ("b", "ub", "priority"),
+        "floor": ("b", "ub", "floor_tuple"), "floors_total": ("b", "ub", "floor_tuple"), "price": ("b", "ub", "latest"), "project_name_norm": ("a", "ua", "priority"), "rooms": ("a", "ua", "only_value"),
+        "size_m2": ("a", "ua", "priority"), "status": ("a", "ua", "latest"), "updated_at": ("b", "ub", "primary_recent"), "year_of_construction": ("a", "ua", "priority"),
+    }
+    df = spark.createDataFrame(rows, ROW).withColumns({"cluster_id": F.lit("x"), "project": F.lit("park")})
+    t = resolve.golden_table(resolve.golden(df), "2025-01-04")
+    assert [(f.name, f.dataType) for f in t.schema] == [(f.name, f.dataType) for f in GOLDEN]
+    one = t.first()
+    assert one.listing_id == hashlib.sha1(b"dlha 5, t|90.0|3|4|1990|park|b").hexdigest() and json.loads(one.field_conflict_flags) == {"size_gt_5pct": True} and one.price == 100
+    assert resolve.mean_flags(resolve.golden(df)).first().mean_flags == 1.0
+
+
+def test_rows_numbered_in_order(spark):
+    data = [(f"r{i:03d}", i % 3) for i in range(200)]
+    got = [r.row_id for r in resolve.renumbered(spark.createDataFrame(data, "row_id string, portal_rank int").withColumn("old", F.col("row_id"))).orderBy("portal_rank", "old").collect()]
+    assert got == list(range(200))
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_components_of_scored_pairs_without_pairs(spark, seed):
+    rng = random.Random(seed)
+    data = [
+        listing(i, listing_key=f"k{rng.randrange(40)}" if rng.random() < 0.5 else None, address=rng.choice(["x", "y", None]), size=rng.choice([None, *[round(rng.uniform(40, 60), 1) for _ in range(3)]]), price=rng.choice([None, round(rng.uniform(90, 130), 1)]),
+                photos=[f"p{rng.randrange(25)}"] if rng.random() < 0.5 else [])
+        for i in range(70)
+    ]
+    df = spark.createDataFrame(data, ROW)
+    links = [(r.a, r.b) for r in edges.scored_pairs(df).collect()]
+    out = {r.row_id: r.cluster_id for r in resolve.label(df, edges.scored_edges(df)).collect()}
+    assert out == closure([d[0] for d in data], links)
+
+
 def test_history_of_three_days(spark):
     make = lambda pairs: spark.createDataFrame(pairs, "uid string, v string").withColumn("hash", history.content_hash(F.col("v")))
     none = make([]).withColumns({"first_seen": F.lit(""), "last_seen": F.lit(""), "valid_from": F.lit(""), "is_current": F.lit(True)})

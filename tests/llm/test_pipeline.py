@@ -49,9 +49,10 @@ def test_clean_documents_stay(spark, sf):
 CLASHING = "q kept stratum document p size runs at pass k row digest ids n_tokens decoded component node label hub key __p __w".split()
 
 
-def test_stages_take_edge_rows(spark, edges, nothing, tmp_path):
+def test_stages_take_edge_rows(spark, sf, edges, nothing, tmp_path):
     """Nulls, long texts, repeats, empty tables and columns with the stages' own names, through all five stages."""
-    for n, frame in enumerate((edges, nothing)):
+    usual = spark.read.parquet(f"{sf}/documents.parquet").filter("doc_id > 20 AND doc_id < 60")
+    for n, frame in enumerate((edges.unionByName(usual, allowMissingColumns=True), nothing)):
         docs = frame.select("*", *[F.concat(F.lit(f"{c}:"), F.col("doc_id").cast("string")).alias(c) for c in CLASHING if c not in frame.columns])
         columns = docs.columns
         for k, (name, stage) in enumerate(corpus_pipeline.STAGES):

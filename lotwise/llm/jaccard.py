@@ -443,3 +443,18 @@ def keep_one(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     if not found.groupBy("doc_id").count().filter("count > 1").isEmpty():  # repeated rows: one of each id
         whole = whole.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(whole.filter("doc_id IS NULL"))
     return whole.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+#: resolve() with its defaults in SQL, over all pairs that share a shingle.
+SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT r, doc_id, CASE WHEN len(w) >= 4 THEN list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i : i + 3], ' '))) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS g FROM d
+), e AS MATERIALIZED (SELECT r, doc_id, len(g) AS n, unnest(g) AS g FROM s WHERE len(g) > 0),
+l AS MATERIALIZED (
+  SELECT DISTINCT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, any_value(x.n) AS nx, any_value(y.n) AS ny, count(*) AS shared FROM e x JOIN e y ON x.g = y.g AND x.r <> y.r GROUP BY x.r, y.r, x.doc_id, y.doc_id)
+  WHERE 100 * shared >= 85 * (nx + ny - shared)
+), reach AS (SELECT a AS node, a AS other FROM l UNION SELECT reach.node, l.b FROM reach JOIN l ON l.a = reach.other)
+SELECT s.doc_id, CAST(len(s.g) AS BIGINT) AS n_shingles, least(s.doc_id, coalesce(m.first, s.doc_id)) AS component_id FROM s LEFT JOIN (SELECT node, min(other) AS first FROM reach GROUP BY node) m ON m.node = s.doc_id
+"""

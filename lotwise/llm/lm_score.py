@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lotwise.llm.text import small_batches
-from lotwise.session import cut
+from lotwise.session import cut, discard, place, release, stored
 
 LEAST = 2  # occurrences of a word of the vocabulary
 SMOOTH = 64.0  # weight of the unigram distribution, in counts: where the loss of unseen texts is lowest for a small target
@@ -304,9 +304,15 @@ def score(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             out.loc[~full, name] = pd.NA
         return out
 
-    known = in_groups(packed.filter("bucket >= 0").unionByName(marks(wanted, buckets)), "bucket", count_words, PACKED)
-    cells = in_groups(texts.unionByName(known), "chunk", ask_bigrams, PACKED)
-    sums = in_groups(cells, "bucket", count_bigrams, PACKED)
+    # each step is written down, so that disks hold the shuffles of one step at a time
+    known = cut(in_groups(packed.filter("bucket >= 0").unionByName(marks(wanted, buckets)), "bucket", count_words, PACKED))
+    release(spark)
+    where = place(spark, "cells")
+    cells = stored(in_groups(texts.unionByName(known), "chunk", ask_bigrams, PACKED), where)
+    release(spark)
+    sums = cut(in_groups(cells, "bucket", count_bigrams, PACKED))
+    discard(spark, where)
+    release(spark)
     return in_groups(texts.unionByName(sums), "chunk", losses, "doc_id long, n_tokens long, target_bits double, background_bits double, score double")
 
 

@@ -73,4 +73,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op6_exact_topk": topk.SQL,
+    "op9_ngram_jaccard": jaccard.SQL,
 }

@@ -120,6 +120,14 @@ def test_a_chunk_lists_the_followers_of_its_keys(spark, monkeypatch):
     assert got(jaccard.resolve(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1))) == brute(rows)
 
 
+def test_sql_is_the_plain_join(sf):
+    import duckdb
+
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
+    assert sorted(con.sql(jaccard.SQL).fetchall()) == brute(con.sql("SELECT doc_id, text FROM documents").fetchall())
+
+
 def test_edges(edges, nothing):
     rows = [(r.doc_id, r.text) for r in edges.select("doc_id", "text").collect()]
     assert got(jaccard.resolve(edges)) == brute(rows)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lotwise.llm import bpe, jaccard, langid, license_scan, lm_score, mixing, quality, shards, topk, toxicity
+from lotwise.llm import bpe, classifier, jaccard, langid, lexical, license_scan, lm_score, mixing, quality, resample, shards, topk, toxicity
 from lotwise.llm.text import documents, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -58,6 +58,18 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(documents(spark, sf_dir))
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classifier.score(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
+def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_score": op1_lm_score,
     "op2_bpe": op2_bpe,
@@ -69,9 +81,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_shards": op8_shards,
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_mixing": op10_mixing,
+    "op11_quality": op11_quality,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_resample": op13_resample,
 }
 
 ORACLES: dict[str, str] = {
     "op6_exact_topk": topk.SQL,
     "op9_ngram_jaccard": jaccard.SQL,
+    "op12_lexical_search": lexical.SQL,
+    "op13_resample": resample.SQL,
 }

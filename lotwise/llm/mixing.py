@@ -2,16 +2,20 @@
 
 The words of a source, documents in seeded order, are one stream that is cut
 into blocks of equal length. Targets share all words over the sources by
-weight and stop at `most` times a source's own size. A source fills slots of
-the mix: as many blocks as its target holds, and one more slot for the words
-that are left over, which takes the beginning of its block. Every slot is
-dealt to an output shard by a seeded hash, so that the counts of a source over
-the shards are one multinomial draw with its slots as the number of trials.
-The k-th slot of a source takes block (a * (k mod B) + b) mod B of its B whole
-blocks, with a coprime to B and b from the pass k div B: a permutation of the
-blocks in every pass, after which comes the source's last, shorter block.
-Blocks and documents are joined by block index. So each source's words are its
-target, cut to a whole number.
+weight and stop at `most` times a source's own size; a source's target is a
+number of slots of the mix. Every output shard has equally many slots, and
+draws the source of each by the sources' shares: its counts are one
+multinomial draw. So that each source's words are its target, cut to a whole
+number, the draws are settled: what a source has too much goes from its last
+shards, what it lacks is dealt to all shards in equal parts.
+
+A source's slots are mapped through permutations of its whole blocks, one for
+each pass over them (a Feistel network with cycle walking). Of every pass that
+is whole each block has a slot. Of the last, open pass each shard takes the
+slots it has drawn from its own stretch of the permutation (behind the shard
+before it, where that took more than its stretch), so the draw decides which
+blocks are taken once more. The source's last, shorter block stands at the end
+of a whole pass. Blocks and documents are joined by block index.
 
 DataFrame functions only; sources are a table like any other, however many
 there are. Defined results: null and empty texts have size 0 and are never
@@ -37,7 +41,9 @@ MOST = 3
 CHUNK_ROWS = 4096  # documents of a source that are put in order together
 RUN_SLOTS = 1 << 16  # slots of a source that are made together
 SMALL_TABLE = 100_000  # sources; a table of as many is broadcast, a larger one is joined
-FEW = (2, 3, 5, 7, 11, 13, 17, 19, 23, 29, 31, 37, 41, 43, 47, 53)  # candidates of the multiplier are spread by these
+GROUP = 4096  # sources whose shares are summed up together
+ROUNDS = 4
+WALK = 40  # steps of a walk: more than enough below 1,600 blocks, and beyond that a step fails once in the root of the blocks
 
 
 def weight(k: Column) -> Column:
@@ -70,15 +76,24 @@ def targets(sources: DataFrame, most: float = MOST, weights=weight) -> DataFrame
         out = cut(out.withColumn("full", F.col("full") | over).drop("share"))
 
 
-def multiplier(blocks: Column, seed: Column) -> Column:
-    """A number below `blocks` and coprime to it: the first of some hashed candidates, else 1."""
-    tries = F.array(*[F.pmod(F.xxhash64(seed, F.lit(p)), blocks) for p in FEW])
-    gcd = lambda a: F.reduce(F.sequence(F.lit(1), F.lit(96)), F.struct(a.alias("x"), blocks.alias("y")), lambda s, _: F.when(s["y"] == 0, s).otherwise(F.struct(s["y"].alias("x"), F.pmod(s["x"], F.when(s["y"] == 0, 1).otherwise(s["y"])).alias("y"))), lambda s: s["x"])
-    return F.coalesce(F.get(F.filter(tries, lambda a: gcd(a) == 1), F.lit(0)), F.lit(1).cast("long"))
+def permuted(at: Column, n: Column, *key: Column) -> Column:
+    """A pseudorandom permutation of the numbers below n: Feistel rounds on a rectangle of at least n, walked until below n."""
+    wide = F.ceil(F.sqrt(n.cast("double"))).cast("long")
+    high = F.floor((n + wide - 1) / wide).cast("long")
 
+    def turned(s: Column, i: Column) -> Column:
+        left = F.pmod(s["l"] + F.pmod(F.xxhash64(*key, 2 * i, s["r"]), wide), wide)
+        return F.transform(F.array(left), lambda x: F.struct(x.alias("l"), F.pmod(s["r"] + F.pmod(F.xxhash64(*key, 2 * i + 1, x), high), high).alias("r")))[0]
 
-def plan(sized: DataFrame, weights=weight, block: int = BLOCK_WORDS, most: float = MOST, seed: int = SEED) -> DataFrame:
-    """A row a source: number k, size, target, whole blocks, words of the last block, slots, words of the last slot, multiplier.
+    def once(x: Column) -> Column:
+        first = F.struct(F.floor(x / high).cast("long").alias("l"), (x % high).alias("r"))
+        return F.reduce(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), first, turned, lambda s: s["l"] * high + s["r"])
+
+    return F.reduce(F.sequence(F.lit(1), F.lit(WALK)), once(at), lambda x, _: F.when(x < n, x).otherwise(once(x)))
+
+
+def plan(sized: DataFrame, weights=weight, block: int = BLOCK_WORDS, most: float = MOST) -> DataFrame:
+    """A row a source: number k, size, target, whole blocks, words of the last block, slots, those of the open pass, words of its last slot.
 
     sized: source, size of the documents.
     """
@@ -86,27 +101,79 @@ def plan(sized: DataFrame, weights=weight, block: int = BLOCK_WORDS, most: float
     goal = F.floor(F.col("target") + 1e-6).cast("long")
     d = sources.withColumns({"whole": F.floor(F.col("size") / block), "tail": F.col("size") % block, "goal": goal})
     d = d.withColumns({"passes": F.when(F.col("size") > 0, F.floor(F.col("goal") / F.col("size"))).otherwise(0), "blocks": F.col("whole") + (F.col("tail") > 0).cast("long")})
-    rest = F.col("goal") - F.col("passes") * F.col("size")  # words of the last, open pass
-    d = d.withColumns({"slots": F.col("passes") * F.col("blocks") + F.ceil(rest / block), "last": rest % block})
-    a = F.when(F.col("whole") > 1, multiplier(F.col("whole"), F.xxhash64(F.lit(seed), F.col("k")))).otherwise(F.lit(1).cast("long"))
-    return cut(d.select("k", "source", F.col("size").alias("source_size"), "target", "docs", "whole", "tail", "blocks", "slots", "last", a.alias("a")))
-
-
-def slots(sources: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
-    """k, rank, shard, block and words (null: all of the block) of every slot of the mix."""
-    runs = sources.select("k", "whole", "blocks", "slots", "last", "a", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / RUN_SLOTS))).alias("run")).filter("slots > 0")
-    runs = runs.repartition("k", "run")  # no task makes all slots of a large source
-    each = runs.withColumn("rank", F.explode(F.sequence(F.col("run") * RUN_SLOTS, F.least((F.col("run") + 1) * RUN_SLOTS, F.col("slots")) - 1)))
-    at, turn = F.col("rank") % F.col("blocks"), F.floor(F.col("rank") / F.col("blocks"))
-    shift = F.pmod(F.xxhash64(F.lit(seed + 2), F.col("k"), turn), F.greatest(F.col("whole"), F.lit(1)))
-    inner = F.pmod(F.col("a").cast("decimal(20,0)") * at + shift, F.greatest(F.col("whole"), F.lit(1))).cast("long")
-    shard = F.pmod(F.xxhash64(F.lit(seed + 3), F.col("k"), F.col("rank")), F.lit(shards)).cast("int")
-    words = F.when((F.col("rank") == F.col("slots") - 1) & (F.col("last") > 0), F.col("last"))
-    return each.select("k", "rank", shard.alias("shard"), F.when(at < F.col("whole"), inner).otherwise(F.col("whole")).alias("block"), words.alias("words"))
-
-
-def small(table: DataFrame) -> DataFrame:
-    return F.broadcast(table) if table.count() <= SMALL_TABLE else table
+    rest = F.col("goal") - F.col("passes") * F.col("size")  # words of the open pass
+    d = d.withColumns({"open": F.ceil(rest / block), "last": rest % block})
+    d = d.withColumn("slots", F.col("passes") * F.col("blocks") + F.col("open"))
+    return cut(d.select("k", "source", F.col("size").alias("source_size"), "target", "docs", "whole", "tail", "blocks", "passes", "slots", "open", "last"))
+
+
+def ranges(sources: DataFrame) -> DataFrame:
+    """k, lo, hi: each source's part of all slots, one behind the other; summed up in groups, so no task holds all sources."""
+    d = sources.filter("slots > 0").select("k", "slots", F.floor(F.col("k") / GROUP).alias("group"))
+    groups = d.groupBy("group").agg(F.sum("slots").alias("n"))
+    before = groups.select("group", (F.sum("n").over(W.orderBy("group")) - F.col("n")).alias("before"))  # a row for GROUP sources
+    own = F.sum("slots").over(W.partitionBy("group").orderBy("k"))
+    return d.withColumn("own", own).join(before, "group").select("k", (F.col("before") + F.col("own") - F.col("slots")).alias("lo"), (F.col("before") + F.col("own")).alias("hi"))
+
+
+def drawn(sources: DataFrame, shards: int, seed: int) -> DataFrame:
+    """shard, k, n: how many of the shard's slots fall to the source when each draws its source by the sources' shares."""
+    sums = sources.agg(F.sum("slots").alias("slots"), F.count("*").alias("sources")).first()
+    total = sums.slots or 0
+    bins = max(1024, 4 * sums.sources)  # parts of [0, total), by which drawn numbers find their source
+    bin_of = lambda c: F.floor(c.cast("decimal(20,0)") * bins / max(1, total)).cast("long")
+    found = ranges(sources)
+    found = small(found.withColumn("bin", F.explode(F.sequence(bin_of(F.col("lo")), bin_of(F.col("hi") - 1)))), bins + sums.sources)
+    sizes = sources.sparkSession.range(shards).select(F.col("id").cast("int").alias("shard"), *[F.floor((F.col("id") + x).cast("decimal(20,0)") * total / shards).cast("long").alias(c) for c, x in (("a", 0), ("b", 1))])
+    runs = sizes.filter("b > a").withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("b") - F.col("a") - 1) / RUN_SLOTS)))).repartition("shard", "run")
+    each = runs.select("shard", F.explode(F.sequence(F.col("a") + F.col("run") * RUN_SLOTS, F.least(F.col("a") + (F.col("run") + 1) * RUN_SLOTS, F.col("b")) - 1)).alias("slot"))
+    each = each.select("shard", F.pmod(F.xxhash64(F.lit(seed), "shard", "slot"), F.lit(max(1, total))).alias("u")).withColumn("bin", bin_of(F.col("u")))
+    return each.join(found, "bin").filter("u >= lo AND u < hi").groupBy("shard", "k").agg(F.count("*").alias("n"))
+
+
+def settled(sources: DataFrame, draws: DataFrame, shards: int) -> DataFrame:
+    """sources with shard, n and before: the draws, brought to each source's slots. A row for every shard and source."""
+    every = sources.filter("slots > 0").withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+    d = every.join(draws, ["shard", "k"], "left").withColumn("n", F.coalesce("n", F.lit(0)).cast("long"))
+    upto = W.partitionBy("k").orderBy("shard")
+    d = d.withColumns({"sum": F.sum("n").over(upto), "all": F.sum("n").over(W.partitionBy("k"))})
+    lack = F.greatest(F.col("slots") - F.col("all"), F.lit(0))
+    part = lambda x: F.floor((F.col("shard") + x) * lack / shards).cast("long")
+    n = F.least("sum", "slots") - F.least(F.col("sum") - F.col("n"), F.col("slots")) + part(1) - part(0)
+    d = d.withColumn("n", n).withColumn("before", F.sum("n").over(upto) - F.col("n"))
+    return d.drop("sum", "all")
+
+
+def slots(sources: DataFrame, shards: int = SHARDS, seed: int = SEED, draw: int | None = None) -> DataFrame:
+    """k, shard, turn, block and words (null: all of the block) of every slot of the mix. draw: seed of the shards' draws."""
+    d = settled(sources, drawn(sources, shards, seed + 3 if draw is None else draw), shards)
+    # the part of a shard's slots that is of the open pass: in proportion, cut to whole numbers
+    opened = lambda c: F.floor(c.cast("decimal(20,0)") * F.col("open") / F.col("slots")).cast("long")
+    d = d.withColumns({"done": opened(F.col("before")), "o": opened(F.col("before") + F.col("n")) - opened(F.col("before"))})
+    # a shard's stretch of the open pass begins at its share of the blocks, or behind the shard before it; all fit in
+    room = F.when(F.col("open") > F.col("whole"), F.col("blocks")).otherwise(F.col("whole"))
+    share = F.floor(F.col("shard") * room / shards).cast("long")
+    behind = F.max(share - F.col("done")).over(W.partitionBy("k").orderBy("shard"))
+    d = d.withColumn("start", F.col("done") + F.least(behind, room - F.col("open")))
+    parts = F.array(
+        F.struct(F.lit(False).alias("opened"), (F.col("before") - F.col("done")).alias("first"), (F.col("n") - F.col("o")).alias("many")),
+        F.struct(F.lit(True).alias("opened"), F.col("start").alias("first"), F.col("o").alias("many")),
+    )
+    d = d.select("*", F.inline(parts)).filter("many > 0")
+    runs = d.withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("many") - 1) / RUN_SLOTS))))
+    runs = runs.repartition("k", "shard", "run", "opened")  # no task makes all slots of a large source
+    each = runs.withColumn("place", F.explode(F.sequence(F.col("first") + F.col("run") * RUN_SLOTS, F.col("first") + F.least((F.col("run") + 1) * RUN_SLOTS, F.col("many")) - 1)))
+    at = F.when(F.col("opened"), F.col("place")).otherwise(F.col("place") % F.col("blocks"))
+    turn = F.when(F.col("opened"), F.col("passes")).otherwise(F.floor(F.col("place") / F.col("blocks")))
+    final = F.col("opened") & (F.col("done") + F.col("o") == F.col("open")) & (F.col("place") == F.col("start") + F.col("o") - 1)
+    each = each.select("k", "shard", turn.alias("turn"), at.alias("at"), "whole", F.when(final & (F.col("last") > 0), F.col("last")).alias("words"))
+    inner = permuted(F.col("at"), F.greatest(F.col("whole"), F.lit(1).cast("long")), F.lit(seed + 2), F.col("k"), F.col("turn"))
+    return each.select("k", "shard", "turn", F.when(F.col("at") < F.col("whole"), inner).otherwise(F.col("whole")).alias("block"), "words")
+
+
+def small(table: DataFrame, rows: int | None = None) -> DataFrame:
+    """Broadcast if it has few rows; rows: a bound of them, if one is known."""
+    return F.broadcast(table) if (table.count() if rows is None else rows) <= SMALL_TABLE else table
 
 
 def placed(docs: DataFrame, sources: DataFrame, seed: int) -> DataFrame:
@@ -128,10 +195,10 @@ def sizes(docs: DataFrame) -> DataFrame:
     return cut(sized.withColumn("row", F.monotonically_increasing_id()))
 
 
-def mix(sized: DataFrame, weights=weight, block: int = BLOCK_WORDS, shards: int = SHARDS, most: float = MOST, seed: int = SEED) -> tuple[DataFrame, DataFrame, DataFrame]:
+def mix(sized: DataFrame, weights=weight, block: int = BLOCK_WORDS, shards: int = SHARDS, most: float = MOST, seed: int = SEED, draw: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(sizes() with source_size, target, k, at; k, block, uses and words of one further use; slots)."""
-    sources = plan(sized, weights, block, most, seed)
-    dealt = slots(sources, shards, seed)
+    sources = plan(sized, weights, block, most)
+    dealt = slots(sources, shards, seed, draw)
     uses = dealt.groupBy("k", "block").agg(F.count_if(F.col("words").isNull()).alias("uses"), F.coalesce(F.max("words"), F.lit(0)).alias("part"))
     return placed(sized, sources, seed), uses, dealt
 
@@ -145,9 +212,9 @@ def overlaps(docs: DataFrame, uses: DataFrame, block: int) -> DataFrame:
     return each.select("row", lo.alias("lo"), hi.alias("hi"), "uses", F.greatest(lo, F.least(hi, F.col("block") * block + F.col("part") - F.col("at"))).alias("stop"))
 
 
-def digest(docs: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
+def digest(docs: DataFrame, block: int = BLOCK_WORDS, shards: int = SHARDS, draw: int | None = None) -> DataFrame:
     """doc_id, size, source_size, target, taken of every document."""
-    own, uses, _ = mix(sizes(docs.select("doc_id", "source", "text")), block=block)
+    own, uses, _ = mix(sizes(docs.select("doc_id", "source", "text")), block=block, shards=shards, draw=draw)
     words = (F.col("hi") - F.col("lo")) * F.col("uses") + F.col("stop") - F.col("lo")
     taken = overlaps(own, uses, block).groupBy("row").agg(F.sum(words).alias("taken"))
     out = own.join(taken, "row", "left")

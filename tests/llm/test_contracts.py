@@ -1,6 +1,7 @@
 """The numbered queries against plain Python, over whole small tables and edge rows."""
 
 import hashlib
+import itertools
 import math
 import re
 import zlib
@@ -9,6 +10,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import regex
+import xxhash
 from pyspark.sql import functions as F
 
 from lotwise.llm import bpe, langid, license_scan, mixing, quality, registry, shards, toxicity
@@ -329,17 +331,93 @@ def test_slots_permute_blocks_and_fill_shards(spark):
     sources = {r.k: r for r in plan.collect()}
     dealt = rows(mixing.slots(plan, 10))
     for k, r in sources.items():
-        mine = sorted((x for x in dealt if x["k"] == k), key=lambda x: x["rank"])
-        assert [x["rank"] for x in mine] == list(range(r.slots))
-        for lo in range(0, r.slots - r.blocks + 1, r.blocks):
-            assert sorted(x["block"] for x in mine[lo : lo + r.blocks]) == list(range(r.blocks))  # each pass takes every block
+        mine = [x for x in dealt if x["k"] == k]
+        assert len(mine) == r.slots and sum(x["words"] is not None for x in mine) == (r.last > 0)
+        for turn in range(r.passes):
+            assert sorted(x["block"] for x in mine if x["turn"] == turn) == list(range(r.blocks))  # each whole pass takes every block
+        last = [x["block"] for x in mine if x["turn"] == r.passes]
+        assert len(set(last)) == len(last) == r.open and all(0 <= x < r.blocks for x in last)
         counts = Counter(x["shard"] for x in mine)
         if r.slots > 1000:  # multinomial: near equal shares, not equal ones
             assert all(abs(n - r.slots / 10) < 5 * (r.slots / 10) ** 0.5 for n in counts.values()) and len(set(counts.values())) > 1
-    big = [x["block"] for x in sorted((x for x in dealt if x["k"] == 0), key=lambda x: x["rank"])]
+    big = [x["block"] for x in sorted((x for x in dealt if x["k"] == 0), key=lambda x: (x["turn"], x["shard"]))]
     assert sum(a + 1 == b for a, b in zip(big, big[1:], strict=False)) < 0.2 * len(big)  # not in order
 
 
+def spark_hash(*values):
+    """xxhash64 of Spark over whole numbers: (value, bytes) each, chained by the seed."""
+    h = 42
+    for v, wide in values:
+        h = xxhash.xxh64_intdigest(v.to_bytes(wide, "little", signed=True), h)
+    return h - (1 << 64) if h >= 1 << 63 else h
+
+
+def test_counts_are_the_shards_draws(spark):
+    """Every slot's draw, counted in plain Python; the settled counts lose from the last shards and gain in all."""
+    df = spark.createDataFrame([(f"s{i}", n) for i, n in enumerate([5000, 70_000, 0, 900, 33_000, 120])], "source string, size long")
+    plan, shards = mixing.plan(df, block=100), 7
+    own = sorted(plan.collect(), key=lambda r: r.k)
+    total = sum(r.slots for r in own)
+    ends = np.cumsum([r.slots for r in own])
+    want = Counter()
+    for s in range(shards):
+        for slot in range(s * total // shards, (s + 1) * total // shards):
+            u = spark_hash((77, 4), (s, 4), (slot, 8)) % total
+            want[s, own[int(np.searchsorted(ends, u, "right"))].k] += 1
+    draws = mixing.drawn(plan, shards, 77)
+    assert {(r.shard, r.k): r.n for r in draws.collect()} == want
+    out = {(r.shard, r.k): r.n for r in mixing.settled(plan, draws, shards).collect()}
+    for r in own:
+        many, n = r.slots, [want[s, r.k] for s in range(shards)]
+        for s in reversed(range(shards)):
+            over = max(0, sum(n) - many)
+            n[s] -= min(over, n[s])
+        lack = many - sum(n)
+        n = [x + (s + 1) * lack // shards - s * lack // shards for s, x in enumerate(n)]
+        assert [out.get((s, r.k), 0) for s in range(shards)] == n and sum(n) == many
+
+
+def test_feistel_walks_permute(spark):
+    sizes = [1, 2, 3, 5, 7, 16, 17, 99, 500, 1601]
+    df = spark.createDataFrame([(n, i) for n in sizes for i in range(n)], "n long, i long").select("n", mixing.permuted(F.col("i"), F.col("n"), F.lit(5), F.col("n")).alias("to"))
+    got = {}
+    for r in df.collect():
+        got.setdefault(r.n, []).append(r.to)
+    assert all(sorted(got[n]) == list(range(n)) for n in sizes) and got[500] != sorted(got[500])
+
+
+def test_the_draw_decides_what_is_taken(spark, sf):
+    """Other draws, or another number of shards, take other blocks once more; each source's words stay."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    taken = [{r["doc_id"]: (r["source_size"], r["taken"]) for r in rows(mixing.digest(docs, 32, **how))} for how in ({}, {"draw": 1}, {"draw": 2}, {"shards": 7})]
+    for a, b in itertools.combinations(taken, 2):
+        assert a != b
+        sums = [Counter() for _ in range(2)]
+        for own, of in zip(sums, (a, b), strict=True):
+            for size, n in of.values():
+                own[size] += n
+        assert sums[0] == sums[1]
+
+
+def test_taken_words_by_hand(spark, sf):
+    """From the slots and the order of the documents: every word of a block that a slot takes is one use."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    own, _, dealt = mixing.mix(mixing.sizes(docs.select("doc_id", "source", "text")), block=32)
+    streams, placed = {}, rows(own)
+    for r in placed:
+        for w in range(r["size"]):
+            streams.setdefault(r["k"], {})[r["at"] + w] = r["row"]
+    want = Counter()
+    for x in rows(dealt):
+        stream = streams[x["k"]]
+        for at in range(x["block"] * 32, x["block"] * 32 + (x["words"] or 32)):
+            if at in stream:
+                want[stream[at]] += 1
+    got = Counter((r["doc_id"], r["taken"]) for r in rows(mixing.digest(docs, 32)))
+    assert got == Counter((r["doc_id"], want[r["row"]]) for r in placed)
+    assert all(sorted(s) == list(range(len(s))) for s in streams.values())
+
+
 def test_mixed_texts_hold_the_taken_words(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     texts = {r.doc_id: r.text or "" for r in docs.select("doc_id", "text").collect()}

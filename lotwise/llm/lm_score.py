@@ -40,12 +40,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lotwise.llm.text import small_batches
-from lotwise.session import cut, discard, place, release, stored
+from lotwise.session import discard, place, stored
 
 LEAST = 2  # occurrences of a word of the vocabulary
 SMOOTH = 64.0  # weight of the unigram distribution, in counts: where the loss of unseen texts is lowest for a small target
 CHUNK_TOKENS = 1 << 22
 CHUNK_DOCS = 1 << 18
+BUCKET_BYTES = 32 << 20  # of text, whose keys a bucket holds
 START, UNKNOWN = 0, 1  # ids of a text's start and of all unknown words; hashes of words are larger
 UNIGRAM, HISTORY, TOTAL = 0x6A09E667F3BCC908, 0xBB67AE8584CAA73B, 0x3C6EF372FE94F82B  # in place of a bigram's second word
 PACKED = "chunk long, bucket long, body binary, extra binary, n long"
@@ -110,10 +111,10 @@ def unpack_keys(first: np.ndarray, steps: np.ndarray) -> np.ndarray:
 
 
 def asked(chunk: int, keys: np.ndarray, buckets: int, offset: int, *values: np.ndarray) -> pd.DataFrame:
-    """A row for every bucket, also where the chunk has no key of it: sorted keys and their values."""
+    """A row for every bucket that the chunk has keys of: sorted keys and their values."""
     number = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
     at = np.searchsorted(number, np.arange(buckets + 1, dtype=np.uint64))
-    rows = [(chunk, offset + k, pack_keys(keys[lo:hi]), pack(*[v[lo:hi] for v in values]), 0) for k, (lo, hi) in enumerate(zip(at[:-1], at[1:], strict=True))]
+    rows = [(chunk, offset + k, pack_keys(keys[lo:hi]), pack(*[v[lo:hi] for v in values]), 0) for k, (lo, hi) in enumerate(zip(at[:-1], at[1:], strict=True)) if hi > lo]
     return pd.DataFrame(rows, columns=["chunk", "bucket", "body", "extra", "n"])
 
 
@@ -256,33 +257,38 @@ class Chunk:
         return out[0], out[1]
 
 
-def joined(rows: pd.DataFrame) -> list[np.ndarray]:
-    """A chunk's answers in the order of its keys."""
-    return [np.concatenate(x) for x in zip(*map(unpack, rows.sort_values("bucket")["body"]), strict=True)]
+def joined(rows: pd.DataFrame, values: int) -> list[np.ndarray]:
+    """A chunk's answers in the order of its keys, so many values for each."""
+    parts = [unpack(b) for b in rows.sort_values("bucket")["body"]]
+    return [np.concatenate([np.zeros(0, np.uint64), *[p[k] for p in parts]]) for k in range(values)]
 
 
 def in_groups(rows: DataFrame, key: str, run: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
     return rows.groupBy(key).applyInPandas(run, schema)
 
 
-def score(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, target_bits, background_bits, score of every document. wanted: doc_id of the target documents."""
+def score(docs: DataFrame, wanted: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+    """doc_id, n_tokens, target_bits, background_bits, score of every document. wanted: doc_id of the target documents.
+
+    What the steps hand on is written to the shared folder, and goes as soon as it has been read.
+    """
     spark = docs.sparkSession
     small_batches(spark)
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    packed = cut(chunks(docs, buckets))  # chunks have to stay the same between the rounds
-    texts = packed.filter("bucket = -1")
+    buckets = max(1, -(-(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // bucket_bytes))
+    where = place(spark, "lm-score")
+    chunks(docs, buckets).withColumn("asks", F.col("bucket") >= 0).write.partitionBy("asks").parquet(f"{where}/chunks")  # chunks have to stay the same between the steps
+    packed = spark.read.schema(f"{PACKED}, asks boolean").parquet(f"{where}/chunks")
+    texts, asks = (packed.filter(c).drop("asks") for c in ("NOT asks", "asks"))
 
     def count_words(rows: pd.DataFrame) -> pd.DataFrame:
         return answers(rows, LEAST)
 
     def ask_bigrams(rows: pd.DataFrame) -> pd.DataFrame:
-        """What the chunk asks, and its known words and marked ids for the last round."""
+        """What the chunk asks, and its known words and marked ids for the last step."""
         body, said = rows[rows["bucket"] == -1], rows[rows["bucket"] >= 0]
-        words, ids = said[said["bucket"] < buckets], said[said["bucket"] >= buckets]
-        known, marked = joined(words)[0] >= LEAST, joined(ids)[0] >= LEAST
+        known, marked = (joined(said[of], 1)[0] >= LEAST for of in (said["bucket"] < buckets, said["bucket"] >= buckets))
         chunk, name = Chunk(body["body"].iloc[0], known, marked), int(body["chunk"].iloc[0])
-        own = pd.DataFrame([(name, -1 - name, pack(known, marked), b"", int(words["n"].sum()))], columns=["chunk", "bucket", "body", "extra", "n"])
+        own = pd.DataFrame([(name, -1 - name, pack(known, marked), b"", 0)], columns=["chunk", "bucket", "body", "extra", "n"])
         return pd.concat([own, asked(name, chunk.keys, buckets, 0, *chunk.counts())])
 
     def count_bigrams(rows: pd.DataFrame) -> pd.DataFrame:
@@ -293,9 +299,9 @@ def score(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     def losses(rows: pd.DataFrame) -> pd.DataFrame:
         of = {int(b): x for b, x in rows[rows["bucket"] < 0].set_index("bucket").iterrows()}
         known, marked = (x.astype(bool) for x in unpack(of[-2]["body"]))
-        chunk, size = Chunk(of[-1]["body"], known, marked), int(of[-2]["n"]) + 2
+        chunk = Chunk(of[-1]["body"], known, marked)
         full = chunk.lengths > 0
-        t, b = chunk.losses(*joined(rows[rows["bucket"] >= 0]), size)
+        t, b = chunk.losses(*joined(rows[rows["bucket"] >= 0], 2), size)
         out = pd.DataFrame({"doc_id": pd.array(chunk.ids, "Int64"), "n_tokens": chunk.lengths})
         out.loc[chunk.null, "doc_id"] = pd.NA
         for name, x in (("target_bits", t), ("background_bits", b), ("score", t - b)):
@@ -304,15 +310,12 @@ def score(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             out.loc[~full, name] = pd.NA
         return out
 
-    # each step is written down, so that disks hold the shuffles of one step at a time
-    known = cut(in_groups(packed.filter("bucket >= 0").unionByName(marks(wanted, buckets)), "bucket", count_words, PACKED))
-    release(spark)
-    where = place(spark, "cells")
-    cells = stored(in_groups(texts.unionByName(known), "chunk", ask_bigrams, PACKED), where)
-    release(spark)
-    sums = cut(in_groups(cells, "bucket", count_bigrams, PACKED))
-    discard(spark, where)
-    release(spark)
+    known = stored(in_groups(asks.unionByName(marks(wanted, buckets)), "bucket", count_words, PACKED), f"{where}/known")
+    discard(spark, f"{where}/chunks/asks=true")
+    # words of the vocabulary, and the start and all unknown words
+    size = 2 + (known.filter(F.col("bucket") < buckets).groupBy("bucket").agg(F.max("n").alias("n")).agg(F.sum("n")).first()[0] or 0)
+    sums = stored(in_groups(in_groups(texts.unionByName(known), "chunk", ask_bigrams, PACKED), "bucket", count_bigrams, PACKED), f"{where}/sums")
+    discard(spark, f"{where}/known")
     return in_groups(texts.unionByName(sums), "chunk", losses, "doc_id long, n_tokens long, target_bits double, background_bits double, score double")
 
 

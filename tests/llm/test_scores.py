@@ -146,5 +146,21 @@ def test_documents_that_occur_twice_stand_apart(spark):
     assert len(planted) > 15 and (planted > others.quantile(0.75)).mean() > 0.9
 
 
+def test_buckets_follow_the_input(spark, sf):
+    """Small and large buckets, and any session setting, give the same scores; a bucket holds a bounded part."""
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    good = labels.filter("quality = 1").select("doc_id")
+    out = []
+    for size, partitions in ((lm_score.BUCKET_BYTES, "4"), (20_000, "4"), (20_000, "13")):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        out.append({r.doc_id: r.score for r in lm_score.score(docs, good, size).collect()})
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert all(o.keys() == out[0].keys() and all(abs((o[k] or 0) - (v or 0)) < 1e-9 for k, v in out[0].items()) for o in out)
+    keys = np.unique(np.random.default_rng(1).integers(0, 1 << 63, 50_000).astype(np.uint64) * np.uint64(2))
+    made = lm_score.asked(7, keys, 64, 0, np.ones(len(keys)))
+    assert len(made) == 64 and max(len(lm_score.unpack_keys(*lm_score.unpack(b))) for b in made["body"]) < 2 * len(keys) / 64
+    assert list(lm_score.asked(7, keys[:1], 64, 0, np.ones(1))["bucket"]) == [0]  # no row without a key
+
+
 def test_lm_empty(spark, nothing, labels):
     assert lm_score.digest(nothing, labels).collect() == []

@@ -7,9 +7,18 @@ shard's records over its buckets. Pass two gives every bucket a Fisher-Yates
 permutation of its positions; with the sizes of the buckets before it, that
 makes a gapless slot in the shard. Records are then written in slot order.
 
+A bucket's permutation follows from the seed and the number of the bucket
+alone: buckets are dealt to LANES tasks by their number, each task takes its
+own in order, and Spark's shuffle() is seeded by the task's number. So slots
+don't depend on how the input lies, on the session's partitions or on AQE.
+
 DataFrame functions only. Law: `key`. Defined results: null texts have size 16
-and checksum 0; rows with a null id go to one shard by the hash of null;
-repeated rows get slots of their own.
+and checksum 0, empty ones size 16 too; texts of any length are one record;
+rows with a null id go to one shard by the hash of null; repeated rows get
+slots of their own, and which of equal rows has which of their slots is left
+open; ties in the order of a bucket go by id and checksum; an empty table
+gives no rows; assign() replaces columns of the names that it adds, digest()
+reads doc_id and text only.
 """
 
 from __future__ import annotations
@@ -23,6 +32,7 @@ from lotwise.session import cut
 SEED = 20_240_607
 ROW_BYTES = 16
 BUCKET_BYTES = 128 << 20  # of records that one task holds while it orders a bucket
+LANES = 256  # tasks that make the permutations
 
 
 def highest(doc_id: Column, shards: int, seed: int) -> Column:
@@ -51,7 +61,8 @@ def assign(docs: DataFrame, shards: int = 40, seed: int = SEED, bucket_bytes: in
     # sizes of the buckets, for their permutations and offsets
     sizes = cut(base.groupBy("shard", "__bucket").agg(F.count("*").alias("__n")))
     before = sizes.withColumn("__before", F.sum("__n").over(W.partitionBy("shard").orderBy("__bucket")) - F.col("__n"))
-    perm = before.select("__bucket", "__before", F.posexplode(F.expr(f"shuffle(sequence(0L, __n - 1), {seed})")).alias("__at", "__to"))
+    lanes = before.repartitionById(min(LANES, shards * buckets), F.pmod("__bucket", F.lit(min(LANES, shards * buckets))).cast("int")).sortWithinPartitions("__bucket")
+    perm = lanes.select("__bucket", "__before", F.posexplode(F.expr(f"shuffle(sequence(0L, __n - 1), {seed})")).alias("__at", "__to"))
     order = W.partitionBy("__bucket").orderBy("__mix", doc_id, "text_crc32")
     placed = base.withColumn("__at", F.row_number().over(order) - 1).join(perm.hint("merge"), ["__bucket", "__at"])  # perm has a row for each record: never broadcast
     placed = placed.withColumns({"law": F.lit("key"), "slot": F.col("__before") + F.col("__to"), "grown_shard": grown(doc_id, F.col("shard"), shards, seed)})

@@ -276,6 +276,34 @@ def test_shards_over_several_buckets(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 3000
 
 
+def test_slots_do_not_follow_the_layout(spark, sf):
+    """Any number of partitions, AQE on or off: the same slots; another seed: others."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    own = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    seen = []
+    for partitions, adaptive, files, lanes in ((2, "true", 1, 8000), (3, "false", 5, 8000), (8, "true", 3, 8000), (3, "false", 2, 8000)):
+        spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        seen.append(sorted((r.doc_id, r.shard, r.slot) for r in shards.assign(docs.repartition(files), 4, bucket_bytes=lanes).collect()))
+    for k, v in own.items():
+        spark.conf.set(k, v)
+    assert all(s == seen[0] for s in seen)
+    other = sorted((r.doc_id, r.shard, r.slot) for r in shards.assign(docs, 4, seed=1, bucket_bytes=8000).collect())
+    assert other != seen[0]
+
+
+def test_shards_by_hand(docs):
+    """The shard with the highest hash, in plain Python."""
+    want = {}
+    for r in docs.select("doc_id").distinct().collect():
+        own = [] if r.doc_id is None else [(r.doc_id, 8)]
+        each = [spark_hash((shards.SEED, 4), *own, (s, 4)) for s in range(41)]
+        best = max(range(40), key=lambda s: (each[s], s))
+        want[r.doc_id] = (best, 40 if each[40] > each[best] else best)
+    out = rows(shards.digest(docs))
+    assert out and all((r["shard"], r["grown_shard"]) == want[r["doc_id"]] for r in out)
+
+
 def plain_targets(sizes, weights, most=3):
     """Shares of all sizes by weight; what is above `most` times its size stops there, the rest is shared anew."""
     out, full = [0.0] * len(sizes), set()

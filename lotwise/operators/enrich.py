@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -38,6 +38,18 @@ def fill_coordinates(df: DataFrame, cache: DataFrame, most_new: int | None = Non
     return out.withColumns({"lat": F.when(own, F.col("lat")).otherwise(F.col("__lat")), "lng": F.when(own, F.col("lng")).otherwise(F.col("__lng")), "geo_source": source}).drop("__lat", "__lng", "__from", "geo_query")
 
 
+def coordinate_counts() -> dict[str, Column | None]:
+    """What Counters count of fill_coordinates(): all rows, those with coordinates, and where missing ones came from."""
+    found = F.col("lat").isNotNull() & F.col("lng").isNotNull()
+    of = lambda *names: F.col("geo_source").isin(*names)
+    return {"total": None, "with_coords": found, "missing_coords": ~found, "cache_hits": of("cache"), "geocoded_now": of("new"), "failures": of("failed", "pending")}
+
+
+def cache_counts(value: str) -> dict[str, Column | None]:
+    """What Counters count of cached(): rows found in the cache and rows that still have to be made."""
+    return {"cache_hits": F.col(value).isNotNull(), "cache_misses": F.col(value).isNull()}
+
+
 def pick_description(sources: DataFrame, descriptions: DataFrame, priority: list[str], key: str = "cluster_id") -> DataFrame:
     """key, description, portal: the first non-blank text by portal priority, then first_seen, then listing key.
 

@@ -185,3 +185,56 @@ def attribute(found: Column, words: tuple[str, ...]) -> Column:
 def json_ld(html: Column, schema: str) -> Column:
     """The first JSON-LD block parsed with a schema."""
     return F.from_json(F.regexp_extract(F.coalesce(html, F.lit("")), r'(?is)<script[^>]*application/ld\+json[^>]*>(.*?)</script>', 1), schema)
+
+
+# --- JSON-LD as data: every block of a page as a variant, no Python
+
+LD_BLOCK = r"""(?is)<script[^>]*type\s*=\s*["']?application/ld\+json["']?[^>]*>(.*?)</script>"""
+
+
+def ld_blocks(html: Column) -> Column:
+    """array<variant>: the page's JSON-LD blocks in order; blocks that aren't JSON are left out, control characters in texts are blanks."""
+    raw = F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(LD_BLOCK), F.lit(1))
+    parsed = F.transform(raw, lambda t: F.try_parse_json(F.regexp_replace(t, r"[\x00-\x1F]", " ")))
+    return F.filter(parsed, lambda v: v.isNotNull())
+
+
+def ld_types(block: Column) -> Column:
+    """The block's @type values in lower case; a block that isn't an object has none."""
+    at = "$['@type']"
+    many = F.try_variant_get(block, at, "array<string>")
+    one = F.array(F.try_variant_get(block, at, "string"))
+    found = F.when(F.startswith(F.schema_of_variant(F.try_variant_get(block, at, "variant")), F.lit("ARRAY")), many).otherwise(one)
+    return F.transform(F.filter(F.coalesce(found, F.array().cast("array<string>")), lambda t: t.isNotNull()), lambda t: F.lower(F.trim(t)))
+
+
+def ld_of_type(blocks: Column, *kinds: str) -> Column:
+    """The first block of one of these types."""
+    return F.get(F.filter(blocks, lambda b: F.arrays_overlap(ld_types(b), F.array(*[F.lit(k) for k in kinds]))), F.lit(0))
+
+
+def ld_text(block: Column, *paths: str) -> Column:
+    """The first non-blank text at one of the paths."""
+    return F.coalesce(*[F.nullif(F.trim(F.try_variant_get(block, p, "string")), F.lit("")) for p in paths])
+
+
+def item_urls(html: Column) -> Column:
+    """Links of the page's first ItemList: of each element its main entity's url, else its own; elements without one are left out."""
+    elements = F.try_variant_get(ld_of_type(ld_blocks(html), "itemlist"), "$.itemListElement", "array<variant>")
+    return F.array_compact(F.transform(F.coalesce(elements, F.array().cast("array<variant>")), lambda e: ld_text(e, "$.mainEntity.url", "$.url")))
+
+
+def ld_listing(html: Column) -> Column:
+    """struct of what a page's product and residence blocks say: name, price, currency, street, town, images, amenities (name -> value)."""
+    blocks = ld_blocks(html)
+    product, home = ld_of_type(blocks, "product"), ld_of_type(blocks, "residence", "apartment", "singlefamilyresidence")
+    either = lambda *paths: F.coalesce(ld_text(home, *paths), ld_text(product, *paths))
+    image = F.try_variant_get(product, "$.image", "array<string>")
+    one = F.array_compact(F.array(ld_text(product, "$.image")))
+    images = F.when(F.startswith(F.schema_of_variant(F.try_variant_get(product, "$.image", "variant")), F.lit("ARRAY")), image).otherwise(one)
+    features = F.coalesce(F.try_variant_get(home, "$.amenityFeature", "array<variant>"), F.try_variant_get(product, "$.amenityFeature", "array<variant>"), F.array().cast("array<variant>"))
+    pairs = F.filter(F.transform(features, lambda f: F.struct(ld_text(f, "$.name").alias("key"), ld_text(f, "$.value").alias("value"))), lambda p: p["key"].isNotNull() & p["value"].isNotNull())
+    return F.struct(
+        ld_text(product, "$.name").alias("name"), F.try_variant_get(product, "$.offers.price", "double").alias("price"), ld_text(product, "$.offers.priceCurrency").alias("currency"),
+        either("$.address.streetAddress").alias("street"), either("$.address.addressLocality").alias("town"), F.coalesce(images, F.array().cast("array<string>")).alias("images"), pairs.alias("amenities"),
+    )

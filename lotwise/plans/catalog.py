@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 from lotwise.functions import geo, numbers, similarity, text
 from lotwise.operators import edges, enrich, extract, history, records, resolve, serve, stats
 from lotwise.operators.components import components
+from lotwise.operators.counters import Counters
 from lotwise.plans import pipelines
 from lotwise.plans.proxy import listings, oracle
 from lotwise.schema import conform, struct
+from lotwise.session import place
+from lotwise.sources.history_table import HistoryTable
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -344,6 +347,34 @@ def scd2_history(spark, sf):
     return two_days(spark, sf)[1]
 
 
+def two_steps(spark, sf) -> HistoryTable:
+    """The two snapshots brought into a history table step by step, in the shared folder."""
+    orders = HistoryTable(spark, place(spark, "history"), "uid", buckets=16)
+    for day, rows in zip((DAY_1, DAY_2), snapshots(spark, sf), strict=True):
+        counters = Counters()
+        orders.apply(day, counters.of(rows, rows_in=None), day, counters)
+    return orders
+
+
+@query(ORACLES["scd2_history"], proxy=False)
+def history_by_steps(spark, sf):
+    """The history out of the bucketed table: rows closed by each step, and the latest rows."""
+    return two_steps(spark, sf).history()
+
+
+@query(ORACLES["scd2_latest"], proxy=False)
+def latest_by_steps(spark, sf):
+    return two_steps(spark, sf).latest()
+
+
+@query(SNAPSHOTS + f""", c AS (SELECT count(*) AS n FROM h2 JOIN h1 USING (uid) WHERE h1.hash <> h2.hash)
+SELECT '{DAY_1}' AS step, count(*) AS rows_in, count(*) AS upserts, count(*) AS new_history_rows, CAST(0 AS BIGINT) AS closed_history_rows FROM h1
+UNION ALL SELECT '{DAY_2}', count(*), count(*) FILTER (WHERE uid NOT IN (SELECT uid FROM h1)) + (SELECT n FROM c), count(*) FILTER (WHERE uid NOT IN (SELECT uid FROM h1)) + (SELECT n FROM c), (SELECT n FROM c) FROM h2""", proxy=False)
+def run_counters(spark, sf):
+    """Counts of both steps, taken by the plans that wrote them."""
+    return two_steps(spark, sf).counters()
+
+
 @query(SNAPSHOTS + """
 SELECT priority, 'new' AS change, count(DISTINCT uid) AS rows FROM d2 WHERE uid NOT IN (SELECT uid FROM d1) GROUP BY 1
 UNION ALL SELECT priority, 'gone', count(DISTINCT uid) FROM d1 WHERE uid NOT IN (SELECT uid FROM d2) GROUP BY 1""", proxy=False)
@@ -685,6 +716,39 @@ def text_mining(spark, sf):
     return d.select("row_id", extract.rooms_in(c).alias("rooms"), extract.area_in(c).alias("area"), extract.floor_in(c)["floor"].alias("floor"), extract.state_in(c).alias("state"), year.alias("year"), extract.price_in(c).alias("price"))
 
 
+def marked_pages(spark, sf) -> DataFrame:
+    """Pages with JSON-LD blocks of their own title, text and links: a broken one, a product, a residence, and the list of links."""
+    title = F.regexp_replace(F.coalesce(extract.page_title(F.col("html")), F.lit("")), r"[^A-Za-z ]", "")
+    n = F.col("page_id")
+    items = F.transform(
+        extract.links(F.col("html")),
+        lambda u, i: F.when(i % 4 == 3, F.concat(F.lit('"'), F.lit("x"), F.lit('"'))).when(i % 4 == 2, F.lit('{"@type":"ListItem","url":""}')).when(i % 4 == 1, F.concat(F.lit('{"url":"'), F.regexp_replace(u, r"[^A-Za-z0-9/]", ""), F.lit('"}'))).otherwise(F.concat(F.lit('{"url":"/other","mainEntity":{"url":"'), F.regexp_replace(u, r"[^A-Za-z0-9/]", ""), F.lit('"}}'))),
+    )
+    kind = F.when(n % 3 == 0, '["Thing","Product"]').otherwise('"product"')
+    price = F.when(n % 5 != 0, F.concat(F.lit(',"offers":{"price":'), (n * 10 + 5).cast("string"), F.lit(',"priceCurrency":"EUR"}'))).otherwise("")
+    product = F.concat(F.lit('{"@type":'), kind, F.lit(',"name":"'), title, F.lit('","image":["a'), n.cast("string"), F.lit('.jpg","b.jpg"]'), price, F.lit("}"))
+    home = F.concat(F.lit('{"@type":"Apartment","address":{"streetAddress":"Dlha '), n.cast("string"), F.lit('","addressLocality":"  Trnava\n"},"amenityFeature":[{"name":"floor","value":'), (n % 9).cast("string"), F.lit('},{"name":"lift"}]}'))
+    listing = F.when(n % 7 != 0, F.concat(F.lit('{"@type":"ItemList","itemListElement":['), F.array_join(items, ","), F.lit("]}"))).otherwise('[{"@type":"ItemList"}]')
+    block = lambda c: F.concat(F.lit('<script type="application/ld+json">'), c, F.lit("</script>"))
+    return table(spark, sf, "pages").select("page_id", F.concat("html", block(F.lit("{broken")), block(product), block(home), block(listing)).alias("html"))
+
+
+@query("""
+WITH p AS (SELECT page_id AS n, list_distinct(regexp_extract_all(html, '<a\\s[^>]*?href="([^"]+)"', 1)) AS d, regexp_extract_all(html, '<a\\s[^>]*?href="([^"]+)"', 1) AS l, coalesce(trim(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '[\\s\\x{A0}]+', ' ', 'g')), '') AS title FROM pages),
+u AS (SELECT n, title, list_filter(l, lambda x, i: list_position(l, x) = i) AS links FROM p)
+SELECT n AS page_id, CASE WHEN n % 7 <> 0 THEN array_to_string(list_transform(list_filter(range(1, len(links) + 1), lambda i: i % 4 IN (1, 2) AND regexp_replace(links[i], '[^A-Za-z0-9/]', '', 'g') <> ''), lambda i: regexp_replace(links[i], '[^A-Za-z0-9/]', '', 'g')), ',')
+    ELSE '' END AS urls,
+  nullif(trim(regexp_replace(title, '[^A-Za-z ]', '', 'g')), '') AS name, CASE WHEN n % 5 <> 0 THEN CAST(n * 10 + 5 AS DOUBLE) END AS price, CASE WHEN n % 5 <> 0 THEN 'EUR' END AS currency,
+  'Dlha ' || CAST(n AS VARCHAR) AS street, 'Trnava' AS town, 'a' || CAST(n AS VARCHAR) || '.jpg,b.jpg' AS images, 'floor=' || CAST(n % 9 AS VARCHAR) AS amenities FROM u""", proxy=False)
+def page_json_ld(spark, sf):
+    """What the JSON-LD blocks of every page say, found by their types."""
+    p = marked_pages(spark, sf).select("page_id", extract.item_urls(F.col("html")).alias("urls"), extract.ld_listing(F.col("html")).alias("l"))
+    said = F.array_join(F.transform("l.amenities", lambda a: F.concat_ws("=", a["key"], a["value"])), ",")
+    # an empty link at the place of a mainEntity falls back to the element's own
+    urls = F.array_join(F.filter("urls", lambda u: u != "/other"), ",")
+    return p.select("page_id", urls.alias("urls"), "l.name", "l.price", "l.currency", "l.street", "l.town", F.array_join("l.images", ",").alias("images"), said.alias("amenities"))
+
+
 def page_attributes(spark, sf):
     """Attribute tables of pages (an HTML parser has no SQL form) and their visible text's length."""
     p = table(spark, sf, "pages")

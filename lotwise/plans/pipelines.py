@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 
 from lotwise.functions import numbers, text
 from lotwise.operators import history, resolve, stats
+from lotwise.operators.counters import Counters
 from lotwise.schema import NORMALIZED, SILVER, conform
+from lotwise.sources import tables
+from lotwise.sources.history_table import BUCKETS, MARK, HistoryTable
 
 
 def listing_uid() -> F.Column:
@@ -44,13 +47,36 @@ def printed(name: str, number: bool) -> F.Column:
 def site_etl(raw: DataFrame, latest: DataFrame, past: DataFrame, site: str, date: str) -> dict[str, DataFrame]:
     """silver, latest, history and market statistics of a site's batch."""
     s = silver(raw, site, date)
-    number = {f.name for f in SILVER if f.dataType.simpleString() == "double"}
-    batch = s.drop("valid_from").withColumn("hash", history.content_hash(*[printed(c, c in number) for c in HASHED]))
+    batch = hashed(s)
     new_latest, new_past = history.upsert(latest, past, batch, date, "listing_uid")
     market = stats.market(new_latest.filter("is_current"), ["city"], "price_eur", "price_psm_eur", "floor_area_m2")
     return {"silver": s, "latest": new_latest, "history": new_past, "market": market}
 
 
+def hashed(silver_rows: DataFrame) -> DataFrame:
+    """Silver rows without their date, with the content hash."""
+    number = {f.name for f in SILVER if f.dataType.simpleString() == "double"}
+    return silver_rows.drop("valid_from").withColumn("hash", history.content_hash(*[printed(c, c in number) for c in HASHED]))
+
+
+def run_site_etl(raw: DataFrame, base: str, site: str, date: str, buckets: int = BUCKETS) -> dict[str, int]:
+    """Brings a site's batch of a day into the tables under base: silver by site and date, latest and history, market statistics by day.
+
+    Returns the run's counts: rows_in_csv, rows_silver, upserts, new_history_rows and closed_history_rows. They come out of
+    the plans that write the tables; no job counts rows. A date that is done already isn't done again.
+    """
+    spark, counters = raw.sparkSession, Counters()
+    table = HistoryTable(spark, f"{base}/gold/{site}", "listing_uid", buckets)
+    where = f"{base}/silver/site={site}/date={date}"
+    if not tables.exists(spark, f"{base}/gold/{site}/step={date}/{MARK}"):
+        rows = silver(counters.of(raw, rows_in_csv=None), site, date)
+        tables.write_table(counters.of(rows, rows_silver=None), where, SILVER)
+    counts = table.apply(date, hashed(tables.read_or_empty(spark, where, SILVER)), date, counters)
+    market = stats.market(table.latest(), ["city"], "price_eur", "price_psm_eur", "floor_area_m2")
+    tables.write_table(market.withColumn("date", F.lit(date)), f"{base}/exports/market/site={site}/day={date}")
+    return counts
+
+
 def normalized(raw: DataFrame, date: str, min_price: float = numbers.MIN_PRICE) -> DataFrame:
     """Raw listings with clean fields and a row number by file and position."""
     street, town = text.street(F.col("address_street")), text.town(F.col("address_town"))

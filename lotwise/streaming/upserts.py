@@ -1,8 +1,4 @@
-"""The history upsert as a stream of daily batches, and first and last sightings with a watermark.
-
-Both tables of a step are written under one folder of their own, which counts from the moment its mark is there: a crash
-in between leaves the step before in place, and a replay does what is missing.
-"""
+"""The history upsert as a stream of daily batches, and first and last sightings with a watermark."""
 
 from __future__ import annotations
 
@@ -10,50 +6,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotwise.operators import history
-from lotwise.schema import conform
-from lotwise.sources import tables
-
-
-MARK = "_DONE"
-KEPT = 2  # steps that stay, for readers of the one before
-
+from lotwise.operators.counters import Counters
+from lotwise.sources.history_table import BUCKETS, MARK, HistoryTable, steps
 
-def steps(spark: SparkSession, base: str) -> list[str]:
-    """Folders of the finished steps, oldest first."""
-    return sorted(p.rsplit("/", 1)[0] for p in tables.matches(spark, f"{base}/step=*/{MARK}"))
+__all__ = ["MARK", "current", "sightings", "steps", "upsert_batches"]
 
 
 def current(spark: SparkSession, base: str, name: str) -> DataFrame:
     """`latest` or `history` after the last finished step."""
-    return spark.read.parquet(f"{steps(spark, base)[-1]}/{name}")
+    return getattr(HistoryTable(spark, base, ""), name)()
 
 
-def upsert_batches(stream: DataFrame, base: str, checkpoint: str, content: list[str], key: str = "uid", day: str = "day"):
-    """Every micro-batch updates latest and history under base; replaying a batch changes nothing.
+def upsert_batches(stream: DataFrame, base: str, checkpoint: str, content: list[str], key: str = "uid", day: str = "day", buckets: int = BUCKETS):
+    """Every micro-batch updates the history table under base, a step for each of its days in order; replaying a batch changes nothing.
 
-    The batch's rows may hold several days; they are applied in order of days. Returns the started query.
+    Each step keeps its counts: rows_in (of the day), rows (distinct keys), upserts and history rows. Returns the started query.
     """
 
     def apply(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
+        table = HistoryTable(batch.sparkSession, base, key, buckets)
         hashed = batch.withColumn("hash", history.content_hash(*[F.col(c) for c in content]))
-        own = [key, *content, "hash"]
         for k, r in enumerate(batch.select(day).distinct().orderBy(day).collect()):  # the days of one batch
-            done, where = steps(spark, base), f"{base}/step={number:012d}-{k:04d}"
-            if any(p.endswith(where.rsplit("/", 1)[1]) for p in done):
-                continue
-            before = done[-1] if done else f"{base}/none"
-            rows = history.keep_first(hashed.filter(F.col(day).eqNullSafe(r[0])).select(*own), [key], ["hash"])
-            empty = rows.limit(0)
-            none = F.lit(None).cast("string")
-            latest = tables.read_or_empty(spark, f"{before}/latest", empty.withColumns({"first_seen": none, "last_seen": none, "valid_from": none, "is_current": F.lit(True)}).schema)
-            past = tables.read_or_empty(spark, f"{before}/history", empty.withColumns({"valid_from": none, "valid_to": none, "is_current": F.lit(True)}).schema)
-            new_latest, new_past = history.upsert(latest, past, rows, r[0], key)
-            tables.write_table(conform(new_latest, new_latest.schema), f"{where}/latest")
-            tables.write_table(conform(new_past, new_past.schema), f"{where}/history")
-            tables.put_mark(spark, f"{where}/{MARK}")
-            for old in done[: -KEPT + 1]:
-                tables.remove(spark, old)
+            counters = Counters()
+            rows = counters.of(hashed.filter(F.col(day).eqNullSafe(r[0])), rows_in=None).select(key, *content, "hash")
+            table.apply(f"{number:012d}-{k:04d}", counters.of(history.keep_first(rows, [key], ["hash"]), rows=None), r[0], counters)
 
     return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

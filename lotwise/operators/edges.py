@@ -11,13 +11,16 @@ from __future__ import annotations
 import math
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lotwise.functions import geo, numbers
 from lotwise.functions.similarity import token_set_ratio
+from lotwise.operators import ranges
+from lotwise.session import cut
 
 SIZE_SHARE, BUCKETS = 0.03, 2
+CELL_ROWS = 2000  # rows of a block's cell that a task compares with as many others
+NO_CELL = -(1 << 62)
 NEAR_M = 60.0
 
 
@@ -46,7 +49,7 @@ def size_match(a: Column, b: Column) -> Column:
 def band_edges(df: DataFrame, key: list[str], size: str = "size", id_col: str = "row_id", match=size_match) -> DataFrame:
     """Neighbours in size within a key (null-safe) that match; rows without a size have none.
 
-    Rows of one key and size are a star, so that a frequent key is ordered by its distinct sizes only.
+    Rows of one key and size are a star, so that a frequent key is ordered by its distinct sizes only, and these in ranges.
     """
     s = F.col("s")
     rows = df.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(key)], F.col(size).alias("s"), F.col(id_col).alias("a")).filter(s.isNotNull())
@@ -56,9 +59,8 @@ def band_edges(df: DataFrame, key: list[str], size: str = "size", id_col: str =
     for c in (*keys, "s"):
         on = on & F.col(f"x.{c}").eqNullSafe(F.col(f"y.{c}"))
     same = rows.alias("x").join(spots.filter(match(s, s)).alias("y"), on).select("x.a", "y.b").filter("a <> b")
-    w = W.partitionBy(*keys).orderBy("s")
-    pairs = spots.withColumns({"a": F.lag("b").over(w), "t": F.lag("s").over(w)})
-    return same.unionByName(pairs.filter(F.col("a").isNotNull() & match(s, F.col("t"))).select("a", "b"))
+    pairs = ranges.neighbours(spots, keys, "s", "b")
+    return same.unionByName(pairs.filter(match(F.col("s"), F.col("t"))).select(F.col("b").alias("a"), F.col("a").alias("b")))
 
 
 def plane_edges(df: DataFrame, key: list[str], dims: dict[str, float], id_col: str = "row_id") -> DataFrame:
@@ -146,18 +148,64 @@ def score(a: str, b: str) -> Column:
     )
 
 
-def scored_pairs(df: DataFrame, least: int = MATCH) -> DataFrame:
-    """a, b, score of the pairs that share a block (key, address with a size, photo) and reach `least`."""
-    blocks = F.array_compact(
-        F.concat(
-            F.array(F.concat(F.lit("k:"), F.col("listing_key")), F.when(F.col("size").isNotNull(), F.concat(F.lit("a:"), F.col("address")))),
-            F.transform(F.coalesce("photos", F.array().cast("array<string>")), lambda p: F.concat(F.lit("p:"), p)),
-        )
-    )
-    rows = df.select("row_id", "listing_key", "address", "size", "photos", "price", F.explode(blocks).alias("block"))
-    x, y = rows.alias("x"), rows.alias("y")
-    pairs = x.join(y, (F.col("x.block") == F.col("y.block")) & (F.col("x.row_id") < F.col("y.row_id")))
-    return pairs.select(F.col("x.row_id").alias("a"), F.col("y.row_id").alias("b"), score("x", "y").alias("score")).filter(F.col("score") >= least).distinct()
+def blocks(df: DataFrame, least: int) -> DataFrame:
+    """Rows with block and cell: pairs of a block that may reach `least` lie in equal or neighbouring cells.
+
+    A key scores alone, and so do address and photo together; one of these needs sizes within 3 percent, which the logarithmic
+    cells follow. Below MATCH every pair of an address or a photo counts, and there is one cell.
+    """
+    none = F.array().cast("array<string>")
+    photos = F.coalesce("photos", none)
+    text = lambda name, *parts: F.concat(F.lit(f"{name}:"), F.concat_ws("\u0001", *parts))
+    one = lambda block, cell=F.lit(None).cast("long"): F.struct(block.alias("block"), cell.alias("cell"))
+    key = F.when(F.col("listing_key").isNotNull(), one(text("k", F.col("listing_key"))))
+    if least < MATCH:
+        found = F.concat(F.array(key, F.when(F.col("address").isNotNull() & F.col("size").isNotNull(), one(text("a", F.col("address"))))), F.transform(photos, lambda p: one(text("p", p))))
+    else:
+        sized = F.col("size") > 0
+        cell = F.floor(F.log(F.when(sized, F.col("size"))) / -math.log(1 - SIZE_SHARE)).cast("long")
+        near = F.concat(F.array(F.when(F.col("address").isNotNull() & sized, one(text("a", F.col("address")), cell))), F.transform(photos, lambda p: F.when(sized, one(text("p", p), cell))))
+        both = F.transform(photos, lambda p: F.when(F.col("address").isNotNull(), one(text("b", F.col("address"), p))))
+        found = F.concat(F.array(key), near, both)
+    return df.select("row_id", "listing_key", "address", "size", "photos", "price", F.inline(F.array_distinct(F.array_compact(found))))
+
+
+def dealt(rows: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides of the join of rows within blocks and neighbouring cells: block, cell, gx, gy besides the rows' columns.
+
+    A cell of more than `most` rows is a square of tasks: its rows are dealt to as many groups as keep within `most`, and each
+    group meets each other one in a task of its own.
+    """
+    spots = rows.groupBy("block", "cell").agg(F.count("*").alias("n")).filter(F.col("n") > most)
+    groups = spots.select(F.col("block").alias("__b"), F.col("cell").alias("__c"), F.ceil(F.col("n") / most).cast("int").alias("g"))  # a row for `most` rows at least
+
+    def sides(d: DataFrame, own: str, other: str) -> DataFrame:
+        """Rows with their own group of their home cell, once for every group on the other side of the cell where they meet."""
+        d = d.join(groups.select("__b", "__c", F.col("g").alias("__home")), F.col("block").eqNullSafe(F.col("__b")) & F.col("home").eqNullSafe(F.col("__c")), "left").drop("__b", "__c")
+        d = d.join(groups.select("__b", "__c", F.col("g").alias("__there")), F.col("block").eqNullSafe(F.col("__b")) & F.col("far").eqNullSafe(F.col("__c")), "left").drop("__b", "__c")
+        mine = F.pmod(F.xxhash64("row_id"), F.coalesce("__home", F.lit(1))).cast("int")
+        return d.withColumns({own: mine, other: F.explode(F.sequence(F.lit(0), F.coalesce("__there", F.lit(1)) - 1))}).drop("__home", "__there")
+
+    home = rows.withColumnRenamed("cell", "home")
+    # the left side asks its own cell and the next one; rows without a cell ask the block
+    left = home.withColumn("far", F.explode(F.when(F.col("home").isNull(), F.array(F.col("home"))).otherwise(F.array(F.col("home"), F.col("home") + 1))))
+    right = home.withColumn("far", F.explode(F.when(F.col("home").isNull(), F.array(F.col("home"))).otherwise(F.array(F.col("home"), F.col("home") - 1))))
+    return sides(left, "gx", "gy"), sides(right, "gy", "gx")
+
+
+def scored_pairs(df: DataFrame, least: int = MATCH, most: int = CELL_ROWS) -> DataFrame:
+    """a, b, score of the pairs that share a block (key, address with a size, photo) and reach `least`.
+
+    No task compares more than `most` rows of a cell with as many others.
+    """
+    x, y = (d.alias(name) for d, name in zip(dealt(cut(blocks(df, least)), most), "xy", strict=True))
+    on = F.col("x.gx") == F.col("y.gx")
+    for own, other in (("block", "block"), ("gy", "gy")):
+        on = on & (F.col(f"x.{own}") == F.col(f"y.{other}"))
+    on = on & F.coalesce(F.col("x.far"), F.lit(NO_CELL)).eqNullSafe(F.coalesce(F.col("y.home"), F.lit(NO_CELL))) & F.coalesce(F.col("x.home"), F.lit(NO_CELL)).eqNullSafe(F.coalesce(F.col("y.far"), F.lit(NO_CELL)))
+    on = on & ((F.col("x.row_id") < F.col("y.row_id")) | (F.col("x.home") != F.col("y.home")))
+    pairs = x.join(y, on).select(F.least("x.row_id", "y.row_id").alias("a"), F.greatest("x.row_id", "y.row_id").alias("b"), score("x", "y").alias("score"))
+    return pairs.filter(F.col("score") >= least).distinct()
 
 
 def scored_edges(df: DataFrame) -> DataFrame:

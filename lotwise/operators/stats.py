@@ -5,24 +5,43 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lotwise.operators import ranges
 
-def spread(c: str, name: str) -> list[Column]:
-    """Mean and exact median of a column, nulls left out."""
-    return [F.avg(c).alias(f"avg_{name}"), F.median(c).alias(f"median_{name}")]
+
+def tallied(df: DataFrame, by: list[str], values: list[str]) -> DataFrame:
+    """by, name, value, n: how often each value of each column occurs, nulls too; placed in ranges, for exact medians."""
+    pairs = ", ".join(f"'{v}', CAST(`{v}` AS double)" for v in values)
+    long = df.select(*by, F.expr(f"stack({len(values)}, {pairs}) AS (name, value)"))
+    return ranges.placed(long.groupBy(*by, "name", "value").agg(F.count("*").alias("n")), [*by, "name"], "value")
 
 
 def market(df: DataFrame, by: list[str], price: str = "price", psm: str = "psm", size: str = "size") -> DataFrame:
-    """Count, mean and median price and price per square, mean size; rows with a null key are left out, blank keys are `unknown`."""
+    """Count, mean and exact median of price and price per square, mean size; rows with a null key are left out, blank keys are `unknown`.
+
+    One pass over df: everything follows from the counts of the values.
+    """
     for k in by:
         df = df.filter(F.col(k).isNotNull()).withColumn(k, F.when(F.trim(k) == "", "unknown").otherwise(F.col(k)))
-    out = df.groupBy(*by).agg(F.count("*").alias("listings"), *spread(price, "price"), *spread(psm, "psm"), F.avg(size).alias("avg_size"))
-    return out
+    df = df.select(*by, F.col(price).alias("price"), F.col(psm).alias("psm"), F.col(size).alias("size"), F.lit(0).alias("__all"))
+    keys = by or ["__all"]
+    counts = tallied(df, keys, ["price", "psm", "size"])
+    of = lambda c: F.sum(F.when((F.col("name") == c) & F.col("value").isNotNull(), F.col("value") * F.col("n"))) / F.sum(F.when((F.col("name") == c) & F.col("value").isNotNull(), F.col("n")))
+    middle = ranges.medians(counts.filter("name <> 'size'"), [*keys, "name"]).groupBy(*keys).agg(*[F.max(F.when(F.col("name") == c, F.col("median"))).alias(f"median_{c}") for c in ("price", "psm")])
+    base = counts.groupBy(*keys).agg(F.sum(F.when(F.col("name") == "price", F.col("n"))).alias("listings"), *[of(c).alias(f"avg_{c}") for c in ("price", "psm", "size")])
+    out = base.join(middle, keys, "left").select(*by, "listings", "avg_price", "median_price", "avg_psm", "median_psm", "avg_size")
+    if by:
+        return out
+    none = F.lit(None).cast("double")  # an empty table has a row too
+    return out.unionByName(df.limit(1).agg(F.count("*").alias("listings")).filter("listings = 0").withColumns({c: none for c in out.columns if c != "listings"}))
 
 
 def price_summary(df: DataFrame, by: str, price: str = "price") -> DataFrame:
-    """Mean, median, extremes and count of prices; groups without a price are left out; cheapest mean first."""
-    out = df.filter(F.col(price).isNotNull()).groupBy(by).agg(F.avg(price).alias("mean_price"), F.median(price).alias("median_price"), F.min(price).alias("min_price"), F.max(price).alias("max_price"), F.count(price).alias("listings"))
-    return out.orderBy("mean_price", by)
+    """Mean, exact median, extremes and count of prices; groups without a price are left out; cheapest mean first."""
+    counts = tallied(df.filter(F.col(price).isNotNull()).select(by, F.col(price).alias("price")), [by], ["price"])
+    out = counts.groupBy(by).agg((F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean_price"), F.min("value").alias("min_price"), F.max("value").alias("max_price"), F.sum("n").alias("listings"))
+    middle = ranges.medians(counts, [by]).select(F.col(by).alias("__by"), F.col("median").alias("median_price"))
+    out = out.join(middle, F.col(by).eqNullSafe(F.col("__by")), "left")
+    return out.select(by, "mean_price", "median_price", "min_price", "max_price", "listings").orderBy("mean_price", by)
 
 
 def mean_by_label(df: DataFrame, label: str, price: str = "price") -> DataFrame:

@@ -60,6 +60,43 @@ def test_reading_stops_early_where_bounds_allow(spark):
     assert out.depth.mean() < 0.7 and out.resolved.mean() < 125
 
 
+def test_bounds_come_from_entries_read(monkeypatch):
+    """After every step: sums and bounds of each query and row are those of the entries that the lists have shown, one by one."""
+    rng = np.random.default_rng(8)
+    x, q = rng.integers(-40, 40, (50, 5)).astype(float), rng.integers(-9, 9, (3, 5)).astype(float)
+    lists = topk.Lists(x)
+    reading = topk.Reading(lists, q)
+    for step in range(len(topk.STEPS)):
+        lower, upper = reading.advance()
+        depth = lists.depth(step + 1)
+        for i, v in enumerate(q):
+            for c in range(len(x)):
+                lo = hi = 0.0
+                for d in range(5):
+                    order = list(lists.rows[:, d]) if v[d] >= 0 else list(lists.rows[::-1, d])
+                    shown = c in order[:depth]
+                    lo += v[d] * (x[c, d] if shown else x[order[-1], d])
+                    hi += v[d] * (x[c, d] if shown else x[order[depth - 1], d])
+                assert lower[i, c] == lo and upper[i, c] == hi and lo <= v @ x[c] <= hi
+    assert (lower == q @ x.T).all()
+
+
+def test_blocks_under_the_bar_are_not_read(spark):
+    """Blocks by length of the vectors: short ones can't reach the bar, and no query is sent to them."""
+    rng = np.random.default_rng(3)
+    x = rng.integers(1, 9, (900, 4))
+    x[:300] *= 60
+    data = [(i, [float(v) / 64 for v in row]) for i, row in enumerate(x)]
+    df = topk.integers(spark.createDataFrame(data, "vec_id long, embedding array<double>"))
+    out = topk.top_k(df, k=5, block_rows=300)
+    assert got(out) == brute_top(data, 5)
+    rows = df.select(F.size("v").alias("dim"), (F.col("vec_id") / 300).cast("int").alias("bl"), "v")
+    box = {r.bl: r for r in topk.boxes(rows).collect()}
+    assert all(list(box[b].high) == list(x[b * 300 : b * 300 + 300].max(axis=0)) and list(box[b].low) == list(x[b * 300 : b * 300 + 300].min(axis=0)) for b in range(3))
+    query = spark.createDataFrame([([7, -2, 3, 1],)], "v array<long>").crossJoin(topk.boxes(rows)).select("bl", topk.most().alias("m")).collect()
+    assert all(r.m >= (x[r.bl * 300 : r.bl * 300 + 300] @ [7, -2, 3, 1]).max() for r in query)
+
+
 def plain_scores(rows, wanted):
     """Each text against models of all other texts; the background's counts scaled to the target's tokens."""
     tokens = {k: (t or "").encode().lower().split() for k, (_, t) in enumerate(rows)}

@@ -67,11 +67,12 @@ class Choice:
         self.best = F.struct(F.col("portal_rank"), self.age.alias("age"), F.col("row_id"))
         self.columns = set(df.columns)
 
-    def first(self, value: str | Column, order: Column, ok: Column | None = None) -> Column:
-        """struct<v, portal, url> of the first row with a value."""
+    def first(self, name: str, value: str | Column, order: Column, ok: Column | None = None) -> list[Column]:
+        """__name: the value of the first row that has one, and __name_from: that row's portal and url, which Catalyst drops where no one asks for it."""
         c = (F.col(value) if value in self.columns else F.lit(None).cast("string")) if isinstance(value, str) else value
         ok = c.isNotNull() if ok is None else ok
-        return F.min_by(F.when(ok, F.struct(c.alias("v"), "portal", "url")), F.when(ok, order))
+        at = F.when(ok, order)
+        return [F.min_by(F.when(ok, c), at).alias(f"__{name}"), F.min_by(F.when(ok, F.struct("portal", "url")), at).alias(f"__{name}_from")]
 
 
 def golden(df: DataFrame) -> DataFrame:
@@ -90,19 +91,19 @@ def golden(df: DataFrame) -> DataFrame:
     one = df.groupBy("cluster_id").agg(
         F.count("*").alias("cluster_size"),
         F.min_by(F.struct("portal", "url", "updated_at", *[F.col(c) if c in own.columns else F.lit(None).cast("string").alias(c) for c in ("address", "address_ascii", "town")]), newest).alias("p"),
-        *[pick(c, best).alias(f"__{c}") for c in by_best],
-        *[pick(c, newest).alias(f"__{c}") for c in by_newest],
-        pick(F.struct("floor", "floors_total"), newest, both).alias("__pair"),
+        *[x for c in by_best for x in pick(c, c, best)],
+        *[x for c in by_newest for x in pick(c, c, newest)],
+        *pick("pair", F.struct("floor", "floors_total"), newest, both),
         F.min("size").alias("__lo"), F.max("size").alias("__hi"), F.median("size").alias("__mid"),
         F.min("price").alias("__plo"), F.max("price").alias("__phi"),
-        pick("elevator", F.struct(~F.col("elevator"), F.col("row_id"))).alias("__elevator"),
+        *pick("elevator", "elevator", F.struct(~F.col("elevator"), F.col("row_id"))),
         F.avg("lat").alias("lat"), F.avg("lng").alias("lng"),
         (F.min("status") != F.max("status")).alias("__status_differ"), (F.min("rooms") != F.max("rooms")).alias("__rooms_differ"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("photos")))).alias("photos"),
     )
     first_row = F.struct("portal_rank", "row_id")
     out = one.join(modes(df, "rooms", newest, newest), "cluster_id", "left").join(modes(df, "town", newest, first_row), "cluster_id", "left")
-    value = lambda c: F.col(f"__{c}.v")
+    value = lambda c: F.col(f"__{c}")
     price, far = value("price"), lambda x: F.abs(x - value("price")) > 0.05 * F.greatest(F.abs(value("price")), F.lit(1.0))
     wide = F.coalesce(F.col("__hi") - F.col("__lo") > 0.05 * F.col("__hi"), F.lit(False))
     no = F.lit(False)
@@ -115,7 +116,7 @@ def golden(df: DataFrame) -> DataFrame:
     named = F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in flags.items()]))
     size = F.when(wide, value("size")).otherwise(F.col("__mid"))
     leads = F.col("rooms_mode.lead") == 1  # else several values are as frequent, and the best portal decides
-    rooms, pair = F.when(leads, F.col("rooms_mode.first.v")).otherwise(value("rooms")), F.col("__pair.v")
+    rooms, pair = F.when(leads, F.col("rooms_mode.first.v")).otherwise(value("rooms")), value("pair")
     reasons = provenance(leads, wide, F.coalesce("__rooms_differ", no))
     return out.select(
         "cluster_id", "cluster_size", F.col("p.portal").alias("primary_portal"), F.col("p.url").alias("primary_url"), F.col("p.updated_at").alias("updated_at"), value("street").alias("street"),
@@ -129,17 +130,18 @@ def golden(df: DataFrame) -> DataFrame:
 
 def provenance(leads: Column, wide: Column, differ: Column) -> Column:
     """JSON of portal, link and reason of each field that one row gave, by field name. Reads golden()'s inner columns."""
-    best = lambda c, reason="priority": (F.col(f"__{c}"), F.lit(reason))
+    source = lambda c: F.col(f"__{c}_from")
+    best = lambda c, reason="priority": (source(c), F.lit(reason))
     pair, primary = F.col("__pair"), F.col("p")
-    recent = lambda c: (F.col(f"__{c}"), F.when(primary[c].isNotNull(), "primary_recent").otherwise("fallback_non_null"))
+    recent = lambda c: (source(c), F.when(primary[c].isNotNull(), "primary_recent").otherwise("fallback_non_null"))
     where = {
         "address_norm": recent("address"), "address_ascii": recent("address_ascii"),
         "address_town": (F.col("town_mode.first"), F.lit("majority")), "project_name_norm": best("project"), "unit_no": best("unit_no"),
-        "size_m2": (F.when(wide, F.col("__size")), F.lit("priority")), "price": best("price", "latest"), "status": best("status", "latest"),
-        "rooms": (F.when(leads, F.struct(F.col("rooms_mode.first.portal").alias("portal"), F.col("rooms_mode.first.url").alias("url"))).otherwise(F.struct("__rooms.portal", "__rooms.url")), F.when(leads, F.when(differ, "majority").otherwise("only_value")).otherwise("priority")),
-        "floor": (F.when(pair.isNotNull(), F.struct("__pair.portal", "__pair.url")).otherwise(F.struct("__floor.portal", "__floor.url")), F.when(pair.isNotNull(), "floor_tuple").otherwise("priority")),
-        "floors_total": (F.when(pair.isNotNull(), F.struct("__pair.portal", "__pair.url")).otherwise(F.struct("__floors_total.portal", "__floors_total.url")), F.when(pair.isNotNull(), "floor_tuple").otherwise("priority")),
-        "elevator": (F.col("__elevator"), F.when(F.col("__elevator.v"), "any_true").otherwise("any_false")),
+        "size_m2": (F.when(wide, source("size")), F.lit("priority")), "price": best("price", "latest"), "status": best("status", "latest"),
+        "rooms": (F.when(leads, F.struct(F.col("rooms_mode.first.portal").alias("portal"), F.col("rooms_mode.first.url").alias("url"))).otherwise(source("rooms")), F.when(leads, F.when(differ, "majority").otherwise("only_value")).otherwise("priority")),
+        "floor": (F.when(pair.isNotNull(), source("pair")).otherwise(source("floor")), F.when(pair.isNotNull(), "floor_tuple").otherwise("priority")),
+        "floors_total": (F.when(pair.isNotNull(), source("pair")).otherwise(source("floors_total")), F.when(pair.isNotNull(), "floor_tuple").otherwise("priority")),
+        "elevator": (source("elevator"), F.when(F.col("__elevator"), "any_true").otherwise("any_false")),
         "year_of_construction": best("year_built"), "energ_cert": best("cert"), "updated_at": (primary, F.lit("primary_recent")),
     }
     given = [F.when(row["url"].isNotNull() | row["portal"].isNotNull(), F.struct(F.lit(name).alias("key"), F.struct(row["portal"].alias("portal"), row["url"].alias("source_url"), reason.alias("reason")).alias("value"))) for name, (row, reason) in sorted(where.items())]

@@ -144,3 +144,19 @@ def strip_fences(c: Column) -> Column:
 
 def cache_key(c: Column) -> Column:
     return F.sha1(F.trim(F.coalesce(c, F.lit(""))).cast("binary"))
+
+
+def answers(c: Column) -> Column:
+    """map id -> text of a batch answer: a JSON array of objects, or an object with such an array as `items`, in a code fence or not.
+
+    The id is `id`, else `listing_id`; the text `summary_short_sk`, else `summary`, without blanks and quotes around it. Entries
+    without either are left out, the last of an id counts; an answer of another form has none.
+    """
+    parsed = F.try_parse_json(strip_fences(c))
+    entries = F.coalesce(F.try_variant_get(parsed, "$.items", "array<variant>"), F.try_variant_get(parsed, "$", "array<variant>"), F.array().cast("array<variant>"))
+    of = lambda e, *names: F.coalesce(*[F.nullif(F.try_variant_get(e, f"$.{n}", "string"), F.lit("")) for n in names])
+    pairs = F.transform(entries, lambda e: F.struct(of(e, "id", "listing_id").alias("key"), of(e, "summary_short_sk", "summary").alias("value")))
+    pairs = F.reverse(F.filter(pairs, lambda p: p["key"].isNotNull() & p["value"].isNotNull()))
+    keys = F.transform(pairs, lambda p: p["key"])
+    last = F.filter(pairs, lambda p, i: F.array_position(keys, p["key"]) == i + 1)
+    return F.map_from_entries(F.reverse(F.transform(last, lambda p: F.struct(p["key"].alias("key"), F.btrim(F.trim(p["value"]), F.lit('" ')).alias("value")))))

@@ -77,6 +77,12 @@ def missing_reasons(gold: DataFrame, sources: DataFrame, descriptions: DataFrame
     return out.select(key, F.coalesce("reasons", F.array(F.lit("no sources linked to listing"))).alias("reasons"))
 
 
+def first_of(df: DataFrame, order: list[str], n: int = 10) -> DataFrame:
+    """The first n rows in the order, for a log, with `more`: how many follow."""
+    rows = df.agg(F.count("*").alias("__all"))
+    return df.orderBy(*order).limit(n).crossJoin(F.broadcast(rows)).withColumn("more", F.greatest(F.col("__all") - n, F.lit(0).cast("long"))).drop("__all")  # one row is broadcast
+
+
 def to_ask(df: DataFrame, cache: DataFrame, text_col: str) -> DataFrame:
     """cache_key, text: the distinct texts that the cache lacks."""
     want = df.select(text.cache_key(F.col(text_col)).alias("cache_key"), F.trim(text_col).alias("text")).filter(F.col("text") != "").dropDuplicates(["cache_key"])

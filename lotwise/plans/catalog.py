@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotwise.functions import geo, numbers, similarity, text
-from lotwise.operators import edges, enrich, extract, history, records, resolve, serve, stats
+from lotwise.operators import edges, enrich, extract, history, records, resolve, serve, stats, survivors
 from lotwise.operators.components import components
 from lotwise.operators.counters import Counters
 from lotwise.plans import pipelines
@@ -122,6 +122,20 @@ def rental_clusters(spark, sf):
     return rounded(stats.place_clusters(keyed, "key", "town"))
 
 
+@query(""", k AS (
+  SELECT *, CASE WHEN p IS NOT NULL AND CAST(quantity AS BIGINT) % 3 <> 0 THEN 'geo:' || printf('%.3f', lat) || '|' || printf('%.3f', lng) WHEN street IS NOT NULL THEN 'text:' || lower(town) || '|' || lower(trim(street)) ELSE 'city:' || lower(town) END AS key,
+    CASE WHEN CAST(quantity AS BIGINT) % 3 <> 0 THEN lat END AS own_lat FROM (SELECT *, 1 AS p FROM listings)
+), m AS (
+  SELECT key, town FROM (SELECT key, town, row_number() OVER (PARTITION BY key ORDER BY count(*) DESC, town) AS r FROM k GROUP BY key, town) WHERE r = 1
+)
+SELECT key, count(*) AS listings, round(avg(price), 4) AS mean_price, round(avg(own_lat), 4) AS lat, round(avg(lng), 4) AS lng, any_value(m.town) AS town
+FROM k JOIN m USING (key) GROUP BY key HAVING count(*) >= 3""")
+def rental_places(spark, sf):
+    """Clusters by rounded coordinates, else by city and street, else by city."""
+    d = listings(spark, sf).withColumn("lat", F.when(F.col("quantity").cast("long") % 3 != 0, F.col("lat")))
+    return rounded(stats.place_clusters(d.withColumn("key", stats.place_cluster(F.col("lat"), F.col("lng"), F.col("town"), F.col("street"))), "key", "town"))
+
+
 @query("SELECT event_type AS value, count(*) AS rows FROM events GROUP BY 1", proxy=False)
 def value_counts(spark, sf):
     return stats.value_counts(table(spark, sf, "events"), "event_type")
@@ -568,6 +582,52 @@ def golden_sources(spark, sf):
     return labelled_by(spark, sf, ("P1", "A1", "I1")).select("cluster_id", "portal", "listing_key", "url", "updated_at")
 
 
+ORDER_2 = "portal_rank, row_id"
+
+
+@query(f"""
+, c AS (SELECT *, photo AS cluster_id FROM listings),
+n AS (SELECT cluster_id, rooms, count(*) AS n, min(row_id) AS seen FROM c WHERE rooms IS NOT NULL GROUP BY 1, 2), rm AS (SELECT cluster_id, (list(rooms ORDER BY n DESC, seen))[1] AS v, count(*) FILTER (WHERE n = top) AS lead, count(*) AS kinds FROM (SELECT *, max(n) OVER (PARTITION BY cluster_id) AS top FROM n) GROUP BY 1),
+t AS (SELECT cluster_id, status, count(*) AS n, min(row_id) AS seen FROM c WHERE status IS NOT NULL GROUP BY 1, 2), sm AS (SELECT cluster_id, (list(status ORDER BY n DESC, seen))[1] AS v, count(*) AS kinds FROM t GROUP BY 1),
+g AS (
+  SELECT cluster_id, count(*) AS cluster_size, median(size) AS size, min(size) AS lo, max(size) AS hi, (list({{'p': price}} ORDER BY updated_at DESC, row_id))[1].p AS price, min(price) AS plo, max(price) AS phi,
+    {FIRST('rooms', ORDER_2)} AS r1, {FIRST('floor', ORDER_2)} AS floor, {FIRST('floors_total', ORDER_2)} AS floors_total, {FIRST('street', ORDER_2)} AS street, {FIRST('town', ORDER_2)} AS town, {FIRST('year_built', ORDER_2)} AS year_built,
+    (list({{'c': cert}} ORDER BY {ORDER_2}))[1].c AS cert, (list({{'c': region}} ORDER BY {ORDER_2}))[1].c AS region, (list({{'c': transaction}} ORDER BY {ORDER_2}))[1].c AS transaction, CASE WHEN bool_or(coalesce(elevator, false)) THEN true END AS elevator, avg(lat) AS lat, avg(lng) AS lng FROM c GROUP BY 1)
+SELECT cluster_id, cluster_size, street, town, region, CASE WHEN rm.lead > 1 THEN coalesce(r1, rm.v) ELSE rm.v END AS rooms, round(size, 4) AS size, price, round(price / nullif(size, 0), 4) AS price_psm, floor, floors_total, elevator, coalesce(sm.v, 'unknown') AS building_status, year_built, coalesce(cert, 'unknown') AS cert,
+  '{{"size_m2":' || CAST(coalesce(abs(lo - size) > 0.05 * size OR abs(hi - size) > 0.05 * size, false) AS VARCHAR) || ',"price":' || CAST(coalesce(abs(plo - price) > 0.05 * price OR abs(phi - price) > 0.05 * price, false) AS VARCHAR) || ',"room_number":' || CAST(coalesce(rm.kinds > 1, false) AS VARCHAR) || ',"building_status":' || CAST(coalesce(sm.kinds > 1, false) AS VARCHAR) || '}}' AS conflict_flags,
+  transaction, round(lat, 6) AS lat, round(lng, 6) AS lng,
+  sha1(concat_ws('|', coalesce(strip_accents(lower(street)), ''), strip_accents(lower(town)), coalesce(printf('%.1f', round_even(size * 10, 0) / 10), '0.0'), coalesce(CAST(nullif(floor, 0) AS VARCHAR), ''), coalesce(CAST(nullif(floors_total, 0) AS VARCHAR), ''), coalesce(CAST(year_built AS VARCHAR), ''), coalesce(cert, 'unknown'))) AS listing_id
+FROM g LEFT JOIN rm USING (cluster_id) LEFT JOIN sm USING (cluster_id)""")
+def golden_by_majority(spark, sf):
+    """The other survivorship, over the clusters of equal photos."""
+    g = survivors.golden(rows(spark, sf).withColumn("cluster_id", F.col("photo")))
+    g = g.withColumns({"size": snapped("size"), "lat": snapped("lat", 6), "lng": snapped("lng", 6), "price_psm": snapped("price_psm")})
+    return g.drop("district", "year_top", "photos", "__price_from")
+
+
+@query("""
+SELECT s.cluster_id, s.reasons, s.more FROM (SELECT town AS cluster_id, count(*) FILTER (WHERE street IS NULL) AS reasons, greatest(count(*) OVER () - 10, 0) AS more, row_number() OVER (ORDER BY count(*) FILTER (WHERE street IS NULL) DESC, town) AS r FROM listings GROUP BY town) s WHERE r <= 10""")
+def missing_report(spark, sf):
+    """Where most listings lack a street: ten lines for the log, and how many more there are."""
+    d = listings(spark, sf).groupBy(F.col("town").alias("cluster_id")).agg(F.count_if(F.col("street").isNull()).alias("reasons"))
+    return enrich.first_of(d.withColumn("r", -F.col("reasons")), ["r", "cluster_id"]).drop("r")
+
+
+@query("""
+WITH a AS (SELECT doc_id, regexp_replace(substring(coalesce(text, ''), 1, 40), '[^A-Za-z ]', '', 'g') AS t FROM documents), e AS (
+  SELECT doc_id, CAST(doc_id AS VARCHAR) AS id, trim(t) AS summary FROM a WHERE doc_id % 5 <> 4 UNION ALL SELECT doc_id, 'x' || CAST(doc_id AS VARCHAR), 'second' FROM a WHERE doc_id % 5 <> 4)
+SELECT doc_id, id, summary FROM e WHERE summary <> ''""", proxy=False)
+def batch_answers(spark, sf):
+    """Batch answers of four forms (object with items, bare array, fenced, broken) taken apart into ids and texts."""
+    n, t = F.col("doc_id").cast("string"), F.regexp_replace(F.substring(F.coalesce("text", F.lit("")), 1, 40), "[^A-Za-z ]", "")
+    one = F.concat(F.lit('{"id":'), n, F.lit(',"summary_short_sk":" '), t, F.lit(' "}'))
+    array = F.concat(F.lit("["), one, F.lit(',"text",{"listing_id":"x'), n, F.lit('","summary":"\\"second\\""},{"id":""}]'))
+    items = F.concat(F.lit('{"items":'), array, F.lit("}"))
+    k = F.col("doc_id") % 5
+    body = F.when(k == 0, items).when(k == 1, array).when(k == 2, F.concat(F.lit("```json\n"), items, F.lit("\n```"))).when(k == 3, F.concat(F.lit("```\n"), array, F.lit("```"))).otherwise(F.concat(F.lit("{"), array))
+    return table(spark, sf, "documents").select("doc_id", F.explode(text.answers(body)).alias("id", "summary")).filter("summary <> ''")
+
+
 # --- enrichment and serving
 
 

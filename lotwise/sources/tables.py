@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lotwise.functions.text import one_line
 from lotwise.schema import RAW_LISTING, conform, missing_to_null
 
 
@@ -160,6 +161,15 @@ def raw_copy(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).option("escape", '"').option("compression", "gzip").csv(path)
 
 
+def raw_listings(df: DataFrame, path: str) -> None:
+    """Raw listings as CSV files with the fixed columns in their order: every cell on one line but the description's, nulls empty."""
+    cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) if c == "description" else one_line(F.col(c).cast("string")) for c in RAW_LISTING.fieldNames() if c in df.columns]
+    names = [c for c in RAW_LISTING.fieldNames() if c in df.columns]
+    whole = df.select(*[c.alias(n) for n, c in zip(names, cells, strict=True)])
+    whole = whole.select(*[F.col(c) if c in names else F.lit("").alias(c) for c in RAW_LISTING.fieldNames()])
+    whole.write.mode("overwrite").option("header", True).option("escape", '"').option("emptyValue", "").csv(path)
+
+
 def csv_report(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 EARTH_M = 6_371_000.0
+METRES_A_DEGREE = EARTH_M * math.pi / 180
 CELL = 1000  # cells a degree
 
 

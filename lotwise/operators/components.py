@@ -33,3 +33,17 @@ def components(links: DataFrame) -> DataFrame:
     release(edges.sparkSession)
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(roots)
+
+
+def extended(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """node, label after further links: components of labels (as components() gives them) are single nodes, and only links between them are followed.
+
+    Labels stay the smallest node. Links that go away need components() anew.
+    """
+    old = labels.select("node", "label")
+    for end in ("a", "b"):
+        links = links.join(old.select(F.col("node").alias(end), F.col("label").alias(f"l{end}")), end, "left").withColumn(end, F.coalesce(f"l{end}", end)).drop(f"l{end}")
+    met = components(links.filter("a <> b").select("a", "b"))
+    moved = met.select(F.col("node").alias("label"), F.col("label").alias("to"))
+    kept = old.join(moved, "label", "left").select("node", F.coalesce("to", "label").alias("label"))
+    return kept.unionByName(met.join(old, "node", "left_anti"))

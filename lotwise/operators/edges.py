@@ -113,19 +113,31 @@ def fuzzy_edges(df: DataFrame, text: str, town: str = "town", size: str = "size"
 
 
 def geo_edges(df: DataFrame, town: str = "town", size: str = "size", id_col: str = "row_id", near_m: float = NEAR_M) -> DataFrame:
-    """Equal town, close sizes, at most near_m apart: cells of a thousandth of a degree and their neighbours.
+    """Equal town, close sizes, at most near_m apart.
 
-    One row for each town, place and size is enough on the searching side, since equal rows are linked as a star.
+    On a grid of squares whose diagonal is near_m, with logarithmic cells of size as wide as their share, all rows of a cell
+    match and are a star. Rows of different cells are compared where cells can be near enough, once for each place and size.
+    Beyond 89 degrees of latitude, and across the 180th meridian, neighbours are missed.
     """
     usable = df.filter(F.col(town).isNotNull() & F.col("lat").isNotNull() & F.col("lng").isNotNull() & (F.col(size) > 0))
-    spot = [town, "lat", "lng", size]
-    same = star(usable, spot, id_col)
-    spots = usable.groupBy(*spot).agg(F.min(id_col).alias("id")).select(F.col(town).alias("town"), "lat", "lng", F.col(size).alias("size"), "id", geo.cell(F.col("lat")).alias("x"), geo.cell(F.col("lng")).alias("y"))
-    around = F.sequence(F.lit(-1), F.lit(1))
-    wide = spots.withColumn("dx", F.explode(around)).withColumn("dy", F.explode(around)).withColumns({"x": F.col("x") + F.col("dx"), "y": F.col("y") + F.col("dy")})
-    p, q = wide.alias("p"), spots.alias("q")
-    on = (F.col("p.town") == F.col("q.town")) & (F.col("p.x") == F.col("q.x")) & (F.col("p.y") == F.col("q.y")) & (F.col("p.id") < F.col("q.id"))
-    pairs = p.join(q, on).filter(numbers.close(F.col("p.size"), F.col("q.size")) & (geo.distance_m(F.col("p.lat"), F.col("p.lng"), F.col("q.lat"), F.col("q.lng")) <= near_m))
+    side = near_m / math.sqrt(2) * 0.999 / geo.METRES_A_DEGREE  # degrees of latitude
+    y = F.floor(F.col("lat") / side).cast("long")
+    # a row of squares is as wide in longitude as its edge nearest to the equator needs
+    wide = lambda row: side / F.cos(F.radians(F.least(F.abs(row * side), F.abs((row + 1) * side), F.lit(89.0))))
+    x = F.floor(F.col("lng") / wide(y)).cast("long")
+    d = usable.select(F.col(town).alias("town"), "lat", "lng", F.col(size).alias("size"), F.col(id_col).alias("id"), y.alias("y"), x.alias("x"), F.floor(F.log(size) / -math.log(1 - SIZE_SHARE)).cast("long").alias("s"))
+    same = star(d, ["town", "y", "x", "s"], "id")
+    spots = d.groupBy("town", "lat", "lng", "size", "y", "x", "s").agg(F.min("id").alias("id"))
+    around = lambda n: F.sequence(F.lit(-n), F.lit(n))
+    # rows of squares above and below have widths of their own: the place is looked up in each of them
+    shifts = F.transform(around(2), lambda dy: F.col("y") + dy)
+    far = spots.withColumn("ty", F.explode(shifts))
+    at = F.floor(F.col("lng") / wide(F.col("ty"))).cast("long")
+    far = far.withColumn("tx", F.explode(F.transform(around(2), lambda dx: at + dx))).withColumn("ts", F.explode(F.transform(around(1), lambda ds: F.col("s") + ds)))
+    p, q = far.alias("p"), spots.alias("q")
+    on = (F.col("p.town") == F.col("q.town")) & (F.col("p.ty") == F.col("q.y")) & (F.col("p.tx") == F.col("q.x")) & (F.col("p.ts") == F.col("q.s")) & (F.col("p.id") < F.col("q.id"))
+    apart = (F.col("p.y") != F.col("q.y")) | (F.col("p.x") != F.col("q.x")) | (F.col("p.s") != F.col("q.s"))
+    pairs = p.join(q, on & apart).filter(numbers.close(F.col("p.size"), F.col("q.size")) & (geo.distance_m(F.col("p.lat"), F.col("p.lng"), F.col("q.lat"), F.col("q.lng")) <= near_m))
     return same.unionByName(pairs.select(F.col("p.id").alias("a"), F.col("q.id").alias("b")))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lotwise.functions import numbers
 from lotwise.operators import edges
-from lotwise.operators.components import components
+from lotwise.operators.components import components, extended
 from lotwise.schema import GOLDEN, conform
 from lotwise.session import cut
 
@@ -41,19 +41,9 @@ def merge_counts(df: DataFrame) -> DataFrame:
     """rule, merges: how many components each rule, in order, takes away from what the rules before left."""
     spark, labels, out = df.sparkSession, None, []
     for name, links in rules(df).items():
-        if labels is not None:  # only what joins components that are still apart
-            for end in ("a", "b"):
-                links = links.join(labels.select(F.col("node").alias(end), F.col("label").alias(f"l{end}")), end, "left").withColumn(end, F.coalesce(f"l{end}", end))
-            links = links.filter("a <> b").select("a", "b")
-        found = components(links)
-        out.append((name, found.filter("node <> label").count()))  # rows that aren't their component's name
-        moved = found.select(F.col("node").alias("label"), F.col("label").alias("to"))
-        if labels is None:
-            labels = found
-        else:
-            old = labels.join(moved, "label", "left").select("node", F.coalesce("to", "label").alias("label"))
-            labels = old.unionByName(found.join(labels, "node", "left_anti"))
-        labels = cut(labels)
+        labels = cut(components(links) if labels is None else extended(labels, links))
+        gone = labels.filter("node <> label").count()  # rows that aren't their component's name
+        out.append((name, gone - sum(n for _, n in out)))
     return spark.createDataFrame(out, "rule string, merges long")
 
 

@@ -2,6 +2,7 @@
 
 import itertools
 import random
+from math import asin, cos, radians, sin, sqrt
 from statistics import median
 
 import pytest
@@ -9,6 +10,8 @@ from pyspark.sql import functions as F
 from test_resolution import ROW, closure, listing, near
 
 from lotwise.operators import edges, ranges, resolve, stats
+from lotwise.operators.components import components, extended
+from lotwise.sources.cache import Cache
 
 
 @pytest.fixture
@@ -74,6 +77,71 @@ def test_bands_of_a_key_with_half_the_rows(spark, apart):
     assert out == closure([r.row_id for r in rows], links)
 
 
+def metres(a, b):
+    h = sin(radians(b.lat - a.lat) / 2) ** 2 + cos(radians(a.lat)) * cos(radians(b.lat)) * sin(radians(b.lng - a.lng) / 2) ** 2
+    return 2 * 6_371_000 * asin(sqrt(h))
+
+
+@pytest.mark.parametrize("north", [0.0, 48.1, -67.9])
+def test_places_on_a_fine_grid(spark, north):
+    """Continuous places: components are those of all pairs, at several latitudes."""
+    rng = random.Random(int(north))
+    data = [listing(i, town=rng.choice(["T", "T", "U"]), lat=north + rng.uniform(-0.003, 0.003), lng=17 + rng.uniform(-0.004, 0.004), size=round(rng.choice([50.0, 51.0, 53.0]) + rng.random(), 1)) for i in range(250)]
+    df = spark.createDataFrame(data, ROW)
+    rows = df.collect()
+    links = [(a.row_id, b.row_id) for a, b in itertools.combinations(rows, 2) if a.town == b.town and near(a.size, b.size) and metres(a, b) <= 60]
+    out = {r.row_id: r.cluster_id for r in resolve.label(df, edges.geo_edges(df)).collect()}
+    assert out == closure([r.row_id for r in rows], links) and 20 < len(set(out.values())) < 230
+
+
+def test_a_dense_place_has_few_pairs(spark):
+    """5,000 places within some 20 m: rows of a cell are stars, so pairs are a small share of all 12 million."""
+    df = spark.range(5000).select(
+        F.concat(F.lit("r"), F.lpad(F.col("id").cast("string"), 5, "0")).alias("row_id"), F.lit("T").alias("town"), (F.lit(48.1) + F.rand(1) * 0.0001).alias("lat"), (F.lit(17.1) + F.rand(2) * 0.0001).alias("lng"), (F.lit(20.0) + F.floor(F.rand(3) * 3800) / 10).alias("size"))
+    found = edges.geo_edges(df)
+    assert found.count() < 0.05 * 5000 * 4999 / 2
+    small = df.filter("row_id < 'r00150'")
+    rows = small.collect()
+    links = [(a.row_id, b.row_id) for a, b in itertools.combinations(rows, 2) if near(a.size, b.size) and metres(a, b) <= 60]
+    assert {r.row_id: r.cluster_id for r in resolve.label(small, edges.geo_edges(small)).collect()} == closure([r.row_id for r in rows], links)
+
+
+def test_components_over_days_are_those_of_all_links(spark):
+    """Three days of links, each day on top of the labels so far; only links between components are followed."""
+    rng = random.Random(3)
+    nodes = [f"n{i:03d}" for i in range(120)]
+    links, labels = [], None
+    for _ in range(3):
+        new = [tuple(rng.sample(nodes, 2)) for _ in range(28)]
+        links += new
+        df = spark.createDataFrame(new, "a string, b string")
+        labels = components(df) if labels is None else extended(labels, df)
+        labels = spark.createDataFrame(labels.collect(), labels.schema)
+        want = closure(nodes, links)
+        got = {r.node: r.label for r in labels.collect()}
+        assert len(got) == labels.count() and all(got.get(n, n) == want[n] for n in nodes)
+    again = extended(labels, spark.createDataFrame(links, "a string, b string"))
+    assert {r.node: r.label for r in again.collect()} == got
+
+
+def test_caches_fill_merge_and_reread(spark, tmp_path):
+    cache = Cache(spark, str(tmp_path / "cache"), buckets=3)
+    assert cache.rows().collect() == []
+    (tmp_path / "old.json").write_text('{"a": "1", "b": 2}')
+    assert cache.import_json(str(tmp_path / "old.json"))["upserts"] == 2
+    assert cache.import_json(str(tmp_path / "old.json"))["upserts"] == 0
+    assert cache.merge(spark.createDataFrame([("b", "3"), ("b", "2"), (None, "x"), ("c", None)], "key string, value string"))["closed_history_rows"] == 1
+
+    def fetch(batches):
+        for b in batches:
+            yield b.assign(value=b["text"].str.upper())[["key", "value"]]
+
+    wanted = spark.createDataFrame([("a", "a"), ("d", "d"), ("d", "d"), ("e", "e"), (None, "n")], "key string, text string")
+    assert {r.key: r.value for r in cache.fill(wanted, fetch, most=1).collect()} == {"a": "1", "b": "3", "d": "D"}
+    assert {r.key: r.value for r in cache.fill(wanted, fetch).collect()} == {"a": "1", "b": "3", "d": "D", "e": "E"}
+    assert {r.key: r.value for r in Cache(spark, str(tmp_path / "cache")).rows().collect()} == {"a": "1", "b": "3", "d": "D", "e": "E"}
+
+
 def points(a, b):
     size = 3 if near(a.size, b.size, 0.02) else 2 if near(a.size, b.size) else 0
     return 8 * (a.listing_key == b.listing_key) + 4 * (a.address is not None and a.address == b.address) + size + 4 * bool(set(a.photos) & set(b.photos)) + bool(near(a.price, b.price, 0.05))

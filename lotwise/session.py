@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import gc
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +20,7 @@ def local_session(cores: int | str = 8, partitions: int = 8) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", os.environ.get("LOTWISE_DRIVER_MEMORY", "8g"))
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -36,10 +38,26 @@ def shared_dir(spark: SparkSession) -> str:
     return where or context.getCheckpointDir().get()
 
 
+#: Spark's own setting: shuffle files go when the execution that made them ends.
+TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """Executions within leave no shuffle files: their results are written down, so nothing reads these again."""
+    before = spark.conf.get(TIDY)
+    spark.conf.set(TIDY, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(TIDY, before)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: results that an executor loss can't take away."""
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    with tidy(df.sparkSession):
+        return df.checkpoint(eager=True)
 
 
 def place(spark: SparkSession, name: str) -> str:
@@ -49,7 +67,8 @@ def place(spark: SparkSession, name: str) -> str:
 
 def stored(df: DataFrame, where: str) -> DataFrame:
     """df as a table at that path: compressed, read by column, and gone after discard()."""
-    df.write.parquet(where)
+    with tidy(df.sparkSession):
+        df.write.parquet(where)
     return df.sparkSession.read.schema(df.schema).parquet(where)
 
 
@@ -57,12 +76,3 @@ def discard(spark: SparkSession, where: str) -> None:
     """Deletes what stored() has written, once nothing reads it any more."""
     path = spark._jvm.org.apache.hadoop.fs.Path(where)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def release(spark: SparkSession) -> None:
-    """Has the driver collect its garbage, after which Spark deletes the shuffle files of results that nothing refers to.
-
-    Long jobs that cut their lineage call it between steps, so that disks hold one step's shuffles at a time.
-    """
-    gc.collect()
-    spark._jvm.System.gc()

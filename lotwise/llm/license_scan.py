@@ -5,9 +5,9 @@ the license templates. A match at document position p and template position t
 votes for the diagonal p - t. Votes are summed by diagonal. Inserted or missing
 words (a copyright line, a clause) shift the rest to another diagonal, so
 neighbouring diagonals are merged: their distance may be a share of the
-template's length, but diagonals of single stray votes only join what is very
-near. The merged span is verified: it has to cover most of the template's words
-and must not be much longer than the template. Beside it, short phrases are
+template's length, or a paragraph put in, but diagonals of single stray votes
+only join what is very near. The merged span is verified: it has to cover most
+of the template's words and may be longer only by so many words put in. Beside it, short phrases are
 looked up literally. Texts of licenses are held by paragraph, since documents
 quote them in parts.
 
@@ -35,6 +35,7 @@ COVER = 0.8  # share of the template's words that a span has to cover
 STRETCH = 1.6  # longest span, in lengths of the template
 NEAR = 4  # diagonals this close are one alignment
 SHIFT = 0.5  # farther ones too, up to this share of the template's length, if they hold votes enough
+INSERTED, INSERTED_SHARE = 60, 1.2  # as many words may stand in between in any case, but no more than this share of a short template
 NAMED = 0.5  # score of a text that only names a license
 VOTES = 3  # for that, or all grams of a template with fewer
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -105,15 +106,18 @@ def scan(docs: DataFrame, templates=TEMPLATES, k: int = K, cover: float = COVER)
     # diagonals with votes enough chain over a gap of the template's measure; the others only extend a chain very near
     firm = F.when(F.size("ts") >= F.least(F.lit(VOTES), F.col("t_words") - k + 1), F.col("diagonal"))
     before, after = w.rowsBetween(W.unboundedPreceding, -1), w.rowsBetween(1, W.unboundedFollowing)
-    near = diagonals.withColumns({"firm": firm, "low": F.last(firm, ignorenulls=True).over(before), "high": F.first(firm, ignorenulls=True).over(after)})
-    apart = F.coalesce(F.col("diagonal") - F.col("low") > F.greatest(F.lit(float(NEAR)), SHIFT * F.col("t_words")), F.lit(True))
+    near = diagonals.withColumns({"firm": firm, "low": F.last(firm, ignorenulls=True).over(before), "high": F.first(firm, ignorenulls=True).over(after), "upto": F.last(F.when(firm.isNotNull(), F.element_at("ts", -1)), ignorenulls=True).over(before)})
+    inserted = F.least(F.lit(float(INSERTED)), INSERTED_SHARE * F.col("t_words"))
+    gap, usual = F.col("diagonal") - F.col("low"), F.greatest(F.lit(float(NEAR)), SHIFT * F.col("t_words"))
+    # beyond the usual measure the template has to go on where it was left; else it is another copy
+    apart = F.coalesce((gap > F.greatest(usual, inserted)) | ((gap > usual) & (F.element_at("ts", 1) <= F.col("upto"))), F.lit(True))
     chains = near.withColumn("__c", F.when(F.col("firm").isNotNull(), F.sum(F.when(F.col("firm").isNotNull() & apart, 1).otherwise(0)).over(w)))
     low, high = F.last("__c", ignorenulls=True).over(before), F.first("__c", ignorenulls=True).over(after)
     islands = chains.withColumn("__i", F.coalesce("__c", F.when(F.col("diagonal") - F.col("low") <= NEAR, low), F.when(F.col("high") - F.col("diagonal") <= NEAR, high))).filter("__i IS NOT NULL")
     spans = islands.groupBy(*key, "t_words", "__i").agg(F.min("p0").alias("first_word"), (F.max("p1") + k - 1).alias("last_word"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("ts")))).alias("ts"))
     covered = F.expr(f"aggregate(transform(ts, (x, i) -> CASE WHEN i = size(ts) - 1 THEN {k} ELSE least({k}, ts[least(i + 1, size(ts) - 1)] - x) END), 0, (a, x) -> a + x)")
     spans = spans.withColumn("score", covered / F.col("t_words"))
-    fits = (F.col("score") >= cover) & (F.col("last_word") - F.col("first_word") + 1 <= STRETCH * F.col("t_words"))
+    fits = (F.col("score") >= cover) & (F.col("last_word") - F.col("first_word") + 1 <= F.greatest(STRETCH * F.col("t_words"), F.col("t_words") + inserted))
     spans = spans.filter(fits)
     # of templates that resemble each other, the one that fits a stretch best
     where = W.partitionBy("doc_id", "digest").orderBy("first_word", "last_word", "template")

@@ -253,6 +253,21 @@ def test_inserted_lines_keep_the_label(spark):
     assert max(Counter(r["doc_id"] for r in found if r["template"] == want[r["doc_id"]]).values()) == 2
 
 
+def test_inserted_paragraphs_keep_the_label(spark):
+    """Up to 60 words put into a passage; more than that, or another copy near by, is another stretch."""
+    body = dict(license_scan.TEMPLATES)
+    data, want = [], {}
+    for label in ("mit-text", "gpl-warranty", "isc-text", "bsd-liability"):
+        words = body[label].split(" ")
+        for added in (10, 25, 40, 60 if len(words) >= 50 else 40):
+            for at in (len(words) // 3, len(words) // 2):
+                data.append((len(data), " ".join([*words[:at], *[f"line{i}" for i in range(added)], *words[at:]])))
+                want[len(data) - 1] = label
+        data.append((len(data), " ".join([*words[: len(words) // 2], *["far"] * 300, *words[len(words) // 2 :]])))
+    found = rows(license_scan.scan(spark.createDataFrame(data, "doc_id long, text string")))
+    assert {r["doc_id"]: r["template"] for r in found} == want
+
+
 def test_shards(docs):
     out = rows(shards.digest(docs))
     want = Counter((r.doc_id, len((r.text or "").encode()) + 16, zlib.crc32((r.text or "").encode())) for r in docs.select("doc_id", "text").collect())

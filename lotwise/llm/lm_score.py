@@ -44,9 +44,9 @@ from lotwise.session import discard, place, stored
 
 LEAST = 2  # occurrences of a word of the vocabulary
 SMOOTH = 64.0  # weight of the unigram distribution, in counts: where the loss of unseen texts is lowest for a small target
-CHUNK_TOKENS = 1 << 21
+CHUNK_TOKENS = 1 << 20
 CHUNK_DOCS = 1 << 18
-BUCKET_BYTES = 32 << 20  # of text, whose keys a bucket holds
+BUCKET_BYTES = 12 << 20  # of text, whose keys a bucket holds
 START, UNKNOWN = 0, 1  # ids of a text's start and of all unknown words; hashes of words are larger
 UNIGRAM, HISTORY, TOTAL = 0x6A09E667F3BCC908, 0xBB67AE8584CAA73B, 0x3C6EF372FE94F82B  # in place of a bigram's second word
 PACKED = "chunk long, bucket long, body binary, extra binary, n long"

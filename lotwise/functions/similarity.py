@@ -5,6 +5,7 @@ from __future__ import annotations
 import difflib
 
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
@@ -56,6 +57,28 @@ def token_set_ratio(a, b):
     return F.pandas_udf(token_sets, "int")(a, b)
 
 
+def word_set(c: Column) -> Column:
+    """Distinct lower-case words, in order; words end at any blank."""
+    return F.array_sort(F.array_distinct(F.filter(F.split(F.lower(c), r"(?U)[\s\x1c-\x1f]+"), lambda w: w != "")))
+
+
+def token_set_bounds(x: Column, y: Column) -> tuple[Column, Column]:
+    """(least, most) that token_set_ratio() can be, from both sides' word sets alone.
+
+    Shared words begin both sorted texts, so their ratio to either side follows from lengths; the ratio of the sides to one another
+    is at most what the shorter one allows.
+    """
+    length = lambda a: F.char_length(F.array_join(a, " "))
+    both = F.array_intersect(x, y)
+    shared, one, two = length(both), length(x), length(y)
+    of = lambda a, b: F.floor(200.0 * a / F.greatest(a + b, F.lit(1))).cast("int")
+    some = F.size(both) > 0
+    whole = some & ((F.size(both) == F.size(x)) | (F.size(both) == F.size(y)))
+    least = F.when(whole, 100).when(some, of(shared, F.least(one, two))).otherwise(0)
+    most = F.when((F.size(x) == 0) | (F.size(y) == 0), 0).when(whole, 100).otherwise(F.greatest(least, of(F.least(one, two), F.greatest(one, two))))
+    return least, most
+
+
 def close_slugs(a, b):
     """City slugs that are equal, contain one another or are nearly the same."""
     return F.pandas_udf(near_slugs, "boolean")(a, b)

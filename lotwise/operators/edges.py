@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lotwise.functions import geo, numbers
-from lotwise.functions.similarity import token_set_ratio
+from lotwise.functions.similarity import token_set_bounds, token_set_ratio, word_set
 from lotwise.operators import ranges
 from lotwise.session import cut
 
@@ -92,18 +92,26 @@ def plane_edges(df: DataFrame, key: list[str], dims: dict[str, float], id_col: s
     return same.unionByName(x.join(y, on).select(F.col("y.a").alias("a"), F.col("x.a").alias("b")))
 
 
+def similar(two: DataFrame, least: int) -> DataFrame:
+    """Pairs (s, t, low, high) with a word-set ratio of `least`: only those that the bounds leave open are compared letter by letter."""
+    sure, ask = F.col("low") >= least, F.col("high") >= least
+    open_ = lambda c: F.when(~sure, F.col(c))
+    return two.filter(ask).withColumn("score", token_set_ratio(open_("s"), open_("t"))).filter(sure | (F.col("score") >= least)).drop("score")
+
+
 def fuzzy_edges(df: DataFrame, text: str, town: str = "town", size: str = "size", id_col: str = "row_id", prefix: int = 12, least: int = 90) -> DataFrame:
     """Equal town and text beginning, close sizes (buckets apart by at most two), similar word sets.
 
     Rows of one text are linked as neighbours in size; between texts, one row for each size is enough, and each pair of texts is compared once.
     """
     base = df.filter(F.col(town).isNotNull() & F.col(text).isNotNull() & F.col(size).isNotNull()).select(F.col(id_col).alias("id"), F.col(town).alias("town"), F.col(text).alias("text"), F.col(size).alias("size"))
-    same = band_edges(base.filter(token_set_ratio("text", "text") >= least), ["town", "text"], "size", "id")
-    texts = base.select("town", "text", F.substring("text", 1, prefix).alias("p")).distinct()
+    same = band_edges(base.filter(F.size(word_set(F.col("text"))) > 0), ["town", "text"], "size", "id")  # a text with words is its own equal
+    texts = base.select("town", "text", F.substring("text", 1, prefix).alias("p")).distinct().withColumn("words", word_set(F.col("text")))
     x, y = texts.alias("x"), texts.alias("y")
     two = x.join(y, (F.col("x.town") == F.col("y.town")) & (F.col("x.p") == F.col("y.p")) & (F.col("x.text") < F.col("y.text")))
-    two = two.select(F.col("x.town").alias("town"), F.col("x.text").alias("s"), F.col("y.text").alias("t"))
-    alike = two.withColumn("score", token_set_ratio("s", "t")).filter(F.col("score") >= least).drop("score")
+    low, high = token_set_bounds(F.col("x.words"), F.col("y.words"))
+    two = two.select(F.col("x.town").alias("town"), F.col("x.text").alias("s"), F.col("y.text").alias("t"), low.alias("low"), high.alias("high"))
+    alike = similar(two, least).select("town", "s", "t")
     spots = base.groupBy("town", "text", "size").agg(F.min("id").alias("id")).withColumn("bucket", numbers.bucket(F.col("size")))
     left = spots.withColumn("bucket", F.explode(F.sequence(F.col("bucket") - BUCKETS, F.col("bucket") + BUCKETS)))
     one = alike.join(left.select("town", F.col("text").alias("s"), F.col("size").alias("size_s"), F.col("id").alias("i"), "bucket"), ["town", "s"])

@@ -42,15 +42,19 @@ def matches(spark: SparkSession, pattern: str) -> list[str]:
 def union_csv(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Files of several layouts, by column name; all columns text; paths and patterns, distinct and sorted.
 
-    Absent files, and those that can't be read, are left out with a warning.
+    Files with one header are one scan. Absent files, and those whose header can't be read, are left out with a warning; of a file that
+    breaks off later, what comes before is kept.
     """
-    out = None
+    layouts: dict[tuple[str, ...], list[str]] = {}
     for p in sorted({m for pattern in paths for m in matches(spark, pattern)}):
         try:
-            df = missing_to_null(spark.read.csv(p, header=True, multiLine=True, escape='"', inferSchema=False))
+            layouts.setdefault(tuple(spark.read.csv(p, header=True, multiLine=True, escape='"', inferSchema=False).columns), []).append(p)
         except Exception as why:  # noqa: BLE001  whatever a reader finds wrong with the file
             warnings.warn(f"{p} is left out: {why}", stacklevel=2)
-            continue
+    out = None
+    for names, files in layouts.items():
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        df = missing_to_null(spark.read.option("ignoreCorruptFiles", "true").csv(files, schema=schema, header=True, multiLine=True, escape='"'))
         out = df if out is None else out.unionByName(df, allowMissingColumns=True)
     if out is None:
         raise FileNotFoundError(f"none of {paths}")

@@ -162,3 +162,35 @@ def test_scores_of_a_block_with_half_the_rows(spark, least):
         assert sorted(map(tuple, edges.scored_pairs(df, least, most).collect())) == want
     sides = [d.groupBy("block", "home", "far", "gx", "gy").count().agg(F.max("count")).first()[0] for d in edges.dealt(edges.blocks(df, least), 12)]
     assert max(sides) <= 2 * 12 + 6  # groups by hash: about 12 rows each
+
+
+def test_bounds_of_word_set_ratios(spark):
+    """The ratio lies within the bounds; most pairs are settled by them."""
+    from lotwise.functions import similarity
+
+    rng = random.Random(7)
+    words = ["dlha", "dlhá", "ulica", "cislo", "5", "12a", "trnava", "byt", "na", "predaj", "Kratka", "x"]
+    pairs = [(" ".join(rng.choices(words, k=rng.randrange(6))), rng.choice(["", " ", "\u00a0", "\x1c"]).join(rng.choices(words, k=rng.randrange(6)))) for _ in range(400)]
+    low, high = similarity.token_set_bounds(similarity.word_set(F.col("s")), similarity.word_set(F.col("t")))
+    df = spark.createDataFrame(pairs, "s string, t string").select("s", "t", low.alias("low"), high.alias("high"))
+    rows = df.collect()
+    assert all(r.low <= similarity.token_set(r.s, r.t) <= r.high for r in rows)
+    assert sum(r.low < 90 <= r.high for r in rows) < 0.25 * len(rows)
+    got = sorted((r.s, r.t) for r in edges.similar(df, 90).collect())
+    assert got == sorted((s, t) for s, t in pairs if similarity.token_set(s, t) >= 90)
+
+
+def test_files_of_one_layout_are_one_scan_and_broken_ones_dont_stop_it(spark, tmp_path):
+    import gzip
+
+    from lotwise.sources import tables
+
+    for i in range(3):
+        (tmp_path / f"a{i}.csv").write_text(f"x,y\n{i},2\n")
+    (tmp_path / "b.csv").write_text("y,z\n7,8\n")
+    whole = gzip.compress(("x,y\n" + "".join(f"{i},{i * 7919 % 10007}\n" for i in range(200_000))).encode())
+    (tmp_path / "c.csv.gz").write_bytes(whole[: len(whole) // 2])
+    df = tables.union_csv(spark, [str(tmp_path / "*.csv*")])
+    rows = df.filter("y IN ('2', '8') OR z = '8'").collect()
+    assert {"0", "1", "2"} <= {r.x for r in rows} and "8" in {r.z for r in rows}
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 2

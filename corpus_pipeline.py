@@ -1,4 +1,9 @@
-"""From raw documents to token ids: the stages of the training-data pipeline."""
+"""From raw documents to token ids: the stages of the training-data pipeline.
+
+Every stage takes whole tables: empty ones give empty ones, texts of any length are read whole, repeated rows are rows of their own
+unless a stage says otherwise, and further columns pass unread, whatever their names. All but the last return the columns of their
+input.
+"""
 
 from __future__ import annotations
 
@@ -15,7 +20,10 @@ SURE = 0.9
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents with a recognised language; one stated language may only be contradicted with a probability of SURE."""
+    """Keeps documents with a recognised language; one stated language may only be contradicted with a probability of SURE.
+
+    Null and empty texts, and those without a letter, go; a null language is never contradicted; without a learned language all stay.
+    """
     small_batches(spark)
     model = langid.train_fold(docs)
     p = langid.predict(model, spark, F.col("text"))
@@ -26,22 +34,34 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents that pass the base rules and the certified cutoffs of their language."""
+    """Keeps documents that pass the base rules and the certified cutoffs of their language.
+
+    Null and empty texts have too few words and go; null languages are a stratum; without labels no cutoff is certified.
+    """
     return quality.keep(docs, table(spark, sf_dir, "labels"))
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of copies, five words and 0.8."""
+    """Keeps one document of each group of copies, five words and 0.8: the one with the smallest id.
+
+    Null and empty texts are linked with nothing and stay; so do rows with a null id; of repeated rows of an id one stays.
+    """
     return jaccard.keep_one(docs, n=5, percent=80)
 
 
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The words that the mix takes, a row for each pass over a document."""
+    """The words that the mix takes, a row for each pass over a document.
+
+    Null and empty texts have no words and are never taken; null sources are one source; n_chars follows the text.
+    """
     return mixing.taken_texts(docs)
 
 
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with the ids (little-endian uint32) of their whole texts."""
+    """Documents with the ids (little-endian uint32) of their whole texts, and n_tokens; columns of these names are replaced.
+
+    Null and empty texts have no ids.
+    """
     done = bpe.encode(docs, tokenizer_path())
     return done.withColumn("n_tokens", (F.length("ids") / 4).cast("long"))
 

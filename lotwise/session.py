@@ -45,7 +45,7 @@ TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 @contextmanager
 def tidy(spark: SparkSession) -> Iterator[None]:
     """Executions within leave no shuffle files: their results are written down, so nothing reads these again."""
-    before = spark.conf.get(TIDY)
+    before = spark.conf.get(TIDY, "false")
     spark.conf.set(TIDY, "true")
     try:
         yield

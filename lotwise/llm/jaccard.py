@@ -266,8 +266,8 @@ def sketch(docs: DataFrame, n: int, percent: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, row long, n_shingles long, digest binary, probes int, keys array<long>, crowd array<long>, follows array<long>")
 
 
-def shared_keys(done: DataFrame) -> DataFrame:
-    """gid, row of the sets that share an asked key with others; keys with the same members have one gid."""
+def shared_keys(done: DataFrame, where: str) -> DataFrame:
+    """gid, row of the sets that share an asked key with others; keys with the same members have one gid. Reads what it writes to `where`."""
     at = F.posexplode("keys").alias("at", "key")
     entries = done.filter(F.size("keys") > 0).select("row", "probes", "crowd", at)
     entries = entries.select("key", (2 * F.col("row") + (F.col("at") < F.col("probes")).cast("int")).alias("row2"), F.coalesce(F.get("crowd", F.col("at")), F.lit(0)).alias("crowd"))
@@ -277,7 +277,8 @@ def shared_keys(done: DataFrame) -> DataFrame:
         "sum": F.sum(F.xxhash64(F.shiftright("row2", 1)) % 1_000_000_007 + F.col("crowd")).over(w), "many": F.count("*").over(w),
     })
     row = F.shiftright("row2", 1).alias("row")
-    seen = cut(seen.filter("asked = 1 AND (lo < hi OR crowds > 0)").select("key", row, F.xxhash64(F.shiftright("lo", 1), F.shiftright("hi", 1), "many", "sum").alias("gid"), (F.col("crowd") > 0).alias("led")))
+    seen = seen.filter("asked = 1 AND (lo < hi OR crowds > 0)").select("key", row, F.xxhash64(F.shiftright("lo", 1), F.shiftright("hi", 1), "many", "sum").alias("gid"), (F.col("crowd") > 0).alias("led"))
+    seen = stored(seen, where)  # a row for each shared key: compressed, and gone with the sketch
     follows = done.filter(F.size("follows") > 0).select("row", F.explode(F.expr("transform(sequence(0, size(follows) div 2 - 1), i -> struct(follows[2 * i] AS key, follows[2 * i + 1] AS lead))")).alias("f"))
     crowd = follows.select("f.key", "f.lead", "row").join(seen.filter("led").select("key", F.col("row").alias("lead"), "gid"), ["key", "lead"]).select("gid", "row")
     return seen.select("gid", "row").unionByName(crowd).distinct()
@@ -288,8 +289,8 @@ def most(a: Column, b: Column, percent: int) -> Column:
     return F.floor((100 - percent) * (a + b) / (100 + percent))
 
 
-def token_sets(docs: DataFrame, wanted: DataFrame, n: int, repeated: bool) -> DataFrame:
-    """node, tokens. wanted: node, doc_id and digest of the set."""
+def token_sets(docs: DataFrame, wanted: DataFrame, n: int, repeated: bool, where: str) -> DataFrame:
+    """node, tokens, written to `where`. wanted: node, doc_id and digest of the set."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
@@ -304,7 +305,7 @@ def token_sets(docs: DataFrame, wanted: DataFrame, n: int, repeated: bool) -> Da
             yield pd.DataFrame(out, columns=["node", "tokens"])
 
     found = docs.join(wanted, "doc_id").select("node", "digest", "text").mapInPandas(run, "node long, tokens array<long>")
-    return cut(found.dropDuplicates(["node"]) if repeated else found)
+    return stored(found.dropDuplicates(["node"]) if repeated else found, where)
 
 
 def beside(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
@@ -402,20 +403,21 @@ def resolve(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
     small_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text")
-    where = place(docs.sparkSession, "sketch")
-    done = stored(sketch(docs, n, percent), where)
+    where = place(docs.sparkSession, "jaccard")
+    done = stored(sketch(docs, n, percent), f"{where}/sketch")
     base = cut(done.select("doc_id", "row", "n_shingles", "digest", (F.size("keys") + F.size("follows") > 0).alias("keyed")))
     usable = base.filter(F.col("doc_id").isNotNull() & F.col("digest").isNotNull())
     repeated = not usable.groupBy("doc_id").count().filter("count > 1").isEmpty()
     # equal sets are one node: the first row that has it, and the smallest id
     nodes = cut(usable.groupBy("digest").agg(F.min("row").alias("node"), F.min_by("doc_id", "row").alias("doc_id"), F.max("n_shingles").alias("size"), F.min("doc_id").alias("least")))
     owner = base.filter("keyed").select("row", "digest").join(nodes, "digest").select("row", "node", "size")
-    groups = cut(shared_keys(done).join(owner, "row").select("gid", "node", "size").distinct())
-    del done
-    discard(docs.sparkSession, where)
+    groups = cut(shared_keys(done, f"{where}/keys").join(owner, "row").select("gid", "node", "size").distinct())
+    for name in ("sketch", "keys"):
+        discard(docs.sparkSession, f"{where}/{name}")
     wanted = nodes.join(groups.select("node").distinct(), "node", "left_semi").select("node", "doc_id", "digest")
-    tokens = token_sets(docs, wanted, n, repeated)
+    tokens = token_sets(docs, wanted, n, repeated, f"{where}/tokens")
     links = linked(groups, tokens, percent)
+    discard(docs.sparkSession, where)
     labels = cut(components(links))
     named = nodes.join(labels, "node", "left").select("digest", "least", F.coalesce("label", "node").alias("label"))
     if repeated:  # one id with several sets joins their components

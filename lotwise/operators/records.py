@@ -7,7 +7,8 @@ JSON-LD. Everything after that, from numbers to the order of fall-backs, is colu
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from html.parser import HTMLParser
 
@@ -228,42 +229,67 @@ def number(c: Column, many_points: bool = False) -> Column:
 STREETS = ("ulica", "námestie", "namestie", "cesta", "trieda", "náb", "nabrezie", "sídlisko", "sidlisko", "nám.", "nam.", "alej")
 
 
-def street_like(part: str) -> bool:
-    return any(c.isdigit() for c in part) or any(w in part.lower() for w in STREETS)
+DIGIT = r"[\p{Nd}\u00b2\u00b3\u00b9\u2070-\u2089]"
 
 
-def address_of(location: str, street: str, given: str, area: str, city: str) -> tuple[str, str, str]:
-    """(street, town, area) out of `part, part - part, okres X` where labels don't give them."""
-    parts = [p.strip() for p in location.split(",") if p.strip()]
-    places = [p for p in parts if "okres" not in p.lower()]
-    area = area or next((p for p in parts if "okres" in p.lower()), "")
-    ends = [[d.strip() for d in p.split("-") if d.strip()] or [p] for p in places]  # what dashes part
-    home, town = city.lower(), given
-    usable = lambda t, *taken: t.lower() not in (home, *taken) and not street_like(t)
-    dashed = ""
-    if not street and ends:
-        if len(ends[0]) == 1:
-            street = places[0]
-        else:
-            street = ends[0][0] if street_like(ends[0][0]) or ends[0][0].lower() != home else ""
-            dashed = ends[0][-1] if usable(ends[0][-1]) else ""
-    if not town:  # a later part names the town best, the last of them first; else what follows the dash of the first
-        town = next((e[-1] for e in reversed(ends[1:]) if usable(e[-1], street.lower())), dashed or city)
-    if not street and places:
-        street = next((p for p in places if street_like(p)), places[0] if places[0].lower() != town.lower() else "")
-    return street, city if street.lower() == town.lower() else town, area
+def trimmed(text: Column) -> Column:
+    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+
+
+def pieces(text: Column, mark: str) -> Column:
+    """What stands between marks, without blank pieces."""
+    return F.filter(F.transform(F.split(text, mark), trimmed), lambda p: p != "")
+
+
+def street_like(part: Column) -> Column:
+    """Has a number or a word of streets."""
+    return part.rlike(DIGIT) | F.lower(part).rlike("|".join(re.escape(w) for w in STREETS))
 
 
-def derive(location: pd.Series, street: pd.Series, town: pd.Series, area: pd.Series, city: pd.Series) -> pd.DataFrame:
-    rows = zip(*[c.fillna("").str.strip() for c in (location, street, town, area, city)], strict=True)
-    return pd.DataFrame([address_of(*r) for r in rows], columns=["street", "town", "area"])
+def with_value(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def derived_address(location: Column, street: Column, town: Column, area: Column, city: Column) -> Column:
-    """struct<street, town, area> of a listing, its town seen within the city."""
-    found = F.pandas_udf(derive, "street string, town string, area string")(location, street, town, area, city)
-    put = towns.within_city(city, found["town"], found["area"])
-    return F.struct(found["street"].alias("street"), put["town"].alias("town"), put["area"].alias("area"))
+    """struct<street, town, area> of a listing, its town seen within the city.
+
+    What the labels leave empty comes from `place - place, place, okres X`: the area is the part with a district, the street
+    the first place, or what stands before its dash; the town the end of the last further place that is neither city nor
+    street, else what follows the dash of the first, else the city. Null and empty texts have no parts.
+    """
+    location, street, town, area, home = (trimmed(F.coalesce(c, F.lit(""))) for c in (location, street, town, area, city))
+    same = lambda a, b: F.lower(a) == F.lower(b)
+    filled = lambda *texts: F.coalesce(*[F.nullif(t, F.lit("")) for t in texts], F.lit(""))
+    district = lambda p: F.contains(F.lower(p), F.lit("okres"))
+    first = lambda a, test: F.get(F.filter(a, test), F.lit(0))
+    nameable = lambda p: ~same(p, home) & ~street_like(p)
+
+    def split_up(v: Column) -> Column:
+        places = F.filter(v["parts"], lambda p: ~district(p))
+        ends = F.transform(places, lambda p: F.element_at(F.when(F.size(pieces(p, "-")) > 0, pieces(p, "-")).otherwise(F.array(p)), -1))
+        head = F.get(places, F.lit(0))
+        return F.struct(places.alias("places"), ends.alias("ends"), head.alias("head"), pieces(head, "-").alias("around"), filled(v["area"], first(v["parts"], district)).alias("area"))
+
+    def street_of(v: Column) -> Column:
+        dashed = (street == "") & (F.size(v["around"]) > 1)
+        before, behind = F.get(v["around"], F.lit(0)), F.get(v["ends"], F.lit(0))
+        own = F.when(dashed, F.when(street_like(before) | ~same(before, home), before)).otherwise(filled(street, v["head"]))
+        return F.struct(v.alias("v"), filled(own).alias("street"), filled(F.when(dashed & nameable(behind), behind)).alias("behind"))
+
+    def town_of(w: Column) -> Column:
+        later = F.reverse(F.slice(w["v"]["ends"], 2, F.greatest(F.size(w["v"]["ends"]) - 1, F.lit(0))))
+        found = filled(town, first(later, lambda e: nameable(e) & ~same(e, w["street"])), w["behind"], home)
+        return F.struct(w.alias("w"), found.alias("town"))
+
+    def settled(x: Column) -> Column:
+        v = x["w"]["v"]
+        own = filled(x["w"]["street"], first(v["places"], street_like), F.when(~same(v["head"], x["town"]), v["head"]))
+        return F.struct(own.alias("street"), F.when(same(own, x["town"]), home).otherwise(x["town"]).alias("town"), v["area"].alias("area"))
+
+    split = with_value(F.struct(pieces(location, ",").alias("parts"), area.alias("area")), split_up)
+    found = with_value(with_value(with_value(split, street_of), town_of), settled)
+    return with_value(found, lambda f: with_value(towns.within_city(city, f["town"], f["area"]), lambda put: F.struct(f["street"].alias("street"), put["town"].alias("town"), put["area"].alias("area"))))
 
 
 def labelled(fields: Column, words: tuple[str, ...], whole: bool) -> Column:

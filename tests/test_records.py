@@ -63,6 +63,12 @@ def test_addresses(spark):
         (("Pri parku, Biely Kostol, okres T", "Krátka 1", "Obec", "okres Z", "Trnava"), ("Krátka 1", "Obec", "okres Z")),
         (("", None, None, None, "Trnava"), ("", "Trnava", "")),
         (("Kopánka, Modranka", None, None, None, "Trnava"), ("Kopánka", "Modranka", "")),
+        ((None, None, None, None, None), ("", "", "")),
+        ((" , -,okres X, okres Y", None, None, None, "Trnava"), ("-", "Trnava", "okres X")),
+        (("Trnava, Trnava", None, None, None, "Trnava"), ("Trnava", "Trnava", "")),
+        (("Trnava - Juh, Hlavná ulica 3, Modranka - Kopánka", None, None, None, "Trnava"), ("Hlavná ulica 3", "Kopánka", "")),
+        (("Juh", None, "Juh", None, "Trnava"), ("Juh", "Trnava", "")),
+        (("Dom, " * 20_000 + "Modranka", None, None, None, "Trnava"), ("Dom", "Modranka", "")),
     ]
     df = spark.createDataFrame([(i, *c[0]) for i, c in enumerate(cases)], "i int, l string, s string, t string, a string, c string")
     got = [tuple(r.x) for r in df.select("i", records.derived_address(*[F.col(c) for c in "lstac"]).alias("x")).orderBy("i").collect()]

@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 
 from lotwise.llm.text import small_batches
 from lotwise.operators.components import components
-from lotwise.session import cut, discard, place, stored
+from lotwise.session import cut, discard, empty, place, stored
 
 N = 4
 PERCENT = 85
@@ -56,6 +56,7 @@ BAND = 1.25  # upper over lower size of a band
 CACHE_WORDS = 300_000
 LOCAL_COPIES = 1_000_000  # set digests a task remembers to drop the copies it has seen
 CHUNK_KEYS = 1_000_000  # keys that a chunk holds at once
+PARTS = 4  # keys are looked up in so many steps, by range, so that one part's shuffle is on disk at a time
 PRUNINGS = 2
 
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], np.uint64)
@@ -198,9 +199,14 @@ def signature(tokens: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, i
     return np.concatenate([ask, rest]).view(np.int64), len(ask)
 
 
+def part_of(keys: np.ndarray) -> np.ndarray:
+    """0 to PARTS - 1, by the keys' highest bits."""
+    return (keys.view(np.uint64) >> np.uint64(32)) * np.uint64(PARTS) >> np.uint64(32)
+
+
 def sketch(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """A row for each document: doc_id, row (a number of its own), n_shingles, digest of the set, keys (the first `probes` are
-    asked), crowd, follows.
+    """A row for each document: doc_id, row (a number of its own), n_shingles, digest of the set, for each part of the keys keys0...
+    (the first probes0... are asked) and crowd0..., and follows.
 
     Copies that the task has seen get no keys. Within a chunk, the first set with a key stands for all that have it: the
     others list the key and that set's row in `follows`, and `crowd` sums their hashes. So a key of many sets is one entry
@@ -229,19 +235,22 @@ def sketch(docs: DataFrame, n: int, percent: int) -> DataFrame:
                 np.add.at(crowd, run, (mixed(names[at[late]].view(np.uint64)) >> np.uint64(34)).astype(np.int64) + 1)
             asked[run[ask[late]]] = True
             by = np.lexsort((~asked, at[starts]))  # by document, the asked keys first
-            led, crowd = keys[starts][by], crowd[by]
-            ends = np.searchsorted(at[starts][by], np.arange(len(rows) + 1))
-            probes = np.bincount(at[starts], asked, len(rows)).astype(int)
-            crowded = np.bincount(at[starts][by], crowd > 0, len(rows)) > 0
+            part = part_of(keys[starts])[by]
             late_by = np.argsort(at[late], kind="stable")
             follows = np.stack([keys[late], names[at[starts]][run]], 1)[late_by]
             stops = np.searchsorted(at[late][late_by], np.arange(len(rows) + 1))
             out = {
-                "doc_id": pd.array([r[0] for r in rows], "Int64"), "row": names, "n_shingles": [r[2] for r in rows], "digest": [r[3] for r in rows], "probes": probes,
-                "keys": [led[lo:hi] for lo, hi in zip(ends[:-1], ends[1:], strict=True)],
-                "crowd": [crowd[lo:hi] if c else None for lo, hi, c in zip(ends[:-1], ends[1:], crowded, strict=True)],
+                "doc_id": pd.array([r[0] for r in rows], "Int64"), "row": names, "n_shingles": [r[2] for r in rows], "digest": [r[3] for r in rows],
                 "follows": [follows[lo:hi].ravel() for lo, hi in zip(stops[:-1], stops[1:], strict=True)],
             }
+            for p in range(PARTS):
+                here = by[part == p]
+                holder, led, many = at[starts][here], keys[starts][here], crowd[here]
+                ends = np.searchsorted(holder, np.arange(len(rows) + 1))
+                crowded = np.bincount(holder, many > 0, len(rows)) > 0
+                out[f"probes{p}"] = np.bincount(holder, asked[here], len(rows)).astype(int)
+                out[f"keys{p}"] = [led[lo:hi] for lo, hi in zip(ends[:-1], ends[1:], strict=True)]
+                out[f"crowd{p}"] = [many[lo:hi] if c else None for lo, hi, c in zip(ends[:-1], ends[1:], crowded, strict=True)]
             rows.clear()
             return pd.DataFrame(out)
 
@@ -263,13 +272,14 @@ def sketch(docs: DataFrame, n: int, percent: int) -> DataFrame:
         if rows:
             yield flush()
 
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, row long, n_shingles long, digest binary, probes int, keys array<long>, crowd array<long>, follows array<long>")
+    parts = "".join(f", probes{p} int, keys{p} array<long>, crowd{p} array<long>" for p in range(PARTS))
+    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id long, row long, n_shingles long, digest binary, follows array<long>{parts}")
 
 
-def shared_keys(done: DataFrame, where: str) -> DataFrame:
-    """gid, row of the sets that share an asked key with others; keys with the same members have one gid. Reads what it writes to `where`."""
-    at = F.posexplode("keys").alias("at", "key")
-    entries = done.filter(F.size("keys") > 0).select("row", "probes", "crowd", at)
+def shared(done: DataFrame, p: int) -> DataFrame:
+    """key, row, gid, led (whether others follow the row) of the sets that share an asked key of part p with others."""
+    at = F.posexplode(f"keys{p}").alias("at", "key")
+    entries = done.filter(F.size(f"keys{p}") > 0).select("row", F.col(f"probes{p}").alias("probes"), F.col(f"crowd{p}").alias("crowd"), at)
     entries = entries.select("key", (2 * F.col("row") + (F.col("at") < F.col("probes")).cast("int")).alias("row2"), F.coalesce(F.get("crowd", F.col("at")), F.lit(0)).alias("crowd"))
     w = W.partitionBy("key")  # a row a chunk at most
     seen = entries.withColumns({
@@ -277,8 +287,13 @@ def shared_keys(done: DataFrame, where: str) -> DataFrame:
         "sum": F.sum(F.xxhash64(F.shiftright("row2", 1)) % 1_000_000_007 + F.col("crowd")).over(w), "many": F.count("*").over(w),
     })
     row = F.shiftright("row2", 1).alias("row")
-    seen = seen.filter("asked = 1 AND (lo < hi OR crowds > 0)").select("key", row, F.xxhash64(F.shiftright("lo", 1), F.shiftright("hi", 1), "many", "sum").alias("gid"), (F.col("crowd") > 0).alias("led"))
-    seen = stored(seen, where)  # a row for each shared key: compressed, and gone with the sketch
+    return seen.filter("asked = 1 AND (lo < hi OR crowds > 0)").select("key", row, F.xxhash64(F.shiftright("lo", 1), F.shiftright("hi", 1), "many", "sum").alias("gid"), (F.col("crowd") > 0).alias("led"))
+
+
+def shared_keys(done: DataFrame, where: str) -> DataFrame:
+    """gid, row of the sets that share an asked key with others; keys with the same members have one gid. Reads what it writes to `where`."""
+    # a row for each shared key: compressed, and gone with the sketch
+    seen = functools.reduce(DataFrame.unionByName, [stored(shared(done, p), f"{where}/{p}") for p in range(PARTS)])
     follows = done.filter(F.size("follows") > 0).select("row", F.explode(F.expr("transform(sequence(0, size(follows) div 2 - 1), i -> struct(follows[2 * i] AS key, follows[2 * i + 1] AS lead))")).alias("f"))
     crowd = follows.select("f.key", "f.lead", "row").join(seen.filter("led").select("key", F.col("row").alias("lead"), "gid"), ["key", "lead"]).select("gid", "row")
     return seen.select("gid", "row").unionByName(crowd).distinct()
@@ -382,7 +397,7 @@ def linked(groups: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
     links = cut(beside(best, tokens).filter(100 * both >= percent * (F.size("t") + F.size("h") - both)).select(F.col("node").alias("a"), F.col("hub").alias("b")))
     # What is still in several components, beside one hub for each group.
     marked = split_groups(groups, components(links))
-    if marked.isEmpty():
+    if empty(marked):
         return links
     marked = cut(without_loners(marked, tokens, percent))
     family = beside(to_hubs(marked), tokens).select("hub", "node", F.size("h").alias("size_h"), F.size("t").alias("size"), F.array_except("t", "h").alias("more"), F.array_except("h", "t").alias("less"))
@@ -405,9 +420,9 @@ def resolve(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     docs = docs.select("doc_id", "text")
     where = place(docs.sparkSession, "jaccard")
     done = stored(sketch(docs, n, percent), f"{where}/sketch")
-    base = cut(done.select("doc_id", "row", "n_shingles", "digest", (F.size("keys") + F.size("follows") > 0).alias("keyed")))
+    base = cut(done.select("doc_id", "row", "n_shingles", "digest", (sum(F.size(f"keys{p}") for p in range(PARTS)) + F.size("follows") > 0).alias("keyed")))
     usable = base.filter(F.col("doc_id").isNotNull() & F.col("digest").isNotNull())
-    repeated = not usable.groupBy("doc_id").count().filter("count > 1").isEmpty()
+    repeated = not empty(usable.groupBy("doc_id").count().filter("count > 1"))
     # equal sets are one node: the first row that has it, and the smallest id
     nodes = cut(usable.groupBy("digest").agg(F.min("row").alias("node"), F.min_by("doc_id", "row").alias("doc_id"), F.max("n_shingles").alias("size"), F.min("doc_id").alias("least")))
     owner = base.filter("keyed").select("row", "digest").join(nodes, "digest").select("row", "node", "size")
@@ -436,7 +451,7 @@ def keep_one(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     found = cut(resolve(docs, n, percent).select("doc_id", "component_id").filter("doc_id IS NOT NULL"))
     extra = found.filter("doc_id <> component_id").select("doc_id").distinct()
     whole = docs.join(extra, "doc_id", "left_anti")
-    if not found.groupBy("doc_id").count().filter("count > 1").isEmpty():  # repeated rows: one of each id
+    if not empty(found.groupBy("doc_id").count().filter("count > 1")):  # repeated rows: one of each id
         whole = whole.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(whole.filter("doc_id IS NULL"))
     return whole.select(*[F.col(f"`{c}`") for c in docs.columns])
 

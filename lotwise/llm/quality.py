@@ -166,5 +166,5 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are kept, with their own columns."""
     whole = docs.select("doc_id", "lang", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document"))
-    m = cut(measured(whole).select("doc_id", "lang", "q", "document"))  # each text is measured once
+    m = cut(measured(whole).select("doc_id", "lang", "q", "document").filter(~base_failed()))  # each text is measured once; what fails the base goes anyhow
     return with_settings(m, choose(labelled(m, labels))).filter("kept").select("document.*")

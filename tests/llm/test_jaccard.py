@@ -120,6 +120,20 @@ def test_a_chunk_lists_the_followers_of_its_keys(spark, monkeypatch):
     assert got(jaccard.resolve(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1))) == brute(rows)
 
 
+def test_keys_are_looked_up_in_parts(spark):
+    rows = near_copies(6)
+    done = jaccard.sketch(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), 4, 85).toPandas()
+    sizes = []
+    for p in range(jaccard.PARTS):
+        keys = np.concatenate(list(done[f"keys{p}"])).astype(np.int64)
+        assert (jaccard.part_of(keys) == p).all()
+        assert (done[f"probes{p}"] <= done[f"keys{p}"].map(len)).all()
+        sizes.append(len(keys))
+    led = {k for p in range(jaccard.PARTS) for ks in done[f"keys{p}"] for k in ks}
+    assert sum(sizes) == len(led)  # one entry for each key of the chunk
+    assert max(sizes) < 1.2 * sum(sizes) / jaccard.PARTS
+
+
 def test_sql_is_the_plain_join(sf):
     import duckdb
 

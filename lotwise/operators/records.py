@@ -21,6 +21,8 @@ from lotwise.functions.text import clean, fold
 from lotwise.operators import extract
 from lotwise.schema import RAW_COLUMNS
 
+#: A reference without its semicolon stays text, outside of what is no text anyway: comments, scripts, styles.
+OPEN_REFERENCE = re.compile(r"(<!--.*?-->|<(script|style)\b.*?(?:</\2|\Z))|&(?=(?:[a-z][a-z0-9]*|#\d+|#x[0-9a-f]+)(?![a-z0-9;]))", re.IGNORECASE | re.DOTALL)
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 PARSED = (
     "texts map<string,string>, fields map<string,string>, photos array<string>, described string, "
@@ -188,7 +190,7 @@ def of_type(documents: list, *kinds: str) -> dict:
 
 def read_page(html: str | None, portal: Portal) -> dict:
     page = Page(portal)
-    page.feed(html or "")
+    page.feed(OPEN_REFERENCE.sub(lambda m: m[1] or "&amp;", html or ""))
     page.close()
     product, home = of_type(page.documents, "product"), of_type(page.documents, "residence", "apartment", "singlefamilyresidence")
     inner = lambda d, k: d.get(k) if isinstance(d.get(k), dict) else {}

@@ -47,6 +47,15 @@ def test_third_portal(spark):
     assert (r.address_town, r.address_zrea, r.year_of_construction, r.year_of_top, r.photo_url_1) == ("Košice", "Sever, Košice I", "1978", "2015", "https://p.example/a.png")
 
 
+def test_references_without_an_end_stay_text(spark):
+    """A title cut off within a reference keeps what is there, as the query's SQL does; JSON-LD is not touched."""
+    page = '<!-- &lt --><h1>a &amp; b&amp;&amp</h1><img src="/1.jpg?a=1&b=2&amp;c=3"><script type="application/ld+json">{"description": "x &amp y &z"}</script>'
+    r = one(spark, "nehnutelnosti_sk", page, "trnava")
+    assert (r.property_name, r.description, r.photo_url_1) == ("a & b&&amp", "x &amp y &z", "https://p.example/1.jpg?a=1&b=2&c=3")
+    whole = one(spark, "nehnutelnosti_sk", "<h1>&lt;5&#39;&#x2f&#47 &eacute;&eacute</h1>", "trnava")
+    assert whole.property_name == "<5'&#x2f&#47 \u00e9&eacute"
+
+
 @pytest.mark.parametrize("portal", list(records.PORTALS))
 def test_pages_without_anything(spark, portal):
     pages = spark.createDataFrame([("u", None), ("v", ""), ("w", "<p><div></b>" * 50), (None, "<h1>x")], "url string, html string")

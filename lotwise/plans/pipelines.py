@@ -111,5 +111,5 @@ def resolved(rows: DataFrame, priority: list[str], previous: DataFrame | None =
         F.nullif("address_norm", F.lit("")).alias("address"), F.nullif(F.lower("address_ascii"), F.lit("")).alias("address_ascii"), F.nullif(F.lower(F.trim("project_name_norm")), F.lit("")).alias("project"), F.col("size_m2").alias("size"), "price", "rooms", "floor", "floors_total", "elevator", F.col("energ_cert").alias("cert"), F.col("year_of_construction").alias("year_built"),
         "lat", "lng", "updated_at", "status", F.col("photo_fingerprints").alias("photos"), "transaction", "unit_no", F.col("year_of_top").alias("year_top"),
     )
-    marked = resolve.label(d, resolve.union(resolve.rules(d).values()))
+    marked = resolve.labelled_by(d)
     return resolve.golden(marked), marked
